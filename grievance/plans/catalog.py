@@ -79,3 +79,570 @@ FROM (SELECT dp.product_name, count(*) AS n_complaints
 def q_complaints_by_product(spark, sf_dir):
     g = gold_models(spark, sf_dir)
     return R.complaints_by_product(g["fact_complaints"], g["dim_product"])
+
+
+# ------------------------------------------------------------ ingestion path
+
+from grievance.functions import expressions as X  # noqa: E402
+from grievance.operators import quality as Q  # noqa: E402
+from grievance.operators import raw as RAW  # noqa: E402
+from grievance.operators.staging import required_fields  # noqa: E402
+from grievance.schemas import RAW_COLUMNS  # noqa: E402
+from grievance.session import shared_path  # noqa: E402
+from grievance.sources.csv import read_complaints_csv, write_complaints_csv  # noqa: E402
+from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture_text  # noqa: E402
+
+
+def _text(spark, sf_dir):
+    """The fixture as CSV-style text (every row, duplicates included)."""
+    return fixture_text(fixture_complaints(spark, sf_dir, with_order=False))
+
+
+@register("rename_select", O.with_text("SELECT * FROM renamed"))
+def q_rename_select(spark, sf_dir):
+    return RAW.rename_and_select(_text(spark, sf_dir))
+
+
+@register("na_tokens", O.with_text("SELECT * FROM nulled"))
+def q_na_tokens(spark, sf_dir):
+    return RAW.null_na_tokens(RAW.rename_and_select(_text(spark, sf_dir)))
+
+
+@register("parse_dates", O.with_text("SELECT complaint_id, date_received, date_sent_to_company FROM clean"))
+def q_parse_dates(spark, sf_dir):
+    return RAW.normalise(_text(spark, sf_dir)).select("complaint_id", "date_received", "date_sent_to_company")
+
+
+@register("clean_raw", O.with_text("SELECT * FROM clean"))
+def q_clean_raw(spark, sf_dir):
+    return RAW.normalise(_text(spark, sf_dir))
+
+
+@register("csv_scan", O.with_text("SELECT * FROM clean"))
+def q_csv_scan(spark, sf_dir):
+    """Text written as CSV files to the shared folder, scanned back and normalised."""
+    path = shared_path(spark, "csv_scan")
+    write_complaints_csv(_text(spark, sf_dir), path)
+    return RAW.normalise(read_complaints_csv(spark, path))
+
+
+@register("varchar_overflow", O.varchar_overflow_sql())
+def q_varchar_overflow(spark, sf_dir):
+    return RAW.varchar_overflow(raw_complaints(spark, sf_dir))
+
+
+@register(
+    "upsert_merge",
+    f"""WITH fixture AS ({O.FIXTURE_SELECT}),
+old_rows AS ({O._dedup("(SELECT * FROM fixture WHERE CAST(o5 AS DATE) < DATE '1998-07-01')")}),
+new_rows AS ({O._dedup("(SELECT * FROM fixture WHERE NOT (CAST(o5 AS DATE) < DATE '1998-07-01'))")})
+SELECT * FROM old_rows WHERE complaint_id NOT IN (SELECT complaint_id FROM new_rows)
+UNION ALL SELECT * FROM new_rows""",
+)
+def q_upsert_merge(spark, sf_dir):
+    f = fixture_complaints(spark, sf_dir)
+    early = F.col("_ord_ship").cast("date") < F.lit("1998-07-01").cast("date")
+    existing = RAW.keep_last(f.filter(early), "complaint_id", FIXTURE_ORDER)
+    incoming = RAW.keep_last(f.filter(~early), "complaint_id", FIXTURE_ORDER)
+    return RAW.merge_upsert(existing, incoming)
+
+
+@register(
+    "load_profile",
+    O.with_raw(
+        "SELECT count(*) AS total_rows, count(date_received) AS valid_dates, "
+        "count(DISTINCT product) AS distinct_products, "
+        "round(CAST(count(date_received) * 100.0 / count(*) AS DOUBLE), 6) AS valid_date_pct FROM raw"
+    ),
+)
+def q_load_profile(spark, sf_dir):
+    return RAW.load_profile(raw_complaints(spark, sf_dir))
+
+
+@register(
+    "uniq_complaint_sk",
+    f"""WITH fixture AS ({O.FIXTURE_SELECT})
+SELECT {O.sk('complaint_id')} AS complaint_sk, count(*) AS n_records
+FROM fixture GROUP BY 1 HAVING count(*) > 1""",
+)
+def q_uniq_complaint_sk(spark, sf_dir):
+    f = fixture_complaints(spark, sf_dir, with_order=False)
+    return (
+        f.select(X.surrogate_key("complaint_id").alias("complaint_sk"))
+        .groupBy("complaint_sk").agg(F.count(F.lit(1)).alias("n_records"))
+        .filter(F.col("n_records") > 1)
+    )
+
+
+# ----------------------------------------------------- column-level operators
+
+@register(
+    "required_fields",
+    O.with_raw(
+        "SELECT complaint_id, date_received, product, company FROM raw WHERE complaint_id IS NOT NULL "
+        "AND date_received IS NOT NULL AND product IS NOT NULL AND company IS NOT NULL"
+    ),
+)
+def q_required_fields(spark, sf_dir):
+    return required_fields(raw_complaints(spark, sf_dir)).select("complaint_id", "date_received", "product", "company")
+
+
+_BLANKS = {
+    "product": ("product", "Not Specified"),
+    "sub_product": ("sub_product", "Not Specified"),
+    "issue": ("issue", "Not Specified"),
+    "sub_issue": ("sub_issue", "Not Specified"),
+    "company_response": ("company_response_to_consumer", "Not Specified"),
+    "submitted_via": ("submitted_via", "Unknown"),
+    "tags": ("tags", "None"),
+}
+
+
+@register(
+    "blank_defaults",
+    O.with_raw(
+        "SELECT complaint_id, "
+        + ", ".join(f"COALESCE(NULLIF(TRIM({src}), ''), '{d}') AS {out}" for out, (src, d) in _BLANKS.items())
+        + " FROM raw"
+    ),
+)
+def q_blank_defaults(spark, sf_dir):
+    return raw_complaints(spark, sf_dir).select(
+        "complaint_id", *[X.blank_default(src, d).alias(out) for out, (src, d) in _BLANKS.items()]
+    )
+
+
+@register("normalize_names", O.with_raw("SELECT complaint_id, UPPER(TRIM(company)) AS company_name, UPPER(TRIM(state)) AS state FROM raw"))
+def q_normalize_names(spark, sf_dir):
+    return raw_complaints(spark, sf_dir).select(
+        "complaint_id", X.upper_trim("company").alias("company_name"), X.upper_trim("state").alias("state")
+    )
+
+
+@register("zip_lpad", O.with_raw("SELECT complaint_id, LPAD(TRIM(zip_code), 5, '0') AS zip_code FROM raw"))
+def q_zip_lpad(spark, sf_dir):
+    return raw_complaints(spark, sf_dir).select("complaint_id", X.zip_lpad("zip_code").alias("zip_code"))
+
+
+@register(
+    "yes_no_flags",
+    O.with_raw(
+        "SELECT complaint_id, "
+        "CASE WHEN UPPER(timely_response) = 'YES' THEN TRUE WHEN UPPER(timely_response) = 'NO' THEN FALSE END AS timely_response_flag, "
+        "CASE WHEN UPPER(consumer_disputed) = 'YES' THEN TRUE WHEN UPPER(consumer_disputed) = 'NO' THEN FALSE END AS consumer_disputed_flag "
+        "FROM raw"
+    ),
+)
+def q_yes_no_flags(spark, sf_dir):
+    return raw_complaints(spark, sf_dir).select(
+        "complaint_id",
+        X.yes_no_flag("timely_response").alias("timely_response_flag"),
+        X.yes_no_flag("consumer_disputed").alias("consumer_disputed_flag"),
+    )
+
+
+@register(
+    "narrative_flag",
+    O.with_raw(
+        "SELECT complaint_id, CASE WHEN consumer_consent_provided = 'Consent provided' "
+        "AND consumer_complaint_narrative IS NOT NULL THEN TRUE ELSE FALSE END AS has_narrative_flag FROM raw"
+    ),
+)
+def q_narrative_flag(spark, sf_dir):
+    return raw_complaints(spark, sf_dir).select(
+        "complaint_id",
+        X.narrative_flag("consumer_consent_provided", "consumer_complaint_narrative").alias("has_narrative_flag"),
+    )
+
+
+@register(
+    "date_guard",
+    O.with_raw(
+        "SELECT complaint_id, CASE WHEN date_sent_to_company >= date_received THEN date_sent_to_company END "
+        "AS date_sent_to_company FROM raw"
+    ),
+)
+def q_date_guard(spark, sf_dir):
+    return raw_complaints(spark, sf_dir).select(
+        "complaint_id", X.guarded_sent_date("date_sent_to_company", "date_received").alias("date_sent_to_company")
+    )
+
+
+@register(
+    "response_days",
+    O.with_raw(
+        "SELECT complaint_id, CASE WHEN date_sent_to_company IS NOT NULL AND date_received IS NOT NULL "
+        "THEN CAST(date_sent_to_company - date_received AS INTEGER) END AS response_days FROM raw"
+    ),
+)
+def q_response_days(spark, sf_dir):
+    return raw_complaints(spark, sf_dir).select(
+        "complaint_id", X.response_days("date_sent_to_company", "date_received").alias("response_days")
+    )
+
+
+@register(
+    "date_keys",
+    O.with_stg(
+        f"SELECT complaint_id, {O.datekey('date_received')} AS date_received_sk, "
+        f"{O.datekey('date_sent_to_company')} AS date_sent_to_company_sk FROM stg"
+    ),
+)
+def q_date_keys(spark, sf_dir):
+    return staged_complaints(spark, sf_dir).select(
+        "complaint_id",
+        X.date_key("date_received").alias("date_received_sk"),
+        X.date_key("date_sent_to_company").alias("date_sent_to_company_sk"),
+    )
+
+
+@register(
+    "surrogate_key",
+    O.with_stg(
+        f"SELECT complaint_id, complaint_sk, {O.sk('product', 'sub_product', 'issue', 'sub_issue')} AS product_key, "
+        f"{O.sk('company_name', 'company_response')} AS company_key, {O.sk('state', 'zip_code')} AS geography_key FROM stg"
+    ),
+)
+def q_surrogate_key(spark, sf_dir):
+    return staged_complaints(spark, sf_dir).select(
+        "complaint_id",
+        "complaint_sk",
+        X.surrogate_key(*G.PRODUCT_COLS).alias("product_key"),
+        X.surrogate_key(*G.COMPANY_COLS).alias("company_key"),
+        X.surrogate_key(*G.GEOGRAPHY_COLS).alias("geography_key"),
+    )
+
+
+@register(
+    "timeliness_category",
+    O.with_stg(
+        "SELECT complaint_id, response_days, "
+        f"{X.timeliness_case_sql('response_days')} AS response_timeliness_category FROM stg"
+    ),
+)
+def q_timeliness_category(spark, sf_dir):
+    return staged_complaints(spark, sf_dir).select(
+        "complaint_id", "response_days", X.timeliness_category("response_days").alias("response_timeliness_category")
+    )
+
+
+@register(
+    "region",
+    O.with_raw(
+        f"SELECT {X.region_case_sql('UPPER(TRIM(state))')} AS region, count(*) AS n_complaints FROM raw GROUP BY 1"
+    ),
+)
+def q_region(spark, sf_dir):
+    return (
+        raw_complaints(spark, sf_dir)
+        .groupBy(X.region(X.upper_trim("state")).alias("region"))
+        .agg(F.count(F.lit(1)).alias("n_complaints"))
+    )
+
+
+# ------------------------------------------------------------------ joins
+
+@register(
+    "fact_join_product",
+    O.with_gold(
+        "SELECT f.complaint_id, f.product_sk, dp.product_name, dp.sub_product, dp.issue, dp.sub_issue "
+        "FROM fact f LEFT JOIN dim_product dp USING (product_sk)"
+    ),
+)
+def q_fact_join_product(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return g["fact_complaints"].select("complaint_id", "product_sk").join(g["dim_product"], "product_sk", "left")
+
+
+@register(
+    "fact_join_company",
+    O.with_gold(
+        "SELECT f.complaint_id, f.company_sk, dc.company_name, dc.company_response "
+        "FROM fact f LEFT JOIN dim_company dc USING (company_sk)"
+    ),
+)
+def q_fact_join_company(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return g["fact_complaints"].select("complaint_id", "company_sk").join(g["dim_company"], "company_sk", "left")
+
+
+@register(
+    "fact_join_geography",
+    O.with_gold(
+        "SELECT f.complaint_id, f.geography_sk, dg.state, dg.region, dg.zip_code "
+        "FROM fact f LEFT JOIN dim_geography dg ON f.geography_sk = dg.geography_sk"
+    ),
+)
+def q_fact_join_geography(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    f = g["fact_complaints"].select("complaint_id", "geography_sk")
+    d = g["dim_geography"]
+    return f.join(d, f["geography_sk"] == d["geography_sk"], "left").select(
+        "complaint_id", f["geography_sk"], "state", "region", "zip_code"
+    )
+
+
+@register(
+    "rel_product",
+    O.with_gold(
+        "SELECT f.complaint_id, f.product_sk FROM fact f WHERE f.product_sk IS NOT NULL AND f.product_sk NOT IN "
+        "(SELECT product_sk FROM dim_product WHERE product_name <> 'ECONOMY')"
+    ),
+)
+def q_rel_product(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    parent = g["dim_product"].filter(F.col("product_name") != "ECONOMY")
+    return Q.relationship_orphans(g["fact_complaints"], "product_sk", parent, "product_sk").select(
+        "complaint_id", "product_sk"
+    )
+
+
+@register(
+    "rel_company",
+    O.with_gold(
+        "SELECT f.complaint_id, f.company_sk FROM fact f WHERE f.company_sk IS NOT NULL AND f.company_sk NOT IN "
+        "(SELECT company_sk FROM dim_company WHERE company_response <> 'Closed with explanation')"
+    ),
+)
+def q_rel_company(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    parent = g["dim_company"].filter(F.col("company_response") != "Closed with explanation")
+    return Q.relationship_orphans(g["fact_complaints"], "company_sk", parent, "company_sk").select(
+        "complaint_id", "company_sk"
+    )
+
+
+# --------------------------------------------------------------- dim_date
+
+@register(
+    "dim_date",
+    O.with_gold(
+        "SELECT d.*, coalesce(r.n_received, 0) AS n_received FROM dim_date d LEFT JOIN "
+        "(SELECT date_received_sk, count(*) AS n_received FROM fact GROUP BY 1) r ON d.date_sk = r.date_received_sk",
+        extra=O.DIM_DATE,
+    ),
+)
+def q_dim_date(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    per_day = g["fact_complaints"].groupBy(F.col("date_received_sk").alias("date_sk")).agg(
+        F.count(F.lit(1)).alias("n_received")
+    )
+    return g["dim_date"].join(per_day, "date_sk", "left").withColumn(
+        "n_received", F.coalesce(F.col("n_received"), F.lit(0).cast("bigint"))
+    )
+
+
+# ---------------------------------------------------------- quality checks
+
+@register(
+    "test_date_logic",
+    O.with_raw(
+        "SELECT complaint_id, date_received, date_sent_to_company FROM raw WHERE date_sent_to_company < date_received"
+    ),
+)
+def q_test_date_logic(spark, sf_dir):
+    raw = raw_complaints(spark, sf_dir)
+    return raw.filter(Q._date_logic()).select("complaint_id", "date_received", "date_sent_to_company")
+
+
+@register(
+    "test_timely_accuracy",
+    O.with_gold(
+        "SELECT complaint_id, response_days, timely_response_flag FROM fact "
+        f"WHERE (response_days <= {O.THRESHOLD} AND timely_response_flag = FALSE) "
+        f"OR (response_days > {O.THRESHOLD} AND timely_response_flag = TRUE)"
+    ),
+)
+def q_test_timely_accuracy(spark, sf_dir):
+    fact = gold_models(spark, sf_dir)["fact_complaints"]
+    return fact.filter(Q._timely_accuracy()).select("complaint_id", "response_days", "timely_response_flag")
+
+
+@register(
+    "accepted_submitted_via",
+    O.with_gold(
+        "SELECT submitted_via AS value_field, count(*) AS n_records FROM fact "
+        f"WHERE submitted_via NOT IN {O.ACCEPTED['submitted_via']} GROUP BY submitted_via"
+    ),
+)
+def q_accepted_submitted_via(spark, sf_dir):
+    from grievance.schemas import ACCEPTED_SUBMITTED_VIA
+
+    fact = gold_models(spark, sf_dir)["fact_complaints"]
+    c = F.col("submitted_via")
+    return (
+        fact.filter(c.isNotNull() & ~c.isin(*ACCEPTED_SUBMITTED_VIA))
+        .groupBy(c.alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
+    )
+
+
+@register(
+    "volume_gate",
+    O.with_gold(
+        f"SELECT count(*) AS n_rows, CAST({O.MIN_FACT_ROWS} AS BIGINT) AS min_rows, "
+        f"CASE WHEN count(*) >= {O.MIN_FACT_ROWS} THEN 'pass' ELSE 'warn' END AS status FROM fact"
+    ),
+)
+def q_volume_gate(spark, sf_dir):
+    return Q.volume_gate(gold_models(spark, sf_dir)["fact_complaints"])
+
+
+@register("expectation_suite", O.suite_sql(Q.RAW_SUITE))
+def q_expectation_suite(spark, sf_dir):
+    return Q.run_suite(raw_complaints(spark, sf_dir))
+
+
+_SINGULAR_SQL = {
+    "test_date_logic": "date_sent_to_company < date_received",
+    "test_timely_response_accuracy": (
+        f"(response_days <= {O.THRESHOLD} AND timely_response_flag = FALSE) "
+        f"OR (response_days > {O.THRESHOLD} AND timely_response_flag = TRUE)"
+    ),
+}
+
+
+@register("dbt_tests", O.tests_sql(Q.MODEL_TESTS, _SINGULAR_SQL))
+def q_dbt_tests(spark, sf_dir):
+    raw = raw_complaints(spark, sf_dir)
+    g = gold_models(spark, sf_dir)
+    return Q.run_tests({"consumer_complaints": raw, **g})
+
+
+# ------------------------------------------------------------- more reports
+
+_PRODUCT_JOIN = "FROM fact f LEFT JOIN dim_product dp USING (product_sk) GROUP BY dp.product_name"
+
+
+@register(
+    "timely_rate",
+    O.with_gold(
+        "SELECT dp.product_name, count(*) AS n_complaints, count(f.timely_response_flag) AS n_known_timely, "
+        "round(avg(CASE WHEN f.timely_response_flag THEN 1.0::DOUBLE WHEN NOT f.timely_response_flag THEN 0.0::DOUBLE END), 6) AS timely_rate, "
+        "count(CASE WHEN f.response_timeliness_category <> 'Unknown' THEN 1 END) AS n_known_days, "
+        "round(avg(CASE WHEN f.response_timeliness_category IN ('Immediate', 'Fast', 'Timely') THEN 1.0::DOUBLE "
+        "WHEN f.response_timeliness_category <> 'Unknown' THEN 0.0::DOUBLE END), 6) AS within_threshold_rate "
+        + _PRODUCT_JOIN
+    ),
+)
+def q_timely_rate(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return R.timely_rate(g["fact_complaints"], g["dim_product"])
+
+
+@register(
+    "dispute_rate",
+    O.with_gold(
+        "SELECT dp.product_name, count(*) AS n_complaints, count(f.consumer_disputed_flag) AS n_known_disputes, "
+        "count(CASE WHEN f.consumer_disputed_flag THEN 1 END) AS n_disputed, "
+        "round(avg(CASE WHEN f.consumer_disputed_flag THEN 1.0::DOUBLE WHEN NOT f.consumer_disputed_flag THEN 0.0::DOUBLE END), 6) "
+        "AS dispute_rate " + _PRODUCT_JOIN
+    ),
+)
+def q_dispute_rate(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return R.dispute_rate(g["fact_complaints"], g["dim_product"])
+
+
+@register(
+    "geo_concentration",
+    O.with_gold(
+        "SELECT region, state, grouping_level, n_complaints, "
+        "round(CAST(n_complaints AS DOUBLE) * 100.0 / max(CASE WHEN grouping_level = 3 THEN n_complaints END) OVER (), 6) AS share_pct "
+        "FROM (SELECT dg.region, dg.state, CAST(GROUPING(dg.region, dg.state) AS INTEGER) AS grouping_level, count(*) AS n_complaints "
+        "FROM fact f LEFT JOIN dim_geography dg ON f.geography_sk = dg.geography_sk GROUP BY ROLLUP (dg.region, dg.state))"
+    ),
+)
+def q_geo_concentration(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return R.geo_concentration(g["fact_complaints"], g["dim_geography"])
+
+
+@register(
+    "complaints_by_company",
+    O.with_gold(
+        "SELECT dc.company_name, count(*) AS n_complaints FROM fact f LEFT JOIN dim_company dc USING (company_sk) "
+        "GROUP BY dc.company_name ORDER BY n_complaints DESC, dc.company_name ASC NULLS LAST LIMIT 10"
+    ),
+)
+def q_complaints_by_company(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return R.complaints_by_company(g["fact_complaints"], g["dim_company"])
+
+
+@register(
+    "complaints_by_year",
+    O.with_gold(
+        "SELECT CAST(year(date_received) AS INTEGER) AS year, count(*) AS n_complaints, "
+        "count(CASE WHEN has_narrative_flag THEN 1 END) AS n_with_narrative FROM fact GROUP BY 1"
+    ),
+)
+def q_complaints_by_year(spark, sf_dir):
+    return R.complaints_by_year(gold_models(spark, sf_dir)["fact_complaints"])
+
+
+def _share_sql(col: str) -> str:
+    return (
+        f"SELECT {col}, n_complaints, round(CAST(n_complaints AS DOUBLE) * 100.0 / sum(n_complaints) OVER (), 6) AS share_pct "
+        f"FROM (SELECT {col}, count(*) AS n_complaints FROM fact GROUP BY {col})"
+    )
+
+
+@register("complaints_by_channel", O.with_gold(_share_sql("submitted_via")))
+def q_complaints_by_channel(spark, sf_dir):
+    return R.complaints_by_channel(gold_models(spark, sf_dir)["fact_complaints"])
+
+
+@register("timeliness_distribution", O.with_gold(_share_sql("response_timeliness_category")))
+def q_timeliness_distribution(spark, sf_dir):
+    return R.timeliness_distribution(gold_models(spark, sf_dir)["fact_complaints"])
+
+
+_KNOWN = "CASE WHEN f.response_days >= 0 THEN f.response_days END"
+
+
+@register(
+    "response_time",
+    O.with_gold(
+        f"SELECT dp.product_name, count(*) AS n_complaints, count({_KNOWN}) AS n_known_days, "
+        f"round(avg({_KNOWN}), 6) AS avg_days, round(quantile_cont({_KNOWN}, 0.5), 6) AS median_days, "
+        f"round(quantile_cont({_KNOWN}, 0.9), 6) AS p90_days " + _PRODUCT_JOIN
+    ),
+)
+def q_response_time(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return R.response_time(g["fact_complaints"], g["dim_product"])
+
+
+_MONTHLY = (
+    "monthly AS (SELECT CAST(date_trunc('month', date_received) AS DATE) AS month_start, count(*) AS n_complaints "
+    "FROM fact WHERE date_received IS NOT NULL GROUP BY 1)"
+)
+
+
+@register(
+    "monthly_growth",
+    O.with_gold(
+        "SELECT m.month_start, m.n_complaints, p.n_complaints AS n_prev_month, "
+        "round(CAST(m.n_complaints - p.n_complaints AS DOUBLE) * 100.0 / p.n_complaints, 6) AS growth_pct "
+        "FROM monthly m LEFT JOIN monthly p ON p.month_start = CAST(m.month_start - INTERVAL 1 MONTH AS DATE)",
+        extra=_MONTHLY,
+    ),
+)
+def q_monthly_growth(spark, sf_dir):
+    return R.monthly_growth(gold_models(spark, sf_dir)["fact_complaints"])
+
+
+@register(
+    "half_year_growth",
+    O.with_gold(
+        "SELECT anchor_month, "
+        "CAST(sum(CASE WHEN month_start > anchor_month - INTERVAL 6 MONTH THEN n_complaints ELSE 0 END) AS BIGINT) AS n_last_period, "
+        "CAST(sum(CASE WHEN month_start > anchor_month - INTERVAL 12 MONTH AND NOT (month_start > anchor_month - INTERVAL 6 MONTH) "
+        "THEN n_complaints ELSE 0 END) AS BIGINT) AS n_prior_period, "
+        "round(CAST(n_last_period - n_prior_period AS DOUBLE) * 100.0 / n_prior_period, 6) AS growth_pct "
+        "FROM (SELECT *, max(month_start) OVER () AS anchor_month FROM monthly) GROUP BY anchor_month",
+        extra=_MONTHLY,
+    ),
+)
+def q_half_year_growth(spark, sf_dir):
+    return R.half_year_growth(gold_models(spark, sf_dir)["fact_complaints"])

@@ -72,5 +72,8 @@ def write_complaints_csv(df: DataFrame, path: str) -> None:
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        # Keep padding: the writer strips surrounding blanks by default.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
