@@ -41,14 +41,45 @@ def table_path(output: str, name: str) -> str:
     return f"{output.rstrip('/')}/{LAYERS[name]}/{name}"
 
 
-def write_table(df: DataFrame, output: str, name: str, audit: str | None = None) -> DataFrame:
-    """Full-refresh a layer table, then return a DataFrame reading it back."""
-    if audit:
-        df = df.withColumn(audit, F.current_timestamp())
+AUDIT_COLUMN = {"consumer_complaints": "loaded_at"}  # every other model: dbt_loaded_at
+
+# Layer namespaces and their descriptions.
+LAYER_COMMENTS = {
+    "raw": "Bronze layer: complaint records as loaded from the source extract",
+    "silver": "Silver layer: cleaned and standardised complaint records",
+    "gold": "Gold layer: star schema (dimensions and complaint fact) for analytics",
+}
+
+
+def audit_column(name: str) -> str:
+    return AUDIT_COLUMN.get(name, "dbt_loaded_at")
+
+
+def write_table(df: DataFrame, output: str, name: str, audit: bool = True) -> DataFrame:
+    """Full-refresh a layer table (stamped with its load time), then return a
+    DataFrame that reads it back without the stamp.
+
+    Spark's commit protocol makes the write retry-safe per task; the read-back
+    cuts lineage, so later failures recompute from this table only.
+    """
+    col = audit_column(name)
+    if audit and col not in df.columns:
+        df = df.withColumn(col, F.current_timestamp())
     path = table_path(output, name)
     df.write.mode("overwrite").parquet(path)
     back = df.sparkSession.read.parquet(path)
-    return back.drop(audit) if audit else back
+    return back.drop(col)
+
+
+def register_catalog(spark: SparkSession, output: str) -> None:
+    """Expose the written layers as ``raw.*``, ``silver.*`` and ``gold.*`` tables."""
+    for layer, comment in LAYER_COMMENTS.items():
+        spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {layer} COMMENT '{comment}' LOCATION '{output.rstrip('/')}/{layer}'"
+        )
+    for name, layer in LAYERS.items():
+        spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+        spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{table_path(output, name)}'")
 
 
 def read_table(spark: SparkSession, output: str, name: str) -> DataFrame:
@@ -66,6 +97,16 @@ class RunReport:
     tests_warned: list[dict] = field(default_factory=list)
     volume_status: str | None = None
 
+    @property
+    def load_metrics(self) -> dict:
+        """Records loaded, duration of the raw load and its throughput (rows/s)."""
+        sec = self.timings.get("raw") or 0.0
+        return {
+            "records": self.raw_rows,
+            "duration_sec": sec,
+            "rows_per_sec": round(self.raw_rows / sec, 1) if self.raw_rows and sec else None,
+        }
+
 
 class _Clock:
     def __init__(self, report: RunReport):
@@ -98,7 +139,7 @@ def load_raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataFrame | None = None,
         suite_gate: str = "raise", tests_gate: str = "raise", fact_strategy: str = "join",
-        results_path: str | None = None, run_name: str | None = None) -> RunReport:
+        results_path: str | None = None, run_name: str | None = None, register: bool = False) -> RunReport:
     """Build every layer under ``output`` and check it.
 
     ``raw`` is the incoming load (one row per complaint id).  With
@@ -112,19 +153,19 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     clock = _Clock(report)
 
     with clock("raw"):
-        incoming = merge_upsert(existing_raw, raw) if existing_raw is not None else raw
+        # Upserted rows get a fresh load stamp; untouched existing rows keep theirs.
+        stamped = raw.withColumn("loaded_at", F.current_timestamp())
+        incoming = merge_upsert(existing_raw, stamped) if existing_raw is not None else stamped
         raw_t = write_table(incoming, output, "consumer_complaints")
 
     with clock("expectations"):
-        suite = Q.run_suite(raw_t).cache()
+        suite = Q.run_suite(raw_t)
         if results_path:
             Q.store_results(suite, f"{results_path}/expectations", run_name)
-        report.suite_failed = [r.asDict() for r in suite.filter(~F.col("success")).collect()]
-        report.raw_rows = next(
-            (r.observed_value for r in suite.filter(F.col("expectation_type").endswith("row_count_to_be_between")).collect()),
-            None,
-        )
-        suite.unpersist()
+        # One row per expectation: bounded by the suite, not by the data.
+        rows = [r.asDict() for r in suite.collect()]
+        report.suite_failed = [r for r in rows if not r["success"]]
+        report.raw_rows = next(r["observed_value"] for r in rows if r["expectation_type"].endswith("row_count_to_be_between"))
     if report.suite_failed and suite_gate == "raise":
         raise Q.QualityGateError(f"expectation suite failed: {report.suite_failed}")
 
@@ -143,11 +184,10 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     with clock("tests"):
         models = {"consumer_complaints": raw_t, "dim_product": dp, "dim_company": dc,
                   "dim_geography": dg, "dim_date": dd, "fact_complaints": fact}
-        tests = Q.run_tests(models).cache()
+        tests = Q.run_tests(models)
         if results_path:
             Q.store_results(tests, f"{results_path}/tests", run_name)
         rows = [r.asDict() for r in tests.filter(F.col("status") != "pass").collect()]
-        tests.unpersist()
         report.tests_failed = [r for r in rows if r["status"] == "fail"]
         report.tests_warned = [r for r in rows if r["status"] == "warn"]
     if report.tests_failed and tests_gate == "raise":
@@ -156,4 +196,6 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     with clock("volume_gate"):
         gate = Q.volume_gate(fact).first()
         report.fact_rows, report.volume_status = gate.n_rows, gate.status
+    if register:
+        register_catalog(spark, output)
     return report

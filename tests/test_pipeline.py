@@ -1,0 +1,49 @@
+"""The orchestrated run end to end (tables and CSV inputs), gates, re-runs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from grievance.operators.quality import QualityGateError
+from grievance.plans.pipeline import load_raw_from_csv, load_raw_from_tables, read_table, run
+from grievance.sources.csv import write_complaints_csv
+from grievance.sources.fixture import fixture_complaints, fixture_text
+
+
+def test_run_from_tables(spark, sf_small, scratch):
+    report = run(spark, load_raw_from_tables(spark, sf_small), scratch, suite_gate="warn", tests_gate="warn",
+                 results_path=f"{scratch}/results", register=True)
+    assert report.raw_rows == 4599 and report.fact_rows == 4380
+    assert report.volume_status == "warn"  # fewer than 100,000 rows
+    failed = {r["expectation_index"] for r in report.suite_failed}
+    assert 8 in failed and 13 in failed and 10 not in failed  # product not-null, timely in-set; company passes
+    failed_tests = {r["test_name"] for r in report.tests_failed}
+    assert "source_not_null_raw_consumer_complaints_product" in failed_tests
+    assert {r["test_name"] for r in report.tests_warned} >= {"accepted_values_fact_complaints_submitted_via"}
+    assert spark.table("gold.fact_complaints").count() == 4380
+    assert "dbt_loaded_at" in spark.table("gold.dim_product").columns
+    assert "loaded_at" in spark.table("raw.consumer_complaints").columns
+    assert spark.read.parquet(f"{scratch}/results/expectations").count() == 14
+    assert report.load_metrics["records"] == 4599
+
+
+def test_gate_raises(spark, sf_small, scratch):
+    with pytest.raises(QualityGateError):
+        run(spark, load_raw_from_tables(spark, sf_small), scratch)
+
+
+def test_upsert_rerun_is_idempotent(spark, sf_small, scratch):
+    raw = load_raw_from_tables(spark, sf_small)
+    run(spark, raw, f"{scratch}/a", suite_gate="warn", tests_gate="warn")
+    existing = read_table(spark, f"{scratch}/a", "consumer_complaints")
+    run(spark, raw, f"{scratch}/b", existing_raw=existing, suite_gate="warn", tests_gate="warn")
+    once = read_table(spark, f"{scratch}/a", "fact_complaints").drop("dbt_loaded_at")
+    twice = read_table(spark, f"{scratch}/b", "fact_complaints").drop("dbt_loaded_at")
+    assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_csv_path_matches_table_path(spark, sf_small, scratch):
+    text = fixture_text(fixture_complaints(spark, sf_small, with_order=False)).repartition(4)
+    write_complaints_csv(text, f"{scratch}/landing/complaints_extract.csv")
+    raw = load_raw_from_csv(spark, f"{scratch}/landing", pattern="*.csv", select="all")
+    assert raw.count() == raw.select("complaint_id").distinct().count()
+    assert raw.filter(F.col("product") == "").count() == 0  # blanks became NULL at scan
