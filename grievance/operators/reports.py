@@ -1,9 +1,16 @@
 """Business reports over the gold star schema.
 
-Each report is a grouped aggregation (partial aggregation before the
-shuffle, so hot groups are pre-combined per partition).  Shares of a total
-use an unpartitioned window only *after* aggregation, over one row per group
-of a low-cardinality attribute (product, region/state, channel, month).
+Every report that needs a dimension attribute first aggregates the fact on
+its foreign key (partial aggregation before the shuffle, so a hot key is
+pre-combined per partition), then joins that small per-key aggregate to the
+dimension, then rolls up to the attribute.  The join therefore never sees
+fact-sized input, whatever the dimension's size.  Additive measures travel
+as counts and sums; exact percentiles travel as a (value, frequency)
+histogram per key, which ``percentile(value, p, frequency)`` consumes.
+
+Shares of a total use an unpartitioned window only *after* aggregation, over
+one row per group of a low-cardinality attribute (product, region/state,
+channel, category, month).
 """
 
 from __future__ import annotations
@@ -24,44 +31,57 @@ def _share_pct(n: str = "n_complaints") -> Column:
     return _ratio(F.try_divide(F.col(n) * 100.0, F.sum(n).over(Window.partitionBy())))
 
 
-def _bool_rate(flag: str) -> Column:
-    """Share of TRUE among known (non-NULL) flags."""
-    f = F.col(flag)
-    return _ratio(F.avg(F.when(f, F.lit(1.0)).when(~f, F.lit(0.0))))
+def _rate(num: str, den: str) -> Column:
+    return _ratio(F.try_divide(F.col(num).cast("double"), F.col(den).cast("double")))
 
 
-def _with_product(fact: DataFrame, products: DataFrame) -> DataFrame:
-    return fact.join(products.select("product_sk", "product_name"), "product_sk", "left")
+def _by_key_then_attribute(fact: DataFrame, key: str, dim: DataFrame, attribute: str,
+                           measures: dict[str, Column]) -> DataFrame:
+    """Sum additive ``measures`` per fact key, attach the dimension attribute,
+    then sum again per attribute (a left join keeps keys missing from the dimension)."""
+    per_key = fact.groupBy(key).agg(*[m.alias(n) for n, m in measures.items()])
+    named = per_key.join(dim.select(key, attribute), key, "left")
+    return named.groupBy(attribute).agg(*[F.sum(n).cast("bigint").alias(n) for n in measures])
 
 
 def complaints_by_product(fact: DataFrame, products: DataFrame) -> DataFrame:
     """R1: complaints and share of all complaints per product."""
-    agg = _with_product(fact, products).groupBy("product_name").agg(F.count(F.lit(1)).alias("n_complaints"))
+    agg = _by_key_then_attribute(fact, "product_sk", products, "product_name",
+                                 {"n_complaints": F.count(F.lit(1))})
     return agg.select("product_name", "n_complaints", _share_pct().alias("share_pct"))
 
 
 def timely_rate(fact: DataFrame, products: DataFrame) -> DataFrame:
     """R2: per product, share of timely answers and share answered within the threshold."""
+    flag = F.col("timely_response_flag")
     cat = F.col("response_timeliness_category")
     fast = [label for label, _, _ in TIMELINESS_BUCKETS]
-    within = F.when(cat.isin(*fast), F.lit(1.0)).when(cat != F.lit(UNKNOWN), F.lit(0.0))
-    return _with_product(fact, products).groupBy("product_name").agg(
-        F.count(F.lit(1)).alias("n_complaints"),
-        F.count("timely_response_flag").alias("n_known_timely"),
-        _bool_rate("timely_response_flag").alias("timely_rate"),
-        F.count(F.when(cat != F.lit(UNKNOWN), 1)).alias("n_known_days"),
-        _ratio(F.avg(within)).alias("within_threshold_rate"),
+    agg = _by_key_then_attribute(fact, "product_sk", products, "product_name", {
+        "n_complaints": F.count(F.lit(1)),
+        "n_known_timely": F.count(flag),
+        "n_timely": F.count(F.when(flag, 1)),
+        "n_known_days": F.count(F.when(cat != F.lit(UNKNOWN), 1)),
+        "n_within": F.count(F.when(cat.isin(*fast), 1)),
+    })
+    return agg.select(
+        "product_name", "n_complaints", "n_known_timely",
+        _rate("n_timely", "n_known_timely").alias("timely_rate"),
+        "n_known_days",
+        _rate("n_within", "n_known_days").alias("within_threshold_rate"),
     )
 
 
 def dispute_rate(fact: DataFrame, products: DataFrame) -> DataFrame:
     """R3: per product, disputed share of complaints whose dispute flag is known."""
     flag = F.col("consumer_disputed_flag")
-    return _with_product(fact, products).groupBy("product_name").agg(
-        F.count(F.lit(1)).alias("n_complaints"),
-        F.count(flag).alias("n_known_disputes"),
-        F.count(F.when(flag, 1)).alias("n_disputed"),
-        _bool_rate("consumer_disputed_flag").alias("dispute_rate"),
+    agg = _by_key_then_attribute(fact, "product_sk", products, "product_name", {
+        "n_complaints": F.count(F.lit(1)),
+        "n_known_disputes": F.count(flag),
+        "n_disputed": F.count(F.when(flag, 1)),
+    })
+    return agg.select(
+        "product_name", "n_complaints", "n_known_disputes", "n_disputed",
+        _rate("n_disputed", "n_known_disputes").alias("dispute_rate"),
     )
 
 
@@ -70,11 +90,10 @@ def geo_concentration(fact: DataFrame, geographies: DataFrame) -> DataFrame:
 
     ``grouping_level`` 0 = (region, state), 1 = region subtotal, 3 = grand total.
     """
-    g = geographies.select("geography_sk", "region", "state")
-    rolled = (
-        fact.join(g, "geography_sk", "left")
-        .rollup("region", "state")
-        .agg(F.count(F.lit(1)).alias("n_complaints"), F.grouping_id().cast("int").alias("grouping_level"))
+    per_key = fact.groupBy("geography_sk").agg(F.count(F.lit(1)).alias("n"))
+    named = per_key.join(geographies.select("geography_sk", "region", "state"), "geography_sk", "left")
+    rolled = named.rollup("region", "state").agg(
+        F.sum("n").cast("bigint").alias("n_complaints"), F.grouping_id().cast("int").alias("grouping_level")
     )
     total = F.max(F.when(F.col("grouping_level") == 3, F.col("n_complaints"))).over(Window.partitionBy())
     return rolled.select(
@@ -89,8 +108,8 @@ def complaints_by_company(fact: DataFrame, companies: DataFrame, top: int = 10)
     ``orderBy().limit()`` plans as a per-partition top-k merged at the end:
     no partition ever sorts or ships more than ``top`` rows.
     """
-    named = fact.join(companies.select("company_sk", "company_name"), "company_sk", "left")
-    agg = named.groupBy("company_name").agg(F.count(F.lit(1)).alias("n_complaints"))
+    agg = _by_key_then_attribute(fact, "company_sk", companies, "company_name",
+                                 {"n_complaints": F.count(F.lit(1))})
     return agg.orderBy(F.col("n_complaints").desc(), F.col("company_name").asc_nulls_last()).limit(top)
 
 
@@ -117,18 +136,20 @@ def timeliness_distribution(fact: DataFrame) -> DataFrame:
 def response_time(fact: DataFrame, products: DataFrame) -> DataFrame:
     """R7: per product, mean / median / p90 of the (non-negative) forwarding lag in days.
 
-    ``percentile`` is exact; its state is a value->count map per group, and
-    day lags take few distinct values, so the state stays small for any
-    group size.
+    Exact: the fact is reduced to a histogram ``(product_sk, days) -> n``
+    (day lags take few distinct values), and the percentiles are taken over
+    that histogram with frequencies, so no group ever holds its raw rows.
     """
     d = F.col("response_days")
-    known = F.when(d >= 0, d)
-    return _with_product(fact, products).groupBy("product_name").agg(
-        F.count(F.lit(1)).alias("n_complaints"),
-        F.count(known).alias("n_known_days"),
-        _ratio(F.avg(known)).alias("avg_days"),
-        _ratio(F.percentile(known, 0.5)).alias("median_days"),
-        _ratio(F.percentile(known, 0.9)).alias("p90_days"),
+    hist = fact.groupBy("product_sk", F.when(d >= 0, d).alias("days")).agg(F.count(F.lit(1)).alias("n"))
+    named = hist.join(products.select("product_sk", "product_name"), "product_sk", "left")
+    known_n = F.when(F.col("days").isNotNull(), F.col("n"))
+    return named.groupBy("product_name").agg(
+        F.sum("n").cast("bigint").alias("n_complaints"),
+        F.coalesce(F.sum(known_n), F.lit(0)).cast("bigint").alias("n_known_days"),
+        _ratio(F.try_divide(F.sum(F.col("days") * F.col("n")).cast("double"), F.sum(known_n).cast("double"))).alias("avg_days"),
+        _ratio(F.percentile(F.col("days"), F.lit(0.5), F.col("n"))).alias("median_days"),
+        _ratio(F.percentile(F.col("days"), F.lit(0.9), F.col("n"))).alias("p90_days"),
     )
 
 
@@ -162,11 +183,7 @@ def half_year_growth(fact: DataFrame, months: int = 6) -> DataFrame:
     complaints) against the ``months`` before them."""
     m = _monthly(fact)
     anchor = F.max("month_start").over(Window.partitionBy())
-    flagged = m.select(
-        "n_complaints",
-        "month_start",
-        anchor.alias("anchor_month"),
-    )
+    flagged = m.select("n_complaints", "month_start", anchor.alias("anchor_month"))
     ms, a = F.col("month_start"), F.col("anchor_month")
     last = ms > F.add_months(a, -months)
     prior = (ms > F.add_months(a, -2 * months)) & ~last

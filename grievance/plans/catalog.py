@@ -503,9 +503,18 @@ _SINGULAR_SQL = {
 
 @register("dbt_tests", O.tests_sql(Q.MODEL_TESTS, _SINGULAR_SQL))
 def q_dbt_tests(spark, sf_dir):
-    raw = raw_complaints(spark, sf_dir)
-    g = gold_models(spark, sf_dir)
-    return Q.run_tests({"consumer_complaints": raw, **g})
+    from grievance.operators.staging import stage_complaints
+    from grievance.session import materialize
+
+    # 27 checks read six models: derive each model once (as the daily run
+    # does with its written layers), then run every check on the copies.
+    raw = materialize(raw_complaints(spark, sf_dir))
+    stg = materialize(stage_complaints(raw))
+    dp, dc, dg = (materialize(f(stg)) for f in (G.dim_product, G.dim_company, G.dim_geography))
+    fact = materialize(G.fact_complaints(stg, dp, dc, dg))
+    models = {"consumer_complaints": raw, "dim_product": dp, "dim_company": dc, "dim_geography": dg,
+              "dim_date": G.dim_date(spark), "fact_complaints": fact}
+    return Q.run_tests(models)
 
 
 # ------------------------------------------------------------- more reports

@@ -67,3 +67,12 @@ def shared_base(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared base for one write."""
     return f"{shared_base(spark)}/grievance/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    Used when several branches of one plan consume the same derived frame.
+    """
+    shared_base(df.sparkSession)
+    return df.checkpoint(eager=True)
