@@ -48,7 +48,9 @@ def complaints_by_product(fact: DataFrame, products: DataFrame) -> DataFrame:
     """R1: complaints and share of all complaints per product."""
     agg = _by_key_then_attribute(fact, "product_sk", products, "product_name",
                                  {"n_complaints": F.count(F.lit(1))})
-    return agg.select("product_name", "n_complaints", _share_pct().alias("share_pct"))
+    return agg.select("product_name", "n_complaints", _share_pct().alias("share_pct")).orderBy(
+        F.col("n_complaints").desc(), F.col("product_name").asc_nulls_last()
+    )
 
 
 def timely_rate(fact: DataFrame, products: DataFrame) -> DataFrame:
