@@ -1,4 +1,12 @@
-"""Model builders from the benchmark tables (lazy DataFrames, one plan each)."""
+"""Model builders from the benchmark tables, for the single-query (driver) form.
+
+Staging feeds four consumers (three dimensions and the fact).  Their column
+needs differ, so each would prune the staging plan differently and Spark
+could not share one shuffle among them: the raw derivation would run four
+times.  ``gold_models`` therefore checkpoints staging once into the shared
+folder (as the daily run writes its silver table) and builds the gold models
+from that copy.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from grievance.operators.gold import build_gold
 from grievance.operators.raw import keep_last
 from grievance.operators.staging import stage_complaints
+from grievance.session import materialize
 from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints
 
 
@@ -19,5 +28,8 @@ def staged_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_complaints(raw_complaints(spark, sf_dir))
 
 
-def gold_models(spark: SparkSession, sf_dir: str, strategy: str = "join") -> dict[str, DataFrame]:
-    return build_gold(spark, staged_complaints(spark, sf_dir), strategy=strategy)
+def gold_models(spark: SparkSession, sf_dir: str, strategy: str = "join", share_staging: bool = True) -> dict[str, DataFrame]:
+    stg = staged_complaints(spark, sf_dir)
+    if share_staging:
+        stg = materialize(stg)
+    return build_gold(spark, stg, strategy=strategy)
