@@ -39,13 +39,18 @@ def null_if_na_token(c: ColumnOrName, tokens: tuple[str, ...] = NA_TOKENS) -> Co
 
 
 def lenient_date(c: ColumnOrName) -> Column:
-    """Parse month/day/year or ISO text to DATE; unparseable text gives NULL."""
+    """Parse month/day/year or ISO (optionally with a time) text to DATE; unparseable text gives NULL.
+
+    The spelling is recognised by a cheap character test so each value is
+    parsed once, with the one pattern that can match it.
+    """
     c = _col(c)
-    return F.coalesce(
-        F.try_to_timestamp(c, F.lit("M/d/yyyy")),
-        F.try_to_timestamp(c, F.lit("yyyy-M-d")),
-        F.try_to_timestamp(c, F.lit("yyyy-M-d HH:mm:ss")),
-    ).cast("date")
+    return (
+        F.when(c.contains("/"), F.try_to_timestamp(c, F.lit("M/d/yyyy")))
+        .when(c.contains(" "), F.try_to_timestamp(c, F.lit("yyyy-M-d HH:mm:ss")))
+        .otherwise(F.try_to_timestamp(c, F.lit("yyyy-M-d")))
+        .cast("date")
+    )
 
 
 def lenient_bigint(c: ColumnOrName) -> Column:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -173,10 +174,12 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
         stg = write_table(stage_complaints(raw_t), output, "stg_complaints")
 
     with clock("gold_dims"):
-        dp = write_table(G.dim_product(stg), output, "dim_product")
-        dc = write_table(G.dim_company(stg), output, "dim_company")
-        dg = write_table(G.dim_geography(stg), output, "dim_geography")
-        dd = write_table(G.dim_date(spark), output, "dim_date")
+        # Independent jobs: submit them together so small dimensions share the cluster.
+        builds = {"dim_product": G.dim_product(stg), "dim_company": G.dim_company(stg),
+                  "dim_geography": G.dim_geography(stg), "dim_date": G.dim_date(spark)}
+        with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+            futures = {n: pool.submit(write_table, df, output, n) for n, df in builds.items()}
+            dp, dc, dg, dd = (futures[n].result() for n in builds)
 
     with clock("gold_fact"):
         fact = write_table(G.fact_complaints(stg, dp, dc, dg, strategy=fact_strategy), output, "fact_complaints")
