@@ -90,3 +90,12 @@ def test_store_results(spark, scratch):
     Q.store_results(res, scratch, "20240102-000000-daily-validation")
     back = spark.read.parquet(scratch)
     assert back.count() == 2 and back.select("run_name").distinct().count() == 2
+
+
+def test_suite_invariant_to_partitioning(spark, sf_small):
+    from grievance.plans.models import raw_complaints
+
+    raw = raw_complaints(spark, sf_small)
+    a = Q.run_suite(raw.coalesce(1))
+    b = Q.run_suite(raw.repartition(13, "state"))
+    assert sorted(a.collect()) == sorted(b.collect())
