@@ -60,3 +60,26 @@ def test_dim_date(spark):
     assert sat.is_weekend and not mon.is_weekend
     assert (sat.date_sk, sat.quarter, sat.month_name) == (20240106, 1, "January  ")
     assert d.count() == 7304 and d.select("date_sk").distinct().count() == 7304
+
+
+def test_join_path_without_broadcast(spark, sf_small):
+    """Dimensions over the broadcast threshold: sort-merge joins give the same fact."""
+    import contextlib
+    import io
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        stg = staged_complaints(spark, sf_small)
+        fact = G.fact_complaints(stg, strategy="join")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fact.explain()
+        assert "SortMergeJoin" in buf.getvalue() and "BroadcastHashJoin" not in buf.getvalue()
+        derived = G.fact_complaints(stg, strategy="derive")
+        assert fact.exceptAll(derived).count() == 0 and derived.exceptAll(fact).count() == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
