@@ -12,11 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grievance.functions import expressions as X
 from grievance.operators import gold as G
+from grievance.operators import quality as Q
+from grievance.operators import raw as RAW
 from grievance.operators import reports as R
+from grievance.operators.staging import STAGING_COLUMNS, required_fields, stage_complaints
 from grievance.plans import oracle as O
 from grievance.plans.models import gold_models, raw_complaints, staged_complaints
-from grievance.operators.staging import STAGING_COLUMNS
+from grievance.schemas import ACCEPTED_SUBMITTED_VIA
+from grievance.session import materialize, shared_path
+from grievance.sources.csv import read_complaints_csv, write_complaints_csv
+from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture_text
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -83,16 +90,6 @@ def q_complaints_by_product(spark, sf_dir):
 
 # ------------------------------------------------------------ ingestion path
 
-from grievance.functions import expressions as X  # noqa: E402
-from grievance.operators import quality as Q  # noqa: E402
-from grievance.operators import raw as RAW  # noqa: E402
-from grievance.operators.staging import required_fields  # noqa: E402
-from grievance.schemas import RAW_COLUMNS  # noqa: E402
-from grievance.session import shared_path  # noqa: E402
-from grievance.sources.csv import read_complaints_csv, write_complaints_csv  # noqa: E402
-from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture_text  # noqa: E402
-
-
 def _text(spark, sf_dir):
     """The fixture as CSV-style text (every row, duplicates included)."""
     return fixture_text(fixture_complaints(spark, sf_dir, with_order=False))
@@ -466,8 +463,6 @@ def q_test_timely_accuracy(spark, sf_dir):
     ),
 )
 def q_accepted_submitted_via(spark, sf_dir):
-    from grievance.schemas import ACCEPTED_SUBMITTED_VIA
-
     fact = gold_models(spark, sf_dir)["fact_complaints"]
     c = F.col("submitted_via")
     return (
@@ -503,9 +498,6 @@ _SINGULAR_SQL = {
 
 @register("dbt_tests", O.tests_sql(Q.MODEL_TESTS, _SINGULAR_SQL))
 def q_dbt_tests(spark, sf_dir):
-    from grievance.operators.staging import stage_complaints
-    from grievance.session import materialize
-
     # 27 checks read six models: derive each model once (as the daily run
     # does with its written layers), then run every check on the copies.
     raw = materialize(raw_complaints(spark, sf_dir))
