@@ -123,6 +123,40 @@ def q_csv_scan(spark, sf_dir):
     return RAW.normalise(read_complaints_csv(spark, path))
 
 
+def _ordered_extract(spark, sf_dir, extra_column=True):
+    """CSV text whose file order follows the fixture's record order.
+
+    Range-partitioned by complaint id (all records of an id in one file) and
+    sorted by the fixture order inside each file, so "last in file" is the
+    fixture's last record and the load can be checked against SQL.
+    """
+    f = fixture_complaints(spark, sf_dir)
+    n = spark.sparkContext.defaultParallelism
+    ordered = f.repartitionByRange(n, "complaint_id").sortWithinPartitions("complaint_id", *FIXTURE_ORDER)
+    return fixture_text(ordered, extra_column=extra_column)
+
+
+@register("csv_ingest", O.text_keep_last_sql())
+def q_csv_ingest(spark, sf_dir):
+    """CSV extract -> discovery -> scan -> normalise -> last record per id by file position."""
+    from grievance.plans.pipeline import load_raw_from_csv
+
+    landing = shared_path(spark, "csv_ingest")
+    write_complaints_csv(_ordered_extract(spark, sf_dir), f"{landing}/complaints_extract.csv")
+    return load_raw_from_csv(spark, landing, pattern="*.csv", select="all")
+
+
+@register("landing_ingest", O.text_keep_last_sql())
+def q_landing_ingest(spark, sf_dir):
+    """The same extract picked up by the incremental landing-folder stream."""
+    from grievance.streaming import current_raw, ingest_available
+
+    base = shared_path(spark, "landing_ingest")
+    write_complaints_csv(_ordered_extract(spark, sf_dir, extra_column=False), f"{base}/landing")
+    ingest_available(spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint", pattern="*.csv")
+    return current_raw(spark, f"{base}/bronze")
+
+
 @register("varchar_overflow", O.varchar_overflow_sql())
 def q_varchar_overflow(spark, sf_dir):
     return RAW.varchar_overflow(raw_complaints(spark, sf_dir))

@@ -115,13 +115,14 @@ def fixture_complaints(spark: SparkSession, sf_dir: str, with_order: bool = True
 TEXT_NULL_SPELLINGS: tuple[str, ...] = ("", "N/A", "NaN")
 
 
-def fixture_text(raw: DataFrame) -> DataFrame:
-    """Render typed raw complaints as CSV-style text under the human headers.
+def fixture_text(raw: DataFrame, extra_column: bool = True) -> DataFrame:
+    """Render typed raw complaints as CSV-style text under the human headers,
+    in the extract's column order.
 
     Dates alternate between month/day/year and ISO spelling, some ids carry a
     '.0' suffix (float-looking) or are junk, some dates are junk, and NULLs are
-    spelled with one of several missing-value tokens.  An extra column that the
-    normaliser must drop is appended.
+    spelled with one of several missing-value tokens.  With ``extra_column``
+    a column that the normaliser must drop is appended.
     """
     cid = F.col("complaint_id")
     line, order = cid % 10, F.floor(cid / 10)
@@ -141,15 +142,15 @@ def fixture_text(raw: DataFrame) -> DataFrame:
             .otherwise(cid.cast("string"))
         )
 
-    header_of = {v: k for k, v in COLUMN_MAPPING.items()}
     out = []
-    for name in RAW_COLUMNS:
+    for header, name in COLUMN_MAPPING.items():
         if name == "complaint_id":
             e = text_id()
         elif name in ("date_received", "date_sent_to_company"):
             e = text_date(name)
         else:
             e = F.coalesce(F.col(name), null_word)
-        out.append(e.alias(header_of[name]))
-    out.append(F.concat(F.lit("row-"), cid.cast("string")).alias("Extra column"))
+        out.append(e.alias(header))
+    if extra_column:
+        out.append(F.concat(F.lit("row-"), cid.cast("string")).alias("Extra column"))
     return raw.select(*out)

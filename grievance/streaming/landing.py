@@ -26,10 +26,16 @@ BRONZE_ORDER = ("batch_id", "_file_mtime", "_file", "_block", "_row")
 
 def landing_stream(spark: SparkSession, landing_dir: str, pattern: str = "*complaints*.csv",
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of CSV text rows (human headers) from new files in ``landing_dir``."""
+    """Streaming DataFrame of CSV text rows (human headers) from new files in ``landing_dir``.
+
+    A stream needs its schema up front: the extract's 18 headers in file
+    order.  ``enforceSchema=false`` makes a file whose header differs fail
+    instead of having its columns bound by position to the wrong names.
+    """
     reader = (
         spark.readStream.schema(CSV_TEXT_SCHEMA)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')

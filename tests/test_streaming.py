@@ -36,3 +36,15 @@ def test_incremental_ingest(spark, scratch):
     assert spark.read.parquet(bronze).count() == 5
     raw = {r.complaint_id: r.product for r in current_raw(spark, bronze).collect()}
     assert raw == {1: "Mortgage", 2: "Loan", 3: "Auto"}
+
+
+def test_misaligned_header_fails_loudly(spark, scratch):
+    import pytest
+
+    landing = f"{scratch}/landing_bad"
+    os.makedirs(landing, exist_ok=True)
+    headers = list(COLUMN_MAPPING)[::-1]  # same names, other order
+    with open(f"{landing}/complaints_x.csv", "w", encoding="utf-8") as fh:
+        fh.write(",".join(f'"{h}"' for h in headers) + "\n" + ",".join(['"x"'] * len(headers)) + "\n")
+    with pytest.raises(Exception):
+        ingest_available(spark, landing, f"{scratch}/bronze_bad", f"{scratch}/ckpt_bad")
