@@ -178,7 +178,7 @@ def _unique_expectation(df: DataFrame, idx: int, e: Expectation) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class Test:
+class ModelTest:
     model: str
     kind: str  # not_null | unique | accepted_values | relationships | singular
     column: str | None = None
@@ -207,34 +207,34 @@ def _timely_accuracy() -> Column:
 
 
 # The 27 model tests (5 on the raw source, 20 generic on gold, 2 singular).
-MODEL_TESTS: tuple[Test, ...] = (
-    Test("consumer_complaints", "unique", "complaint_id", name="source_unique_raw_consumer_complaints_complaint_id"),
-    Test("consumer_complaints", "not_null", "complaint_id", name="source_not_null_raw_consumer_complaints_complaint_id"),
-    Test("consumer_complaints", "not_null", "date_received", name="source_not_null_raw_consumer_complaints_date_received"),
-    Test("consumer_complaints", "not_null", "product", name="source_not_null_raw_consumer_complaints_product"),
-    Test("consumer_complaints", "not_null", "company", name="source_not_null_raw_consumer_complaints_company"),
-    Test("fact_complaints", "unique", "complaint_sk"),
-    Test("fact_complaints", "not_null", "complaint_sk"),
-    Test("fact_complaints", "not_null", "complaint_id"),
-    Test("fact_complaints", "relationships", "product_sk", to_model="dim_product", to_field="product_sk"),
-    Test("fact_complaints", "relationships", "company_sk", to_model="dim_company", to_field="company_sk"),
-    Test("fact_complaints", "accepted_values", "response_timeliness_category", values=ACCEPTED_TIMELINESS),
-    Test("fact_complaints", "accepted_values", "submitted_via", severity="warn", values=ACCEPTED_SUBMITTED_VIA),
-    Test("dim_product", "unique", "product_sk"),
-    Test("dim_product", "not_null", "product_sk"),
-    Test("dim_product", "not_null", "product_name"),
-    Test("dim_company", "unique", "company_sk"),
-    Test("dim_company", "not_null", "company_sk"),
-    Test("dim_company", "not_null", "company_name"),
-    Test("dim_geography", "unique", "geography_sk"),
-    Test("dim_geography", "not_null", "geography_sk"),
-    Test("dim_geography", "accepted_values", "region", values=ACCEPTED_REGIONS),
-    Test("dim_date", "unique", "date_sk"),
-    Test("dim_date", "not_null", "date_sk"),
-    Test("dim_date", "not_null", "date_actual"),
-    Test("dim_date", "accepted_values", "quarter", values=ACCEPTED_QUARTERS),
-    Test("fact_complaints", "singular", name="test_date_logic", predicate=_date_logic),
-    Test("fact_complaints", "singular", severity="warn", name="test_timely_response_accuracy",
+MODEL_TESTS: tuple[ModelTest, ...] = (
+    ModelTest("consumer_complaints", "unique", "complaint_id", name="source_unique_raw_consumer_complaints_complaint_id"),
+    ModelTest("consumer_complaints", "not_null", "complaint_id", name="source_not_null_raw_consumer_complaints_complaint_id"),
+    ModelTest("consumer_complaints", "not_null", "date_received", name="source_not_null_raw_consumer_complaints_date_received"),
+    ModelTest("consumer_complaints", "not_null", "product", name="source_not_null_raw_consumer_complaints_product"),
+    ModelTest("consumer_complaints", "not_null", "company", name="source_not_null_raw_consumer_complaints_company"),
+    ModelTest("fact_complaints", "unique", "complaint_sk"),
+    ModelTest("fact_complaints", "not_null", "complaint_sk"),
+    ModelTest("fact_complaints", "not_null", "complaint_id"),
+    ModelTest("fact_complaints", "relationships", "product_sk", to_model="dim_product", to_field="product_sk"),
+    ModelTest("fact_complaints", "relationships", "company_sk", to_model="dim_company", to_field="company_sk"),
+    ModelTest("fact_complaints", "accepted_values", "response_timeliness_category", values=ACCEPTED_TIMELINESS),
+    ModelTest("fact_complaints", "accepted_values", "submitted_via", severity="warn", values=ACCEPTED_SUBMITTED_VIA),
+    ModelTest("dim_product", "unique", "product_sk"),
+    ModelTest("dim_product", "not_null", "product_sk"),
+    ModelTest("dim_product", "not_null", "product_name"),
+    ModelTest("dim_company", "unique", "company_sk"),
+    ModelTest("dim_company", "not_null", "company_sk"),
+    ModelTest("dim_company", "not_null", "company_name"),
+    ModelTest("dim_geography", "unique", "geography_sk"),
+    ModelTest("dim_geography", "not_null", "geography_sk"),
+    ModelTest("dim_geography", "accepted_values", "region", values=ACCEPTED_REGIONS),
+    ModelTest("dim_date", "unique", "date_sk"),
+    ModelTest("dim_date", "not_null", "date_sk"),
+    ModelTest("dim_date", "not_null", "date_actual"),
+    ModelTest("dim_date", "accepted_values", "quarter", values=ACCEPTED_QUARTERS),
+    ModelTest("fact_complaints", "singular", name="test_date_logic", predicate=_date_logic),
+    ModelTest("fact_complaints", "singular", severity="warn", name="test_timely_response_accuracy",
          predicate=_timely_accuracy),
 )
 
@@ -249,7 +249,7 @@ TEST_SCHEMA = T.StructType([
 ])
 
 
-def _test_row(t: Test, failures: Column) -> Column:
+def _test_row(t: ModelTest, failures: Column) -> Column:
     f = failures.cast("bigint")
     status = F.when(f == 0, F.lit("pass")).otherwise(F.lit("fail" if t.severity == "error" else "warn"))
     return F.struct(
@@ -295,11 +295,11 @@ def relationship_orphans(child: DataFrame, c: str, parent: DataFrame, p: str) ->
     return child.filter(F.col(c).isNotNull()).join(keys, F.col(c) == F.col("__parent_key"), "left_anti")
 
 
-def run_tests(models: dict[str, DataFrame], tests: Sequence[Test] = MODEL_TESTS) -> DataFrame:
+def run_tests(models: dict[str, DataFrame], tests: Sequence[ModelTest] = MODEL_TESTS) -> DataFrame:
     """Evaluate ``tests`` against named models: one row per test (``TEST_SCHEMA``)."""
     parts: list[DataFrame] = []
     order = {t.test_name: i for i, t in enumerate(tests)}
-    by_model: dict[str, list[Test]] = {}
+    by_model: dict[str, list[ModelTest]] = {}
     for t in tests:
         if t.kind in ("not_null", "singular"):
             by_model.setdefault(t.model, []).append(t)

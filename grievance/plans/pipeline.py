@@ -172,7 +172,9 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
         # One row per expectation: bounded by the suite, not by the data.
         rows = [r.asDict() for r in suite.collect()]
         report.suite_failed = [r for r in rows if not r["success"]]
-        report.raw_rows = next(r["observed_value"] for r in rows if r["expectation_type"].endswith("row_count_to_be_between"))
+        report.raw_rows = next(
+            (r["observed_value"] for r in rows if r["expectation_type"].endswith("row_count_to_be_between")), None
+        )
     if report.suite_failed and suite_gate == "raise":
         raise Q.QualityGateError(f"expectation suite failed: {report.suite_failed}")
 
