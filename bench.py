@@ -1,12 +1,12 @@
 """Benchmark: the daily run and the reports at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``.
 
 Prints one JSON line:
-``{"metric": "pipeline_total", "value": sec, "unit": "sec", "queries": {...}, "sf": ...}``
+``{"metric": "daily_run_total", "value": sec, "unit": "sec", "queries": {...}, "sf": ...}``
 
 Timed legs:
 * ``csv_ingest``     - scan CSV extracts (written once, untimed), normalise,
                        keep-last by file position, write the raw table;
-* ``pipeline_*``     - raw load from the benchmark tables, expectation suite,
+* ``run_*``          - raw load from the benchmark tables, expectation suite,
                        silver, gold dimensions, gold fact, 27 model tests, volume gate;
 * ``report_*``       - each business report over the written gold tables.
 """
@@ -22,7 +22,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from grievance.operators import reports as R  # noqa: E402
-from grievance.plans.pipeline import load_raw_from_csv, load_raw_from_tables, read_table, run, write_table  # noqa: E402
+from grievance.plans.daily import load_raw_from_csv, load_raw_from_tables, read_table, run, write_table  # noqa: E402
 from grievance.session import build_session, shared_path  # noqa: E402
 from grievance.sources.csv import write_complaints_csv  # noqa: E402
 from grievance.sources.fixture import fixture_complaints, fixture_text  # noqa: E402
@@ -60,7 +60,7 @@ def main() -> None:
 
     # The daily run from the benchmark tables; gates only warn so every leg runs.
     report = run(spark, load_raw_from_tables(spark, sf_dir), f"{out}/tables", suite_gate="warn", tests_gate="warn")
-    q.update({f"pipeline_{k}": v for k, v in report.timings.items()})
+    q.update({f"run_{k}": v for k, v in report.timings.items()})
 
     base = f"{out}/tables"
     fact = read_table(spark, base, "fact_complaints")
@@ -85,7 +85,7 @@ def main() -> None:
 
     total = round(sum(q.values()), 3)
     print(json.dumps({
-        "metric": "pipeline_total",
+        "metric": "daily_run_total",
         "value": total,
         "unit": "sec",
         "queries": q,

@@ -13,7 +13,7 @@ import json
 import sys
 
 from grievance.operators import reports as R
-from grievance.plans.pipeline import load_raw_from_csv, load_raw_from_tables, read_table, run
+from grievance.plans.daily import load_raw_from_csv, load_raw_from_tables, read_table, run
 
 REPORTS = {
     "complaints_by_product": lambda t: R.complaints_by_product(t("fact_complaints"), t("dim_product")),

@@ -139,7 +139,7 @@ def _ordered_extract(spark, sf_dir, extra_column=True):
 @register("csv_ingest", O.text_keep_last_sql())
 def q_csv_ingest(spark, sf_dir):
     """CSV extract -> discovery -> scan -> normalise -> last record per id by file position."""
-    from grievance.plans.pipeline import load_raw_from_csv
+    from grievance.plans.daily import load_raw_from_csv
 
     landing = shared_path(spark, "csv_ingest")
     write_complaints_csv(_ordered_extract(spark, sf_dir), f"{landing}/complaints_extract.csv")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grievance.operators.quality import QualityGateError
-from grievance.plans.pipeline import load_raw_from_csv, load_raw_from_tables, read_table, run
+from grievance.plans.daily import load_raw_from_csv, load_raw_from_tables, read_table, run
 from grievance.sources.csv import write_complaints_csv
 from grievance.sources.fixture import fixture_complaints, fixture_text
 

@@ -10,7 +10,7 @@ from grievance.operators import quality as Q
 from grievance.operators import reports as R
 from grievance.operators.raw import keep_last
 from grievance.operators.staging import stage_complaints
-from grievance.plans.pipeline import load_raw_from_tables, read_table, run
+from grievance.plans.daily import load_raw_from_tables, read_table, run
 
 
 def plan(df, mode="simple"):
