@@ -24,6 +24,31 @@ RECOMMENDED_CONF: dict[str, str] = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster, sized from the bytes the job reads.
+
+    The initial shuffle width gives each reducer about ``target_partition_bytes``
+    of the input.  That is an upper bound: every wide step is an aggregation,
+    a keep-last or a join with a smaller side, and carries only its pruned
+    columns.  The width is capped at 100k, beyond which per-map-task block
+    bookkeeping costs more than it saves.  AQE then coalesces small partitions
+    toward the advisory size and splits skewed join partitions, so reducers
+    neither spill heavily nor sit idle.
+    """
+    parts = min(100_000, max(200, -(-input_bytes // target_partition_bytes)))
+    size = str(target_partition_bytes)
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.parquet.compression.codec": "zstd",
+    }
+
+
 def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
                   app_name: str = "grievance", extra: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench (the UI stays off)."""

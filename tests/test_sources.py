@@ -63,3 +63,11 @@ def test_date_spine_end_exclusive(spark):
     s = date_spine(spark)
     r = s.agg({"date_day": "min"}).first()[0], s.agg({"date_day": "max"}).first()[0], s.count()
     assert r == (dt.date(2011, 1, 1), dt.date(2030, 12, 30), 7304)
+
+
+def test_cluster_conf_sizing():
+    from grievance.session import cluster_conf
+
+    assert cluster_conf(10 * 1024**3)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_conf(1024**4)["spark.sql.shuffle.partitions"] == "4096"
+    assert cluster_conf(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"
