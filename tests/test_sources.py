@@ -71,3 +71,12 @@ def test_cluster_conf_sizing():
     assert cluster_conf(10 * 1024**3)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf(1024**4)["spark.sql.shuffle.partitions"] == "4096"
     assert cluster_conf(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_utf8_bom_header(spark, scratch):
+    path = f"{scratch}/bom/complaints_bom.csv"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8-sig") as fh:
+        fh.write(HEADER + "\n" + _line("7") + "\n")
+    r = normalise(read_complaints_csv(spark, path)).first()
+    assert r.complaint_id == 7 and r.date_received == dt.date(2013, 7, 29)
