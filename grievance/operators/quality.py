@@ -289,6 +289,16 @@ def unique_failures(df: DataFrame, c: str) -> DataFrame:
     )
 
 
+def duplicated_keys(frames: dict[str, DataFrame]) -> DataFrame:
+    """One row per (table, key) whose key value occurs more than once, over several tables."""
+    parts = [
+        df.filter(F.col(k).isNotNull()).groupBy(F.col(k).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > 1).select(F.lit(name).alias("table"), "key", "n")
+        for name, (df, k) in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def relationship_orphans(child: DataFrame, c: str, parent: DataFrame, p: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row (left-anti equi-join)."""
     keys = parent.select(F.col(p).alias("__parent_key"))

@@ -47,3 +47,13 @@ def test_csv_path_matches_table_path(spark, sf_small, scratch):
     raw = load_raw_from_csv(spark, f"{scratch}/landing", pattern="*.csv", select="all")
     assert raw.count() == raw.select("complaint_id").distinct().count()
     assert raw.filter(F.col("product") == "").count() == 0  # blanks became NULL at scan
+
+
+def test_auto_strategy_matches_join(spark, sf_small, scratch):
+    raw = load_raw_from_tables(spark, sf_small)
+    a = run(spark, raw, f"{scratch}/auto", suite_gate="warn", tests_gate="warn")
+    j = run(spark, raw, f"{scratch}/join", suite_gate="warn", tests_gate="warn", fact_strategy="join")
+    assert (a.fact_strategy, j.fact_strategy) == ("derive", "join")
+    fa = read_table(spark, f"{scratch}/auto", "fact_complaints").drop("dbt_loaded_at")
+    fj = read_table(spark, f"{scratch}/join", "fact_complaints").drop("dbt_loaded_at")
+    assert fa.exceptAll(fj).count() == 0 and fj.exceptAll(fa).count() == 0

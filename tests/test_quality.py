@@ -99,3 +99,10 @@ def test_suite_invariant_to_partitioning(spark, sf_small):
     a = Q.run_suite(raw.coalesce(1))
     b = Q.run_suite(raw.repartition(13, "state"))
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_duplicated_keys(spark):
+    a = spark.createDataFrame([("k1",), ("k1",), ("k2",), (None,), (None,)], "sk string")
+    b = spark.createDataFrame([("x",), ("y",)], "sk string")
+    rows = Q.duplicated_keys({"a": (a, "sk"), "b": (b, "sk")}).collect()
+    assert [(r.table, r.key, r.n) for r in rows] == [("a", "k1", 2)]
