@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grievance.functions.expressions import date_key, region, surrogate_key, timeliness_category
+from grievance.operators.quality import duplicated_keys
 from grievance.sources.spine import date_spine
 
 PRODUCT_COLS = ("product", "sub_product", "issue", "sub_issue")
@@ -139,9 +140,21 @@ def fact_complaints(stg: DataFrame, products: DataFrame | None = None, companies
     return _fact_projection(j)
 
 
+def choose_fact_strategy(products: DataFrame, companies: DataFrame, geographies: DataFrame) -> str:
+    """``"derive"`` when every dimension key is unique (join elimination is then
+    exact), else ``"join"``.  One job that reads the dimensions only (never the
+    fact); only a count reaches the driver."""
+    dupes = duplicated_keys({"dim_product": (products, "product_sk"), "dim_company": (companies, "company_sk"),
+                             "dim_geography": (geographies, "geography_sk")})
+    return "join" if dupes.limit(1).count() else "derive"
+
+
 def build_gold(spark: SparkSession, stg: DataFrame, strategy: str = "join") -> dict[str, DataFrame]:
-    """All gold models from one staging frame (lazy; nothing runs here)."""
+    """All gold models from one staging frame.  Lazy, except that
+    ``strategy="auto"`` runs the dimension key check to pick the fact's path."""
     dp, dc, dg = dim_product(stg), dim_company(stg), dim_geography(stg)
+    if strategy == "auto":
+        strategy = choose_fact_strategy(dp, dc, dg)
     return {
         "dim_product": dp,
         "dim_company": dc,

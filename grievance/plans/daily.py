@@ -197,10 +197,8 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
         if strategy == "auto":
             # Join elimination is exact when every dimension key is unique: the
             # dimensions were built from this staging, so each row's key is present
-            # exactly once.  Verified on the (small) dimensions in one job.
-            dupes = Q.duplicated_keys({"dim_product": (dp, "product_sk"), "dim_company": (dc, "company_sk"),
-                                       "dim_geography": (dg, "geography_sk")})
-            strategy = "join" if dupes.limit(1).count() else "derive"
+            # exactly once.  Verified on the written (small) dimensions in one job.
+            strategy = G.choose_fact_strategy(dp, dc, dg)
         report.fact_strategy = strategy
         fact = write_table(G.fact_complaints(stg, dp, dc, dg, strategy=strategy), output, "fact_complaints")
 

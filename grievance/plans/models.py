@@ -28,7 +28,7 @@ def staged_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_complaints(raw_complaints(spark, sf_dir))
 
 
-def gold_models(spark: SparkSession, sf_dir: str, strategy: str = "join", share_staging: bool = True) -> dict[str, DataFrame]:
+def gold_models(spark: SparkSession, sf_dir: str, strategy: str = "auto", share_staging: bool = True) -> dict[str, DataFrame]:
     stg = staged_complaints(spark, sf_dir)
     if share_staging:
         stg = materialize(stg)
