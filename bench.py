@@ -59,7 +59,8 @@ def main() -> None:
     )
 
     # The daily run from the benchmark tables; gates only warn so every leg runs.
-    report = run(spark, load_raw_from_tables(spark, sf_dir), f"{out}/tables", suite_gate="warn", tests_gate="warn")
+    report = run(spark, load_raw_from_tables(spark, sf_dir), f"{out}/tables",
+                 length_gate="warn", suite_gate="warn", tests_gate="warn")
     q.update({f"run_{k}": v for k, v in report.timings.items()})
 
     base = f"{out}/tables"

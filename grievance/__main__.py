@@ -77,10 +77,11 @@ def main(argv: list[str] | None = None) -> int:
             from grievance.session import materialize
 
             existing = materialize(read_table(spark, a.output, "consumer_complaints"))
-        rep_ = run(spark, raw, a.output, existing_raw=existing, suite_gate=a.gate, tests_gate=a.gate,
+        rep_ = run(spark, raw, a.output, existing_raw=existing, length_gate=a.gate, suite_gate=a.gate, tests_gate=a.gate,
                    results_path=a.results, register=a.register)
         print(json.dumps({"run_name": rep_.run_name, "timings": rep_.timings, "load": rep_.load_metrics,
                           "fact_rows": rep_.fact_rows, "volume": rep_.volume_status,
+                          "length_violations": len(rep_.length_violations),
                           "expectations_failed": len(rep_.suite_failed), "tests_failed": len(rep_.tests_failed),
                           "tests_warned": len(rep_.tests_warned)}, default=str))
     elif a.cmd == "ingest":

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from grievance.operators import gold as G
 from grievance.operators import quality as Q
-from grievance.operators.raw import keep_last, merge_upsert, normalise
+from grievance.operators.raw import keep_last, merge_upsert, normalise, varchar_overflow
 from grievance.operators.staging import stage_complaints
 from grievance.sources.csv import FILE_ORDER, scan_complaints
 from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints
@@ -93,6 +93,7 @@ class RunReport:
     timings: dict[str, float] = field(default_factory=dict)
     raw_rows: int | None = None
     fact_rows: int | None = None
+    length_violations: list[dict] = field(default_factory=list)
     suite_failed: list[dict] = field(default_factory=list)
     tests_failed: list[dict] = field(default_factory=list)
     tests_warned: list[dict] = field(default_factory=list)
@@ -146,15 +147,17 @@ def load_raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataFrame | None = None,
-        suite_gate: str = "raise", tests_gate: str = "raise", fact_strategy: str = "auto",
+        suite_gate: str = "raise", tests_gate: str = "raise", length_gate: str = "raise", fact_strategy: str = "auto",
         results_path: str | None = None, run_name: str | None = None, register: bool = False) -> RunReport:
     """Build every layer under ``output`` and check it.
 
     ``raw`` is the incoming load (one row per complaint id).  With
     ``existing_raw`` the load is an upsert (incoming rows win), otherwise a
-    full refresh.  ``suite_gate`` / ``tests_gate``: ``"raise"`` stops the run
-    on a failed expectation / error-severity test (as the daily schedule
-    does), ``"warn"`` records and continues.  ``fact_strategy``: ``"join"``
+    full refresh.  ``length_gate`` / ``suite_gate`` / ``tests_gate``:
+    ``"raise"`` stops the run on a value longer than its declared VARCHAR
+    length (the raw table would reject it) / a failed expectation / an
+    error-severity test, as the daily schedule does; ``"warn"`` records and
+    continues.  ``fact_strategy``: ``"join"``
     (dimension lookups), ``"derive"`` (join elimination) or ``"auto"``
     (derive when the written dimensions have unique keys, else join).
     """
@@ -168,6 +171,12 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
         incoming = merge_upsert(existing_raw, stamped) if existing_raw is not None else stamped
         raw_t = write_table(incoming, output, "consumer_complaints")
 
+    with clock("lengths"):
+        # One aggregate pass; one row per declared VARCHAR column.
+        report.length_violations = [r.asDict() for r in varchar_overflow(raw_t).filter("violations > 0").collect()]
+    if report.length_violations and length_gate == "raise":
+        raise Q.QualityGateError(f"values longer than their declared length: {report.length_violations}")
+
     with clock("expectations"):
         suite = Q.run_suite(raw_t)
         if results_path:

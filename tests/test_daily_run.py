@@ -10,7 +10,7 @@ from grievance.sources.fixture import fixture_complaints, fixture_text
 
 
 def test_run_from_tables(spark, sf_small, scratch):
-    report = run(spark, load_raw_from_tables(spark, sf_small), scratch, suite_gate="warn", tests_gate="warn",
+    report = run(spark, load_raw_from_tables(spark, sf_small), scratch, length_gate="warn", suite_gate="warn", tests_gate="warn",
                  results_path=f"{scratch}/results", register=True)
     assert report.raw_rows == 4599 and report.fact_rows == 4380
     assert report.volume_status == "warn"  # fewer than 100,000 rows
@@ -24,18 +24,24 @@ def test_run_from_tables(spark, sf_small, scratch):
     assert "loaded_at" in spark.table("raw.consumer_complaints").columns
     assert spark.read.parquet(f"{scratch}/results/expectations").count() == 14
     assert report.load_metrics["records"] == 4599
+    assert [r["column_name"] for r in report.length_violations] == ["state"]  # ' tx ' is longer than VARCHAR(2)
 
 
-def test_gate_raises(spark, sf_small, scratch):
-    with pytest.raises(QualityGateError):
-        run(spark, load_raw_from_tables(spark, sf_small), scratch)
+def test_gates_raise(spark, sf_small, scratch):
+    raw = load_raw_from_tables(spark, sf_small)
+    with pytest.raises(QualityGateError, match="declared length"):
+        run(spark, raw, f"{scratch}/a")
+    with pytest.raises(QualityGateError, match="expectation suite"):
+        run(spark, raw, f"{scratch}/b", length_gate="warn")
+    with pytest.raises(QualityGateError, match="model tests"):
+        run(spark, raw, f"{scratch}/c", length_gate="warn", suite_gate="warn")
 
 
 def test_upsert_rerun_is_idempotent(spark, sf_small, scratch):
     raw = load_raw_from_tables(spark, sf_small)
-    run(spark, raw, f"{scratch}/a", suite_gate="warn", tests_gate="warn")
+    run(spark, raw, f"{scratch}/a", length_gate="warn", suite_gate="warn", tests_gate="warn")
     existing = read_table(spark, f"{scratch}/a", "consumer_complaints")
-    run(spark, raw, f"{scratch}/b", existing_raw=existing, suite_gate="warn", tests_gate="warn")
+    run(spark, raw, f"{scratch}/b", existing_raw=existing, length_gate="warn", suite_gate="warn", tests_gate="warn")
     once = read_table(spark, f"{scratch}/a", "fact_complaints").drop("dbt_loaded_at")
     twice = read_table(spark, f"{scratch}/b", "fact_complaints").drop("dbt_loaded_at")
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
@@ -51,8 +57,8 @@ def test_csv_path_matches_table_path(spark, sf_small, scratch):
 
 def test_auto_strategy_matches_join(spark, sf_small, scratch):
     raw = load_raw_from_tables(spark, sf_small)
-    a = run(spark, raw, f"{scratch}/auto", suite_gate="warn", tests_gate="warn")
-    j = run(spark, raw, f"{scratch}/join", suite_gate="warn", tests_gate="warn", fact_strategy="join")
+    a = run(spark, raw, f"{scratch}/auto", length_gate="warn", suite_gate="warn", tests_gate="warn")
+    j = run(spark, raw, f"{scratch}/join", length_gate="warn", suite_gate="warn", tests_gate="warn", fact_strategy="join")
     assert (a.fact_strategy, j.fact_strategy) == ("derive", "join")
     fa = read_table(spark, f"{scratch}/auto", "fact_complaints").drop("dbt_loaded_at")
     fj = read_table(spark, f"{scratch}/join", "fact_complaints").drop("dbt_loaded_at")

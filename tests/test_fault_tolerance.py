@@ -40,7 +40,7 @@ SCRIPT = textwrap.dedent(
 
     raw = load_raw_from_tables(spark, {sf!r}).filter(lose_first_attempt(F.col("complaint_id")))
     out = tempfile.mkdtemp(prefix="grievance-ft-")
-    rep = run(spark, raw, out, suite_gate="warn", tests_gate="warn")
+    rep = run(spark, raw, out, length_gate="warn", suite_gate="warn", tests_gate="warn")
     raw_t = read_table(spark, out, "consumer_complaints")
     ids = raw_t.select("complaint_id").distinct().count()
     import os

@@ -25,7 +25,7 @@ def warehouse(spark, sf_small):
     from grievance.session import shared_path
 
     out = shared_path(spark, "plans")
-    run(spark, load_raw_from_tables(spark, sf_small), out, suite_gate="warn", tests_gate="warn")
+    run(spark, load_raw_from_tables(spark, sf_small), out, length_gate="warn", suite_gate="warn", tests_gate="warn")
     return out
 
 
