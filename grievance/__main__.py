@@ -1,9 +1,17 @@
 """Command line: ``python -m grievance <command> ...``.
 
 Commands
-  run      scan CSV extracts (or derive them from benchmark tables), build every layer, check, gate
-  ingest   pick up newly landed extracts into the bronze table (incremental, exactly once per file)
-  report   print one business report from a built warehouse
+  run        the whole daily run: load, check-raw, build, test, gate (stops on an error-severity failure)
+  load       scan CSV extracts (or derive them from benchmark tables) into the raw table
+  check-raw  declared VARCHAR lengths and the 14 expectations on the raw table
+  build      silver staging, gold dimensions and gold fact from the raw table
+  test       the 27 model tests on the built tables
+  gate       fact row count against the floor (warn only)
+  ingest     pick up newly landed extracts into the bronze table (incremental, exactly once per file)
+  report     print one business report from a built warehouse
+
+Every step reads what the previous one wrote under ``--output``, so steps can
+be scheduled as separate tasks.  Failing checks exit with status 1.
 """
 
 from __future__ import annotations
@@ -13,6 +21,7 @@ import json
 import sys
 
 from grievance.operators import reports as R
+from grievance.plans import daily as D
 from grievance.plans.daily import load_raw_from_csv, load_raw_from_tables, read_table, run
 
 REPORTS = {
@@ -37,22 +46,53 @@ def _session():
     return SparkSession.builder.appName("grievance").getOrCreate()
 
 
+def _source_args(parser: argparse.ArgumentParser) -> None:
+    src = parser.add_mutually_exclusive_group(required=True)
+    src.add_argument("--csv", help="folder searched recursively for extracts")
+    src.add_argument("--tables", help="folder of benchmark Parquet tables")
+    parser.add_argument("--pattern", default="*complaints*.csv")
+    parser.add_argument("--all-files", action="store_true", help="load every matching file, not only the first")
+    parser.add_argument("--upsert", action="store_true", help="merge into the existing raw table instead of replacing it")
+
+
+def _incoming(spark, a):
+    raw = (load_raw_from_csv(spark, a.csv, a.pattern, select="all" if a.all_files else "first")
+           if a.csv else load_raw_from_tables(spark, a.tables))
+    existing = None
+    if a.upsert:
+        # Copy the current raw table into the shared folder first: the load rewrites that path.
+        from grievance.session import materialize
+
+        existing = materialize(read_table(spark, a.output, "consumer_complaints"))
+    return raw, existing
+
+
+def _print(obj) -> None:
+    print(json.dumps(obj, default=str))
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="grievance")
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    r = sub.add_parser("run", help="daily run")
-    src = r.add_mutually_exclusive_group(required=True)
-    src.add_argument("--csv", help="folder searched recursively for extracts")
-    src.add_argument("--tables", help="folder of benchmark Parquet tables")
-    r.add_argument("--pattern", default="*complaints*.csv")
-    r.add_argument("--all-files", action="store_true", help="load every matching file, not only the first")
-    r.add_argument("--output", required=True)
-    r.add_argument("--results", help="folder for check results")
-    r.add_argument("--upsert", action="store_true", help="merge into the existing raw table instead of replacing it")
+    r = sub.add_parser("run", help="the whole daily run")
+    _source_args(r)
     r.add_argument("--gate", choices=("raise", "warn"), default="raise")
     r.add_argument("--register", action="store_true", help="register raw/silver/gold tables in the catalog")
 
+    ld = sub.add_parser("load", help="load extracts into the raw table")
+    _source_args(ld)
+    sub.add_parser("check-raw", help="lengths and expectations on the raw table")
+    b = sub.add_parser("build", help="silver and gold from the raw table")
+    b.add_argument("--fact-strategy", choices=("auto", "join", "derive"), default="auto")
+    sub.add_parser("test", help="model tests")
+    sub.add_parser("gate", help="fact volume gate")
+    for name in ("run", "load", "check-raw", "build", "test", "gate"):
+        sp = sub.choices[name]
+        sp.add_argument("--output", required=True)
+        if name in ("run", "check-raw", "test"):
+            sp.add_argument("--results", help="folder for check results")
+
     i = sub.add_parser("ingest", help="incremental landing-folder ingestion")
     i.add_argument("--landing", required=True)
     i.add_argument("--bronze", required=True)
@@ -67,23 +107,30 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     spark = _session()
     if a.cmd == "run":
-        if a.csv:
-            raw = load_raw_from_csv(spark, a.csv, a.pattern, select="all" if a.all_files else "first")
-        else:
-            raw = load_raw_from_tables(spark, a.tables)
-        existing = None
-        if a.upsert:
-            # Read the current raw table into the shared folder first: the run rewrites that path.
-            from grievance.session import materialize
-
-            existing = materialize(read_table(spark, a.output, "consumer_complaints"))
+        raw, existing = _incoming(spark, a)
         rep_ = run(spark, raw, a.output, existing_raw=existing, length_gate=a.gate, suite_gate=a.gate, tests_gate=a.gate,
                    results_path=a.results, register=a.register)
-        print(json.dumps({"run_name": rep_.run_name, "timings": rep_.timings, "load": rep_.load_metrics,
-                          "fact_rows": rep_.fact_rows, "volume": rep_.volume_status,
-                          "length_violations": len(rep_.length_violations),
-                          "expectations_failed": len(rep_.suite_failed), "tests_failed": len(rep_.tests_failed),
-                          "tests_warned": len(rep_.tests_warned)}, default=str))
+        _print({"run_name": rep_.run_name, "timings": rep_.timings, "load": rep_.load_metrics,
+                "fact_rows": rep_.fact_rows, "volume": rep_.volume_status, "fact_strategy": rep_.fact_strategy,
+                "length_violations": len(rep_.length_violations), "expectations_failed": len(rep_.suite_failed),
+                "tests_failed": len(rep_.tests_failed), "tests_warned": len(rep_.tests_warned)})
+    elif a.cmd == "load":
+        raw, existing = _incoming(spark, a)
+        D.load_step(raw, a.output, existing)
+        _print({"loaded": a.output})
+    elif a.cmd == "check-raw":
+        lengths, rows = D.check_raw_step(spark, a.output, a.results)
+        failed = [r for r in rows if not r["success"]]
+        _print({"length_violations": lengths, "expectations_failed": failed})
+        return 1 if lengths or failed else 0
+    elif a.cmd == "build":
+        _print({"fact_strategy": D.build_step(spark, a.output, a.fact_strategy)})
+    elif a.cmd == "test":
+        rows = D.test_step(spark, a.output, a.results)
+        _print({"not_passed": rows})
+        return 1 if any(r["status"] == "fail" for r in rows) else 0
+    elif a.cmd == "gate":
+        _print(D.volume_step(spark, a.output))
     elif a.cmd == "ingest":
         from grievance.streaming import ingest_available
 

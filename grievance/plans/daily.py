@@ -146,10 +146,88 @@ def load_raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_last(fixture_complaints(spark, sf_dir), "complaint_id", FIXTURE_ORDER)
 
 
+# --------------------------------------------------------------------- steps
+# Each step reads what the previous one wrote under ``output``, so every step
+# can also run on its own (as separate scheduled tasks would).
+
+
+def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None) -> DataFrame:
+    """Write the raw table: full refresh, or an upsert into ``existing_raw``
+    (incoming rows win; untouched rows keep their load stamp)."""
+    stamped = raw.withColumn("loaded_at", F.current_timestamp())
+    incoming = merge_upsert(existing_raw, stamped) if existing_raw is not None else stamped
+    return write_table(incoming, output, "consumer_complaints")
+
+
+def check_raw_step(spark: SparkSession, output: str, results_path: str | None = None,
+                   run_name: str | None = None) -> tuple[list[dict], list[dict]]:
+    """Declared VARCHAR lengths and the expectation suite on the raw table.
+
+    The two read the table independently, so both jobs are submitted
+    together.  Returns (length violations, one row per expectation).
+    """
+    raw_t = read_table(spark, output, "consumer_complaints")
+    suite = Q.run_suite(raw_t)
+    if results_path:
+        suite = _stored(spark, suite, f"{results_path}/expectations", run_name or _run_name())
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        lengths = pool.submit(lambda: [r.asDict() for r in varchar_overflow(raw_t).filter("violations > 0").collect()])
+        rows = pool.submit(lambda: [r.asDict() for r in suite.collect()])
+        return lengths.result(), rows.result()
+
+
+def build_step(spark: SparkSession, output: str, fact_strategy: str = "auto",
+               timings: dict[str, float] | None = None) -> str:
+    """raw -> silver staging -> gold dimensions -> gold fact.  Returns the fact path used."""
+    timings = {} if timings is None else timings
+    t = time.perf_counter()
+    stg = write_table(stage_complaints(read_table(spark, output, "consumer_complaints")), output, "stg_complaints")
+    timings["silver"] = round(time.perf_counter() - t, 3)
+
+    t = time.perf_counter()
+    # Independent jobs: submit them together so small dimensions share the cluster.
+    builds = {"dim_product": G.dim_product(stg), "dim_company": G.dim_company(stg),
+              "dim_geography": G.dim_geography(stg), "dim_date": G.dim_date(spark)}
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        futures = {n: pool.submit(write_table, df, output, n) for n, df in builds.items()}
+        dp, dc, dg, _ = (futures[n].result() for n in builds)
+    timings["gold_dims"] = round(time.perf_counter() - t, 3)
+
+    t = time.perf_counter()
+    strategy = fact_strategy
+    if strategy == "auto":
+        # Join elimination is exact when every dimension key is unique: the
+        # dimensions were built from this staging, so each row's key is present
+        # exactly once.  Verified on the written (small) dimensions in one job.
+        strategy = G.choose_fact_strategy(dp, dc, dg)
+    write_table(G.fact_complaints(stg, dp, dc, dg, strategy=strategy), output, "fact_complaints")
+    timings["gold_fact"] = round(time.perf_counter() - t, 3)
+    return strategy
+
+
+def test_step(spark: SparkSession, output: str, results_path: str | None = None,
+              run_name: str | None = None) -> list[dict]:
+    """The 27 model tests over the written tables; returns the rows that did not pass."""
+    names = ("consumer_complaints", "dim_product", "dim_company", "dim_geography", "dim_date", "fact_complaints")
+    tests = Q.run_tests({n: read_table(spark, output, n) for n in names})
+    if results_path:
+        tests = _stored(spark, tests, f"{results_path}/tests", run_name or _run_name())
+    return [r.asDict() for r in tests.filter(F.col("status") != "pass").collect()]
+
+
+def volume_step(spark: SparkSession, output: str) -> dict:
+    """Row count of the fact against the floor (warn only)."""
+    return Q.volume_gate(read_table(spark, output, "fact_complaints")).first().asDict()
+
+
+def _run_name() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime(RUN_NAME_FORMAT)
+
+
 def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataFrame | None = None,
         suite_gate: str = "raise", tests_gate: str = "raise", length_gate: str = "raise", fact_strategy: str = "auto",
         results_path: str | None = None, run_name: str | None = None, register: bool = False) -> RunReport:
-    """Build every layer under ``output`` and check it.
+    """The whole daily run: load, check raw, build, test, volume gate.
 
     ``raw`` is the incoming load (one row per complaint id).  With
     ``existing_raw`` the load is an upsert (incoming rows win), otherwise a
@@ -157,30 +235,19 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     ``"raise"`` stops the run on a value longer than its declared VARCHAR
     length (the raw table would reject it) / a failed expectation / an
     error-severity test, as the daily schedule does; ``"warn"`` records and
-    continues.  ``fact_strategy``: ``"join"``
-    (dimension lookups), ``"derive"`` (join elimination) or ``"auto"``
-    (derive when the written dimensions have unique keys, else join).
+    continues.  ``fact_strategy``: ``"join"`` (dimension lookups),
+    ``"derive"`` (join elimination) or ``"auto"`` (derive when the written
+    dimensions have unique keys, else join).
     """
-    run_name = run_name or dt.datetime.now(dt.timezone.utc).strftime(RUN_NAME_FORMAT)
+    run_name = run_name or _run_name()
     report = RunReport(run_name)
     clock = _Clock(report)
 
     with clock("raw"):
-        # Upserted rows get a fresh load stamp; untouched existing rows keep theirs.
-        stamped = raw.withColumn("loaded_at", F.current_timestamp())
-        incoming = merge_upsert(existing_raw, stamped) if existing_raw is not None else stamped
-        raw_t = write_table(incoming, output, "consumer_complaints")
+        load_step(raw, output, existing_raw)
 
     with clock("raw_checks"):
-        # Declared lengths and the expectation suite read the same table
-        # independently: submit both jobs together.  Each yields one row per check.
-        suite = Q.run_suite(raw_t)
-        if results_path:
-            suite = _stored(spark, suite, f"{results_path}/expectations", run_name)
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            lengths_f = pool.submit(lambda: [r.asDict() for r in varchar_overflow(raw_t).filter("violations > 0").collect()])
-            suite_f = pool.submit(lambda: [r.asDict() for r in suite.collect()])
-            report.length_violations, rows = lengths_f.result(), suite_f.result()
+        report.length_violations, rows = check_raw_step(spark, output, results_path, run_name)
         report.suite_failed = [r for r in rows if not r["success"]]
         report.raw_rows = next(
             (r["observed_value"] for r in rows if r["expectation_type"].endswith("row_count_to_be_between")), None
@@ -190,42 +257,18 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     if report.suite_failed and suite_gate == "raise":
         raise Q.QualityGateError(f"expectation suite failed: {report.suite_failed}")
 
-    with clock("silver"):
-        stg = write_table(stage_complaints(raw_t), output, "stg_complaints")
-
-    with clock("gold_dims"):
-        # Independent jobs: submit them together so small dimensions share the cluster.
-        builds = {"dim_product": G.dim_product(stg), "dim_company": G.dim_company(stg),
-                  "dim_geography": G.dim_geography(stg), "dim_date": G.dim_date(spark)}
-        with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-            futures = {n: pool.submit(write_table, df, output, n) for n, df in builds.items()}
-            dp, dc, dg, dd = (futures[n].result() for n in builds)
-
-    with clock("gold_fact"):
-        strategy = fact_strategy
-        if strategy == "auto":
-            # Join elimination is exact when every dimension key is unique: the
-            # dimensions were built from this staging, so each row's key is present
-            # exactly once.  Verified on the written (small) dimensions in one job.
-            strategy = G.choose_fact_strategy(dp, dc, dg)
-        report.fact_strategy = strategy
-        fact = write_table(G.fact_complaints(stg, dp, dc, dg, strategy=strategy), output, "fact_complaints")
+    report.fact_strategy = build_step(spark, output, fact_strategy, report.timings)
 
     with clock("tests"):
-        models = {"consumer_complaints": raw_t, "dim_product": dp, "dim_company": dc,
-                  "dim_geography": dg, "dim_date": dd, "fact_complaints": fact}
-        tests = Q.run_tests(models)
-        if results_path:
-            tests = _stored(spark, tests, f"{results_path}/tests", run_name)
-        rows = [r.asDict() for r in tests.filter(F.col("status") != "pass").collect()]
+        rows = test_step(spark, output, results_path, run_name)
         report.tests_failed = [r for r in rows if r["status"] == "fail"]
         report.tests_warned = [r for r in rows if r["status"] == "warn"]
     if report.tests_failed and tests_gate == "raise":
         raise Q.QualityGateError(f"model tests failed: {report.tests_failed}")
 
     with clock("volume_gate"):
-        gate = Q.volume_gate(fact).first()
-        report.fact_rows, report.volume_status = gate.n_rows, gate.status
+        gate = volume_step(spark, output)
+        report.fact_rows, report.volume_status = gate["n_rows"], gate["status"]
     if register:
         register_catalog(spark, output)
     return report
