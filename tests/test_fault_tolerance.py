@@ -18,7 +18,7 @@ SCRIPT = textwrap.dedent(
     sys.path.insert(0, {repo!r})
     from pyspark import TaskContext
     from pyspark.sql import SparkSession, functions as F
-    from grievance.session import RECOMMENDED_CONF
+    from grievance.session import RECOMMENDED_CONF, shared_path
     from grievance.plans.daily import load_raw_from_tables, run, read_table
 
     b = SparkSession.builder.master("local[4,4]").config("spark.ui.enabled", "false")
@@ -39,7 +39,7 @@ SCRIPT = textwrap.dedent(
         return True
 
     raw = load_raw_from_tables(spark, {sf!r}).filter(lose_first_attempt(F.col("complaint_id")))
-    out = tempfile.mkdtemp(prefix="grievance-ft-")
+    out = shared_path(spark, "fault-tolerance")
     rep = run(spark, raw, out, length_gate="warn", suite_gate="warn", tests_gate="warn")
     raw_t = read_table(spark, out, "consumer_complaints")
     ids = raw_t.select("complaint_id").distinct().count()
