@@ -52,11 +52,14 @@ def _source_args(parser: argparse.ArgumentParser) -> None:
     src.add_argument("--tables", help="folder of benchmark Parquet tables")
     parser.add_argument("--pattern", default="*complaints*.csv")
     parser.add_argument("--all-files", action="store_true", help="load every matching file, not only the first")
+    parser.add_argument("--single-line", action="store_true",
+                        help="extracts have no quoted line breaks: read each file in parallel splits")
     parser.add_argument("--upsert", action="store_true", help="merge into the existing raw table instead of replacing it")
 
 
 def _incoming(spark, a):
-    raw = (load_raw_from_csv(spark, a.csv, a.pattern, select="all" if a.all_files else "first")
+    raw = (load_raw_from_csv(spark, a.csv, a.pattern, select="all" if a.all_files else "first",
+                             multi_line=not a.single_line)
            if a.csv else load_raw_from_tables(spark, a.tables))
     existing = None
     if a.upsert:

@@ -135,9 +135,9 @@ def _stored(spark: SparkSession, results: DataFrame, path: str, run_name: str) -
 
 
 def load_raw_from_csv(spark: SparkSession, base_path: str, pattern: str = "*complaints*.csv",
-                      select: str = "first") -> DataFrame:
+                      select: str = "first", multi_line: bool = True) -> DataFrame:
     """Scan and normalise CSV extracts; keep the last record per complaint id by file position."""
-    scanned = scan_complaints(spark, base_path, pattern, select=select)
+    scanned = scan_complaints(spark, base_path, pattern, select=select, multi_line=multi_line)
     return keep_last(normalise(scanned, keep=FILE_ORDER), "complaint_id", FILE_ORDER)
 
 

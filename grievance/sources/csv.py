@@ -11,13 +11,15 @@ DEFAULT_PATTERN = "*complaints*.csv"
 FILE_ORDER = ("_src_file", "_src_block", "_src_row")
 
 
-def _reader(spark: SparkSession):
+def _reader(spark: SparkSession, multi_line: bool = True):
     # RFC-4180: quoted fields may hold line breaks and doubled quotes.  Every
     # field stays text; typing happens in the normaliser.  multiLine files are
     # not splittable, so each file is one task: many files give parallelism.
+    # ``multi_line=False`` reads each file in byte-range splits (for extracts
+    # known to have no quoted line breaks), so one huge file is many tasks.
     return (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("inferSchema", False)
@@ -47,9 +49,15 @@ def discover_complaint_files(spark: SparkSession, base_path: str, pattern: str =
     return sorted(files)
 
 
-def read_complaints_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Scan CSV text with its header names, tagging each row with its file position."""
-    df = _reader(spark).csv(paths)
+def read_complaints_csv(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
+    """Scan CSV text with its header names, tagging each row with its file position.
+
+    The position is (file, start of the split within the file, row within the
+    split): rows of one split arrive in file order, and splits of a file are
+    ordered by their start, so the tuple orders rows as they appear in the file
+    whether or not files are split.
+    """
+    df = _reader(spark, multi_line).csv(paths)
     return df.select(
         "*",
         F.col("_metadata.file_path").alias("_src_file"),
@@ -59,10 +67,10 @@ def read_complaints_csv(spark: SparkSession, paths: str | list[str]) -> DataFram
 
 
 def scan_complaints(spark: SparkSession, base_path: str, pattern: str = DEFAULT_PATTERN,
-                    select: str = "first") -> DataFrame:
+                    select: str = "first", multi_line: bool = True) -> DataFrame:
     """Discover then scan: the first matching file (default) or all of them."""
     files = discover_complaint_files(spark, base_path, pattern)
-    return read_complaints_csv(spark, files[:1] if select == "first" else files)
+    return read_complaints_csv(spark, files[:1] if select == "first" else files, multi_line)
 
 
 def write_complaints_csv(df: DataFrame, path: str) -> None:

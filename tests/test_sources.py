@@ -80,3 +80,25 @@ def test_utf8_bom_header(spark, scratch):
         fh.write(HEADER + "\n" + _line("7") + "\n")
     r = normalise(read_complaints_csv(spark, path)).first()
     assert r.complaint_id == 7 and r.date_received == dt.date(2013, 7, 29)
+
+
+def test_single_line_splits_keep_file_order(spark, scratch):
+    from grievance.operators.raw import keep_last
+    from grievance.sources.csv import FILE_ORDER
+
+    path = f"{scratch}/big/complaints_big.csv"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("complaint_id,product\n")
+        for i in range(20000):
+            fh.write(f"{i % 100},p{i}\n")
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")  # many splits of one file
+        scanned = read_complaints_csv(spark, path, multi_line=False)
+        assert scanned.rdd.getNumPartitions() > 4
+        last = keep_last(normalise(scanned, keep=FILE_ORDER), "complaint_id", FILE_ORDER)
+        got = {r.complaint_id: r.product for r in last.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+    assert got == {k: f"p{19900 + k}" for k in range(100)}
