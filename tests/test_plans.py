@@ -69,3 +69,9 @@ def test_top_companies_is_a_topk(spark, warehouse):
     p = plan(R.complaints_by_company(read_table(spark, warehouse, "fact_complaints"),
                                       read_table(spark, warehouse, "dim_company")))
     assert "TakeOrderedAndProject" in p
+
+
+def test_join_elimination_has_no_join_or_shuffle(spark, warehouse):
+    stg = read_table(spark, warehouse, "stg_complaints")
+    p = plan(G.fact_complaints(stg, strategy="derive"))
+    assert "Join" not in p and "Exchange" not in p
