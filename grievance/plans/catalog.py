@@ -21,7 +21,7 @@ from grievance.operators.staging import STAGING_COLUMNS, required_fields, stage_
 from grievance.plans import oracle as O
 from grievance.plans.models import gold_models, raw_complaints, staged_complaints
 from grievance.schemas import ACCEPTED_SUBMITTED_VIA
-from grievance.session import materialize, shared_path
+from grievance.session import materialize, parallelism, shared_path
 from grievance.sources.csv import read_complaints_csv, write_complaints_csv
 from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture_text
 
@@ -131,7 +131,7 @@ def _ordered_extract(spark, sf_dir, extra_column=True):
     fixture's last record and the load can be checked against SQL.
     """
     f = fixture_complaints(spark, sf_dir)
-    n = spark.sparkContext.defaultParallelism
+    n = parallelism(spark)
     ordered = f.repartitionByRange(n, "complaint_id").sortWithinPartitions("complaint_id", *FIXTURE_ORDER)
     return fixture_text(ordered, extra_column=extra_column)
 

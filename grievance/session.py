@@ -68,6 +68,14 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; ``None`` for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions expose no SparkContext
+        return None
+
+
 def shared_base(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -75,20 +83,29 @@ def shared_base(spark: SparkSession) -> str:
     folder; a cluster session without it is a configuration error, because a
     machine-local folder is invisible to other executors.
     """
+    sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        master = spark.sparkContext.master
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="grievance-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Default task parallelism (the shuffle width when no SparkContext is exposed)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared base for one write."""
     return f"{shared_base(spark)}/grievance/{name}-{uuid.uuid4().hex}"
