@@ -1 +1 @@
-from grievance.streaming.landing import current_raw, ingest_available, landing_stream  # noqa: F401
+from grievance.streaming.landing import current_raw, ingest_available, landing_stream, new_raw_since  # noqa: F401

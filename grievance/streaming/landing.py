@@ -79,3 +79,15 @@ def current_raw(spark: SparkSession, bronze_path: str) -> DataFrame:
     """The raw complaint table: last record per id over everything ingested so far."""
     bronze = spark.read.parquet(bronze_path)
     return keep_last(bronze, "complaint_id", BRONZE_ORDER).select(*RAW_COLUMNS)
+
+
+def new_raw_since(spark: SparkSession, bronze_path: str, after_batch: int) -> DataFrame:
+    """Last record per id among micro-batches after ``after_batch`` only.
+
+    ``batch_id`` is a partition column of bronze, so the filter prunes whole
+    folders: the work grows with the newly ingested data, not the history.
+    Upsert the result into the current raw table with the daily run
+    (``run(spark, new_raw_since(...), output, existing_raw=<current raw>)``).
+    """
+    bronze = spark.read.parquet(bronze_path).filter(F.col("batch_id") > F.lit(after_batch))
+    return keep_last(bronze, "complaint_id", BRONZE_ORDER).select(*RAW_COLUMNS)
