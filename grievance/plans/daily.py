@@ -22,6 +22,7 @@ from grievance.operators import gold as G
 from grievance.operators import quality as Q
 from grievance.operators.raw import keep_last, merge_upsert, normalise, varchar_overflow
 from grievance.operators.staging import stage_complaints
+from grievance.session import shared_path
 from grievance.sources.csv import FILE_ORDER, scan_complaints
 from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints
 
@@ -153,9 +154,20 @@ def load_raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None) -> DataFrame:
     """Write the raw table: full refresh, or an upsert into ``existing_raw``
-    (incoming rows win; untouched rows keep their load stamp)."""
+    (incoming rows win; untouched rows keep their load stamp).
+
+    For an upsert the increment is written to the shared folder first, so the
+    planner knows its real size: a daily increment is then broadcast into the
+    anti-join and the (large) existing table is only scanned, never shuffled.
+    A large increment gets a sort-merge join instead.
+    """
     stamped = raw.withColumn("loaded_at", F.current_timestamp())
-    incoming = merge_upsert(existing_raw, stamped) if existing_raw is not None else stamped
+    if existing_raw is None:
+        return write_table(stamped, output, "consumer_complaints")
+    spark = raw.sparkSession
+    inc_path = shared_path(spark, "raw-increment")
+    stamped.write.parquet(inc_path)
+    incoming = merge_upsert(existing_raw, spark.read.parquet(inc_path))
     return write_table(incoming, output, "consumer_complaints")
 
 

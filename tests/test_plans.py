@@ -75,3 +75,16 @@ def test_join_elimination_has_no_join_or_shuffle(spark, warehouse):
     stg = read_table(spark, warehouse, "stg_complaints")
     p = plan(G.fact_complaints(stg, strategy="derive"))
     assert "Join" not in p and "Exchange" not in p
+
+
+def test_upsert_broadcasts_a_measured_increment(spark, warehouse):
+    """A small written increment is broadcast: the existing table is scanned, not shuffled."""
+    from grievance.operators.raw import merge_upsert
+    from grievance.session import shared_path
+
+    existing = read_table(spark, warehouse, "consumer_complaints")
+    inc_path = shared_path(spark, "increment")
+    existing.limit(50).write.parquet(inc_path)
+    p = plan(merge_upsert(existing, spark.read.parquet(inc_path)))
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p and "SortMergeJoin" not in p
+    assert "Exchange hashpartitioning" not in p
