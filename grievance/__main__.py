@@ -95,6 +95,11 @@ def main(argv: list[str] | None = None) -> int:
         sp.add_argument("--output", required=True)
         if name in ("run", "check-raw", "test"):
             sp.add_argument("--results", help="folder for check results")
+        if name in ("run", "check-raw"):
+            sp.add_argument("--suite", help="expectation-suite JSON to use instead of the built-in suite")
+        if name in ("run", "test"):
+            sp.add_argument("--schema", action="append",
+                            help="schema.yml with column tests to use instead of the built-in ones (repeatable)")
 
     i = sub.add_parser("ingest", help="incremental landing-folder ingestion")
     i.add_argument("--landing", required=True)
@@ -108,11 +113,17 @@ def main(argv: list[str] | None = None) -> int:
     rep.add_argument("--rows", type=int, default=50)
 
     a = p.parse_args(argv)
+    from grievance.operators import quality as Q
+    from grievance.sources.checks import model_tests_from_yml, suite_from_json
+
+    suite = suite_from_json(a.suite) if getattr(a, "suite", None) else Q.RAW_SUITE
+    tests = (tuple(t for f in a.schema for t in model_tests_from_yml(f))
+             if getattr(a, "schema", None) else Q.MODEL_TESTS)
     spark = _session()
     if a.cmd == "run":
         raw, existing = _incoming(spark, a)
         rep_ = run(spark, raw, a.output, existing_raw=existing, length_gate=a.gate, suite_gate=a.gate, tests_gate=a.gate,
-                   results_path=a.results, register=a.register)
+                   results_path=a.results, register=a.register, suite=suite, tests=tests)
         _print({"run_name": rep_.run_name, "timings": rep_.timings, "load": rep_.load_metrics,
                 "fact_rows": rep_.fact_rows, "volume": rep_.volume_status, "fact_strategy": rep_.fact_strategy,
                 "length_violations": len(rep_.length_violations), "expectations_failed": len(rep_.suite_failed),
@@ -122,14 +133,14 @@ def main(argv: list[str] | None = None) -> int:
         D.load_step(raw, a.output, existing)
         _print({"loaded": a.output})
     elif a.cmd == "check-raw":
-        lengths, rows = D.check_raw_step(spark, a.output, a.results)
+        lengths, rows = D.check_raw_step(spark, a.output, a.results, suite=suite)
         failed = [r for r in rows if not r["success"]]
         _print({"length_violations": lengths, "expectations_failed": failed})
         return 1 if lengths or failed else 0
     elif a.cmd == "build":
         _print({"fact_strategy": D.build_step(spark, a.output, a.fact_strategy)})
     elif a.cmd == "test":
-        rows = D.test_step(spark, a.output, a.results)
+        rows = D.test_step(spark, a.output, a.results, tests=tests)
         _print({"not_passed": rows})
         return 1 if any(r["status"] == "fail" for r in rows) else 0
     elif a.cmd == "gate":

@@ -172,19 +172,19 @@ def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None
 
 
 def check_raw_step(spark: SparkSession, output: str, results_path: str | None = None,
-                   run_name: str | None = None) -> tuple[list[dict], list[dict]]:
+                   run_name: str | None = None, suite=Q.RAW_SUITE) -> tuple[list[dict], list[dict]]:
     """Declared VARCHAR lengths and the expectation suite on the raw table.
 
     The two read the table independently, so both jobs are submitted
     together.  Returns (length violations, one row per expectation).
     """
     raw_t = read_table(spark, output, "consumer_complaints")
-    suite = Q.run_suite(raw_t)
+    results = Q.run_suite(raw_t, suite)
     if results_path:
-        suite = _stored(spark, suite, f"{results_path}/expectations", run_name or _run_name())
+        results = _stored(spark, results, f"{results_path}/expectations", run_name or _run_name())
     with ThreadPoolExecutor(max_workers=2) as pool:
         lengths = pool.submit(lambda: [r.asDict() for r in varchar_overflow(raw_t).filter("violations > 0").collect()])
-        rows = pool.submit(lambda: [r.asDict() for r in suite.collect()])
+        rows = pool.submit(lambda: [r.asDict() for r in results.collect()])
         return lengths.result(), rows.result()
 
 
@@ -218,10 +218,10 @@ def build_step(spark: SparkSession, output: str, fact_strategy: str = "auto",
 
 
 def test_step(spark: SparkSession, output: str, results_path: str | None = None,
-              run_name: str | None = None) -> list[dict]:
-    """The 27 model tests over the written tables; returns the rows that did not pass."""
-    names = ("consumer_complaints", "dim_product", "dim_company", "dim_geography", "dim_date", "fact_complaints")
-    tests = Q.run_tests({n: read_table(spark, output, n) for n in names})
+              run_name: str | None = None, tests=Q.MODEL_TESTS) -> list[dict]:
+    """Model tests (default: the 27) over the written tables; returns the rows that did not pass."""
+    used = {t.model for t in tests} | {t.to_model for t in tests if t.to_model}
+    tests = Q.run_tests({n: read_table(spark, output, n) for n in used}, tests)
     if results_path:
         tests = _stored(spark, tests, f"{results_path}/tests", run_name or _run_name())
     return [r.asDict() for r in tests.filter(F.col("status") != "pass").collect()]
@@ -238,7 +238,8 @@ def _run_name() -> str:
 
 def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataFrame | None = None,
         suite_gate: str = "raise", tests_gate: str = "raise", length_gate: str = "raise", fact_strategy: str = "auto",
-        results_path: str | None = None, run_name: str | None = None, register: bool = False) -> RunReport:
+        results_path: str | None = None, run_name: str | None = None, register: bool = False,
+        suite=Q.RAW_SUITE, tests=Q.MODEL_TESTS) -> RunReport:
     """The whole daily run: load, check raw, build, test, volume gate.
 
     ``raw`` is the incoming load (one row per complaint id).  With
@@ -259,7 +260,7 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
         load_step(raw, output, existing_raw)
 
     with clock("raw_checks"):
-        report.length_violations, rows = check_raw_step(spark, output, results_path, run_name)
+        report.length_violations, rows = check_raw_step(spark, output, results_path, run_name, suite)
         report.suite_failed = [r for r in rows if not r["success"]]
         report.raw_rows = next(
             (r["observed_value"] for r in rows if r["expectation_type"].endswith("row_count_to_be_between")), None
@@ -272,7 +273,7 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     report.fact_strategy = build_step(spark, output, fact_strategy, report.timings)
 
     with clock("tests"):
-        rows = test_step(spark, output, results_path, run_name)
+        rows = test_step(spark, output, results_path, run_name, tests)
         report.tests_failed = [r for r in rows if r["status"] == "fail"]
         report.tests_warned = [r for r in rows if r["status"] == "warn"]
     if report.tests_failed and tests_gate == "raise":
