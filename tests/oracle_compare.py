@@ -1,6 +1,6 @@
 """Check a Spark result against DuckDB reference SQL on the same Parquet tables.
 
-Used by the test-suite; compares row count, column names and an
+Test tooling: compares row count, column names and an
 order-insensitive multiset of normalised row values.
 """
 

@@ -3,7 +3,7 @@
 import pytest
 
 from grievance.plans.catalog import ORACLE, QUERIES
-from grievance.plans.compare import compare, duckdb_connection
+from oracle_compare import compare, duckdb_connection
 
 
 @pytest.fixture(scope="module")
