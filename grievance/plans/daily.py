@@ -1,10 +1,11 @@
-"""The daily run: scan -> raw -> expectations -> silver -> gold -> tests -> gate.
+"""The daily run: load raw -> check raw -> silver -> gold -> model tests -> volume gate.
 
 Each layer is written as Parquet and read back before the next one uses it,
 so (a) lineage is cut at every layer and a lost executor only recomputes work
-since the last written layer, (b) the planner sees real file sizes of the
-dimension tables when it chooses broadcast or sort-merge for the fact joins,
-and (c) the four consumers of staging read it once from storage instead of
+since the last written layer, (b) the written dimensions can be checked for
+unique keys before the fact is built (then the fact needs no join at all),
+and their real file sizes decide broadcast or sort-merge when it does, and
+(c) the four consumers of staging read it once from storage instead of
 re-deriving it.  Only check verdicts (one row per check) reach the driver.
 """
 
@@ -244,7 +245,9 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
 
     ``raw`` is the incoming load (one row per complaint id).  With
     ``existing_raw`` the load is an upsert (incoming rows win), otherwise a
-    full refresh.  ``length_gate`` / ``suite_gate`` / ``tests_gate``:
+    full refresh.  ``existing_raw`` must not be a lazy read of the raw table
+    under ``output`` itself (Spark refuses to overwrite a path it is reading):
+    pass a checkpointed copy, as the command line does.  ``length_gate`` / ``suite_gate`` / ``tests_gate``:
     ``"raise"`` stops the run on a value longer than its declared VARCHAR
     length (the raw table would reject it) / a failed expectation / an
     error-severity test, as the daily schedule does; ``"warn"`` records and
