@@ -29,26 +29,38 @@ def _reader(spark: SparkSession, multi_line: bool = True):
     )
 
 
-def discover_complaint_files(spark: SparkSession, base_path: str, pattern: str = DEFAULT_PATTERN) -> list[str]:
-    """All files under ``base_path`` (recursively) whose name matches ``pattern``, sorted.
-
-    Only the file listing reaches the driver; no data is read.
-    """
+def _discovered(spark: SparkSession, base_path: str, pattern: str, multi_line: bool = True) -> DataFrame:
     try:
-        files = (
-            _reader(spark)
+        return (
+            _reader(spark, multi_line)
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", pattern)
             .csv(base_path)
-            .inputFiles()
         )
     except Exception as exc:  # Spark raises when the folder holds no matching file
         raise FileNotFoundError(f"no file matching '{pattern}' under {base_path}") from exc
+
+
+def discover_complaint_files(spark: SparkSession, base_path: str, pattern: str = DEFAULT_PATTERN) -> list[str]:
+    """All files under ``base_path`` (recursively) whose name matches ``pattern``, sorted.
+
+    Only the file listing reaches the driver; no data is read.
+    """
+    files = _discovered(spark, base_path, pattern).inputFiles()
     if not files:
         raise FileNotFoundError(f"no file matching '{pattern}' under {base_path}")
     return sorted(files)
 
 
+def _with_position(df: DataFrame) -> DataFrame:
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_src_file"),
+        F.col("_metadata.file_block_start").alias("_src_block"),
+        F.monotonically_increasing_id().alias("_src_row"),
+    )
+
+
 def read_complaints_csv(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
     """Scan CSV text with its header names, tagging each row with its file position.
 
@@ -57,20 +69,22 @@ def read_complaints_csv(spark: SparkSession, paths: str | list[str], multi_line:
     ordered by their start, so the tuple orders rows as they appear in the file
     whether or not files are split.
     """
-    df = _reader(spark, multi_line).csv(paths)
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_src_file"),
-        F.col("_metadata.file_block_start").alias("_src_block"),
-        F.monotonically_increasing_id().alias("_src_row"),
-    )
+    return _with_position(_reader(spark, multi_line).csv(paths))
 
 
 def scan_complaints(spark: SparkSession, base_path: str, pattern: str = DEFAULT_PATTERN,
                     select: str = "first", multi_line: bool = True) -> DataFrame:
-    """Discover then scan: the first matching file (default) or all of them."""
-    files = discover_complaint_files(spark, base_path, pattern)
-    return read_complaints_csv(spark, files[:1] if select == "first" else files, multi_line)
+    """Discover then scan: the first matching file (default) or all of them.
+
+    Loading all files reuses the discovery scan (one header read, not two).
+    """
+    found = _discovered(spark, base_path, pattern, multi_line)
+    files = sorted(found.inputFiles())
+    if not files:
+        raise FileNotFoundError(f"no file matching '{pattern}' under {base_path}")
+    if select == "first":
+        return read_complaints_csv(spark, files[:1], multi_line)
+    return _with_position(found)
 
 
 def write_complaints_csv(df: DataFrame, path: str) -> None:
