@@ -9,6 +9,7 @@ Commands
   gate       fact row count against the floor (warn only)
   ingest     pick up newly landed extracts into the bronze table (incremental, exactly once per file)
   report     print one business report from a built warehouse
+  quality-history  checks run, failed and warned per stored run
 
 Every step reads what the previous one wrote under ``--output``, so steps can
 be scheduled as separate tasks.  Failing checks exit with status 1.
@@ -112,6 +113,9 @@ def main(argv: list[str] | None = None) -> int:
     rep.add_argument("--output", required=True)
     rep.add_argument("--rows", type=int, default=50)
 
+    qh = sub.add_parser("quality-history", help="checks run, failed and warned per stored run")
+    qh.add_argument("--results", required=True)
+
     a = p.parse_args(argv)
     from grievance.operators import quality as Q
     from grievance.sources.checks import model_tests_from_yml, suite_from_json
@@ -149,6 +153,8 @@ def main(argv: list[str] | None = None) -> int:
         from grievance.streaming import ingest_available
 
         ingest_available(spark, a.landing, a.bronze, a.checkpoint, a.pattern)
+    elif a.cmd == "quality-history":
+        R.quality_history(spark, a.results).orderBy("run_name", "family").show(1000, truncate=False)
     else:
         REPORTS[a.name](lambda n: read_table(spark, a.output, n)).show(a.rows, truncate=False)
     return 0

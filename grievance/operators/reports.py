@@ -201,3 +201,21 @@ def half_year_growth(fact: DataFrame, months: int = 6) -> DataFrame:
             F.try_divide((F.col("n_last_period") - F.col("n_prior_period")) * 100.0, F.col("n_prior_period"))
         ).alias("growth_pct"),
     )
+
+
+def quality_history(spark, results_path: str) -> DataFrame:
+    """R5 over time: per stored run, how many checks ran, failed and only warned.
+
+    Reads the results the daily run appends under ``results_path``
+    (``expectations/`` and ``tests/``, partitioned by ``run_name``).
+    """
+    exp = spark.read.parquet(f"{results_path}/expectations").select(
+        "run_name", F.lit("expectations").alias("family"),
+        F.when(F.col("success"), F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
+    )
+    tests = spark.read.parquet(f"{results_path}/tests").select("run_name", F.lit("tests").alias("family"), "status")
+    return exp.unionByName(tests).groupBy("run_name", "family").agg(
+        F.count(F.lit(1)).alias("n_checks"),
+        F.count(F.when(F.col("status") == "fail", 1)).alias("n_failed"),
+        F.count(F.when(F.col("status") == "warn", 1)).alias("n_warned"),
+    )

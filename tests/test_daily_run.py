@@ -23,6 +23,11 @@ def test_run_from_tables(spark, sf_small, scratch):
     assert "dbt_loaded_at" in spark.table("gold.dim_product").columns
     assert "loaded_at" in spark.table("raw.consumer_complaints").columns
     assert spark.read.parquet(f"{scratch}/results/expectations").count() == 14
+    from grievance.operators.reports import quality_history
+
+    hist = {r.family: (r.n_checks, r.n_failed, r.n_warned) for r in quality_history(spark, f"{scratch}/results").collect()}
+    assert hist["expectations"] == (14, len(report.suite_failed), 0)
+    assert hist["tests"] == (27, len(report.tests_failed), len(report.tests_warned))
     assert report.load_metrics["records"] == 4599
     assert [r["column_name"] for r in report.length_violations] == ["state"]  # ' tx ' is longer than VARCHAR(2)
 
