@@ -8,11 +8,12 @@ Two families:
   and singular row predicates), each with a severity (``error`` fails the
   run, ``warn`` only reports).
 
-All row-level conditions of one table are computed in a single aggregate
-pass; each uniqueness check is one ``groupBy(key)`` (partially aggregated
-before the shuffle, so a hot key costs one row per partition); each
-relationship is one left-anti equi-join.  Results are small DataFrames, one
-row per check, so nothing but the verdict ever reaches the driver.
+All null-count and row-predicate checks of one table are computed in a
+single aggregate pass; each uniqueness or accepted-values check is one
+``groupBy`` (partially aggregated before the shuffle, so a hot key costs one
+row per partition); each relationship is one left-anti equi-join.  Results
+are small DataFrames, one row per check, so nothing but the verdict ever
+reaches the driver.
 """
 
 from __future__ import annotations
