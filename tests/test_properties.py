@@ -93,3 +93,18 @@ def test_lenient_bigint(spark, rows):
                 return None
 
     assert [g[0] for g in got] == [model(v) for (v,) in rows]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 8), st.integers(0, 10**6)), min_size=1, max_size=200, unique_by=lambda r: r[1]),
+       st.integers(1, 9))
+def test_keep_last_any_partitioning(spark, rows, parts):
+    from grievance.operators.raw import keep_last
+
+    df = spark.createDataFrame(rows, "complaint_id long, pos long").withColumn("v", F.col("pos") * 2)
+    got = {r.complaint_id: r.v for r in keep_last(df.repartition(parts), "complaint_id", ["pos"]).collect()}
+    model = {}
+    for cid, pos in rows:
+        if cid not in model or pos > model[cid]:
+            model[cid] = pos
+    assert got == {cid: pos * 2 for cid, pos in model.items()}
