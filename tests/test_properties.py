@@ -108,3 +108,40 @@ def test_keep_last_any_partitioning(spark, rows, parts):
         if cid not in model or pos > model[cid]:
             model[cid] = pos
     assert got == {cid: pos * 2 for cid, pos in model.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 40)), st.one_of(st.none(), st.sampled_from(["Yes", "No", "yes", "x"]))),
+                min_size=0, max_size=120),
+       st.sampled_from([0.5, 0.9, 0.99, 1.0]))
+def test_suite_mostly_semantics(spark, rows, mostly):
+    from collections import Counter
+
+    from grievance.operators.quality import Expectation, run_suite
+
+    suite = (
+        Expectation("not_null", "a", mostly=mostly),
+        Expectation("unique", "a", mostly=mostly),
+        Expectation("in_set", "b", mostly=mostly, value_set=("Yes", "No", None)),
+        Expectation("between", "a", mostly=mostly, min_value=0, max_value=30),
+    )
+    df = spark.createDataFrame(rows, "a int, b string")
+    got = {r.expectation_index: (r.element_count, r.unexpected_count, r.success) for r in run_suite(df, suite).collect()}
+
+    def ok(el, un):
+        return True if el == 0 else (el - un) / el >= mostly
+
+    n = len(rows)
+    a = [x for x, _ in rows if x is not None]
+    b = [y for _, y in rows if y is not None]
+    nulls = n - len(a)
+    counts = Counter(a)
+    dup = sum(c for c in counts.values() if c > 1)
+    bad_b = sum(1 for y in b if y not in ("Yes", "No"))
+    out_a = sum(1 for x in a if not 0 <= x <= 30)
+    assert got == {
+        1: (n, nulls, ok(n, nulls)),
+        2: (len(a), dup, ok(len(a), dup)),
+        3: (len(b), bad_b, ok(len(b), bad_b)),
+        4: (len(a), out_a, ok(len(a), out_a)),
+    }
