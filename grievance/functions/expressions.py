@@ -39,15 +39,18 @@ def null_if_na_token(c: ColumnOrName, tokens: tuple[str, ...] = NA_TOKENS) -> Co
 
 
 def lenient_date(c: ColumnOrName) -> Column:
-    """Parse month/day/year or ISO (optionally with a time) text to DATE; unparseable text gives NULL.
+    """Parse month/day/year or ISO text, either optionally with a time, to DATE; unparseable text gives NULL.
 
     The spelling is recognised by a cheap character test so each value is
     parsed once, with the one pattern that can match it.
     """
     c = _col(c)
+    slash, space, tee = c.contains("/"), c.contains(" "), c.contains("T")
     return (
-        F.when(c.contains("/"), F.try_to_timestamp(c, F.lit("M/d/yyyy")))
-        .when(c.contains(" "), F.try_to_timestamp(c, F.lit("yyyy-M-d HH:mm:ss")))
+        F.when(slash & space, F.try_to_timestamp(c, F.lit("M/d/yyyy H:mm:ss")))
+        .when(slash, F.try_to_timestamp(c, F.lit("M/d/yyyy")))
+        .when(tee, F.try_to_timestamp(c, F.lit("yyyy-M-d'T'H:mm:ss")))
+        .when(space, F.try_to_timestamp(c, F.lit("yyyy-M-d H:mm:ss")))
         .otherwise(F.try_to_timestamp(c, F.lit("yyyy-M-d")))
         .cast("date")
     )

@@ -69,8 +69,10 @@ def test_lenient_bigint(spark):
 
 
 def test_lenient_date(spark):
-    got = one_col(spark, ["07/29/2013", "2013-07-29", "7/9/2013", "bad", None], X.lenient_date)
-    assert got == [dt.date(2013, 7, 29), dt.date(2013, 7, 29), dt.date(2013, 7, 9), None, None]
+    got = one_col(spark, ["07/29/2013", "2013-07-29", "7/9/2013", "bad", None, "07/29/2013 13:05:00",
+                          "2013-07-29T08:00:00", "2013-07-29 08:00:00", "02/30/2013"], X.lenient_date)
+    assert got == [dt.date(2013, 7, 29), dt.date(2013, 7, 29), dt.date(2013, 7, 9), None, None,
+                   dt.date(2013, 7, 29), dt.date(2013, 7, 29), dt.date(2013, 7, 29), None]
 
 
 def test_na_tokens_and_zip5(spark):
