@@ -21,7 +21,7 @@ from grievance.operators.staging import STAGING_COLUMNS, required_fields, stage_
 from grievance.plans import oracle as O
 from grievance.plans.daily import load_raw_from_csv
 from grievance.plans.models import gold_models, raw_complaints, staged_complaints
-from grievance.schemas import ACCEPTED_SUBMITTED_VIA
+from grievance.schemas import ACCEPTED_SUBMITTED_VIA, NO_TAGS, NOT_SPECIFIED, UNKNOWN
 from grievance.session import materialize, parallelism, shared_path
 from grievance.sources.csv import read_complaints_csv, write_complaints_csv
 from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture_text
@@ -217,13 +217,13 @@ def q_required_fields(spark, sf_dir):
 
 
 _BLANKS = {
-    "product": ("product", "Not Specified"),
-    "sub_product": ("sub_product", "Not Specified"),
-    "issue": ("issue", "Not Specified"),
-    "sub_issue": ("sub_issue", "Not Specified"),
-    "company_response": ("company_response_to_consumer", "Not Specified"),
-    "submitted_via": ("submitted_via", "Unknown"),
-    "tags": ("tags", "None"),
+    "product": ("product", NOT_SPECIFIED),
+    "sub_product": ("sub_product", NOT_SPECIFIED),
+    "issue": ("issue", NOT_SPECIFIED),
+    "sub_issue": ("sub_issue", NOT_SPECIFIED),
+    "company_response": ("company_response_to_consumer", NOT_SPECIFIED),
+    "submitted_via": ("submitted_via", UNKNOWN),
+    "tags": ("tags", NO_TAGS),
 }
 
 
