@@ -101,13 +101,16 @@ class RunReport:
     tests_warned: list[dict] = field(default_factory=list)
     volume_status: str | None = None
     fact_strategy: str | None = None
+    raw_files: int | None = None
 
     @property
     def load_metrics(self) -> dict:
-        """Records loaded, duration of the raw load and its throughput (rows/s)."""
+        """Records loaded, write tasks (the files of the raw table, Spark's "batches"),
+        duration of the raw load and its throughput (rows/s)."""
         sec = self.timings.get("raw") or 0.0
         return {
             "records": self.raw_rows,
+            "batches": self.raw_files,
             "duration_sec": sec,
             "rows_per_sec": round(self.raw_rows / sec, 1) if self.raw_rows and sec else None,
         }
@@ -260,7 +263,8 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     clock = _Clock(report)
 
     with clock("raw"):
-        load_step(raw, output, existing_raw)
+        # The file listing of the written table (metadata only, no data read).
+        report.raw_files = len(load_step(raw, output, existing_raw).inputFiles())
 
     with clock("raw_checks"):
         report.length_violations, rows = check_raw_step(spark, output, results_path, run_name, suite)
