@@ -1,3 +1,4 @@
+"""Column expressions (no per-row Python) and their SQL temporary functions."""
 from grievance.functions.expressions import (  # noqa: F401
     blank_default,
     date_key,

@@ -1 +1,2 @@
+"""DataFrame operators: raw layer, staging, star schema, data-quality checks and reports."""
 

@@ -1,3 +1,4 @@
+"""Inputs: CSV extracts, the complaint fixture from benchmark tables, the calendar spine, check files."""
 from grievance.sources.csv import (  # noqa: F401
     discover_complaint_files,
     read_complaints_csv,
