@@ -100,3 +100,24 @@ def test_realistic_extract_end_to_end(spark, scratch):
     assert b.has_narrative_flag is False and b.consumer_disputed_flag is False
     fact = {r.complaint_id: r for r in read_table(spark, f"{scratch}/wh", "fact_complaints").collect()}
     assert fact[7001].response_timeliness_category == "Late" and fact[7002].response_timeliness_category == "Unknown"
+
+
+def test_bucketed_raw_same_results_no_shuffle(spark, sf_small, scratch):
+    import contextlib
+    import io
+
+    from grievance.operators import quality as Q
+
+    raw = load_raw_from_tables(spark, sf_small)
+    plain = run(spark, raw, f"{scratch}/plain", length_gate="warn", suite_gate="warn", tests_gate="warn")
+    out = f"{scratch}/bucketed"
+    bucketed = run(spark, raw, out, length_gate="warn", suite_gate="warn", tests_gate="warn", bucket_raw=8)
+    assert (bucketed.raw_rows, bucketed.fact_rows) == (plain.raw_rows, plain.fact_rows)
+    assert bucketed.suite_failed == plain.suite_failed
+    assert sorted(r["test_name"] for r in bucketed.tests_failed) == sorted(r["test_name"] for r in plain.tests_failed)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        Q.unique_failures(read_table(spark, out, "consumer_complaints"), "complaint_id").explain()
+    assert "Exchange hashpartitioning" not in buf.getvalue()
+    # Path readers (another process) still see the same rows.
+    assert spark.read.parquet(f"{out}/raw/consumer_complaints").count() == plain.raw_rows
