@@ -19,3 +19,14 @@ def test_every_query_has_oracle():
 def test_query_matches_oracle(spark, sf_small, con, name):
     res = compare(QUERIES[name](spark, sf_small), con, ORACLE[name])
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("name", ["csv_ingest", "dbt_tests", "fact_complaints", "geo_concentration", "upsert_merge"])
+def test_results_do_not_depend_on_shuffle_width(spark, sf_small, con, name):
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        res = compare(QUERIES[name](spark, sf_small), con, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+    assert res["ok"], res
