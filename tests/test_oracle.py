@@ -30,3 +30,14 @@ def test_results_do_not_depend_on_shuffle_width(spark, sf_small, con, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", saved)
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("name", ["parse_dates", "csv_scan", "fact_complaints", "dim_date", "monthly_growth"])
+def test_results_do_not_depend_on_session_time_zone(spark, sf_small, con, name):
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")  # UTC+14
+        res = compare(QUERIES[name](spark, sf_small), con, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
+    assert res["ok"], res
