@@ -41,3 +41,14 @@ def test_results_do_not_depend_on_session_time_zone(spark, sf_small, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", saved)
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("name", ["clean_raw", "csv_ingest", "stg_complaints", "expectation_suite", "varchar_overflow"])
+def test_results_do_not_depend_on_ansi_mode(spark, sf_small, con, name):
+    saved = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        res = compare(QUERIES[name](spark, sf_small), con, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", saved)
+    assert res["ok"], res
