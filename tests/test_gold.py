@@ -83,3 +83,12 @@ def test_join_path_without_broadcast(spark, sf_small):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_dim_date_every_day_against_python_calendar(spark):
+    for r in G.dim_date(spark).collect():
+        d = r.date_actual
+        assert r.date_sk == d.year * 10000 + d.month * 100 + d.day
+        assert (r.year, r.quarter, r.month, r.day) == (d.year, (d.month - 1) // 3 + 1, d.month, d.day)
+        assert r.month_name == d.strftime("%B").ljust(9)
+        assert r.is_weekend == (d.weekday() >= 5)
