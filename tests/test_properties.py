@@ -145,3 +145,22 @@ def test_suite_mostly_semantics(spark, rows, mostly):
         3: (len(b), bad_b, ok(len(b), bad_b)),
         4: (len(a), out_a, ok(len(a), out_a)),
     }
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet=st.sampled_from(list('ab ,"\n;é\'x')), min_size=1, max_size=30)
+                .filter(lambda t: t.strip(" ") != "" and t not in ("N/A", "NA", "nan", "null", "None", "NaN")),
+                min_size=1, max_size=40))
+def test_csv_round_trip_keeps_text(spark, scratch, narratives):
+    from grievance.schemas import COLUMN_MAPPING
+    from grievance.sources.csv import read_complaints_csv, write_complaints_csv
+
+    headers = list(COLUMN_MAPPING)
+    rows = [tuple(str(i + 1) if h == "Complaint ID" else (t if h == "Consumer complaint narrative" else "x")
+                  for h in headers) for i, t in enumerate(narratives)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{h}` string" for h in headers))
+    path = f"{scratch}/rt-{abs(hash(tuple(narratives)))}"
+    write_complaints_csv(df, path)
+    back = read_complaints_csv(spark, path)
+    got = {int(r["Complaint ID"]): r["Consumer complaint narrative"] for r in back.collect()}
+    assert got == {i + 1: t for i, t in enumerate(narratives)}
