@@ -164,3 +164,18 @@ def test_csv_round_trip_keeps_text(spark, scratch, narratives):
     back = read_complaints_csv(spark, path)
     got = {int(r["Complaint ID"]): r["Consumer complaint narrative"] for r in back.collect()}
     assert got == {i + 1: t for i, t in enumerate(narratives)}
+
+
+@SETTINGS
+@given(st.dictionaries(st.integers(0, 30), st.text("abc", max_size=3), max_size=25),
+       st.dictionaries(st.integers(0, 30), st.text("xyz", max_size=3), max_size=25))
+def test_merge_upsert_model(spark, existing, incoming):
+    from grievance.operators.raw import merge_upsert
+
+    schema = "complaint_id long, v string"
+    old = spark.createDataFrame(list(existing.items()), schema)
+    new = spark.createDataFrame(list(incoming.items()), schema)
+    once = merge_upsert(old, new)
+    got = {r.complaint_id: r.v for r in once.collect()}
+    assert got == {**existing, **incoming}
+    assert sorted(merge_upsert(once, new).collect()) == sorted(once.collect())  # re-applying changes nothing
