@@ -5,7 +5,8 @@ needs differ, so each would prune the staging plan differently and Spark
 could not share one shuffle among them: the raw derivation would run four
 times.  ``gold_models`` therefore checkpoints staging once into the shared
 folder (as the daily run writes its silver table) and builds the gold models
-from that copy.
+from that copy.  With ``strategy="auto"`` the dimension key check then picks
+join elimination or the lookup joins for the fact, as in the daily run.
 """
 
 from __future__ import annotations
