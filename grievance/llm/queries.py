@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grievance.llm import language_id, packing
+from grievance.llm import language_id, packing, quality_rules
 from grievance.llm.common import read_table
 
 
@@ -25,8 +25,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(read_table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_quality_rules": op3_quality_rules,
+}
+ORACLE: dict[str, str] = {
+    "op3_quality_rules": quality_rules.ORACLE_SQL,
 }
-ORACLE: dict[str, str] = {}
