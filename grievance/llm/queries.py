@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grievance.llm import language_id, packing, quality_rules
+from grievance.llm import language_id, license_scan, packing, quality_rules
 from grievance.llm.common import read_table
 
 
@@ -29,11 +29,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_license_scan": op4_license_scan,
 }
 ORACLE: dict[str, str] = {
     "op3_quality_rules": quality_rules.ORACLE_SQL,
+    "op4_license_scan": license_scan.ORACLE_SQL,
 }
