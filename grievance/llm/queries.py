@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from grievance.llm import language_id, license_scan, packing, quality_rules
+from grievance.llm import language_id, license_scan, packing, quality_rules, sharding, warc
 from grievance.llm.common import read_table
 
 
@@ -33,13 +34,28 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
 
 
+def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(read_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve"
+    )
+
+
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve(*warc.captures(read_table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", warc.header_text(F.col("headers")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op9_hilbert_sharding": op9_hilbert_sharding,
+    "op10_warc_revisits": op10_warc_revisits,
 }
 ORACLE: dict[str, str] = {
     "op3_quality_rules": quality_rules.ORACLE_SQL,
     "op4_license_scan": license_scan.ORACLE_SQL,
+    "op10_warc_revisits": warc.ORACLE_SQL,
 }
