@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grievance.llm import language_id, license_scan, packing, quality_rules, sharding, warc
+from grievance.llm import decontamination, language_id, license_scan, packing, quality_rules, sharding, toxicity, warc
 from grievance.llm.common import read_table
 
 
@@ -34,6 +34,15 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit_documents(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(read_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -51,6 +60,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_warc_revisits": op10_warc_revisits,
 }
