@@ -8,8 +8,7 @@ n-gram the profile lacks adds the profile's length.  The smallest sum wins.
 Defined cases
 * null, empty or letterless text: language ``und``, score 0;
 * ties between languages: the first in code point order;
-* equally frequent n-grams: the order of first appearance in a document, code
-  point order in a profile;
+* equally frequent n-grams: the order of their numbers;
 * no labelled text at all: every document is ``und``;
 * repeated rows: each row is judged by itself; a row count is never changed;
 * extra columns are carried through unless they have a result column's name,
@@ -18,45 +17,76 @@ Defined cases
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import sys
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from grievance.llm.common import staged
+
 UNDETERMINED = "und"
 #: n-gram lengths, and how many n-grams a profile lists.
 LENGTHS = (1, 2, 3)
 PROFILE_SIZE = 300
 #: Bound of the fit: labelled documents per language, chosen by a hash of the id.
 TRAIN_DOCS_PER_LANGUAGE = 2000
+#: Chosen ids are broadcast up to this number, so that only chosen texts leave their task.
+BROADCAST_IDS = 1_000_000
 
-_WORD = re.compile(r"[^\W\d_]+")
-
+_PAD = ord("_")
+_BITS = 21  # of a code point
 
-@lru_cache(maxsize=100_000)
-def _grams(word: str) -> tuple[str, ...]:
-    padded = f"_{word}_"
-    return tuple(g for n in LENGTHS for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) != "_")
 
+@cache
+def _letters() -> np.ndarray:
+    """For every code point, whether it is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), dtype=bool, count=sys.maxunicode + 1)
 
-def gram_counts(text: str | None) -> Counter:
-    """Counts of the padded n-grams of all words of the text, lower-cased."""
-    counts: Counter = Counter()
-    if text:
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            for g in _grams(word) if len(word) < 40 else _grams.__wrapped__(word):
-                counts[g] += n
-    return counts
 
+def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The padded n-grams of all words of the text, lower-cased, as numbers in rising order, and their counts.
 
-def ranked(counts: Counter, size: int) -> list[str]:
-    """The most frequent n-grams, in order; ties keep the order of first appearance."""
-    return sorted(counts, key=counts.get, reverse=True)[:size]
+    An n-gram is the number whose digits are its code points.  Words are
+    separated by one pad; a triple around a pad would span two words and is left out.
+    """
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4") if text else np.zeros(0, dtype="<u4")
+    is_letter = _letters()[points]
+    if not is_letter.any():
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    marked = np.concatenate([[_PAD], np.where(is_letter, points, _PAD), [_PAD]]).astype(np.int64)
+    letter = np.concatenate([[False], is_letter, [False]])
+    kept = letter | np.concatenate([[True], letter[:-1]])  # one pad after each word, and one before the first
+    seq, letter = marked[kept], letter[kept]
+    if not letter[1]:  # the text began with another character
+        seq, letter = seq[1:], letter[1:]
+    two = (seq[:-1] << _BITS) | seq[1:]
+    three = ((two[:-1] << _BITS) | seq[2:])[letter[1:-1]]
+    return np.unique(np.concatenate([seq[letter], two, three]), return_counts=True)
+
+
+def gram_text(code: int) -> str:
+    """An n-gram's characters."""
+    out = ""
+    while code:
+        out = chr(code & ((1 << _BITS) - 1)) + out
+        code >>= _BITS
+    return out
+
+
+def gram_code(gram: str) -> int:
+    code = 0
+    for c in gram:
+        code = (code << _BITS) | ord(c)
+    return code
+
+
+def ranked(grams: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """The most frequent n-grams, in order; ties in the order of their numbers."""
+    return grams[np.argsort(-counts, kind="stable")[:size]]
 
 
 def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -71,22 +101,24 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = rows.filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull() & F.col("_id").isNotNull())
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
     chosen = rows.select("_id", "_lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
-    sample = rows.join(chosen.select("_id").distinct(), "_id", "left_semi").select("_lang", "_text")
+    chosen = staged(chosen.select("_id").distinct(), "chosen")
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+    sample = rows.join(chosen, "_id", "left_semi").select("_lang", "_text")
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        by_lang: dict[str, Counter] = {}
         for pdf in batches:
-            for lang, text in zip(pdf["_lang"], pdf["_text"], strict=True):
-                by_lang.setdefault(lang, Counter()).update(gram_counts(text))
-        for lang, c in by_lang.items():
-            yield pd.DataFrame({"_lang": lang, "_gram": list(c), "_n": list(c.values())})
+            for lang, texts in pdf.groupby("_lang")["_text"]:
+                parts = [gram_counts(t) for t in texts]
+                grams, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+                total = np.bincount(at, weights=np.concatenate([p[1] for p in parts]), minlength=len(grams))
+                yield pd.DataFrame({"_lang": lang, "_gram": grams, "_n": total.astype(np.int64)})
 
-    grams = sample.mapInPandas(count, "_lang string, _gram string, _n long").groupBy("_lang", "_gram").agg(F.sum("_n").alias("_n"))
+    grams = sample.mapInPandas(count, "_lang string, _gram long, _n long").groupBy("_lang", "_gram").agg(F.sum("_n").alias("_n"))
     top = Window.partitionBy("_lang").orderBy(F.desc("_n"), "_gram")
     listed = grams.withColumn("_rank", F.row_number().over(top)).filter(F.col("_rank") <= size).select("_lang", "_rank", "_gram")
     profiles: dict[str, list[str]] = {}
     for lang, _, gram in sorted(tuple(r) for r in listed.collect()):
-        profiles.setdefault(lang, []).append(gram)
+        profiles.setdefault(lang, []).append(gram_text(gram))
     return profiles
 
 
@@ -96,21 +128,20 @@ class ProfileModel:
     def __init__(self, profiles: dict[str, list[str]], size: int = PROFILE_SIZE):
         self.langs = sorted(profiles)
         self.size = size
-        self.row = {g: i for i, g in enumerate(dict.fromkeys(g for lang in self.langs for g in profiles[lang]))}
-        absent = -1
-        self.ranks = np.full((len(self.row) + 1, max(len(self.langs), 1)), absent, dtype=np.int32)
+        self.grams = np.array(sorted({gram_code(g) for lang in self.langs for g in profiles[lang]}), dtype=np.int64)
+        # The last row is that of n-grams no profile has.
+        self.ranks = np.full((len(self.grams) + 1, max(len(self.langs), 1)), -1, dtype=np.int64)
         for j, lang in enumerate(self.langs):
-            for i, g in enumerate(profiles[lang]):
-                self.ranks[self.row[g], j] = i
+            self.ranks[np.searchsorted(self.grams, [gram_code(g) for g in profiles[lang]]), j] = np.arange(len(profiles[lang]))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        own = ranked(gram_counts(text), self.size)
-        if not own or not self.langs:
+        own = ranked(*gram_counts(text), self.size)
+        if not len(own) or not self.langs:
             return UNDETERMINED, 0.0
-        last = len(self.row)
-        theirs = self.ranks[[self.row.get(g, last) for g in own]]
-        out = np.abs(theirs - np.arange(len(own), dtype=np.int32)[:, None])
-        out[theirs < 0] = self.size
+        row = np.searchsorted(self.grams, own)
+        row[self.grams[np.minimum(row, len(self.grams) - 1)] != own] = len(self.grams)
+        theirs = self.ranks[row]
+        out = np.where(theirs < 0, self.size, np.abs(theirs - np.arange(len(own))[:, None]))
         total = out.sum(axis=0)
         best = int(total.argmin())
         return self.langs[best], 1.0 - float(total[best]) / (self.size * len(own))
