@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grievance.llm import decontamination, language_id, license_scan, packing, quality_rules, sharding, toxicity, warc
+from grievance.llm import decontamination, language_id, license_scan, near_dedup, packing, quality_rules, sharding, toxicity, warc
 from grievance.llm.common import read_table
 
 
@@ -43,6 +43,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.label_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(read_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_warc_revisits": op10_warc_revisits,
 }

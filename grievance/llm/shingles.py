@@ -81,9 +81,10 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return value[new], np.bincount(text[new], minlength=len(texts))
 
 
-def sketches(values: np.ndarray, sizes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """One row per set: 16 bits of the minwise hash for each seed (empty sets: 0)."""
+def sketches(values: np.ndarray, sizes: np.ndarray, seeds: np.ndarray, roots: int) -> tuple[np.ndarray, np.ndarray]:
+    """One row per set: 16 bits of the minwise hash for each seed, and all 64 for the first ``roots`` seeds (empty sets: 0)."""
     out = np.zeros((len(sizes), len(seeds)), dtype=np.uint16)
+    keys = np.zeros((len(sizes), roots), dtype=np.int64)
     full = np.flatnonzero(sizes)
     if len(full):
         first = (np.cumsum(sizes) - sizes)[full]
@@ -91,9 +92,11 @@ def sketches(values: np.ndarray, sizes: np.ndarray, seeds: np.ndarray) -> np.nda
             scrambled = (values ^ seed) * np.uint64(0xD6E8_FEB8_6659_FD93)
             scrambled ^= scrambled >> np.uint64(32)
             scrambled *= np.uint64(0xCA5A_8263_9512_1157)
-            least = np.minimum.reduceat(scrambled, first)
-            out[full, j] = (mix(least) >> np.uint64(48)).astype(np.uint16)
-    return out
+            least = mix(np.minimum.reduceat(scrambled, first) + np.uint64(j))
+            out[full, j] = (least >> np.uint64(48)).astype(np.uint16)
+            if j < roots:
+                keys[full, j] = least.view(np.int64)
+    return out, keys
 
 
 def set_keys(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
