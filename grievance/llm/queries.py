@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grievance.llm import decontamination, language_id, license_scan, near_dedup, packing, quality_rules, sharding, toxicity, warc
+from grievance.llm import decontamination, language_id, license_scan, near_dedup, packing, quality_rules, sharding, suffix_dedup, toxicity, warc
 from grievance.llm.common import read_table
 
 
@@ -34,6 +34,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit_documents(docs, read_table(spark, sf_dir, "labels")))
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
