@@ -62,7 +62,7 @@ BUCKET_BYTES = 16_000_000
 #: Answers of up to so many bytes are broadcast to the blocks, larger ones are joined by a shuffle.
 BROADCAST_BYTES = 64_000_000
 
-_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary"
+_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
 
 
 # --- arrays ----------------------------------------------------------------
@@ -500,7 +500,10 @@ def repeated_spans(blocks: DataFrame, n: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text`` of every document."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text`` of every document.
+
+    The digest is that of the remaining bytes; ``kept_text`` leaves out characters that lost some of their bytes.
+    """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     blocks = staged(make_blocks(slim.filter("doc_id IS NOT NULL")), "blocks", "zstd")
     total = blocks.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
@@ -514,13 +517,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             own_a, own_z = np.maximum(start[a:z], begin), np.minimum(end[a:z], stop)
             edges = [begin, *np.stack([own_a, own_z], axis=1).ravel().tolist(), stop]
             kept = b"".join([text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)])
-            yield doc, stop - begin, stop - begin - len(kept), len(own_a), hashlib.sha256(kept).hexdigest(), kept
+            yield doc, stop - begin, stop - begin - len(kept), len(own_a), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")
             begin = stop
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     done = _map(with_answers(blocks, spans), ["ids", "ends", "text", "spans"], rest, _RESULT, types)
     unnamed = slim.filter("doc_id IS NULL").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
-        F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept_text"),
+        F.sha2("text", 256).alias("kept_sha256"), F.col("text").cast("string").alias("kept_text"),
     )
     return done.unionByName(unnamed)
