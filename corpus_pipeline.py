@@ -21,6 +21,8 @@ from grievance.llm import decontamination, language_id, near_dedup, packing, suf
 from grievance.llm.common import read_table, staged
 from grievance.llm.queries import tokenizer_path
 
+#: What a stage but the last returns; further columns of its input are dropped.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents whose best language explains less than this are rejected, as are those without a letter.
 MIN_LANGUAGE_SCORE = 0.25
 #: Ids to drop are broadcast up to this number; more are joined by a shuffle.
@@ -30,14 +32,15 @@ BROADCAST_IDS = 1_000_000
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without the documents of ``ids``; only few ids are broadcast."""
     ids = staged(ids.select("doc_id").dropna().distinct(), "dropped")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: those without letters, or unlike every profile, go."""
+    docs = docs.select(*COLUMNS)
     judged = language_id.identify(docs, language_id.fit_profiles(docs))
     known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return judged.filter(known).select(*docs.columns)
+    return judged.filter(known).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return left
     order = Window.partitionBy("doc_id").orderBy("text")
     one = left.join(repeated, "doc_id", "left_semi").withColumn("_n", F.row_number().over(order)).filter("_n = 1")
-    return _without(left, repeated).unionByName(one.select(*docs.columns))
+    return _without(left, repeated).unionByName(one.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +59,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rest = suffix_dedup.remove_repeats(docs).filter("n_removed > 0").select("doc_id", "kept_text", (F.col("n_removed") == F.col("n_bytes")).alias("_gone"))
     rest = staged(rest, "rest")
     small = rest.agg(F.sum(F.octet_length("kept_text"))).first()[0] or 0
-    joined = docs.join(F.broadcast(rest) if small <= suffix_dedup.BROADCAST_BYTES else rest, "doc_id", "left")
+    joined = docs.select(*COLUMNS).join(F.broadcast(rest) if small <= suffix_dedup.BROADCAST_BYTES else rest, "doc_id", "left")
     changed = F.col("kept_text").isNotNull()
     return joined.filter(~F.coalesce("_gone", F.lit(False))).withColumns({
         "text": F.coalesce("kept_text", "text"), "n_chars": F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")),
-    }).select(*docs.columns)
+    }).select(*COLUMNS)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

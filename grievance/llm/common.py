@@ -26,6 +26,14 @@ def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def spread(*cols: Column | str) -> Column:
     """A non-negative hash of the columns, for dealing rows out evenly."""
     return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 62) - 1))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grievance.llm.common import staged
+from grievance.llm.common import fresh_name, staged
 
 UNDETERMINED = "und"
 #: n-gram lengths, and how many n-grams a profile lists.
@@ -155,8 +155,10 @@ def identify(df: DataFrame, profiles: dict[str, list[str]], text_col: str = "tex
     def judge(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    kept = [c for c in df.columns if c not in ("lang_pred", "score")]
-    return df.select(*kept, judge(F.col(text_col)).alias("_judged")).select(*kept, "_judged.lang_pred", "_judged.score")
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("lang_pred", "score")]
+    judged = fresh_name(df, "_judged")
+    rows = df.select(*kept, judge(F.col(text_col)).alias(judged))
+    return rows.select(*kept, f"{judged}.lang_pred", f"{judged}.score")
 
 
 def held_out(id_col: str = "doc_id"):
