@@ -514,6 +514,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         begin = 0
         for doc, stop in zip(ids, ends, strict=True):
             a, z = np.searchsorted(end, begin, "right"), np.searchsorted(start, stop, "left")
+            z = z if stop > begin else a
             own_a, own_z = np.maximum(start[a:z], begin), np.minimum(end[a:z], stop)
             edges = [begin, *np.stack([own_a, own_z], axis=1).ravel().tolist(), stop]
             kept = b"".join([text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)])
