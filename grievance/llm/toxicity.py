@@ -1,8 +1,9 @@
 """Toxicity as a severity grade, by cumulative-link ordinal regression.
 
-A document is the set of its words.  One weight per word serves all ordered
+A document is the set of its words and of the words' beginnings, which words
+with other endings share.  One weight per feature serves all ordered
 thresholds: P(grade <= k) = sigmoid(threshold_k - sum of the weights of the
-document's words).  The result is the expected grade, the most likely grade and
+document's features).  The result is the expected grade, the most likely grade and
 the probability of any toxicity.
 
 The labels say toxic or not.  Grades of the toxic training documents follow
@@ -36,24 +37,28 @@ from grievance.llm.common import staged
 FIT_DOCS_PER_LABEL = 3000
 #: A word needs so many training documents to get a weight.
 MIN_DOCS = 5
+#: Lengths of the word beginnings that are features too.
+BEGINNINGS = (4, 5)
 INDICATIVE_RATIO = 10.0
-#: Fewest indicative words of grades 2 and 3; other toxic documents have grade 1.
+#: Fewest indicative features of grades 2 and 3; other toxic documents have grade 1.
 GRADE_WORDS = (2, 5)
 GRADES = 4
 STEPS = 300
 RATE = 0.5
 #: Weight of the sum of absolute word weights in the loss: most words get exactly none.
-SPARSITY = 2e-4
+SPARSITY = 5e-4
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+    """The text's words in lower case, and the first letters of longer ones, marked by a star."""
+    found = set(_WORD.findall(text.lower())) if text else set()
+    return found.union(*({w[:n] + "*" for w in found if len(w) > n} for n in BEGINNINGS))
 
 
 def grades(docs: list[set[str]], toxic: np.ndarray) -> np.ndarray:
-    """Grade of each training document: 0, or 1 to 3 by its number of indicative words."""
+    """Grade of each training document: 0, or 1 to 3 by its number of indicative features."""
     bad, good = Counter(), Counter()
     for d, t in zip(docs, toxic, strict=True):
         (bad if t else good).update(d)
