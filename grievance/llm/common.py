@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,16 @@ def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    They go once the driver's garbage is collected, which Spark itself asks
+    for only every half hour; a sequence of large shuffles would pile up on the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, made longer until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

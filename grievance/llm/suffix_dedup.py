@@ -47,14 +47,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grievance.llm.common import buckets, staged
+from grievance.llm.common import buckets, release, staged
 from grievance.llm.shingles import mix
 
 SPAN = 50
 #: Mean length of the stretch between two cuts, a power of two, and the bytes that decide a cut.
 CUT_EVERY = 64
 CUT_BYTES = 16
-ANCHOR = 36
+ANCHOR = 40
 STEP = 6
 #: Bytes of text in a block; bytes of text per bucket of keys.
 BLOCK_BYTES = 2_000_000
@@ -111,17 +111,19 @@ def cover(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def packed(*columns: np.ndarray) -> bytes:
-    raw = b"".join(np.ascontiguousarray(c, dtype=np.uint64).tobytes() for c in columns)
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    """Columns of 64-bit numbers, compressed: all first bytes, then all second bytes, and so on, so that like stands by like."""
+    raw = np.stack([np.ascontiguousarray(c, dtype="<u8").view(np.uint8).reshape(-1, 8).T for c in columns])
+    return zstandard.ZstdCompressor(level=1).compress(raw.tobytes())
 
 
 def unpacked(blob: bytes, columns: int) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint64).reshape(columns, -1)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8).reshape(columns, 8, -1)
+    return np.ascontiguousarray(raw.transpose(0, 2, 1)).reshape(columns, -1).view("<u8").reshape(columns, -1)
 
 
 def groups_of(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorting order of rows by their columns, and where a new group of equal rows starts in it."""
-    order = np.lexsort(columns[::-1])
+    order = np.argsort(columns[0]) if len(columns) == 1 else np.lexsort(columns[::-1])
     new = np.zeros(len(order), dtype=bool)
     new[:1] = True
     for c in columns:
@@ -130,15 +132,19 @@ def groups_of(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def bucket_of(columns: list[np.ndarray], n_buckets: int) -> np.ndarray:
+    h = np.zeros(len(columns[0]), dtype=np.uint64)
+    for c in columns:
+        h = mix(h * np.uint64(0x9E37_79B9_7F4A_7C15) + c)
+    return h % np.uint64(n_buckets)
+
+
 class Keys:
     """The distinct keys of a block, sorted by bucket and content, and each row's place among them."""
 
-    def __init__(self, columns: list[np.ndarray], n_buckets: int, bucket_columns: int):
-        h = np.zeros(len(columns[0]), dtype=np.uint64)
-        for c in columns[:bucket_columns]:
-            h = mix(h * np.uint64(0x9E37_79B9_7F4A_7C15) + c)
-        bucket = h % np.uint64(n_buckets)
-        order, new = groups_of([bucket, *columns])
+    def __init__(self, columns: list[np.ndarray], bucket: np.ndarray):
+        short = len(columns) == 1  # a key of 32 bits: bucket and key in one number
+        order, new = groups_of([(bucket << np.uint64(32)) | columns[0]] if short else [bucket, *columns])
         self.place = np.empty(len(order), dtype=np.int64)
         self.place[order] = np.cumsum(new) - 1
         first = order[new]
@@ -151,10 +157,14 @@ class Keys:
         np.minimum.at(out, self.place, values)
         return out
 
+    def bounds(self) -> list[tuple[int, int]]:
+        """First and last key of each bucket that has keys."""
+        cut = np.flatnonzero(np.diff(np.concatenate([[-1], self.bucket, [-1]]))).tolist()
+        return list(zip(cut[:-1], cut[1:], strict=True))
+
     def rows(self, *more: np.ndarray) -> Iterator[tuple[int, bytes]]:
         """(bucket, columns) for each bucket that has keys."""
-        cut = np.flatnonzero(np.diff(np.concatenate([[-1], self.bucket, [-1]])))
-        for a, b in zip(cut[:-1], cut[1:], strict=True):
+        for a, b in self.bounds():
             yield int(self.bucket[a]), packed(*[c[a:b] for c in (*self.columns, *more)])
 
 
@@ -188,13 +198,17 @@ class Block:
         raw = self.data.tobytes()
         digests = b"".join([xxhash.xxh3_128_digest(raw[a : b + SPAN - 1]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)])
         both = np.frombuffer(digests, dtype=np.uint64).reshape(-1, 2)
-        return start, stop, Keys([both[:, 0].copy(), both[:, 1].copy()], n_buckets, 1)
+        return start, stop, Keys([both[:, 0].copy(), both[:, 1].copy()], both[:, 0] % np.uint64(n_buckets))
 
-    def anchor_keys(self, windows: np.ndarray, n_buckets: int) -> tuple[np.ndarray, Keys]:
-        """Distinct (anchor, document) of the windows; only the anchor makes the key, so a key counts its documents."""
-        least = sliding_least(window_hashes(self.data, ANCHOR), SPAN - ANCHOR + 1)
-        anchor = least[windows]
-        return anchor, Keys([anchor], n_buckets, 1)
+    def anchors(self, windows: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, Keys]:
+        """Anchors of the windows, by runs of windows that share one: each window's run, each run's document, the keys of the runs.
+
+        A key is 32 bits of the anchor next to the bucket; a chance equality only makes a candidate too many.
+        """
+        least = sliding_least(window_hashes(self.data, ANCHOR), SPAN - ANCHOR + 1)[windows]
+        doc = self.doc[windows]
+        new = np.concatenate([[True], (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])])
+        return np.cumsum(new) - 1, doc[new], Keys([least[new] >> np.uint64(32)], least[new] % np.uint64(n_buckets))
 
 
 def covered_by(block: Block, start: np.ndarray, keys: Keys, smaller: np.ndarray) -> np.ndarray:
@@ -211,7 +225,9 @@ def exchange(asked: DataFrame, answer: Callable[[list[bytes]], list[bytes]], nam
         return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "answer": answer(list(pdf["payload"]))})
 
     found = asked.groupBy("bucket").applyInPandas(one, "block long, bucket int, answer binary")
-    return staged(found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "answer"))).alias(name)), name)
+    out = staged(found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "answer"))).alias(name)), name)
+    release(out.sparkSession)
+    return out
 
 
 def smaller_ids(columns: int) -> Callable[[list[bytes]], list[bytes]]:
@@ -235,9 +251,13 @@ def _cut(write: Callable, values: np.ndarray, parts: list[np.ndarray]) -> list[b
 
 
 def other_documents(blobs: list[bytes]) -> list[bytes]:
-    """Answers whether an anchor has two documents or more, in one blob or several (columns: anchor, its documents there)."""
-    parts = [unpacked(b, 2) for b in blobs]
-    anchor, docs = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    """Answers whether an anchor has two documents or more, in one blob or several.
+
+    A blob has each anchor's distance from the one before, twice, plus one if several of its documents have it.
+    """
+    parts = [unpacked(b, 1) for b in blobs]
+    anchor = np.concatenate([np.cumsum(p[0] >> np.uint64(1), dtype=np.uint64) for p in parts])
+    docs = np.concatenate([(p[0] & np.uint64(1)) + np.uint64(1) for p in parts])
     order, new = groups_of([anchor])
     total = np.add.reduceat(docs[order], np.flatnonzero(new))[np.cumsum(new) - 1]
     out = np.empty(len(order), dtype=bool)
@@ -319,13 +339,15 @@ class Segments:
     def triple_keys(self, n_buckets: int) -> tuple[np.ndarray, np.ndarray, Keys]:
         bases = self.bases()
         at = np.unique(np.concatenate([bases, bases + 3 * STEP]))
-        return bases, at, Keys([self.eight[at], self.eight[at + 8], self.bytes_at(at + 16, 2)], n_buckets, 3)
+        columns = [self.eight[at], self.eight[at + 8], self.bytes_at(at + 16, 2)]
+        return bases, at, Keys(columns, bucket_of(columns, n_buckets))
 
     def name_keys(self, n_buckets: int, triples: list | None) -> tuple[np.ndarray, Keys]:
         bases, at, keys = self.triple_keys(n_buckets)
         name = names(triples, keys, 1)[0][keys.place]
         one, two = name[np.searchsorted(at, bases)], name[np.searchsorted(at, bases + 3 * STEP)]
-        return bases, Keys([one, two, self.eight[bases + 36], self.bytes_at(bases + 44, 6)], n_buckets, 2)
+        columns = [one, two, self.eight[bases + 36], self.bytes_at(bases + 44, 6)]
+        return bases, Keys(columns, bucket_of(columns[:2], n_buckets))  # prefixes that are named stay in one bucket
 
     def merge_keys(self, n_buckets: int, triples: list | None, named: list | None) -> tuple[np.ndarray, Keys]:
         """Rows (which window) and keys of the three ways in which windows meet."""
@@ -344,7 +366,7 @@ class Segments:
             np.concatenate([np.full(len(a), zero), self.bytes_at(at[b], STEP), self.eight[at[c]]]),
             np.concatenate([np.full(len(a), zero), np.full(len(b), zero), self.bytes_at(at[c] + 8, 4)]),
         ]
-        return np.concatenate([a, b, c]), Keys(columns, n_buckets, 4)
+        return np.concatenate([a, b, c]), Keys(columns, bucket_of(columns, n_buckets))
 
 
 # --- jobs ------------------------------------------------------------------
@@ -427,8 +449,11 @@ def repeated_spans(blocks: DataFrame, n: int) -> DataFrame:
         b = Block(ids, ends, text)
         windows, _, _ = split(b, answers)
         if len(windows):
-            anchor, keys = b.anchor_keys(windows, n)
-            yield from ((block, bucket, payload) for bucket, payload in keys.rows(document_counts(keys, b.doc[windows])))
+            _, doc, keys = b.anchors(windows, n)
+            counts = document_counts(keys, doc)
+            for a, z in keys.bounds():
+                step = np.diff(keys.columns[0][a:z], prepend=np.uint64(0))
+                yield block, int(keys.bucket[a]), packed(step * np.uint64(2) + counts[a:z] - np.uint64(1))
 
     def document_counts(keys: Keys, doc: np.ndarray) -> np.ndarray:
         """In how many documents of the block each key occurs, 2 standing for more."""
@@ -445,8 +470,8 @@ def repeated_spans(blocks: DataFrame, n: int) -> DataFrame:
         windows, gone_start, gone_end = split(b, phrase_answers)
         candidate = np.zeros(len(b.data), dtype=bool)
         if len(windows):
-            _, keys = b.anchor_keys(windows, n)
-            candidate[windows[bits(anchor_answers, keys)[keys.place]]] = True
+            run, _, keys = b.anchors(windows, n)
+            candidate[windows[bits(anchor_answers, keys)[keys.place][run]]] = True
         start, stop = spans_of(candidate)
         raw = b.data.tobytes()
         yield (
