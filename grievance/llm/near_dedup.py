@@ -4,9 +4,9 @@ Documents with equal shingle sets form a class, and one member stands for it.
 A node of a tree holds the representatives that agree in the minwise values
 along a path.  A tree's root node chooses one or two minwise positions and
 every value there makes a child; a node that is too large chooses positions
-by its own path and is split again.  Small nodes are compared exhaustively on
-sketches, and every pair that may reach the similarity is confirmed on the full
-sets.  Several independent trees bring the recall to its target.
+by its own path and is split again.  Small nodes are compared exhaustively: on
+sketches first, then all members with a likely partner on their full sets.
+Several independent trees bring the recall to its target.
 
 Large groups of copies do not make pairs of all their members: before any node
 is searched, each representative is confirmed against the one leader it shares
@@ -30,7 +30,7 @@ Defined cases
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -183,32 +183,58 @@ def split(rows: DataFrame) -> DataFrame:
     return rows.select("key", "id", "sketch").mapInArrow(run, "key long, id long")
 
 
-def _search_node(ids: np.ndarray, comps: np.ndarray, other: np.ndarray, first_block: bool, own: np.ndarray, every: bool) -> list[tuple[int, int]]:
-    """Pairs of a node of different components whose sketches agree enough: all, or the best of each member that is not of the main component."""
+def _partners(comps: np.ndarray, other: np.ndarray, first_block: bool, i: int) -> np.ndarray:
+    """Members that ``i``, one outside the main component, is compared with: those of other components, each pair in one block."""
+    may = comps != comps[i]
+    if not first_block:
+        may &= ~other
+    return np.flatnonzero(may)
+
+
+def _promising(comps: np.ndarray, other: np.ndarray, first_block: bool, own: np.ndarray) -> np.ndarray:
+    """Members of a node whose sketch agrees enough with that of a member of another component."""
+    found = np.zeros(len(comps), dtype=bool)
+    for i in np.flatnonzero(other):
+        at = _partners(comps, other, first_block, i)
+        hit = at[(own[at] == own[i]).sum(axis=1) >= MIN_ESTIMATE * VALUES]
+        found[hit] = True
+        found[i] |= len(hit) > 0
+    return found
+
+
+def _links(ids: np.ndarray, comps: np.ndarray, other: np.ndarray, first_block: bool, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of a node on full sets, as many as it takes to join its components."""
+    sizes = np.array([len(x) for x in sets])
+    tokens, token = np.unique(np.concatenate(sets), return_inverse=True)
+    cut = np.concatenate([[0], np.cumsum(sizes)])
+    has = np.zeros(len(tokens), dtype=bool)
+    comps = comps.copy()
     found = []
     for i in np.flatnonzero(other):
-        may = comps != comps[i]
-        if not first_block:
-            may &= ~other
-        if every:
-            may &= ~other | (np.arange(len(ids)) < i)
-        at = np.flatnonzero(may)
-        if len(at):
-            same = (own[at] == own[i]).sum(axis=1)
-            hit = same >= MIN_ESTIMATE * VALUES
-            if not every and hit.any():
-                hit = np.arange(len(at)) == same.argmax()
-            found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in at[hit]]
+        if not len(_partners(comps, other, first_block, i)):
+            continue
+        mine = token[cut[i] : cut[i + 1]]
+        has[mine] = True
+        both = np.add.reduceat(has[token], cut[:-1], dtype=np.int64)
+        has[mine] = False
+        near = 100 * both >= percent * (sizes + sizes[i] - both)
+        for j in _partners(comps, other, first_block, i):
+            if near[j] and comps[j] != comps[i]:
+                found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                comps[comps == comps[j]] = comps[i]
     return found
 
 
-def search(nodes: DataFrame, labels: DataFrame | None, reps: DataFrame, every: bool) -> DataFrame:
-    """Candidate pairs ``a, b`` of different components that share a node small enough to compare.
+def search(nodes: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``a, b`` between different components, from all nodes that are small enough to compare.
 
     ``nodes`` has ``key, id``; ``labels`` the components found so far.  Nodes
-    of one component are dropped, large ones split by their path.
+    of one component are dropped, large ones split by their path.  In a small
+    node, members whose sketch is near that of another component's member
+    are compared on full sets; a node gives at most as many links as members.
     """
-    out: DataFrame | None = None
+    dealt_schema = "key long, block long, id long, comp long, other boolean"
+    parts: DataFrame | None = None
     for depth in range(DEPTH + 1):
         members = nodes.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
         members = staged(members, "members")
@@ -228,46 +254,57 @@ def search(nodes: DataFrame, labels: DataFrame | None, reps: DataFrame, every: b
             "key", "id", "comp", other.alias("other"),
             F.explode(F.when(other, F.sequence(F.lit(0).cast("long"), last)).otherwise(F.array(F.pmod(F.xxhash64("id"), F.col("blocks"))))).alias("block"),
         )
-        pairs = _compare(dealt.join(reps.select("id", "sketch"), "id"), every)
-        pairs = staged(pairs.distinct(), "candidates")
-        out = pairs if out is None else out.unionByName(pairs)
+
+        def promising(pdf: pd.DataFrame) -> pd.DataFrame:
+            own = np.frombuffer(b"".join(pdf["data"]), dtype=np.uint16).reshape(-1, VALUES)
+            hit = _promising(pdf["comp"].to_numpy(), pdf["other"].to_numpy(), bool(pdf["block"].iloc[0] == 0), own)
+            return pdf.loc[hit, ["key", "block", "id", "comp", "other"]]
+
+        sketched = dealt.join(reps.select("id", F.col("sketch").alias("data")), "id")
+        found = staged(_by_node(sketched, promising, dealt_schema), "promising")
+        parts = found if parts is None else parts.unionByName(found)
         if stats.filter("NOT small").isEmpty():
             break
         large = rows.filter("NOT small").select("key", "id").join(reps.select("id", "sketch"), "id").select("key", "id", "sketch")
         nodes = staged(split(large).distinct(), "children")
-    return out.distinct()
 
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in pdf["data"]]
+        pairs = _links(pdf["id"].to_numpy(), pdf["comp"].to_numpy(), pdf["other"].to_numpy(), bool(pdf["block"].iloc[0] == 0), sets, percent)
+        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+    sets = document_sets(docs, staged(parts.select("id").distinct(), "wanted")).withColumnRenamed("shingles", "data")
+    small = parts.count() <= BROADCAST_IDS
+    return _by_node(sets.join(F.broadcast(parts) if small else parts, "id"), link, "a long, b long").distinct()
 
-def _compare(rows: DataFrame, every: bool) -> DataFrame:
-    """The pairs of each (node, block); rows stream in node by node."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pd.DataFrame] = []
 
-        def pairs(pdf: pd.DataFrame) -> list[tuple[int, int]]:
-            own = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint16).reshape(-1, VALUES)
-            return _search_node(pdf["id"].to_numpy(), pdf["comp"].to_numpy(), pdf["other"].to_numpy(), bool(pdf["block"].iloc[0] == 0), own, every)
+def _by_node(rows: DataFrame, one: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``one`` applied to the rows of each (node, block): rows stream in node by node, and one node is held."""
+    names = [f.strip().split(" ")[0] for f in schema.split(",")]
 
-        def emit(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pd.DataFrame | None = None
+
+        def emit(parts: list[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
+            parts = [p for p in parts if len(p)]
+            if parts:
+                yield pa.RecordBatch.from_pandas(pd.concat(parts)[names], preserve_index=False)
 
         for batch in batches:
             pdf = batch.to_pandas()
-            if held:
-                pdf = pd.concat([*held, pdf], ignore_index=True)
+            if held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
             if not len(pdf):
                 continue
             key, block = pdf["key"].to_numpy(), pdf["block"].to_numpy()
             cut = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])]))
-            found: list[tuple[int, int]] = []
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                found += pairs(pdf.iloc[a:b])
-            held = [pdf.iloc[cut[-1] :]]
-            yield emit(found)
-        if held:
-            yield emit(pairs(held[0]))
+            yield from emit([one(pdf.iloc[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)])
+            held = pdf.iloc[cut[-1] :]
+        if held is not None:
+            yield from emit([one(held)])
 
-    dealt = rows.select("key", "block", "id", "comp", "other", "sketch").repartition("key", "block").sortWithinPartitions("key", "block", "id")
-    return dealt.mapInArrow(run, "a long, b long")
+    columns = ["key", "block", "id", "comp", "other", "data"]
+    return rows.select(*columns).repartition("key", "block").sortWithinPartitions("key", "block", "id").mapInArrow(run, schema)
 
 
 def label_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,10 +318,8 @@ def label_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     nodes = first_nodes(reps)
     links = staged(confirm(leader_pairs(nodes), docs), "links")
-    labels = components(links)
-    for every in (False, True):
-        links = staged(links.unionByName(confirm(search(nodes.select("key", "id"), labels, reps, every), docs)), "links")
-        labels = components(links)
+    more = search(nodes.select("key", "id"), components(links), reps, docs)
+    labels = components(staged(links.unionByName(more), "links"))
     named = reps.join(labels, "id", "left").select(*same, F.coalesce("component", "id").alias("class"))
     slim = rows.select("doc_id", *same)
     found = slim.join(named, same, "left")
