@@ -38,28 +38,38 @@ def null_if_na_token(c: ColumnOrName, tokens: tuple[str, ...] = NA_TOKENS) -> Co
     return F.when(~c.isin(*tokens), c)
 
 
+# Time of day as text: hours and minutes, optional seconds and fraction.
+_CLOCK = r"([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d([.]\d+)?)?"
+_ISO_TEXT = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}([T ]{_CLOCK} ?(Z|[+-]\d{{2}}:?\d{{2}})?)?$"
+_US_TEXT = rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}( {_CLOCK}( ?[AaPp][Mm])?)?$"
+_NUMBER_TEXT = r"^[+-]?(\d+([.]\d*)?|[.]\d+)([eE][+-]?\d{1,3})?$"
+
+
 def lenient_date(c: ColumnOrName) -> Column:
-    """Parse month/day/year or ISO text, either optionally with a time, to DATE; unparseable text gives NULL.
+    """Month/day/year or ISO text to DATE; text that is no date, or has no valid time of day, gives NULL.
 
-    The spelling is recognised by a cheap character test so each value is
-    parsed once, with the one pattern that can match it.
+    Surrounding blanks do not matter.  A time may follow, with optional
+    seconds and fraction, AM/PM (month/day/year) or a zone (ISO); the date is
+    taken as written.  A value is parsed once, with the pattern of its spelling.
     """
-    c = _col(c)
-    slash, space, tee = c.contains("/"), c.contains(" "), c.contains("T")
+    c = F.btrim(_col(c))
+    day = F.regexp_extract(c, "^[0-9/-]+", 0)
     return (
-        F.when(slash & space, F.try_to_timestamp(c, F.lit("M/d/yyyy H:mm:ss")))
-        .when(slash, F.try_to_timestamp(c, F.lit("M/d/yyyy")))
-        .when(tee, F.try_to_timestamp(c, F.lit("yyyy-M-d'T'H:mm:ss")))
-        .when(space, F.try_to_timestamp(c, F.lit("yyyy-M-d H:mm:ss")))
-        .otherwise(F.try_to_timestamp(c, F.lit("yyyy-M-d")))
+        F.when(c.rlike(_ISO_TEXT), F.try_to_timestamp(day, F.lit("yyyy-M-d")))
+        .when(c.rlike(_US_TEXT), F.try_to_timestamp(day, F.lit("M/d/yyyy")))
         .cast("date")
     )
 
 
 def lenient_bigint(c: ColumnOrName) -> Column:
-    """Numeric text to BIGINT: integers exactly, decimals truncated, junk to NULL."""
-    c = _col(c)
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+    """Decimal number text to BIGINT: integers exactly, fractions truncated, anything else to NULL.
+
+    Only plain decimal or exponent notation counts: type suffixes (``123d``)
+    and hexadecimal text are junk, not numbers.
+    """
+    c = F.btrim(_col(c))
+    exact = F.coalesce(c.try_cast("bigint"), c.try_cast("decimal(38,10)").try_cast("bigint"))
+    return F.when(c.rlike(_NUMBER_TEXT), F.coalesce(exact, c.try_cast("double").try_cast("bigint")))
 
 
 def zip5(c: ColumnOrName) -> Column:

@@ -23,6 +23,9 @@ FIXTURE_STATES: tuple[str, ...] = (
     "DC", "MN", "OR", "PA", "CO", "VI", "MI", "NC", "HI", "NJ", "", "AK",
 )
 
+# Order dates are moved by so many years, a multiple of four that keeps leap days, into the calendar dimension.
+FIXTURE_YEARS = 16
+
 # Columns that stand in for "position in file" when several rows share an id:
 # the greatest tuple is the last record.
 FIXTURE_ORDER: tuple[str, ...] = ("_ord_partkey", "_ord_suppkey", "_ord_price", "_ord_qty", "_ord_ship")
@@ -60,7 +63,7 @@ def fixture_complaints(spark: SparkSession, sf_dir: str, with_order: bool = True
     )
 
     lk, ln, pk, sk = (F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"))
-    odate = F.col("o_orderdate").cast("date")
+    odate = F.add_months(F.col("o_orderdate").cast("date"), 12 * FIXTURE_YEARS)
     cust = F.col("o_custkey")
     prio = F.col("o_orderpriority")
 
@@ -112,16 +115,26 @@ def fixture_complaints(spark: SparkSession, sf_dir: str, with_order: bool = True
 
 
 # Fixture shaping for the text (CSV) path: how a NULL field is spelled.
-TEXT_NULL_SPELLINGS: tuple[str, ...] = ("", "N/A", "NaN")
+TEXT_NULL_SPELLINGS: tuple[str, ...] = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+)
+# How some dates are spelled: text before and after the ISO date (the last two: after month/day/year).
+TEXT_DATE_SPELLINGS: tuple[tuple[str, str], ...] = (
+    (" ", ""), ("", "  "), ("", " 10:11:12.5"), ("", "T10:11:12Z"), ("", " 10:11"), ("", "T23:59:59+02:00"), ("", " 25:00:00"),
+    (" ", " 10:11 AM"), ("", " 1:02:03 PM"),
+)
 
 
 def fixture_text(raw: DataFrame, extra_column: bool = True) -> DataFrame:
     """Render typed raw complaints as CSV-style text under the human headers,
     in the extract's column order.
 
-    Dates alternate between month/day/year and ISO spelling, some ids carry a
-    '.0' suffix (float-looking) or are junk, some dates are junk, and NULLs are
-    spelled with one of several missing-value tokens.  With ``extra_column``
+    Dates alternate between month/day/year and ISO spelling, some with blanks
+    around them or a time of day behind them; some ids carry a '.0' suffix
+    (float-looking) or are junk (letters, type suffixes, hexadecimal text),
+    some dates are junk, and NULLs are spelled with one of the missing-value
+    tokens.  With ``extra_column``
     a column that the normaliser must drop is appended.
     """
     cid = F.col("complaint_id")
@@ -132,12 +145,19 @@ def fixture_text(raw: DataFrame, extra_column: bool = True) -> DataFrame:
 
     def text_date(c: str) -> Column:
         d = F.col(c)
-        spelled = F.when(line % 2 == 1, F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "yyyy-MM-dd"))
+        us, iso = F.date_format(d, "MM/dd/yyyy"), F.date_format(d, "yyyy-MM-dd")
+        plain = F.when(line % 2 == 1, us).otherwise(iso)
+        spelled = F.when(order % 7 != 0, plain)
+        for i, (before, after) in enumerate(TEXT_DATE_SPELLINGS):
+            kind = us if after.endswith("M") else iso
+            spelled = spelled.when(order % len(TEXT_DATE_SPELLINGS) == i, F.concat(F.lit(before), kind, F.lit(after)))
         return F.when(d.isNull(), null_word).when(order % 83 == 0, F.lit("unknown date")).otherwise(spelled)
 
     def text_id() -> Column:
         return (
             F.when(order % 89 == 0, F.concat(F.lit("ID"), cid.cast("string")))
+            .when(order % 89 == 1, F.concat(cid.cast("string"), F.element_at(F.array(F.lit("d"), F.lit("F"), F.lit("L")), (line % 3 + 1).cast("int"))))
+            .when(order % 89 == 2, F.concat(F.lit("0x"), cid.cast("string")))
             .when(line == 4, F.concat(cid.cast("string"), F.lit(".0")))
             .otherwise(cid.cast("string"))
         )

@@ -68,6 +68,19 @@ def test_lenient_bigint(spark):
     assert one_col(spark, ["1", "2.7", "abc", None, " 42"], X.lenient_bigint) == [1, 2, None, None, 42]
 
 
+def test_junk_numbers_are_not_ids(spark):
+    texts = ["123d", "123f", "45D", "0x1p3", "0x10", "9007199254740993.0", "1e3", "-4.9", "1_000", "NaN", "Infinity", ".5", "5."]
+    assert one_col(spark, texts, X.lenient_bigint) == [None] * 5 + [9007199254740993, 1000, -4, None, None, None, 0, 5]
+
+
+def test_dates_with_blanks_times_and_zones(spark):
+    import datetime
+
+    texts = [" 2013-07-29", "2013-07-29 ", "07/29/2013 ", "2013-07-29 10:11:12.5", "2013-07-29T10:11:12Z", "2013-07-29 10:11", "7/29/2013 10:11 AM"]
+    assert one_col(spark, texts, X.lenient_date) == [datetime.date(2013, 7, 29)] * len(texts)
+    assert one_col(spark, ["2013-07-29 25:00", "2013-07-29x", "29.07.2013", "2013-13-01"], X.lenient_date) == [None] * 4
+
+
 def test_lenient_date(spark):
     got = one_col(spark, ["07/29/2013", "2013-07-29", "7/9/2013", "bad", None, "07/29/2013 13:05:00",
                           "2013-07-29T08:00:00", "2013-07-29 08:00:00", "02/30/2013"], X.lenient_date)
