@@ -3,12 +3,15 @@
 The batch schedule's "wait for the file, then load it" becomes a file-source
 stream run with ``availableNow``: every run picks up exactly the files that
 arrived since the previous one (the checkpoint records which were taken).
-Each micro-batch is normalised and written to its own ``batch_id=<n>``
-folder of an append-only bronze table; the write overwrites that folder, so
-a micro-batch replayed after a failure replaces its output instead of
-duplicating it.  The raw table is the last record per complaint id over all
-bronze rows, ordered by (micro-batch, file arrival, file, position): a later
-extract wins, which is the upsert rule of the load.
+Each micro-batch is normalised and written to its own
+``ingest_id=<checkpoint id>/batch_id=<n>`` folder of an append-only bronze
+table; the write overwrites that folder, so a micro-batch replayed after a
+failure replaces its output instead of duplicating it.  The id is the one Spark
+stores in the checkpoint: a new or lost checkpoint counts batches from 0
+again, but in folders of its own, and history stays.  The raw table is the
+last record per complaint id over all bronze rows, ordered by (file arrival,
+micro-batch, file, position): a later extract wins, which is the upsert rule of
+the load.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from grievance.operators.raw import keep_last, normalise
 from grievance.schemas import CSV_TEXT_SCHEMA, RAW_COLUMNS
 
 FILE_COLUMNS = ("_file_mtime", "_file", "_block")
-BRONZE_ORDER = ("batch_id", "_file_mtime", "_file", "_block", "_row")
+BRONZE_ORDER = ("_file_mtime", "batch_id", "_file", "_block", "_row")
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, pattern: str = "*complaints*.csv",
@@ -52,11 +55,12 @@ def landing_stream(spark: SparkSession, landing_dir: str, pattern: str = "*compl
     )
 
 
-def _writer(bronze_path: str):
+def _writer(bronze_path: str, checkpoint_path: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        ingest_id = batch.sparkSession.read.schema("id string").json(f"{checkpoint_path}/metadata").first()["id"]
         rows = batch.withColumn("_row", F.monotonically_increasing_id())
         out = normalise(rows, keep=FILE_COLUMNS + ("_row",))
-        out.write.mode("overwrite").parquet(f"{bronze_path}/batch_id={batch_id}")
+        out.write.mode("overwrite").parquet(f"{bronze_path}/ingest_id={ingest_id}/batch_id={batch_id}")
 
     return write_batch
 
@@ -66,7 +70,7 @@ def ingest_available(spark: SparkSession, landing_dir: str, bronze_path: str, ch
     """Append every not-yet-ingested landing file to bronze, then stop."""
     q = (
         landing_stream(spark, landing_dir, pattern)
-        .writeStream.foreachBatch(_writer(bronze_path))
+        .writeStream.foreachBatch(_writer(bronze_path, checkpoint_path))
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
@@ -81,8 +85,8 @@ def current_raw(spark: SparkSession, bronze_path: str) -> DataFrame:
     return keep_last(bronze, "complaint_id", BRONZE_ORDER).select(*RAW_COLUMNS)
 
 
-def new_raw_since(spark: SparkSession, bronze_path: str, after_batch: int) -> DataFrame:
-    """Last record per id among micro-batches after ``after_batch`` only.
+def new_raw_since(spark: SparkSession, bronze_path: str, after_batch: int, ingest_id: str | None = None) -> DataFrame:
+    """Last record per id among micro-batches after ``after_batch`` only (of one checkpoint, if ``ingest_id`` names it).
 
     ``batch_id`` is a partition column of bronze, so the filter prunes whole
     folders: the work grows with the newly ingested data, not the history.
@@ -90,4 +94,6 @@ def new_raw_since(spark: SparkSession, bronze_path: str, after_batch: int) -> Da
     (``run(spark, new_raw_since(...), output, existing_raw=<current raw>)``).
     """
     bronze = spark.read.parquet(bronze_path).filter(F.col("batch_id") > F.lit(after_batch))
+    if ingest_id is not None:
+        bronze = bronze.filter(F.col("ingest_id") == F.lit(ingest_id))
     return keep_last(bronze, "complaint_id", BRONZE_ORDER).select(*RAW_COLUMNS)

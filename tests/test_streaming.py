@@ -38,6 +38,17 @@ def test_incremental_ingest(spark, scratch):
     assert raw == {1: "Mortgage", 2: "Loan", 3: "Auto"}
 
 
+def test_a_new_checkpoint_keeps_history(spark, scratch):
+    landing, bronze = f"{scratch}/landing_ck", f"{scratch}/bronze_ck"
+    now = time.time()
+    _file(f"{landing}/complaints_1.csv", [(1, "Mortgage"), (2, "Card")], now - 100)
+    ingest_available(spark, landing, bronze, f"{scratch}/ck_a")
+    os.remove(f"{landing}/complaints_1.csv")
+    _file(f"{landing}/complaints_2.csv", [(2, "Loan"), (3, "Auto")], now - 50)
+    ingest_available(spark, landing, bronze, f"{scratch}/ck_b")
+    assert {r.complaint_id: r.product for r in current_raw(spark, bronze).collect()} == {1: "Mortgage", 2: "Loan", 3: "Auto"}
+
+
 def test_misaligned_header_fails_loudly(spark, scratch):
     import pytest
 
