@@ -32,12 +32,13 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 10
     The initial shuffle width gives each reducer about ``target_partition_bytes``
     of the input.  That is an upper bound: every wide step is an aggregation,
     a keep-last or a join with a smaller side, and carries only its pruned
-    columns.  The width is capped at 100k, beyond which per-map-task block
-    bookkeeping costs more than it saves.  AQE then coalesces small partitions
+    columns.  The width has no cap: a reducer's share stays the same at any
+    size (raise ``target_partition_bytes`` where so many map outputs cost too
+    much bookkeeping).  AQE then coalesces small partitions
     toward the advisory size and splits skewed join partitions, so reducers
     neither spill heavily nor sit idle.
     """
-    parts = min(100_000, max(200, -(-input_bytes // target_partition_bytes)))
+    parts = max(200, -(-input_bytes // target_partition_bytes))
     size = str(target_partition_bytes)
     return {
         **RECOMMENDED_CONF,
@@ -70,6 +71,13 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``, from the file system's own summary."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(files.getContentSummary(hadoop).getLength()) if files.exists(hadoop) else 0
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; ``None`` for a Spark Connect session."""
     try:
@@ -111,12 +119,3 @@ def parallelism(spark: SparkSession) -> int:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared base for one write."""
     return f"{shared_base(spark)}/grievance/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared folder.
-
-    Used when several branches of one plan consume the same derived frame.
-    """
-    shared_base(df.sparkSession)
-    return df.checkpoint(eager=True)

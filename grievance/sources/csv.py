@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,10 @@ def _discovered(spark: SparkSession, base_path: str, pattern: str, multi_line: b
             .option("pathGlobFilter", pattern)
             .csv(base_path)
         )
-    except Exception as exc:  # Spark raises when the folder holds no matching file
-        raise FileNotFoundError(f"no file matching '{pattern}' under {base_path}") from exc
+    except AnalysisException as exc:
+        if exc.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise FileNotFoundError(f"no file matching '{pattern}' under {base_path}") from exc
+        raise
 
 
 def discover_complaint_files(spark: SparkSession, base_path: str, pattern: str = DEFAULT_PATTERN) -> list[str]:
@@ -73,17 +76,20 @@ def read_complaints_csv(spark: SparkSession, paths: str | list[str], multi_line:
 
 
 def scan_complaints(spark: SparkSession, base_path: str, pattern: str = DEFAULT_PATTERN,
-                    select: str = "first", multi_line: bool = True) -> DataFrame:
-    """Discover then scan: the first matching file (default) or all of them.
+                    select: str = "all", multi_line: bool = True) -> DataFrame:
+    """Discover then scan every matching file, in the order of their names.
 
-    Loading all files reuses the discovery scan (one header read, not two).
+    ``select="single"`` is for feeds that deliver one file: several matches
+    are an error, never a choice.  All files are read by the discovery scan.
     """
+    if select not in ("all", "single"):
+        raise ValueError(f"select must be 'all' or 'single', not {select!r}")
     found = _discovered(spark, base_path, pattern, multi_line)
     files = sorted(found.inputFiles())
     if not files:
         raise FileNotFoundError(f"no file matching '{pattern}' under {base_path}")
-    if select == "first":
-        return read_complaints_csv(spark, files[:1], multi_line)
+    if select == "single" and len(files) > 1:
+        raise ValueError(f"{len(files)} files match '{pattern}' under {base_path}, one was expected: {files[:5]}")
     return _with_position(found)
 
 
