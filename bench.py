@@ -73,13 +73,14 @@ def main() -> None:
     dp = read_table(spark, base, "dim_product")
     dc = read_table(spark, base, "dim_company")
     dg = read_table(spark, base, "dim_geography")
+    dd = read_table(spark, base, "dim_date")
     reports = {
         "complaints_by_product": lambda: R.complaints_by_product(fact, dp),
         "timely_rate": lambda: R.timely_rate(fact, dp),
         "dispute_rate": lambda: R.dispute_rate(fact, dp),
         "geo_concentration": lambda: R.geo_concentration(fact, dg),
         "complaints_by_company": lambda: R.complaints_by_company(fact, dc),
-        "complaints_by_year": lambda: R.complaints_by_year(fact),
+        "complaints_by_year": lambda: R.complaints_by_year(fact, dd),
         "complaints_by_channel": lambda: R.complaints_by_channel(fact),
         "timeliness_distribution": lambda: R.timeliness_distribution(fact),
         "response_time": lambda: R.response_time(fact, dp),

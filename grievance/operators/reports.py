@@ -104,22 +104,29 @@ def geo_concentration(fact: DataFrame, geographies: DataFrame) -> DataFrame:
     )
 
 
-def complaints_by_company(fact: DataFrame, companies: DataFrame, top: int = 10) -> DataFrame:
-    """R6: the ``top`` companies by complaint count (ties broken by name).
+def complaints_by_company(fact: DataFrame, companies: DataFrame, top: int | None = None) -> DataFrame:
+    """R6: complaints per company, most first (ties by name); with ``top`` only so many companies.
 
-    ``orderBy().limit()`` plans as a per-partition top-k merged at the end:
-    no partition ever sorts or ships more than ``top`` rows.
+    With ``top``, ``orderBy().limit()`` plans as a per-partition top-k merged
+    at the end: no partition ever sorts or ships more than ``top`` rows.
     """
     agg = _by_key_then_attribute(fact, "company_sk", companies, "company_name",
                                  {"n_complaints": F.count(F.lit(1))})
-    return agg.orderBy(F.col("n_complaints").desc(), F.col("company_name").asc_nulls_last()).limit(top)
+    ordered = agg.orderBy(F.col("n_complaints").desc(), F.col("company_name").asc_nulls_last())
+    return ordered if top is None else ordered.limit(top)
 
 
-def complaints_by_year(fact: DataFrame) -> DataFrame:
-    """R6: complaints per calendar year received (the date dimension's ``year``)."""
-    return fact.groupBy(F.year("date_received").alias("year")).agg(
-        F.count(F.lit(1)).alias("n_complaints"),
-        F.count(F.when(F.col("has_narrative_flag"), 1)).alias("n_with_narrative"),
+def complaints_by_year(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """R6: complaints per calendar year of the date dimension.
+
+    Counted per day first, so the join is of two small sides; days outside the
+    dimension are counted under a NULL year.
+    """
+    per_day = fact.groupBy(F.col("date_received_sk").alias("date_sk")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("has_narrative_flag"), 1)).alias("n_narrative")
+    )
+    return per_day.join(dates.select("date_sk", "year"), "date_sk", "left").groupBy("year").agg(
+        F.sum("n").cast("bigint").alias("n_complaints"), F.sum("n_narrative").cast("bigint").alias("n_with_narrative")
     )
 
 
@@ -164,13 +171,16 @@ def _monthly(fact: DataFrame) -> DataFrame:
 
 
 def monthly_growth(fact: DataFrame) -> DataFrame:
-    """R8: complaints per month with the previous calendar month and growth (%)."""
+    """R8: complaints per month with the previous calendar month and growth (%).
+
+    One pass over the fact: the previous row of the monthly counts (one row
+    per month) counts only if it is the calendar month before.
+    """
     m = _monthly(fact)
-    prev = m.select(
-        F.add_months("month_start", 1).alias("month_start"),
-        F.col("n_complaints").alias("n_prev_month"),
-    )
-    return m.join(prev, "month_start", "left").select(
+    by_month = Window.partitionBy().orderBy("month_start")
+    previous = F.lag("n_complaints").over(by_month)
+    adjacent = F.lag("month_start").over(by_month) == F.add_months("month_start", -1)
+    return m.select("month_start", "n_complaints", F.when(adjacent, previous).alias("n_prev_month")).select(
         "month_start",
         "n_complaints",
         "n_prev_month",

@@ -67,7 +67,7 @@ def test_reports_aggregate_before_the_join(spark, warehouse):
 
 def test_top_companies_is_a_topk(spark, warehouse):
     p = plan(R.complaints_by_company(read_table(spark, warehouse, "fact_complaints"),
-                                      read_table(spark, warehouse, "dim_company")))
+                                      read_table(spark, warehouse, "dim_company"), top=10))
     assert "TakeOrderedAndProject" in p
 
 

@@ -66,7 +66,7 @@ def main(sf_dir: str) -> None:
         "model tests (27)": Q.run_tests(models),
         "R1 complaints_by_product": R.complaints_by_product(t("fact_complaints"), dims[0]),
         "R4 geo_concentration": R.geo_concentration(t("fact_complaints"), dims[2]),
-        "R6 top-10 companies": R.complaints_by_company(t("fact_complaints"), dims[1]),
+        "R6 top-10 companies": R.complaints_by_company(t("fact_complaints"), dims[1], top=10),
         "R7 response_time": R.response_time(t("fact_complaints"), dims[0]),
     }
     print("| stage | " + " | ".join(c for c, _ in COLUMNS) + " |")
