@@ -31,7 +31,7 @@ REPORTS = {
     "dispute_rate": lambda t: R.dispute_rate(t("fact_complaints"), t("dim_product")),
     "geo_concentration": lambda t: R.geo_concentration(t("fact_complaints"), t("dim_geography")),
     "complaints_by_company": lambda t: R.complaints_by_company(t("fact_complaints"), t("dim_company")),
-    "complaints_by_year": lambda t: R.complaints_by_year(t("fact_complaints")),
+    "complaints_by_year": lambda t: R.complaints_by_year(t("fact_complaints"), t("dim_date")),
     "complaints_by_channel": lambda t: R.complaints_by_channel(t("fact_complaints")),
     "timeliness_distribution": lambda t: R.timeliness_distribution(t("fact_complaints")),
     "response_time": lambda t: R.response_time(t("fact_complaints"), t("dim_product")),
@@ -40,11 +40,20 @@ REPORTS = {
 }
 
 
-def _session():
+def _session(input_path: str | None = None):
+    """The submission's session; settings that follow from the size of the input are applied unless it set them."""
     from pyspark.sql import SparkSession
 
+    from grievance.session import cluster_conf, input_bytes
+
     # On a cluster the submission supplies master and resources.
-    return SparkSession.builder.appName("grievance").getOrCreate()
+    spark = SparkSession.builder.appName("grievance").getOrCreate()
+    if input_path:
+        given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+        for key, value in cluster_conf(input_bytes(spark, input_path)).items():
+            if key.startswith("spark.sql.") and key not in given:
+                spark.conf.set(key, value)
+    return spark
 
 
 def _source_args(parser: argparse.ArgumentParser) -> None:
@@ -52,25 +61,30 @@ def _source_args(parser: argparse.ArgumentParser) -> None:
     src.add_argument("--csv", help="folder searched recursively for extracts")
     src.add_argument("--tables", help="folder of benchmark Parquet tables")
     parser.add_argument("--pattern", default="*complaints*.csv")
-    parser.add_argument("--all-files", action="store_true", help="load every matching file, not only the first")
+    parser.add_argument("--single-file", action="store_true", help="expect one matching file; several are an error (default: load all)")
     parser.add_argument("--single-line", action="store_true",
                         help="extracts have no quoted line breaks: read each file in parallel splits")
     parser.add_argument("--upsert", action="store_true", help="merge into the existing raw table instead of replacing it")
 
 
 def _incoming(spark, a):
-    raw = (load_raw_from_csv(spark, a.csv, a.pattern, select="all" if a.all_files else "first",
+    raw = (load_raw_from_csv(spark, a.csv, a.pattern, select="single" if a.single_file else "all",
                              multi_line=not a.single_line)
            if a.csv else load_raw_from_tables(spark, a.tables))
     existing = None
     if a.upsert:
-        # Copy the current raw table into the shared folder first: the load rewrites that path.
-        from grievance.session import materialize
-
-        existing = materialize(read_table(spark, a.output, "consumer_complaints"))
+        existing = spark.read.parquet(D.table_path(a.output, "consumer_complaints"))
     return raw, existing
 
 
+def _preview(df, rows: int) -> None:
+    """The first rows of a result, and how many were left out."""
+    df.show(rows, truncate=False)
+    left_out = df.count() - rows
+    if left_out > 0:
+        _print({"rows_not_shown": left_out})
+
+
 def _print(obj) -> None:
     print(json.dumps(obj, default=str))
 
@@ -100,6 +114,8 @@ def main(argv: list[str] | None = None) -> int:
             sp.add_argument("--results", help="folder for check results")
         if name in ("run", "check-raw"):
             sp.add_argument("--suite", help="expectation-suite JSON to use instead of the built-in suite")
+            sp.add_argument("--upper-bounds", action="store_true",
+                            help="hold the load to the declared largest row count and id too (default: no upper bounds)")
         if name in ("run", "test"):
             sp.add_argument("--schema", action="append",
                             help="schema.yml with column tests to use instead of the built-in ones (repeatable)")
@@ -110,27 +126,29 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--pattern", default="*complaints*.csv")
 
-    rep = sub.add_parser("report", help="print a report from a built warehouse")
+    rep = sub.add_parser("report", help="a report from a built warehouse: whole to --to, or a preview")
     rep.add_argument("name", choices=sorted(REPORTS))
     rep.add_argument("--output", required=True)
-    rep.add_argument("--rows", type=int, default=50)
+    rep.add_argument("--to", metavar="PATH", help="write the whole report as CSV under PATH")
+    rep.add_argument("--rows", type=int, default=50, help="rows of the preview; the rest is counted")
 
     qh = sub.add_parser("quality-history", help="checks run, failed and warned per stored run")
     qh.add_argument("--results", required=True)
+    qh.add_argument("--rows", type=int, default=1000, help="rows of the preview; the rest is counted")
 
     a = p.parse_args(argv)
     from grievance.operators import quality as Q
     from grievance.sources.checks import model_tests_from_yml, suite_from_json
 
-    suite = suite_from_json(a.suite) if getattr(a, "suite", None) else Q.RAW_SUITE
+    suite = suite_from_json(a.suite) if getattr(a, "suite", None) else Q.RAW_SUITE if getattr(a, "upper_bounds", False) else None
     tests = (tuple(t for f in a.schema for t in model_tests_from_yml(f))
              if getattr(a, "schema", None) else Q.MODEL_TESTS)
-    spark = _session()
+    spark = _session(getattr(a, "csv", None) or getattr(a, "tables", None) or getattr(a, "landing", None) or getattr(a, "output", None))
     if a.cmd == "run":
         raw, existing = _incoming(spark, a)
         rep_ = run(spark, raw, a.output, existing_raw=existing, length_gate=a.gate, suite_gate=a.gate, tests_gate=a.gate,
                    results_path=a.results, register=a.register, suite=suite, tests=tests, bucket_raw=a.bucket_raw)
-        _print({"run_name": rep_.run_name, "timings": rep_.timings, "load": rep_.load_metrics,
+        _print({"run_name": rep_.run_name, "timings": rep_.timings, "load": rep_.load_metrics, "profile": rep_.profile,
                 "fact_rows": rep_.fact_rows, "volume": rep_.volume_status, "fact_strategy": rep_.fact_strategy,
                 "length_violations": len(rep_.length_violations), "expectations_failed": len(rep_.suite_failed),
                 "tests_failed": len(rep_.tests_failed), "tests_warned": len(rep_.tests_warned)})
@@ -156,9 +174,14 @@ def main(argv: list[str] | None = None) -> int:
 
         ingest_available(spark, a.landing, a.bronze, a.checkpoint, a.pattern)
     elif a.cmd == "quality-history":
-        R.quality_history(spark, a.results).orderBy("run_name", "family").show(1000, truncate=False)
+        _preview(R.quality_history(spark, a.results).orderBy("run_name", "family"), a.rows)
     else:
-        REPORTS[a.name](lambda n: read_table(spark, a.output, n)).show(a.rows, truncate=False)
+        report = REPORTS[a.name](lambda n: read_table(spark, a.output, n))
+        if a.to:
+            report.write.option("header", True).csv(a.to)
+            _print({"report": a.name, "written": a.to})
+        else:
+            _preview(report, a.rows)
     return 0
 
 

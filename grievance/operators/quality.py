@@ -19,7 +19,7 @@ reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -77,6 +77,13 @@ RAW_SUITE: tuple[Expectation, ...] = (
     Expectation("between", "complaint_id", mostly=0.99, min_value=1, max_value=99999999),
 )
 
+
+
+def without_upper_bounds(suite: Sequence[Expectation] = RAW_SUITE) -> tuple[Expectation, ...]:
+    """The suite without its largest row count and largest id: a load is not wrong for being large."""
+    return tuple(replace(e, max_value=None) if e.kind in ("row_count_between", "between") else e for e in suite)
+
+
 SUITE_SCHEMA = T.StructType([
     T.StructField("expectation_index", T.IntegerType()),
     T.StructField("expectation_type", T.StringType()),
@@ -119,6 +126,11 @@ def _row(idx: int, e: Expectation, observed=None, elements=None, unexpected=None
     )
 
 
+def _outside(c: Column, e: Expectation) -> Column:
+    below = c < F.lit(e.min_value) if e.min_value is not None else F.lit(False)
+    return below if e.max_value is None else below | (c > F.lit(e.max_value))
+
+
 def run_suite(df: DataFrame, suite: Sequence[Expectation] = RAW_SUITE) -> DataFrame:
     """Evaluate ``suite`` on ``df``: one row per expectation (``SUITE_SCHEMA``)."""
     cols = set(df.columns)
@@ -133,7 +145,7 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation] = RAW_SUITE) -> DataFr
             allowed = [v for v in e.value_set if v is not None]
             aggs += [F.count(c).alias(f"__nn{i}"), F.count(F.when(c.isNotNull() & ~c.isin(*allowed), 1)).alias(f"__u{i}")]
         elif e.kind == "between":
-            aggs += [F.count(c).alias(f"__nn{i}"), F.count(F.when(~c.between(e.min_value, e.max_value), 1)).alias(f"__u{i}")]
+            aggs += [F.count(c).alias(f"__nn{i}"), F.count(F.when(_outside(c, e), 1)).alias(f"__u{i}")]
     one = df.agg(*aggs)
 
     n = F.col("__n")
@@ -362,5 +374,5 @@ def enforce(results: DataFrame, success_col: str | None = None) -> None:
 
 
 def store_results(results: DataFrame, path: str, run_name: str) -> None:
-    """Append check results under a ``run_name`` partition (one folder per run)."""
-    results.withColumn("run_name", F.lit(run_name)).write.mode("append").partitionBy("run_name").parquet(path)
+    """Write a run's check results to its own ``run_name`` folder; a rerun of the name replaces them."""
+    results.write.mode("overwrite").parquet(f"{path}/run_name={run_name}")

@@ -110,8 +110,3 @@ def load_profile(raw: DataFrame) -> DataFrame:
         "distinct_products",
         F.round(F.try_divide(F.col("valid_dates") * 100.0, F.col("total_rows")), 6).alias("valid_date_pct"),
     )
-
-
-def with_audit(df: DataFrame, name: str = "loaded_at") -> DataFrame:
-    """Stamp rows with the load time (added at materialisation, never compared)."""
-    return df.withColumn(name, F.current_timestamp())

@@ -13,15 +13,17 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grievance.functions.sql_functions import register_sql_functions
 from grievance.operators import gold as G
 from grievance.operators import quality as Q
-from grievance.operators.raw import keep_last, merge_upsert, normalise, varchar_overflow
+from grievance.operators.raw import keep_last, load_profile, merge_upsert, normalise, varchar_overflow
 from grievance.operators.staging import stage_complaints
 from grievance.session import shared_path
 from grievance.sources.csv import FILE_ORDER, scan_complaints
@@ -62,20 +64,47 @@ def write_table(df: DataFrame, output: str, name: str, audit: bool = True) -> Da
     """Full-refresh a layer table (stamped with its load time), then return a
     DataFrame that reads it back without the stamp.
 
-    Spark's commit protocol makes the write retry-safe per task; the read-back
-    cuts lineage, so later failures recompute from this table only.
+    The table is written to a folder of its own beside the current one and
+    takes its place when it is whole: a failed write leaves the old table as
+    it was, and ``df`` may read the table it replaces.  The read-back cuts
+    lineage, so later failures recompute from this table only.
     """
     col = audit_column(name)
     if audit and col not in df.columns:
         df = df.withColumn(col, F.current_timestamp())
     path = table_path(output, name)
-    df.write.mode("overwrite").parquet(path)
+    fresh = f"{path}-new-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    _replace(df.sparkSession, fresh, path)
     back = df.sparkSession.read.parquet(path)
     return back.drop(col)
 
 
+def _replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``; the old folder goes last and returns if the new one cannot move."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, here, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, fresh.replace("-new-", "-old-")))
+    fs = here.getFileSystem(conf)
+    had = fs.exists(here)
+    if had and not fs.rename(here, old):
+        raise OSError(f"cannot replace {path}")
+    if not fs.rename(new, here):
+        if had:
+            fs.rename(old, here)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if had:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def register_catalog(spark: SparkSession, output: str) -> None:
-    """Expose the written layers as ``raw.*``, ``silver.*`` and ``gold.*`` tables."""
+    """Expose the written layers as ``raw.*``, ``silver.*`` and ``gold.*`` tables, and the rule functions to SQL.
+
+    Only tables that an earlier run registered are replaced; another table of the name is an error.
+    """
+    for name, layer in LAYERS.items():
+        if spark.catalog.tableExists(f"{layer}.{name}") and OWNER_PROPERTY not in _properties(spark, f"{layer}.{name}"):
+            raise RuntimeError(f"table {layer}.{name} exists and was not made by a run; it is left as it is")
     for layer, comment in LAYER_COMMENTS.items():
         spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {layer} COMMENT '{comment}' LOCATION '{output.rstrip('/')}/{layer}'"
@@ -84,7 +113,11 @@ def register_catalog(spark: SparkSession, output: str) -> None:
         if name == "consumer_complaints" and _bucketed_raw(spark, output) is not None:
             continue  # already a (bucketed) catalog table for this output
         spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-        spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{table_path(output, name)}'")
+        spark.sql(
+            f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{table_path(output, name)}' "
+            f"TBLPROPERTIES ('{OWNER_PROPERTY}' = '{output.rstrip('/')}')"
+        )
+    register_sql_functions(spark)
 
 
 OWNER_PROPERTY = "grievance.output"
@@ -93,13 +126,18 @@ OWNER_PROPERTY = "grievance.output"
 def _bucketed_raw(spark: SparkSession, output: str) -> DataFrame | None:
     """The raw table as a bucketed catalog table, if this session wrote one for ``output``."""
     name = "raw.consumer_complaints"
-    try:
-        if not spark.catalog.tableExists(name):
-            return None
-        props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    except Exception:  # no catalog access: fall back to the path
+    if not spark.catalog.tableExists(name):
         return None
-    return spark.table(name) if props.get(OWNER_PROPERTY) == output.rstrip("/") else None
+    ours = _properties(spark, name).get(OWNER_PROPERTY) == output.rstrip("/")
+    return spark.table(name) if ours and _bucketed(spark, name) else None
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def _bucketed(spark: SparkSession, name: str) -> bool:
+    return any(c.isBucket for c in spark.catalog.listColumns(name))
 
 
 def write_bucketed_raw(df: DataFrame, output: str, buckets: int) -> DataFrame:
@@ -143,6 +181,7 @@ class RunReport:
     volume_status: str | None = None
     fact_strategy: str | None = None
     raw_files: int | None = None
+    profile: dict = field(default_factory=dict)
 
     @property
     def load_metrics(self) -> dict:
@@ -181,7 +220,7 @@ def _stored(spark: SparkSession, results: DataFrame, path: str, run_name: str) -
 
 
 def load_raw_from_csv(spark: SparkSession, base_path: str, pattern: str = "*complaints*.csv",
-                      select: str = "first", multi_line: bool = True) -> DataFrame:
+                      select: str = "all", multi_line: bool = True) -> DataFrame:
     """Scan and normalise CSV extracts; keep the last record per complaint id by file position."""
     scanned = scan_complaints(spark, base_path, pattern, select=select, multi_line=multi_line)
     return keep_last(normalise(scanned, keep=FILE_ORDER), "complaint_id", FILE_ORDER)
@@ -216,20 +255,26 @@ def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None
         inc_path = shared_path(spark, "raw-increment")
         stamped.write.parquet(inc_path)
         incoming = merge_upsert(existing_raw, spark.read.parquet(inc_path))
+        if bucket_raw:  # a bucketed table is overwritten in place, so the merge is finished first
+            merged = shared_path(spark, "raw-merged")
+            incoming.write.parquet(merged)
+            incoming = spark.read.parquet(merged)
     if bucket_raw:
         return write_bucketed_raw(incoming, output, bucket_raw)
     return write_table(incoming, output, "consumer_complaints")
 
 
 def check_raw_step(spark: SparkSession, output: str, results_path: str | None = None,
-                   run_name: str | None = None, suite=Q.RAW_SUITE) -> tuple[list[dict], list[dict]]:
+                   run_name: str | None = None, suite=None) -> tuple[list[dict], list[dict]]:
     """Declared VARCHAR lengths and the expectation suite on the raw table.
 
     The two read the table independently, so both jobs are submitted
-    together.  Returns (length violations, one row per expectation).
+    together.  Returns (length violations, one row per expectation).  The
+    default suite has no upper bounds (``Q.RAW_SUITE`` has: pass it to hold a
+    load to the declared largest row count and id).
     """
     raw_t = read_table(spark, output, "consumer_complaints")
-    results = Q.run_suite(raw_t, suite)
+    results = Q.run_suite(raw_t, Q.without_upper_bounds() if suite is None else suite)
     if results_path:
         results = _stored(spark, results, f"{results_path}/expectations", run_name or _run_name())
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -289,14 +334,13 @@ def _run_name() -> str:
 def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataFrame | None = None,
         suite_gate: str = "raise", tests_gate: str = "raise", length_gate: str = "raise", fact_strategy: str = "auto",
         results_path: str | None = None, run_name: str | None = None, register: bool = False,
-        suite=Q.RAW_SUITE, tests=Q.MODEL_TESTS, bucket_raw: int | None = None) -> RunReport:
+        suite=None, tests=Q.MODEL_TESTS, bucket_raw: int | None = None) -> RunReport:
     """The whole daily run: load, check raw, build, test, volume gate.
 
     ``raw`` is the incoming load (one row per complaint id).  With
     ``existing_raw`` the load is an upsert (incoming rows win), otherwise a
-    full refresh.  ``existing_raw`` must not be a lazy read of the raw table
-    under ``output`` itself (Spark refuses to overwrite a path it is reading):
-    pass a checkpointed copy, as the command line does.  ``length_gate`` / ``suite_gate`` / ``tests_gate``:
+    full refresh; ``existing_raw`` may be the raw table under ``output``
+    itself, which is replaced only when the merged table is whole.  ``length_gate`` / ``suite_gate`` / ``tests_gate``:
     ``"raise"`` stops the run on a value longer than its declared VARCHAR
     length (the raw table would reject it) / a failed expectation / an
     error-severity test, as the daily schedule does; ``"warn"`` records and
@@ -325,6 +369,9 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     if report.suite_failed and suite_gate == "raise":
         raise Q.QualityGateError(f"expectation suite failed: {report.suite_failed}")
 
+    with clock("profile"):
+        report.profile = load_profile(read_table(spark, output, "consumer_complaints")).first().asDict()
+
     report.fact_strategy = build_step(spark, output, fact_strategy, report.timings)
 
     with clock("tests"):

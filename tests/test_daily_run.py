@@ -121,3 +121,46 @@ def test_bucketed_raw_same_results_no_shuffle(spark, sf_small, scratch):
     assert "Exchange hashpartitioning" not in buf.getvalue()
     # Path readers (another process) still see the same rows.
     assert spark.read.parquet(f"{out}/raw/consumer_complaints").count() == plain.raw_rows
+
+
+def test_a_failed_write_leaves_the_old_table_whole(spark, scratch):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from grievance.plans.daily import load_step, read_table, write_table
+
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "complaint_id long, product string")
+    write_table(old, scratch, "consumer_complaints")
+    broken = old.withColumn("product", F.when(F.col("complaint_id") == 2, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("product")))
+    with pytest.raises(Exception, match="lost"):
+        write_table(broken, scratch, "consumer_complaints")
+    assert read_table(spark, scratch, "consumer_complaints").count() == 2
+    more = spark.createDataFrame([(2, "new"), (3, "c")], "complaint_id long, product string")
+    load_step(more, scratch, existing_raw=read_table(spark, scratch, "consumer_complaints"))
+    got = {r.complaint_id: r.product for r in read_table(spark, scratch, "consumer_complaints").collect()}
+    assert got == {1: "a", 2: "new", 3: "c"}
+
+
+def test_results_of_a_rerun_replace_the_first(spark, scratch):
+    from grievance.operators.quality import store_results
+
+    rows = spark.createDataFrame([(1,), (2,)], "n long")
+    for _ in range(2):
+        store_results(rows, f"{scratch}/results", "20260101-000000-daily-validation")
+    assert spark.read.parquet(f"{scratch}/results").count() == 2
+
+
+def test_tables_of_others_are_not_dropped(spark, scratch):
+    import pytest
+
+    from grievance.plans.daily import register_catalog
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold")
+    spark.sql("DROP TABLE IF EXISTS gold.dim_date")
+    spark.sql("CREATE TABLE gold.dim_date USING parquet LOCATION '" + scratch + "/mine' AS SELECT 1 AS mine")
+    try:
+        with pytest.raises(RuntimeError, match="not made by a run"):
+            register_catalog(spark, scratch)
+        assert spark.table("gold.dim_date").count() == 1
+    finally:
+        spark.sql("DROP TABLE IF EXISTS gold.dim_date")

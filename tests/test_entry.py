@@ -16,7 +16,8 @@ def test_entry_flagship(spark, sf_small):
 
 
 def test_queries_and_oracle_keys():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E.catalog.QUERIES) == set(E.catalog.ORACLE) and set(E.catalog.QUERIES) <= set(E.queries())
 
 
 def test_survey_query_names_are_registered():
