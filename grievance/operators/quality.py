@@ -280,17 +280,34 @@ def not_null_failures(c: str) -> Column:
     return F.count(F.when(F.col(c).isNull(), 1))
 
 
-def accepted_values_failures(df: DataFrame, c: str, values: Sequence) -> DataFrame:
-    """One row, column ``failures``: distinct non-NULL values outside the list.
+def value_tests(df: DataFrame, tests: Sequence[ModelTest], models: dict[str, DataFrame]) -> DataFrame:
+    """All accepted-values and relationship tests of one model, in one scan of it.
 
-    A filtered single-column scan grouped by value: the predicate reaches
-    the Parquet reader and the shuffle carries one row per unexpected value
-    per partition (a ``count_distinct`` in the shared pass would instead
-    expand every row of the table once per distinct column).
+    The tested columns are turned into (column, value) counts, combined before
+    the shuffle, so a hot key is one row per partition and the join with the
+    parents' keys sees each value once.  Values and keys are compared as text.
     """
-    col = F.col(c)
-    bad = df.filter(col.isNotNull() & ~col.isin(*values)).groupBy(c).agg(F.count(F.lit(1)).alias("k"))
-    return bad.agg(F.count(F.lit(1)).alias("failures"))
+    columns = list(dict.fromkeys(t.column for t in tests))
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns])
+    counts = df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+    parents = [
+        models[t.to_model].select(F.lit(t.test_name).alias("test"), F.lit(t.column).alias("field"), F.col(t.to_field).cast("string").alias("value")).distinct()
+        for t in tests if t.kind == "relationships"
+    ]
+    found = counts.withColumn("tests", F.lit(None).cast("array<string>"))
+    if parents:
+        known = reduce(DataFrame.unionByName, parents).groupBy("field", "value").agg(F.collect_set("test").alias("tests"))
+        found = counts.join(known, ["field", "value"], "left")
+    failures = []
+    for t in tests:
+        mine = F.col("field") == F.lit(t.column)
+        if t.kind == "accepted_values":
+            failures.append(F.count(F.when(mine & ~F.col("value").isin(*[str(v) for v in t.values]), 1)))
+        else:
+            has = F.coalesce(F.array_contains("tests", t.test_name), F.lit(False))
+            failures.append(F.coalesce(F.sum(F.when(mine & ~has, F.col("n"))), F.lit(0)).cast("bigint"))
+    one = found.agg(*[f.alias(f"__f{j}") for j, f in enumerate(failures)])
+    return one.select(F.inline(F.array(*[_test_row(t, F.col(f"__f{j}")) for j, t in enumerate(tests)])))
 
 
 def unique_failures(df: DataFrame, c: str) -> DataFrame:
@@ -313,9 +330,15 @@ def duplicated_keys(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def relationship_orphans(child: DataFrame, c: str, parent: DataFrame, p: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (left-anti equi-join)."""
+    """Child rows whose non-NULL key has no parent row.
+
+    The orphan keys are found among the distinct keys, so a hot key is one row
+    there; the rows themselves then meet only orphan keys, which are few.
+    """
     keys = parent.select(F.col(p).alias("__parent_key"))
-    return child.filter(F.col(c).isNotNull()).join(keys, F.col(c) == F.col("__parent_key"), "left_anti")
+    used = child.select(F.col(c).alias("__key")).filter(F.col("__key").isNotNull()).distinct()
+    orphans = used.join(keys, F.col("__key") == F.col("__parent_key"), "left_anti")
+    return child.join(orphans, F.col(c) == F.col("__key"), "left_semi")
 
 
 def run_tests(models: dict[str, DataFrame], tests: Sequence[ModelTest] = MODEL_TESTS) -> DataFrame:
@@ -339,13 +362,11 @@ def run_tests(models: dict[str, DataFrame], tests: Sequence[ModelTest] = MODEL_T
         if t.kind == "unique":
             u = unique_failures(models[t.model], t.column)
             parts.append(u.select(F.inline(F.array(_test_row(t, F.col("failures"))))))
-        elif t.kind == "accepted_values":
-            a = accepted_values_failures(models[t.model], t.column, t.values)
-            parts.append(a.select(F.inline(F.array(_test_row(t, F.col("failures"))))))
-        elif t.kind == "relationships":
-            o = relationship_orphans(models[t.model], t.column, models[t.to_model], t.to_field)
-            parts.append(o.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.inline(F.array(_test_row(t, F.col("failures"))))))
+    by_value: dict[str, list[ModelTest]] = {}
+    for t in tests:
+        if t.kind in ("accepted_values", "relationships"):
+            by_value.setdefault(t.model, []).append(t)
+    parts += [value_tests(models[m], ts, models) for m, ts in by_value.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
