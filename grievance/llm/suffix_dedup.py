@@ -60,32 +60,35 @@ STEP = 6
 BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 16_000_000
 #: Answers of up to so many bytes are broadcast to the blocks, larger ones are joined by a shuffle.
-BROADCAST_BYTES = 64_000_000
+BROADCAST_BYTES = 16_000_000
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
 
 
 # --- arrays ----------------------------------------------------------------
 
-def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each ``size``-byte window, put together from windows of powers of two."""
+_BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def window_hashes(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """For each size a hash of every window of so many bytes, put together from windows of powers of two."""
     base = 0x9E37_79B9_7F4A_7C15
-    part = mix(data.astype(np.uint64) + np.uint64(1))
-    out, have, length = None, 0, 1
-    while size:
-        if size & 1:
-            if out is None:
-                out, have = part, length
-            else:
-                n = max(len(data) - have - length + 1, 0)
-                out = out[:n] * np.uint64(pow(base, length, 1 << 64)) + part[have : have + n]
-                have += length
-        size >>= 1
-        if size:
+    part, length = _BYTE_HASH[data], 1
+    out: list[tuple[np.ndarray | None, int]] = [(None, 0)] * len(sizes)
+    while length <= max(sizes):
+        for i, size in enumerate(sizes):
+            if size & length:
+                whole, have = out[i]
+                if whole is None:
+                    out[i] = (part, length)
+                else:
+                    n = max(len(data) - have - length + 1, 0)
+                    out[i] = (whole[:n] * np.uint64(pow(base, length, 1 << 64)) + part[have : have + n], have + length)
+        if 2 * length <= max(sizes):
             n = max(len(data) - 2 * length + 1, 0)
             part = part[:n] * np.uint64(pow(base, length, 1 << 64)) + part[length : length + n]
-            length *= 2
-    return mix(out)
+        length *= 2
+    return [mix(whole) for whole, _ in out]
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -122,8 +125,15 @@ def unpacked(blob: bytes, columns: int) -> np.ndarray:
 
 
 def groups_of(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorting order of rows by their columns, and where a new group of equal rows starts in it."""
-    order = np.argsort(columns[0]) if len(columns) == 1 else np.lexsort(columns[::-1])
+    """An order in which equal rows stand together, and where a new group starts in it.
+
+    Rows are sorted by the first two columns and a hash of the others.
+    """
+    if len(columns) == 1:
+        order = np.argsort(columns[0])
+    else:
+        rest = [mixed(columns[2:])] if len(columns) > 3 else columns[2:]
+        order = np.lexsort([*rest, columns[1], columns[0]])
     new = np.zeros(len(order), dtype=bool)
     new[:1] = True
     for c in columns:
@@ -132,11 +142,16 @@ def groups_of(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def bucket_of(columns: list[np.ndarray], n_buckets: int) -> np.ndarray:
+def mixed(columns: list[np.ndarray]) -> np.ndarray:
+    """A hash of each row."""
     h = np.zeros(len(columns[0]), dtype=np.uint64)
     for c in columns:
         h = mix(h * np.uint64(0x9E37_79B9_7F4A_7C15) + c)
-    return h % np.uint64(n_buckets)
+    return h
+
+
+def bucket_of(columns: list[np.ndarray], n_buckets: int) -> np.ndarray:
+    return mixed(columns) % np.uint64(n_buckets)
 
 
 class Keys:
@@ -144,7 +159,9 @@ class Keys:
 
     def __init__(self, columns: list[np.ndarray], bucket: np.ndarray):
         short = len(columns) == 1  # a key of 32 bits: bucket and key in one number
-        order, new = groups_of([(bucket << np.uint64(32)) | columns[0]] if short else [bucket, *columns])
+        # Numbers of 16 bits sort in linear time.
+        narrow = bucket.astype(np.uint16) if not len(bucket) or int(bucket.max()) < 1 << 16 else bucket
+        order, new = groups_of([(bucket << np.uint64(32)) | columns[0]] if short else [narrow, *columns])
         self.place = np.empty(len(order), dtype=np.int64)
         self.place[order] = np.cumsum(new) - 1
         first = order[new]
@@ -173,10 +190,11 @@ class Keys:
 class Block:
     """Documents joined in one array of bytes; positions are those of the array."""
 
-    def __init__(self, ids: list[int], ends: list[int], text: bytes):
+    def __init__(self, ids: list[int], ends: list[int], text: bytes, anchors: bool = False):
         self.ids = np.array(ids, dtype=np.int64)
         self.ends = np.array(ends, dtype=np.int64)
         self.data = np.frombuffer(text, dtype=np.uint8)
+        self.hashes = window_hashes(self.data, CUT_BYTES, ANCHOR) if anchors else window_hashes(self.data, CUT_BYTES)
         size = np.diff(np.concatenate([[0], self.ends]))
         self.doc = np.repeat(np.arange(len(self.ids)), size)
         #: Whether a window starts here and ends within its document.
@@ -185,7 +203,7 @@ class Block:
     def phrases(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the stretches of windows between cuts; a phrase has ``SPAN - 1`` bytes more."""
         cut = np.zeros(len(self.data), dtype=bool)
-        h = window_hashes(self.data, CUT_BYTES)
+        h = self.hashes[0]
         cut[: len(h)] = (h & np.uint64(CUT_EVERY - 1)) == 0
         begins = np.concatenate([[0], self.ends[:-1]])
         cut[begins[begins < len(self.data)]] = True
@@ -205,7 +223,7 @@ class Block:
 
         A key is 32 bits of the anchor next to the bucket; a chance equality only makes a candidate too many.
         """
-        least = sliding_least(window_hashes(self.data, ANCHOR), SPAN - ANCHOR + 1)[windows]
+        least = sliding_least(self.hashes[1], SPAN - ANCHOR + 1)[windows]
         doc = self.doc[windows]
         new = np.concatenate([[True], (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])])
         return np.cumsum(new) - 1, doc[new], Keys([least[new] >> np.uint64(32)], least[new] % np.uint64(n_buckets))
@@ -360,9 +378,9 @@ class Segments:
 
         a, b, c = np.flatnonzero(r > 0), np.flatnonzero(r < 2), np.flatnonzero(r != 1)
         zero = np.uint64(0)
+        way = [np.uint64(k << 62) for k in range(3)]  # names are far below
         columns = [
-            np.concatenate([np.full(len(x), k, dtype=np.uint64) for k, x in enumerate((a, b, c))]),
-            np.concatenate([of(n50, at[a]), of(n44, at[b] + STEP), of(n38, at[c] + 2 * STEP)]),
+            np.concatenate([of(n50, at[a]) | way[0], of(n44, at[b] + STEP) | way[1], of(n38, at[c] + 2 * STEP) | way[2]]),
             np.concatenate([np.full(len(a), zero), self.bytes_at(at[b], STEP), self.eight[at[c]]]),
             np.concatenate([np.full(len(a), zero), np.full(len(b), zero), self.bytes_at(at[c] + 8, 4)]),
         ]
@@ -446,7 +464,7 @@ def repeated_spans(blocks: DataFrame, n: int) -> DataFrame:
         return open_, start[gone], stop[gone] + SPAN - 1
 
     def ask_anchors(block, ids, ends, text, answers):
-        b = Block(ids, ends, text)
+        b = Block(ids, ends, text, anchors=True)
         windows, _, _ = split(b, answers)
         if len(windows):
             _, doc, keys = b.anchors(windows, n)
@@ -466,7 +484,7 @@ def repeated_spans(blocks: DataFrame, n: int) -> DataFrame:
     anchors = exchange(_map(known, [*texts, "phrases"], ask_anchors, _ASK, _ASK_TYPES), other_documents, "anchors")
 
     def cut_segments(block, ids, ends, text, phrase_answers, anchor_answers):
-        b = Block(ids, ends, text)
+        b = Block(ids, ends, text, anchors=True)
         windows, gone_start, gone_end = split(b, phrase_answers)
         candidate = np.zeros(len(b.data), dtype=bool)
         if len(windows):
@@ -506,7 +524,7 @@ def repeated_spans(blocks: DataFrame, n: int) -> DataFrame:
         yield from ((block, bucket, payload) for bucket, payload in keys.rows(keys.least(s.ids[row]).view(np.uint64)))
 
     with_names = with_answers(with_triples, named)
-    merged = exchange(_map(with_names, [*parts, "triples", "named"], ask_merge, _ASK, _ASK_TYPES), smaller_ids(4), "merged")
+    merged = exchange(_map(with_names, [*parts, "triples", "named"], ask_merge, _ASK, _ASK_TYPES), smaller_ids(3), "merged")
 
     def found(block, data, starts, sizes, ids, gone, triples_, named_, merged_):
         start, end = unpacked(gone, 2).astype(np.int64)
