@@ -61,7 +61,7 @@ DEPTH = 24
 #: Sets confirmed against the same set in one task.
 SHARE = 256
 #: Bytes of text that a worker hashes together.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 #: Ids are broadcast up to this number.
 BROADCAST_IDS = 1_000_000
 
@@ -79,6 +79,11 @@ def _batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = stop
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with a bounded number of rows."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column(1).to_pylist()]
 
@@ -135,7 +140,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFr
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, np.zeros(0, dtype=np.uint64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             found: list[tuple[int, int]] = []
             for a, kind, other, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
                 theirs = np.frombuffer(raw, dtype=np.uint64)
@@ -290,7 +295,7 @@ def _by_node(rows: DataFrame, one: Callable[[pd.DataFrame], pd.DataFrame], schem
             if parts:
                 yield pa.RecordBatch.from_pandas(pd.concat(parts)[names], preserve_index=False)
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             pdf = batch.to_pandas()
             if held is not None:
                 pdf = pd.concat([held, pdf], ignore_index=True)
