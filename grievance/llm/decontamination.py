@@ -8,6 +8,10 @@ values must map consistently - one value of the item to one value of the
 document - so that a question with other numbers or names is caught and an
 accidental likeness is not.
 
+A capitalised word at the start of a sentence may be a name or not.  Windows
+are made for both readings, in items and documents; along an alignment such a
+word counts as a name if its values map consistently, and as a word otherwise.
+
 Defined cases
 * null or empty text: no window, no match;
 * an item shorter than a window is one window of its own length; an item without words, or of
@@ -21,12 +25,13 @@ Defined cases
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import combinations, groupby
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grievance.llm.common import staged
@@ -49,6 +54,16 @@ UNITS = frozenset(
     "ounce ounces ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days "
     "week weeks month months year years percent degree degrees dollar dollars euro euros cent cents usd eur mph kmh".split()
 )
+#: Words that are no names where they open a sentence (fixed values).
+OPENERS = frozenset(
+    "a about after all also although an and another any are as at be because been before between both but by can could did do does "
+    "during each every few finally for from given had has have he her here his how however i if in is it its let many more most much "
+    "must my next no not now of on once one only or other our she should since so some suppose than that the their then there these "
+    "they this those though thus to under until was we were what when where whether which while who whom whose why with without "
+    "would you your".split()
+)
+#: Marks the slot value of a word that may be a name.
+MAYBE = "?"
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:;|\n]")
 _ENDS = frozenset(".!?:;|\n")
 
@@ -58,14 +73,16 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text) if text else []
 
 
-def template(found: list[str], starts: bool = True) -> tuple[list[str], list[str | None]]:
-    """Template tokens and their slot values (none for words).
+def read(found: list[str], starts: bool = True) -> tuple[list[str], list[str | None], list[int]]:
+    """Template tokens, their slot values (none for words), and the positions of words that may be names.
 
     A capitalised word inside a sentence is a name, neighbouring names are one;
-    at the start of a sentence (``starts``: of the first) it is one if a name follows.
+    at the start of a sentence (``starts``: of the first) it is one if a name
+    follows, and may be one unless it is a word that opens sentences.
     """
     out: list[str] = []
     slots: list[str | None] = []
+    opens: list[int] = []
     last = None
     for n, t in enumerate(found):
         if t in _ENDS:
@@ -80,21 +97,42 @@ def template(found: list[str], starts: bool = True) -> tuple[list[str], list[str
             kind = NAME
         else:
             kind = None
+            if starts and t[0] != low[0] and low not in OPENERS:
+                opens.append(len(out))
         if kind == NAME and last == NAME:
             slots[-1] = f"{slots[-1]} {low}"
         else:
             out.append(kind or low)
             slots.append(low if kind else None)
         last, starts = kind, False
-    return out, slots
+    return out, slots, opens
+
+
+def template(found: list[str], starts: bool = True) -> tuple[list[str], list[str | None]]:
+    """Template tokens and slot values, with words that may be names read as words."""
+    return read(found, starts)[:2]
 
 
-def windows(out: list[str], slots: list[str | None], size: int, first: int = 0) -> Iterator[tuple[int, int, list[str]]]:
-    """(position, hash, slot values) of each window with enough words."""
+def windows(out: list[str], slots: list[str | None], size: int, opens: list[int], first: int = 0) -> Iterator[tuple[int, int, list[str]]]:
+    """(position, hash, slot values) of each window with enough words, for each reading of the words at ``opens``."""
+    least = min(MIN_LITERALS, size)
     for i in range(len(out) - size + 1):
-        held = [s for s in slots[i : i + size] if s is not None]
-        if size - len(held) >= min(MIN_LITERALS, size):
-            yield first + i, xxhash.xxh64_intdigest("\x1f".join(out[i : i + size])) - (1 << 63), held
+        part, values = out[i : i + size], slots[i : i + size]
+        spare = size - sum(s is not None for s in values) - least
+        if spare < 0:
+            continue
+        yield first + i, _key(part), [s for s in values if s is not None]
+        both = [p - i for p in opens[bisect_left(opens, i) : bisect_left(opens, i + size)]]
+        for n in range(1, min(len(both), spare) + 1):
+            for names in combinations(both, n):
+                named, held = part.copy(), values.copy()
+                for p in names:
+                    named[p], held[p] = NAME, MAYBE + part[p]
+                yield first + i, _key(named), [s for s in held if s is not None]
+
+
+def _key(words: list[str]) -> int:
+    return xxhash.xxh64_intdigest("\x1f".join(words)) - (1 << 63)
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -103,9 +141,12 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         for pdf in batches:
             rows = []
             for item, text in zip(pdf["_id"], pdf["_text"], strict=True):
-                out, slots = template(tokens(text))
+                found = tokens(text)
+                out, slots, opens = read(found)
                 size = min(WINDOW, len(out))
-                rows += [(item, size, *w, out[w[0] : w[0] + size]) for w in windows(out, slots, size)] if size else []
+                # A word that the item also has in lower case is none of its names.
+                opens = [p for p in opens if out[p] not in found]
+                rows += [(item, size, *w, out[w[0] : w[0] + size]) for w in windows(out, slots, size, opens)] if size else []
             yield pd.DataFrame(rows, columns=["item_id", "size", "item_pos", "key", "item_slots", "words"])
 
     slim = items.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).dropna()
@@ -136,9 +177,15 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
             rows = []
             for doc, text in zip(pdf["_id"], pdf["_text"], strict=True):
                 for at, part, starts in stretches(tokens(text)):
-                    out, slots = template(part, starts)
+                    out, slots, opens = read(part, starts)
+                    if vocabulary is not None:
+                        # Words of no item can only match as names.
+                        for p in opens:
+                            if out[p] not in vocabulary:
+                                out[p], slots[p] = NAME, MAYBE + out[p]
+                        opens = [p for p in opens if slots[p] is None]
                     for size in sizes:
-                        rows += [(doc, size, *w) for w in windows(out, slots, size, at)]
+                        rows += [(doc, size, *w) for w in windows(out, slots, size, opens, at)]
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=["doc_id", "size", "doc_pos", "key", "doc_slots"])
                     rows = []
@@ -148,10 +195,55 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
     return slim.mapInPandas(split, "doc_id long, size int, doc_pos int, key long, doc_slots array<string>")
 
 
+Hit = tuple[int, int, list[str], list[str]]
+
+
+def consistent(hits: list[Hit]) -> tuple[int, bool] | None:
+    """(distinct item windows, whether a value differs) of an alignment's hits, or none if a name or number maps to two values.
+
+    A word that may be a name and maps to several values is read as a word:
+    windows in which it is another word do not count.
+    """
+    pairs = [[(i.lstrip(MAYBE), d.lstrip(MAYBE), i[0] == MAYBE or d[0] == MAYBE) for i, d in zip(h[2], h[3], strict=True)] for h in hits]
+    values: dict[str, set[str]] = {}
+    for i, d, _ in (x for p in pairs for x in p):
+        values.setdefault(i, set()).add(d)
+    kept = [(h, p) for h, p in zip(hits, pairs, strict=True) if not any(maybe and i != d and len(values[i]) > 1 for i, d, maybe in p)]
+    sure: dict[str, str] = {}
+    for i, d, maybe in (x for _, p in kept for x in p):
+        if not maybe and sure.setdefault(i, d) != d:
+            return None
+    return len({h[0] for h, _ in kept}), any(i != d for _, p in kept for i, d, _ in p)
+
+
+def alignments(hits: list[Hit]) -> list[list[Hit]]:
+    """The hits of each alignment of a document with an item."""
+    shifts: dict[int, list[Hit]] = {}
+    for h in hits:
+        shifts.setdefault(h[1] - h[0], []).append(h)
+    return [shifts[at] for at in sorted(shifts)]
+
+
+def judge(groups: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The alignment of each document and item that covers most, of those with consistent slots."""
+    for pdf in groups:
+        rows = []
+        for doc, item, of, least, raw in pdf.itertuples(index=False):
+            hits = [(h["item_pos"], h["doc_pos"], list(h["item_slots"]), list(h["doc_slots"])) for h in raw]
+            hits.sort()
+            best: tuple[int, bool] = (0, False)
+            for aligned in alignments(hits):
+                if len({h[0] for h in aligned}) > best[0] and (found := consistent(aligned)) and found[0] > best[0]:
+                    best = found
+            if best[0] and best[0] / of >= least:
+                rows.append((doc, item, best[0] / of, *best))
+        yield pd.DataFrame(rows, columns=["doc_id", "item_id", "coverage", "n_windows", "reparameterised"])
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_id_col: str = "item_id", item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id, item_id, coverage, n_windows, reparameterised`` of documents that hold an item."""
-    bench = staged(item_windows(items, item_id_col, item_text_col).dropDuplicates(["item_id", "item_pos", "key"]), "items")
+    bench = staged(item_windows(items, item_id_col, item_text_col).dropDuplicates(["item_id", "item_pos", "size", "key", "item_slots"]), "items")
     n = bench.count()
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect())
     vocabulary = None
@@ -159,16 +251,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         vocabulary = NUMBER_WORDS | UNITS | {r[0] for r in bench.select(F.explode("words")).distinct().collect()}
     asked = bench.drop("words")
     found = document_windows(docs, sizes, vocabulary, id_col, text_col)
-    hits = found.join(F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked, ["key", "size"]).withColumn("at", F.col("doc_pos") - F.col("item_pos"))
-    pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("doc_slots").alias("d"))
-    aligned = hits.groupBy("doc_id", "item_id", "at").agg(
-        F.count_distinct("item_pos").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots")
-    )
-    per_item = asked.groupBy("item_id").agg(F.count_distinct("item_pos").alias("of"))
-    consistent = F.size(F.array_distinct(F.transform("slots", lambda x: x["i"]))) == F.size("slots")
-    kept = aligned.join(F.broadcast(per_item) if n <= BROADCAST_WINDOWS else per_item, "item_id").withColumn("coverage", F.col("n_windows") / F.col("of"))
-    kept = kept.filter((F.col("coverage") >= min_coverage) & consistent)
-    best = Window.partitionBy("doc_id", "item_id").orderBy(F.desc("coverage"), "at")
-    return kept.withColumn("_n", F.row_number().over(best)).filter("_n = 1").select(
-        "doc_id", "item_id", "coverage", "n_windows", F.exists("slots", lambda x: x["i"] != x["d"]).alias("reparameterised")
+    hits = found.join(F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked, ["key", "size"])
+    of = asked.groupBy("item_id").agg(F.count_distinct("item_pos").alias("of"))
+    grouped = hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.struct("item_pos", "doc_pos", "item_slots", "doc_slots")).alias("hits"))
+    grouped = grouped.join(F.broadcast(of) if n <= BROADCAST_WINDOWS else of, "item_id")
+    likely = F.size(F.array_distinct(F.transform("hits", lambda h: h["item_pos"]))) / F.col("of") >= min_coverage
+    return grouped.filter(likely).select("doc_id", "item_id", "of", F.lit(float(min_coverage)).alias("least"), "hits").mapInPandas(
+        judge, "doc_id long, item_id long, coverage double, n_windows long, reparameterised boolean"
     )

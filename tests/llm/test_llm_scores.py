@@ -93,3 +93,27 @@ def test_leaks_match_brute_force(spark, sf_text):
         want |= {(d.doc_id, i) for i, s in flat.items() if f" {s} " in f" {text} "}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op7_decontamination"](spark, sf_text).collect()}
     assert want and want == got
+
+
+def coverages(spark, monkeypatch, rows, items):
+    """(doc, item): (coverage, reparameterised), the same with the benchmark broadcast and joined."""
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = []
+    for few in (200_000, 0):
+        monkeypatch.setattr(D, "BROADCAST_WINDOWS", few)
+        got.append({(r.doc_id, r.item_id): (r.coverage, r.reparameterised) for r in D.find_leaks(docs, bench).collect()})
+    assert got[0] == got[1]
+    return got[0]
+
+
+def test_names_at_sentence_starts(spark, monkeypatch):
+    alice = "Alice has 5 apples and Bob has 3. Alice gives Bob 2 apples. How many apples does Alice have?"
+    maria = "Maria reads 12 pages a day. Maria finishes the whole book in two weeks. The book is old. The cover is red and worn."
+    capital = "What is the capital of France"
+    rows = [
+        (1, alice.replace("Alice", "Carol")), (2, maria.replace("Maria", "John")), (3, "Rome is the capital of Italy"),
+        (4, alice.replace("Alice", "Carol", 1).replace("Alice", "Dora")), (5, maria.replace("The cover", "A cover")),
+    ]
+    got = coverages(spark, monkeypatch, rows, [(1, alice), (2, maria), (3, capital)])
+    assert got[1, 1] == (10 / 12, True) and got[2, 2][0] >= 0.9 and got[2, 2][1]
+    assert set(got) == {(1, 1), (2, 2), (5, 2)} and got[5, 2][0] < 1 and not got[5, 2][1]
