@@ -6,7 +6,8 @@ as slots.  Windows of template tokens are joined by hash with the windows of
 the benchmark's items.  Along an alignment of a document with an item the slot
 values must map consistently - one value of the item to one value of the
 document - so that a question with other numbers or names is caught and an
-accidental likeness is not.
+accidental likeness is not.  An alignment follows the order of the item's
+windows; between one and the next the document may have a few words more or less.
 
 A capitalised word at the start of a sentence may be a name or not.  Windows
 are made for both readings, in items and documents; along an alignment such a
@@ -16,7 +17,7 @@ Defined cases
 * null or empty text: no window, no match;
 * an item shorter than a window is one window of its own length; an item without words, or of
   placeholders only, matches nothing; windows need ``MIN_LITERALS`` words that are not placeholders;
-* several alignments of a document with an item: the one that covers most counts, then the first;
+* several alignments of a document with an item: the one that covers most counts;
 * items with the same id are one item with the windows of all its rows;
 * repeated documents give one row per (document id, item); empty tables give no rows;
 * extra columns are not carried, whatever their names.
@@ -40,6 +41,8 @@ WINDOW = 8
 MIN_LITERALS = 4
 #: Share of an item's windows that a document must hold.
 MIN_COVERAGE = 0.5
+#: Template tokens that a document may have more or less between two windows of an alignment.
+SLACK = 8
 #: A benchmark of up to so many windows is broadcast, and its words then thin out the documents' windows.
 BROADCAST_WINDOWS = 200_000
 
@@ -76,8 +79,8 @@ def tokens(text: str | None) -> list[str]:
 def read(found: list[str], starts: bool = True) -> tuple[list[str], list[str | None], list[int]]:
     """Template tokens, their slot values (none for words), and the positions of words that may be names.
 
-    A capitalised word inside a sentence is a name, neighbouring names are one;
-    at the start of a sentence (``starts``: of the first) it is one if a name
+    Neighbouring numbers are one.  A capitalised word inside a sentence is a
+    name, neighbouring names are one; at the start of a sentence (``starts``: of the first) it is one if a name
     follows, and may be one unless it is a word that opens sentences.
     """
     out: list[str] = []
@@ -99,7 +102,7 @@ def read(found: list[str], starts: bool = True) -> tuple[list[str], list[str | N
             kind = None
             if starts and t[0] != low[0] and low not in OPENERS:
                 opens.append(len(out))
-        if kind == NAME and last == NAME:
+        if kind == last and kind in (NAME, NUM):
             slots[-1] = f"{slots[-1]} {low}"
         else:
             out.append(kind or low)
@@ -216,12 +219,47 @@ def consistent(hits: list[Hit]) -> tuple[int, bool] | None:
     return len({h[0] for h, _ in kept}), any(i != d for _, p in kept for i, d, _ in p)
 
 
-def alignments(hits: list[Hit]) -> list[list[Hit]]:
-    """The hits of each alignment of a document with an item."""
+def chains(hits: list[Hit]) -> Iterator[list[Hit]]:
+    """Longest first: hits whose positions grow in item and document, by nearly the same from one to the next.
+
+    Each (document, item) position belongs to one chain; a hit looks back no further than the item is long.
+    """
+    by_point: dict[tuple[int, int], list[Hit]] = {}
+    for h in hits:
+        by_point.setdefault((h[1], h[0]), []).append(h)
+    points = sorted(by_point)
+    reach = max(i for _, i in points) - min(i for _, i in points) + SLACK
+    score, before = [1] * len(points), [-1] * len(points)
+    low = 0
+    for n, (d, i) in enumerate(points):
+        while points[low][0] < d - reach:
+            low += 1
+        best = (0, 0)
+        for m in range(n - 1, low - 1, -1):
+            gone, moved = d - points[m][0], i - points[m][1]
+            drift = abs(gone - moved)
+            if gone > 0 and moved > 0 and drift <= SLACK and (score[m], -drift) > best:
+                best, before[n] = (score[m], -drift), m
+        score[n] += best[0]
+    used = [False] * len(points)
+    for n in sorted(range(len(points)), key=lambda n: (-score[n], n)):
+        chain = []
+        while n >= 0 and not used[n]:
+            used[n] = True
+            chain += by_point[points[n]]
+            n = before[n]
+        if chain:
+            yield chain
+
+
+def alignments(hits: list[Hit]) -> Iterator[list[Hit]]:
+    """The hits of each alignment of a document with an item: those of a single shift, and chains over neighbouring ones."""
     shifts: dict[int, list[Hit]] = {}
     for h in hits:
         shifts.setdefault(h[1] - h[0], []).append(h)
-    return [shifts[at] for at in sorted(shifts)]
+    yield from (shifts[at] for at in sorted(shifts))
+    if len(shifts) > 1:
+        yield from chains(hits)
 
 
 def judge(groups: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -117,3 +117,16 @@ def test_names_at_sentence_starts(spark, monkeypatch):
     got = coverages(spark, monkeypatch, rows, [(1, alice), (2, maria), (3, capital)])
     assert got[1, 1] == (10 / 12, True) and got[2, 2][0] >= 0.9 and got[2, 2][1]
     assert set(got) == {(1, 1), (2, 2), (5, 2)} and got[5, 2][0] < 1 and not got[5, 2][1]
+
+
+def test_words_inserted_into_an_item(spark, monkeypatch):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(35)]
+    items = [(1, " ".join(words)), (2, "The tank at Bristol loses 25 litres of water each hour and the guard from Bristol fills it again with 40 buckets before noon")]
+    rows = [(at, " ".join(words[:at] + ["extra"] + words[at:])) for at in (14, 15, 17, 20)]
+    rows += [(30, " ".join(words[:17] + words[18:])), (31, " ".join(words[18:] + words[:17]))]
+    moved = items[1][1].replace("25", "twenty five").replace("each", "each and every")
+    rows += [(40, moved), (41, moved.replace("Bristol", "Derby")), (42, moved.replace("Bristol", "Derby", 1))]
+    got = coverages(spark, monkeypatch, rows, items)
+    assert {at: got[at, 1][0] for at in (14, 15, 17, 20)} == dict.fromkeys((14, 15, 17, 20), 21 / 28) and got[30, 1][0] == 20 / 28
+    assert got[41, 2][1] and not {(31, 1), (42, 2)} & set(got) and got[40, 2][0] == got[41, 2][0] >= 0.5
+    assert D.template(D.tokens("It took twenty five km, 3 4 in all"))[0] == ["it", "took", "<num>", "<unit>", "<num>", "<unit>", "all"]
