@@ -13,10 +13,14 @@ A capitalised word at the start of a sentence may be a name or not.  Windows
 are made for both readings, in items and documents; along an alignment such a
 word counts as a name if its values map consistently, and as a word otherwise.
 
+Items with windows of too few words - titles, capitals, rows of numbers - are
+also joined by their words as they stand, in lower case, so that a copy is found.
+
 Defined cases
 * null or empty text: no window, no match;
-* an item shorter than a window is one window of its own length; an item without words, or of
-  placeholders only, matches nothing; windows need ``MIN_LITERALS`` words that are not placeholders;
+* an item shorter than a window is one window of its own length; windows need ``MIN_LITERALS`` words
+  that are not placeholders; an item with other windows is also looked up literally, and the better of
+  both coverages counts; an item without words, or of fewer than ``WINDOW`` numbers only, matches nothing;
 * several alignments of a document with an item: the one that covers most counts;
 * items with the same id are one item with the windows of all its rows;
 * repeated documents give one row per (document id, item); empty tables give no rows;
@@ -138,8 +142,19 @@ def _key(words: list[str]) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(words)) - (1 << 63)
 
 
+def plain_windows(words: list[str], size: int, first: int = 0) -> Iterator[tuple[int, int, list[str]]]:
+    """(position, hash, no slots) of each window of lower-case words as they stand; numbers alone must fill a whole one."""
+    for i in range(len(words) - size + 1):
+        part = words[i : i + size]
+        if size == WINDOW or any(not w[0].isdecimal() and w not in NUMBER_WORDS for w in part):
+            yield first + i, _key(part), []
+
+
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item_id, size, item_pos, key, item_slots, words`` of the benchmark's items."""
+    """``item_id, size, item_pos, key, item_slots, words`` of the benchmark's items.
+
+    Windows of words as they stand have a negative size.
+    """
     def split(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
@@ -149,7 +164,12 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                 size = min(WINDOW, len(out))
                 # A word that the item also has in lower case is none of its names.
                 opens = [p for p in opens if out[p] not in found]
-                rows += [(item, size, *w, out[w[0] : w[0] + size]) for w in windows(out, slots, size, opens)] if size else []
+                made = [(item, size, *w, out[w[0] : w[0] + size]) for w in windows(out, slots, size, opens)] if size else []
+                rows += made
+                if len({r[2] for r in made}) < len(out) - size + 1:
+                    plain = [t.lower() for t in found if t not in _ENDS]
+                    size = min(WINDOW, len(plain))
+                    rows += [(item, -size, *w, plain[w[0] : w[0] + size]) for w in plain_windows(plain, size)]
             yield pd.DataFrame(rows, columns=["item_id", "size", "item_pos", "key", "item_slots", "words"])
 
     slim = items.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).dropna()
@@ -162,7 +182,8 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
     With a ``vocabulary`` only stretches of its words, numbers and capitalised
     words are turned into templates: no other window can be an item's.
     """
-    least = min(sizes, default=WINDOW)
+    least = min(map(abs, sizes), default=WINDOW)
+    typed, plain = [s for s in sizes if s > 0], [-s for s in sizes if s < 0]
 
     def stretches(found: list[str]) -> Iterator[tuple[int, list[str], bool]]:
         if vocabulary is None:
@@ -187,8 +208,12 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
                             if out[p] not in vocabulary:
                                 out[p], slots[p] = NAME, MAYBE + out[p]
                         opens = [p for p in opens if slots[p] is None]
-                    for size in sizes:
+                    for size in typed:
                         rows += [(doc, size, *w) for w in windows(out, slots, size, opens, at)]
+                    if plain:
+                        words = [t.lower() for t in part if t not in _ENDS]
+                        for size in plain:
+                            rows += [(doc, -size, *w) for w in plain_windows(words, size, at)]
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=["doc_id", "size", "doc_pos", "key", "doc_slots"])
                     rows = []
@@ -266,15 +291,14 @@ def judge(groups: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The alignment of each document and item that covers most, of those with consistent slots."""
     for pdf in groups:
         rows = []
-        for doc, item, of, least, raw in pdf.itertuples(index=False):
+        for doc, item, of, raw in pdf.itertuples(index=False):
             hits = [(h["item_pos"], h["doc_pos"], list(h["item_slots"]), list(h["doc_slots"])) for h in raw]
             hits.sort()
             best: tuple[int, bool] = (0, False)
             for aligned in alignments(hits):
                 if len({h[0] for h in aligned}) > best[0] and (found := consistent(aligned)) and found[0] > best[0]:
                     best = found
-            if best[0] and best[0] / of >= least:
-                rows.append((doc, item, best[0] / of, *best))
+            rows.append((doc, item, best[0] / of, *best))
         yield pd.DataFrame(rows, columns=["doc_id", "item_id", "coverage", "n_windows", "reparameterised"])
 
 
@@ -290,10 +314,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     asked = bench.drop("words")
     found = document_windows(docs, sizes, vocabulary, id_col, text_col)
     hits = found.join(F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked, ["key", "size"])
-    of = asked.groupBy("item_id").agg(F.count_distinct("item_pos").alias("of"))
-    grouped = hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.struct("item_pos", "doc_pos", "item_slots", "doc_slots")).alias("hits"))
-    grouped = grouped.join(F.broadcast(of) if n <= BROADCAST_WINDOWS else of, "item_id")
+    literal = (F.col("size") < 0).alias("literal")
+    of = asked.groupBy("item_id", literal).agg(F.count_distinct("item_pos").alias("of"))
+    grouped = hits.groupBy("doc_id", "item_id", literal).agg(F.collect_set(F.struct("item_pos", "doc_pos", "item_slots", "doc_slots")).alias("hits"))
+    grouped = grouped.join(F.broadcast(of) if n <= BROADCAST_WINDOWS else of, ["item_id", "literal"])
     likely = F.size(F.array_distinct(F.transform("hits", lambda h: h["item_pos"]))) / F.col("of") >= min_coverage
-    return grouped.filter(likely).select("doc_id", "item_id", "of", F.lit(float(min_coverage)).alias("least"), "hits").mapInPandas(
+    names = ["coverage", "n_windows", "reparameterised"]
+    judged = grouped.filter(likely).select("doc_id", "item_id", "of", "hits").mapInPandas(
         judge, "doc_id long, item_id long, coverage double, n_windows long, reparameterised boolean"
     )
+    # The better of both ways; of equal ones that with equal values.
+    rank = F.struct("coverage", "n_windows", (~F.col("reparameterised")).alias("same"), *names[2:])
+    best = judged.filter(F.col("coverage") >= min_coverage).groupBy("doc_id", "item_id").agg(F.max(rank).alias("best"))
+    return best.select("doc_id", "item_id", *[F.col(f"best.{c}").alias(c) for c in names])

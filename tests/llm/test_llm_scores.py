@@ -130,3 +130,15 @@ def test_words_inserted_into_an_item(spark, monkeypatch):
     assert {at: got[at, 1][0] for at in (14, 15, 17, 20)} == dict.fromkeys((14, 15, 17, 20), 21 / 28) and got[30, 1][0] == 20 / 28
     assert got[41, 2][1] and not {(31, 1), (42, 2)} & set(got) and got[40, 2][0] == got[41, 2][0] >= 0.5
     assert D.template(D.tokens("It took twenty five km, 3 4 in all"))[0] == ["it", "took", "<num>", "<unit>", "<num>", "<unit>", "all"]
+
+
+def test_copies_of_items_with_few_words(spark, monkeypatch):
+    items = [
+        (1, "The Great Fire Of London Began In Pudding Lane And Burned For Four Days"), (2, "WHO WROTE THE PLAY ABOUT THE PRINCE OF DENMARK IN 1601"),
+        (3, "Compute 12 + 7 * 3 - 48 / 6 + 5"), (4, "2, 3, 5, 7, 11, 13, 17, 19, 23"), (5, "12 7"), (6, "Tom 3, Anna 5, Bob 7, Eve 9: what is the total number of pears here"),
+    ]
+    rows = [(i, f"Some words came first, then {text} and it went on.") for i, text in items]
+    rows += [(11, "we read that " + items[0][1].lower() + " in all"), (12, "The Great Fire Of London was in 1666"), (13, "Compute 12 + 7 * 3 - 48 / 6 + 4")]
+    got = coverages(spark, monkeypatch, rows, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (6, 6), (11, 1)}
+    assert set(got.values()) == {(1.0, False)}
