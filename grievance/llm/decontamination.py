@@ -153,7 +153,7 @@ def plain_windows(words: list[str], size: int, first: int = 0) -> Iterator[tuple
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``item_id, size, item_pos, key, item_slots, words`` of the benchmark's items.
 
-    Windows of words as they stand have a negative size.
+    Windows of words as they stand have a negative size; an item's first window carries all its words.
     """
     def split(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -164,12 +164,12 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                 size = min(WINDOW, len(out))
                 # A word that the item also has in lower case is none of its names.
                 opens = [p for p in opens if out[p] not in found]
-                made = [(item, size, *w, out[w[0] : w[0] + size]) for w in windows(out, slots, size, opens)] if size else []
-                rows += made
+                made = [(item, size, *w) for w in windows(out, slots, size, opens)] if size else []
                 if len({r[2] for r in made}) < len(out) - size + 1:
                     plain = [t.lower() for t in found if t not in _ENDS]
                     size = min(WINDOW, len(plain))
-                    rows += [(item, -size, *w, plain[w[0] : w[0] + size]) for w in plain_windows(plain, size)]
+                    made += [(item, -size, *w) for w in plain_windows(plain, size)]
+                rows += [(*m, [] if n else sorted({t.lower() for t in found})) for n, m in enumerate(made)]
             yield pd.DataFrame(rows, columns=["item_id", "size", "item_pos", "key", "item_slots", "words"])
 
     slim = items.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).dropna()
@@ -181,27 +181,33 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
 
     With a ``vocabulary`` only stretches of its words, numbers and capitalised
     words are turned into templates: no other window can be an item's.
+    Positions count the template tokens (or the words as they stand) of the whole document.
     """
     least = min(map(abs, sizes), default=WINDOW)
     typed, plain = [s for s in sizes if s > 0], [-s for s in sizes if s < 0]
 
-    def stretches(found: list[str]) -> Iterator[tuple[int, list[str], bool]]:
+    def stretches(found: list[str]) -> Iterator[tuple[int, int, list[str], list[str | None], list[int], list[str]]]:
         if vocabulary is None:
-            yield 0, found, True
+            yield 0, 0, *read(found), found
             return
-        at = 0
+        at = typed_at = plain_at = 0
         for may, group in groupby(found, lambda t: t in vocabulary or not t.islower()):
             part = list(group)
-            if may and len(part) >= least:
-                yield at, part, at == 0 or found[at - 1] in _ENDS
+            joined = "".join(part)
+            if not may or (len(part) < least and joined.isalpha() and joined.islower() and NUMBER_WORDS.isdisjoint(part)):
+                typed_at, plain_at = typed_at + len(part), plain_at + len(part)
+            else:
+                out, slots, opens = read(part, at == 0 or found[at - 1] in _ENDS)
+                if len(part) >= least:
+                    yield typed_at, plain_at, out, slots, opens, part
+                typed_at, plain_at = typed_at + len(out), plain_at + sum(t not in _ENDS for t in part)
             at += len(part)
 
     def split(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for doc, text in zip(pdf["_id"], pdf["_text"], strict=True):
-                for at, part, starts in stretches(tokens(text)):
-                    out, slots, opens = read(part, starts)
+                for at, plain_at, out, slots, opens, part in stretches(tokens(text)):
                     if vocabulary is not None:
                         # Words of no item can only match as names.
                         for p in opens:
@@ -213,7 +219,7 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
                     if plain:
                         words = [t.lower() for t in part if t not in _ENDS]
                         for size in plain:
-                            rows += [(doc, -size, *w) for w in plain_windows(words, size, at)]
+                            rows += [(doc, -size, *w) for w in plain_windows(words, size, plain_at)]
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=["doc_id", "size", "doc_pos", "key", "doc_slots"])
                     rows = []
@@ -305,13 +311,13 @@ def judge(groups: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_id_col: str = "item_id", item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id, item_id, coverage, n_windows, reparameterised`` of documents that hold an item."""
-    bench = staged(item_windows(items, item_id_col, item_text_col).dropDuplicates(["item_id", "item_pos", "size", "key", "item_slots"]), "items")
-    n = bench.count()
-    sizes = sorted(r[0] for r in bench.select("size").distinct().collect())
+    rows = staged(item_windows(items, item_id_col, item_text_col), "item_rows")
+    asked = staged(rows.drop("words").dropDuplicates(["item_id", "item_pos", "size", "key", "item_slots"]), "items")
+    n = asked.count()
+    sizes = sorted(r[0] for r in asked.select("size").distinct().collect())
     vocabulary = None
     if n <= BROADCAST_WINDOWS:
-        vocabulary = NUMBER_WORDS | UNITS | {r[0] for r in bench.select(F.explode("words")).distinct().collect()}
-    asked = bench.drop("words")
+        vocabulary = NUMBER_WORDS | UNITS | {r[0] for r in rows.select(F.explode("words")).distinct().collect()}
     found = document_windows(docs, sizes, vocabulary, id_col, text_col)
     hits = found.join(F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked, ["key", "size"])
     literal = (F.col("size") < 0).alias("literal")

@@ -142,3 +142,13 @@ def test_copies_of_items_with_few_words(spark, monkeypatch):
     got = coverages(spark, monkeypatch, rows, items)
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (6, 6), (11, 1)}
     assert set(got.values()) == {(1.0, False)}
+
+
+def test_positions_do_not_depend_on_the_way_of_joining(spark, monkeypatch):
+    first = "we saw. it was. he ran. they sat. she hid. you won. all of us. none of them. some more here. then it was done; now "
+    items = [(1, first + "count every red stone that lies near the old bridge before it gets dark"),
+             (2, "the tall man sold Tom Lee Roy Poe some good bread. Ann Bo 5 quartz Eve Ray Kim 7 Bob Ty 9 Ida Jo 4 and then he sold the old cart to a man from the town")]
+    rows = [(1, "unknown start. " + items[0][1].replace("now count", "now zebra count")), (2, "unknown. " + items[1][1])]
+    got = coverages(spark, monkeypatch, rows, items)
+    size = len(D.template(D.tokens(items[0][1]))[0]) - 7
+    assert got == {(1, 1): ((size - 7) / size, False), (2, 2): (1.0, False)}
