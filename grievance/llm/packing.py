@@ -35,15 +35,13 @@ from pyspark.sql import functions as F
 from grievance.llm.common import buckets, spread, staged
 
 CAPACITY = 2048
-#: Pieces that one task packs at a time.
-GROUP = 20_000
+#: Pieces that one task packs at a time.  The time of the local search grows with the square of a group's underfull sequences.
+GROUP = 2_000
 #: Sequences filled less than this share are packed again in the second pass.
 FULL_SHARE = 0.999
 #: Bytes of text tokenised together.
 BATCH_BYTES = 8_000_000
 END_ID = 0
-#: Emptiest sequences that a group's local search tries to empty.
-ATTEMPTS = 200
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
@@ -210,19 +208,16 @@ def exchange(mine: list[int], theirs: list[int], room: int, lengths: list[int])
     return best
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int = CAPACITY, attempts: int = ATTEMPTS) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     """Empty bins by exchanges between the emptiest bin and fuller ones.
 
     Ends when the free room of all underfull bins is less than one bin, so
-    that no packing has fewer, or after ``attempts`` emptiest bins.
+    that no packing has fewer, or when every underfull bin has been tried without a change.
     """
     fill = {n: sum(lengths[i] for i in b) for n, b in enumerate(bins)}
     under = {n for n in fill if fill[n] < capacity}
     stuck: set[int] = set()
-    for _ in range(attempts):
-        donors = under - stuck
-        if not donors or sum(capacity - fill[n] for n in under) < capacity:
-            break
+    while (donors := under - stuck) and sum(capacity - fill[n] for n in under) >= capacity:
         donor = min(donors, key=lambda n: (fill[n], n))
         changed = False
         for n in sorted(under - {donor}, key=lambda n: (-fill[n], n)):

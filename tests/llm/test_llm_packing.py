@@ -85,3 +85,22 @@ def test_odd_rows(spark, odd_docs, tokenizer):
     assert sum(r.length for r in rows) == total
     assert {r.length for r in rows if r.doc_id in (3, 4)} == {1}
     assert K.pack(K.pieces(odd_docs.limit(0), PATH)).collect() == []
+
+
+def test_local_search_tries_every_underfull_bin():
+    rng = random.Random(1)
+    lengths = [rng.randint(500, 900) for _ in range(2000)]
+    bins = K.best_fit(lengths)
+    # 200 emptiest bins bring 769 bins down to 738.
+    better = K.local_search([list(b) for b in bins], lengths)
+    assert sorted(i for b in better for i in b) == list(range(2000)) and all(sum(lengths[i] for i in b) <= 2048 for b in better)
+    assert len(bins) == 769 and len(better) <= 737
+
+
+def test_many_pieces_of_a_third_of_the_capacity(spark):
+    rng = random.Random(2)
+    lengths = [rng.randint(500, 900) for _ in range(8000)]
+    rows = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], K.PIECE_SCHEMA)
+    out = K.pack(rows).collect()
+    assert sorted(r.doc_id for r in out) == list(range(8000))
+    assert len({r.sequence_id for r in out}) <= 1.09 * sum(lengths) / 2048
