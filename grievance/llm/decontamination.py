@@ -32,7 +32,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
-from itertools import combinations, groupby
+from itertools import combinations, groupby, pairwise
 
 import pandas as pd
 import xxhash
@@ -138,6 +138,32 @@ def windows(out: list[str], slots: list[str | None], size: int, opens: list[int]
                 yield first + i, _key(named), [s for s in held if s is not None]
 
 
+def neighbours(out: list[str], opens: list[int]) -> set[tuple[str, str]]:
+    """Pairs of template tokens that follow each other, in each reading of the words at ``opens``."""
+    forms = [(t,) for t in out]
+    for p in opens:
+        forms[p] = (out[p], NAME)
+    return {(a, b) for x, y in pairwise(forms) for a in x for b in y}
+
+
+def likely_windows(out: list[str], slots: list[str | None], size: int, opens: list[int], pairs: frozenset[tuple[str, str]], first: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Those of ``windows`` whose neighbouring tokens are all in ``pairs``."""
+    least = min(MIN_LITERALS, size)
+    forms = [((t, s),) for t, s in zip(out, slots, strict=True)]
+    for p in opens:
+        forms[p] = ((out[p], None), (NAME, MAYBE + out[p]))
+    for i in range(len(out) - size + 1):
+        readings = [[x] for x in forms[i]]
+        for p in range(i + 1, i + size):
+            readings = [[*r, x] for r in readings for x in forms[p] if (r[-1][0], x[0]) in pairs]
+            if not readings:
+                break
+        for r in readings:
+            held = [s for _, s in r if s is not None]
+            if size - len(held) >= least:
+                yield first + i, _key([t for t, _ in r]), held
+
+
 def _key(words: list[str]) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(words)) - (1 << 63)
 
@@ -151,9 +177,10 @@ def plain_windows(words: list[str], size: int, first: int = 0) -> Iterator[tuple
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item_id, size, item_pos, key, item_slots, words`` of the benchmark's items.
+    """``item_id, size, item_pos, key, item_slots, words, pairs`` of the benchmark's items.
 
-    Windows of words as they stand have a negative size; an item's first window carries all its words.
+    Windows of words as they stand have a negative size; an item's first window carries all its words
+    and its pairs of neighbouring template tokens.
     """
     def split(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -169,19 +196,21 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                     plain = [t.lower() for t in found if t not in _ENDS]
                     size = min(WINDOW, len(plain))
                     made += [(item, -size, *w) for w in plain_windows(plain, size)]
-                rows += [(*m, [] if n else sorted({t.lower() for t in found})) for n, m in enumerate(made)]
-            yield pd.DataFrame(rows, columns=["item_id", "size", "item_pos", "key", "item_slots", "words"])
+                words, pairs = sorted({t.lower() for t in found}), [" ".join(x) for x in sorted(neighbours(out, opens))]
+                rows += [(*m, [] if n else words, [] if n else pairs) for n, m in enumerate(made)]
+            yield pd.DataFrame(rows, columns=["item_id", "size", "item_pos", "key", "item_slots", "words", "pairs"])
 
     slim = items.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).dropna()
-    return slim.mapInPandas(split, "item_id long, size int, item_pos int, key long, item_slots array<string>, words array<string>")
+    return slim.mapInPandas(split, "item_id long, size int, item_pos int, key long, item_slots array<string>, words array<string>, pairs array<string>")
 
 
-def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[str] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[str] | None, id_col: str = "doc_id", text_col: str = "text",
+                     pairs: frozenset[tuple[str, str]] = frozenset()) -> DataFrame:
     """``doc_id, size, doc_pos, key, doc_slots`` of documents.
 
     With a ``vocabulary`` only stretches of its words, numbers and capitalised
-    words are turned into templates: no other window can be an item's.
-    Positions count the template tokens (or the words as they stand) of the whole document.
+    words are turned into templates, and of these the windows whose neighbouring
+    tokens are ``pairs``: no other window can be an item's.  Positions count the template tokens (or the words as they stand) of the whole document.
     """
     least = min(map(abs, sizes), default=WINDOW)
     typed, plain = [s for s in sizes if s > 0], [-s for s in sizes if s < 0]
@@ -215,7 +244,10 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
                                 out[p], slots[p] = NAME, MAYBE + out[p]
                         opens = [p for p in opens if slots[p] is None]
                     for size in typed:
-                        rows += [(doc, size, *w) for w in windows(out, slots, size, opens, at)]
+                        if vocabulary is None:
+                            rows += [(doc, size, *w) for w in windows(out, slots, size, opens, at)]
+                        else:
+                            rows += [(doc, size, *w) for w in likely_windows(out, slots, size, opens, pairs, at)]
                     if plain:
                         words = [t.lower() for t in part if t not in _ENDS]
                         for size in plain:
@@ -312,13 +344,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                item_id_col: str = "item_id", item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id, item_id, coverage, n_windows, reparameterised`` of documents that hold an item."""
     rows = staged(item_windows(items, item_id_col, item_text_col), "item_rows")
-    asked = staged(rows.drop("words").dropDuplicates(["item_id", "item_pos", "size", "key", "item_slots"]), "items")
+    asked = staged(rows.drop("words", "pairs").dropDuplicates(["item_id", "item_pos", "size", "key", "item_slots"]), "items")
     n = asked.count()
     sizes = sorted(r[0] for r in asked.select("size").distinct().collect())
-    vocabulary = None
+    vocabulary, pairs = None, frozenset()
     if n <= BROADCAST_WINDOWS:
         vocabulary = NUMBER_WORDS | UNITS | {r[0] for r in rows.select(F.explode("words")).distinct().collect()}
-    found = document_windows(docs, sizes, vocabulary, id_col, text_col)
+        pairs = frozenset(tuple(r[0].split(" ")) for r in rows.select(F.explode("pairs")).distinct().collect())
+    found = document_windows(docs, sizes, vocabulary, id_col, text_col, pairs)
     hits = found.join(F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked, ["key", "size"])
     literal = (F.col("size") < 0).alias("literal")
     of = asked.groupBy("item_id", literal).agg(F.count_distinct("item_pos").alias("of"))
