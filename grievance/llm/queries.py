@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grievance.llm import decontamination, language_id, license_scan, near_dedup, packing, quality_rules, sharding, suffix_dedup, toxicity, warc
+from grievance.llm import (
+    decontamination, exact_dedup, fill_in_middle, language_id, license_scan, near_dedup, packing, quality_rules, sharding, spelling, suffix_dedup, toxicity,
+    warc,
+)
 from grievance.llm.common import read_table
 
 
@@ -63,6 +66,18 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", warc.header_text(F.col("headers")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(read_table(spark, sf_dir, "documents")))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.with_digests(fill_in_middle.transform(read_table(spark, sf_dir, "documents")))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.label_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -74,9 +89,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 ORACLE: dict[str, str] = {
     "op3_quality_rules": quality_rules.ORACLE_SQL,
     "op4_license_scan": license_scan.ORACLE_SQL,
     "op10_warc_revisits": warc.ORACLE_SQL,
+    "op11_spelling_variants": spelling.ORACLE_SQL,
+    "op12_fill_in_middle": fill_in_middle.ORACLE_SQL,
+    "op13_exact_dedup": exact_dedup.ORACLE_SQL,
 }
