@@ -24,7 +24,8 @@ from grievance.plans.models import fact_only, gold_models, raw_complaints, stage
 from grievance.schemas import ACCEPTED_SUBMITTED_VIA, NO_TAGS, NOT_SPECIFIED, RAW_COLUMNS, UNKNOWN
 from grievance.session import parallelism, shared_path
 from grievance.sources.csv import read_complaints_csv, write_complaints_csv
-from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture_text
+from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture_text, multiline_narratives, write_record_files
+from grievance.sources.multiline import load_with_rejects, scan_complaint_records
 from grievance.streaming import current_raw, ingest_available
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +147,34 @@ def q_csv_ingest(spark, sf_dir):
     return load_raw_from_csv(spark, landing, pattern="*.csv", select="all")
 
 
+def _record_files(spark, sf_dir):
+    """The extract as CSV files whose records hold line breaks, and some a field too many or too few."""
+    path = shared_path(spark, "record_files")
+    text = fixture_text(multiline_narratives(fixture_complaints(spark, sf_dir, with_order=False)))
+    write_record_files(text, path, parallelism(spark))
+    return path
+
+
+@register("csv_split_scan", O.with_records(f"SELECT * EXCLUDE (cid) FROM clean WHERE NOT {O.EXTRA}"))
+def q_csv_split_scan(spark, sf_dir):
+    """Multi-line records read in byte-range splits: what is loaded."""
+    loaded, _ = load_with_rejects(scan_complaint_records(spark, _record_files(spark, sf_dir), "*.txt"))
+    return loaded.select(*RAW_COLUMNS)
+
+
+@register("load_rejects", O.rejects_sql())
+def q_load_rejects(spark, sf_dir):
+    """Records in = records loaded + records rejected by reason; and what was lost in loaded ones."""
+    scanned = scan_complaint_records(spark, _record_files(spark, sf_dir), "*.txt")
+    loaded, rejects = load_with_rejects(scanned)
+    n = F.count(F.lit(1)).alias("n")
+    return (
+        rejects.groupBy("reason", "loaded").agg(n)
+        .unionByName(scanned[0].agg(n).select(F.lit("records").alias("reason"), F.lit(None).cast("boolean").alias("loaded"), "n"))
+        .unionByName(loaded.agg(n).select(F.lit("loaded").alias("reason"), F.lit(True).alias("loaded"), "n"))
+    )
+
+
 @register("landing_ingest", O.text_keep_last_sql())
 def q_landing_ingest(spark, sf_dir):
     """The same extract picked up by the incremental landing-folder stream."""

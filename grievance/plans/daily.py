@@ -28,6 +28,7 @@ from grievance.operators.staging import stage_complaints
 from grievance.session import shared_path
 from grievance.sources.csv import FILE_ORDER, scan_complaints
 from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints
+from grievance.sources.multiline import load_with_rejects, scan_complaint_records
 
 RUN_NAME_FORMAT = "%Y%m%d-%H%M%S-daily-validation"
 
@@ -220,8 +221,19 @@ def _stored(spark: SparkSession, results: DataFrame, path: str, run_name: str) -
 
 
 def load_raw_from_csv(spark: SparkSession, base_path: str, pattern: str = "*complaints*.csv",
-                      select: str = "all", multi_line: bool = True) -> DataFrame:
-    """Scan and normalise CSV extracts; keep the last record per complaint id by file position."""
+                      select: str = "all", multi_line: bool = True, rejects_path: str | None = None) -> DataFrame:
+    """Scan and normalise CSV extracts; keep the last record per complaint id by file position.
+
+    With ``rejects_path`` every file is read in byte-range splits, quoted line
+    breaks included, and what could not be loaded (or was loaded with a loss)
+    is written there, with file, position and reason.
+    """
+    if rejects_path:
+        if select != "all" or not multi_line:
+            raise ValueError("rejects_path reads all files, with quoted line breaks")
+        loaded, rejects = load_with_rejects(scan_complaint_records(spark, base_path, pattern))
+        rejects.write.mode("overwrite").parquet(rejects_path)
+        return keep_last(loaded, "complaint_id", FILE_ORDER)
     scanned = scan_complaints(spark, base_path, pattern, select=select, multi_line=multi_line)
     return keep_last(normalise(scanned, keep=FILE_ORDER), "complaint_id", FILE_ORDER)
 

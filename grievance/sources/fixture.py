@@ -174,3 +174,29 @@ def fixture_text(raw: DataFrame, extra_column: bool = True) -> DataFrame:
     if extra_column:
         out.append(F.concat(F.lit("row-"), cid.cast("string")).alias("Extra column"))
     return raw.select(*out)
+
+
+# Fixture shaping for whole records: narratives of several lines, and records with a field too many or too few.
+LINES_EVERY, EXTRA_EVERY, SHORT_EVERY = 3, 79, 73
+
+
+def multiline_narratives(raw: DataFrame) -> DataFrame:
+    """Some narratives with quotes, commas and both kinds of line break."""
+    c, text = F.col("consumer_complaint_narrative"), F.lit('\nsaid "no", twice\r\n\nend')
+    return raw.withColumn("consumer_complaint_narrative", F.when(F.floor(F.col("complaint_id") / 10) % LINES_EVERY == 0, F.concat(c, text)).otherwise(c))
+
+
+def write_record_files(text: DataFrame, path: str, files: int) -> None:
+    """Write ``fixture_text`` as CSV records into ``files`` folders, each file with its header.
+
+    Some records get one field too many, some lack the last one.
+    """
+    order = F.floor(F.substring("Extra column", 5, 20).cast("bigint") / 10)
+    options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    whole = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in text.columns]), options)
+    short = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in text.columns[:-1]]), options)
+    record = F.when(order % EXTRA_EVERY == 5, F.concat(whole, F.lit(",one more"))).when(order % SHORT_EVERY == 7, short).otherwise(whole)
+    rows = text.select(F.pmod(F.hash("Extra column"), F.lit(files)).alias("part"), F.lit(1).alias("place"), record.alias("value"))
+    heads = text.sparkSession.range(files).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("place"), F.lit(",".join(text.columns)).alias("value"))
+    placed = rows.unionByName(heads).repartition(files, "part").sortWithinPartitions("part", "place")
+    placed.select("part", "value").write.partitionBy("part").text(path, lineSep="\n")
