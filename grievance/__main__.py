@@ -64,16 +64,19 @@ def _source_args(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--single-file", action="store_true", help="expect one matching file; several are an error (default: load all)")
     parser.add_argument("--single-line", action="store_true",
                         help="extracts have no quoted line breaks: read each file in parallel splits")
+    parser.add_argument("--rejects", metavar="PATH",
+                        help="read every CSV file in splits, quoted line breaks included, and write what was not loaded under PATH")
+    parser.add_argument("--id-width", type=int, metavar="N", help="keep raw in parts of N ids; an upsert touches only those it has rows of")
     parser.add_argument("--upsert", action="store_true", help="merge into the existing raw table instead of replacing it")
 
 
 def _incoming(spark, a):
     raw = (load_raw_from_csv(spark, a.csv, a.pattern, select="single" if a.single_file else "all",
-                             multi_line=not a.single_line)
+                             multi_line=not a.single_line, rejects_path=a.rejects)
            if a.csv else load_raw_from_tables(spark, a.tables))
     existing = None
     if a.upsert:
-        existing = spark.read.parquet(D.table_path(a.output, "consumer_complaints"))
+        existing = read_table(spark, a.output, "consumer_complaints")
     return raw, existing
 
 
@@ -97,6 +100,7 @@ def main(argv: list[str] | None = None) -> int:
     _source_args(r)
     r.add_argument("--gate", choices=("raise", "warn"), default="raise")
     r.add_argument("--register", action="store_true", help="register raw/silver/gold tables in the catalog")
+    r.add_argument("--fact-by-month", action="store_true", help="keep the fact in parts by received month")
     r.add_argument("--bucket-raw", type=int, metavar="N",
                    help="write raw as a catalog table in N complaint-id buckets (id checks then need no shuffle)")
 
@@ -105,6 +109,7 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("check-raw", help="lengths and expectations on the raw table")
     b = sub.add_parser("build", help="silver and gold from the raw table")
     b.add_argument("--fact-strategy", choices=("auto", "join", "derive"), default="auto")
+    b.add_argument("--fact-by-month", action="store_true", help="keep the fact in parts by received month")
     sub.add_parser("test", help="model tests")
     sub.add_parser("gate", help="fact volume gate")
     for name in ("run", "load", "check-raw", "build", "test", "gate"):
@@ -147,14 +152,14 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "run":
         raw, existing = _incoming(spark, a)
         rep_ = run(spark, raw, a.output, existing_raw=existing, length_gate=a.gate, suite_gate=a.gate, tests_gate=a.gate,
-                   results_path=a.results, register=a.register, suite=suite, tests=tests, bucket_raw=a.bucket_raw)
+                   results_path=a.results, register=a.register, suite=suite, tests=tests, bucket_raw=a.bucket_raw, id_width=a.id_width, fact_by_month=a.fact_by_month)
         _print({"run_name": rep_.run_name, "timings": rep_.timings, "load": rep_.load_metrics, "profile": rep_.profile,
                 "fact_rows": rep_.fact_rows, "volume": rep_.volume_status, "fact_strategy": rep_.fact_strategy,
                 "length_violations": len(rep_.length_violations), "expectations_failed": len(rep_.suite_failed),
                 "tests_failed": len(rep_.tests_failed), "tests_warned": len(rep_.tests_warned)})
     elif a.cmd == "load":
         raw, existing = _incoming(spark, a)
-        D.load_step(raw, a.output, existing)
+        D.load_step(raw, a.output, existing, id_width=a.id_width)
         _print({"loaded": a.output})
     elif a.cmd == "check-raw":
         lengths, rows = D.check_raw_step(spark, a.output, a.results, suite=suite)
@@ -162,7 +167,7 @@ def main(argv: list[str] | None = None) -> int:
         _print({"length_violations": lengths, "expectations_failed": failed})
         return 1 if lengths or failed else 0
     elif a.cmd == "build":
-        _print({"fact_strategy": D.build_step(spark, a.output, a.fact_strategy)})
+        _print({"fact_strategy": D.build_step(spark, a.output, a.fact_strategy, fact_by_month=a.fact_by_month)})
     elif a.cmd == "test":
         rows = D.test_step(spark, a.output, a.results, tests=tests)
         _print({"not_passed": rows})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grievance.functions.expressions import date_key, region, surrogate_key, timeliness_category
@@ -140,6 +140,29 @@ def fact_complaints(stg: DataFrame, products: DataFrame | None = None, companies
     return _fact_projection(j)
 
 
+#: The month a complaint was received in, as yyyymm: the part column of a fact kept by month.
+MONTH_PART = "received_month"
+
+
+def month_key(date: str) -> Column:
+    return F.year(date) * 100 + F.month(date)
+
+
+def with_month(fact: DataFrame) -> DataFrame:
+    return fact.withColumn(MONTH_PART, month_key("date_received"))
+
+
+def in_dates(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """The complaints received on the days of ``dates`` (rows of the date dimension), with the dimension's columns.
+
+    The join is on the day and on its month.  Where the fact is kept by month,
+    the months of the chosen days prune its parts while the query runs.
+    """
+    days = dates.withColumn("_month", month_key("date_actual"))
+    on = (F.col("date_received_sk") == F.col("date_sk")) & (F.col(MONTH_PART) == F.col("_month"))
+    return fact.join(days, on).drop("_month", "date_sk")
+
+
 def choose_fact_strategy(products: DataFrame, companies: DataFrame, geographies: DataFrame) -> str:
     """``"derive"`` when every dimension key is unique (join elimination is then
     exact), else ``"join"``.  One job that reads the dimensions only (never the

@@ -15,6 +15,8 @@ channel, category, month).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -190,9 +192,21 @@ def monthly_growth(fact: DataFrame) -> DataFrame:
     )
 
 
+def growth_months(parts: Iterable[object], months: int = 6) -> list[int]:
+    """Of the months (yyyymm) that a fact kept by month has, those that ``half_year_growth`` needs."""
+    known = sorted(int(p) for p in parts if str(p).isdigit())
+    if not known:
+        return []
+    place = lambda m: m // 100 * 12 + m % 100
+    return [m for m in known if place(m) > place(known[-1]) - 2 * months]
+
+
 def half_year_growth(fact: DataFrame, months: int = 6) -> DataFrame:
     """R8: the last ``months`` calendar months (anchored at the latest month with
-    complaints) against the ``months`` before them."""
+    complaints) against the ``months`` before them.
+
+    Of a fact kept by month, the parts that ``growth_months`` names are enough.
+    """
     m = _monthly(fact)
     anchor = F.max("month_start").over(Window.partitionBy())
     flagged = m.select("n_complaints", "month_start", anchor.alias("anchor_month"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grievance.functions import expressions as X
+from grievance.operators import changes as C
 from grievance.operators import gold as G
 from grievance.operators import quality as Q
 from grievance.operators import raw as RAW
@@ -21,6 +22,7 @@ from grievance.operators.staging import STAGING_COLUMNS, required_fields, stage_
 from grievance.plans import oracle as O
 from grievance.plans.daily import load_raw_from_csv
 from grievance.plans.models import fact_only, gold_models, raw_complaints, staged_complaints, stored
+from grievance.plans.versions import ID_PART, VersionedTable, merge_increment, with_id_range
 from grievance.schemas import ACCEPTED_SUBMITTED_VIA, NO_TAGS, NOT_SPECIFIED, RAW_COLUMNS, UNKNOWN
 from grievance.session import parallelism, shared_path
 from grievance.sources.csv import read_complaints_csv, write_complaints_csv
@@ -28,6 +30,8 @@ from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture
 from grievance.sources.multiline import load_with_rejects, scan_complaint_records
 from grievance.streaming import current_raw, ingest_available
 
+#: Ids in one part of the fixture's raw table: a few parts at every scale.
+MERGE_WIDTH = 400_000
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
@@ -205,6 +209,74 @@ def q_upsert_merge(spark, sf_dir):
     return RAW.merge_upsert(existing, incoming)
 
 
+def _two_loads(spark, sf_dir):
+    """An early load and a later increment with new, changed and unchanged complaints."""
+    f = fixture_complaints(spark, sf_dir)
+    early = F.col("_ord_ship").cast("date") < F.lit("1998-07-01").cast("date")
+    again = F.floor(F.col("complaint_id") / 10) % 5 == 0
+    existing = RAW.keep_last(f.filter(early), "complaint_id", FIXTURE_ORDER)
+    return existing, RAW.keep_last(f.filter(~early | again), "complaint_id", FIXTURE_ORDER)
+
+
+_TWO_LOADS = f"""WITH fixture AS ({O.FIXTURE_SELECT}),
+old_rows AS ({O._dedup("(SELECT * FROM fixture WHERE CAST(o5 AS DATE) < DATE '1998-07-01')")}),
+new_rows AS ({O._dedup("(SELECT * FROM fixture WHERE NOT (CAST(o5 AS DATE) < DATE '1998-07-01') OR complaint_id // 10 % 5 = 0)")}),
+raw AS (SELECT * FROM old_rows WHERE complaint_id NOT IN (SELECT complaint_id FROM new_rows) UNION ALL SELECT * FROM new_rows)"""
+
+
+@register("merge_touched", _TWO_LOADS + f" SELECT *, CAST(complaint_id // {MERGE_WIDTH} AS BIGINT) AS id_range FROM raw")
+def q_merge_touched(spark, sf_dir):
+    """The increment merged into the parts of a versioned table that it has rows of."""
+    existing, incoming = _two_loads(spark, sf_dir)
+    table = VersionedTable(spark, shared_path(spark, "merge_touched"), ID_PART)
+    table.replace(with_id_range(existing, width=MERGE_WIDTH), (ID_PART, "complaint_id"))
+    return table.read(merge_increment(table, with_id_range(incoming, width=MERGE_WIDTH)))
+
+
+_FEED = ("product", "date_sent_to_company", "company_response_to_consumer", "timely_response", "sub_issue")
+
+
+@register(
+    "change_feed",
+    _TWO_LOADS + " SELECT n.complaint_id, CASE WHEN o.complaint_id IS NULL THEN 'inserted' WHEN "
+    + " AND ".join(f"o.{c} IS NOT DISTINCT FROM n.{c}" for c in RAW_COLUMNS) + " THEN 'unchanged' ELSE 'updated' END AS change, "
+    + ", ".join(f"o.{c} AS old_{c}, n.{c} AS new_{c}" for c in _FEED) + " FROM new_rows n LEFT JOIN old_rows o USING (complaint_id)",
+)
+def q_change_feed(spark, sf_dir):
+    """Every row of an increment, tagged against the stored one, with old and new values."""
+    feed = C.change_feed(*_two_loads(spark, sf_dir))
+    return feed.select("complaint_id", "change", *[F.col(f"{v}.{c}").alias(f"{v}_{c}") for c in _FEED for v in ("old", "new")])
+
+
+@register(
+    "signed_counts",
+    _TWO_LOADS + f", stg AS ({O.staging_select('raw')}) SELECT product, count(*) AS n_complaints FROM stg GROUP BY product",
+)
+def q_signed_counts(spark, sf_dir):
+    """Complaints by product, kept up to date by the signed rows of the change feed instead of being counted again."""
+    existing, incoming = _two_loads(spark, sf_dir)
+    existing, incoming = stored(existing, "existing"), stored(incoming, "incoming")
+    counts = stage_complaints(existing).groupBy("product").agg(F.count(F.lit(1)).alias("n_complaints"))
+    signed = C.signed_rows(C.change_feed(existing, incoming))
+    return C.updated_counts(counts, signed, ["product"], grain=lambda rows: required_fields(rows).select(X.blank_default("product", NOT_SPECIFIED).alias("product"), "sign"))
+
+
+@register(
+    "fact_by_month",
+    O.with_gold(
+        "SELECT f.complaint_id, f.product_sk, CAST(year(f.date_received) * 100 + month(f.date_received) AS INTEGER) AS received_month, "
+        "d.quarter, d.is_weekend FROM fact f JOIN dim_date d ON f.date_received_sk = d.date_sk WHERE d.year = 2010 + 3 AND d.quarter IN (2, 3)",
+        extra=O.DIM_DATE,
+    ),
+)
+def q_fact_by_month(spark, sf_dir):
+    """The fact kept by received month; days chosen in the date dimension prune its parts."""
+    table = VersionedTable(spark, shared_path(spark, "fact_by_month"), G.MONTH_PART)
+    fact = table.read(table.replace(G.with_month(fact_only(spark, sf_dir)), (G.MONTH_PART, "complaint_id")))
+    days = stored(G.dim_date(spark), "dim_date").filter("year = 2013 AND quarter IN (2, 3)")
+    return G.in_dates(fact, days).select("complaint_id", "product_sk", G.MONTH_PART, "quarter", "is_weekend")
+
+
 @register(
     "load_profile",
     O.with_raw(

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -25,11 +25,13 @@ from grievance.operators import gold as G
 from grievance.operators import quality as Q
 from grievance.operators.raw import keep_last, load_profile, merge_upsert, normalise, varchar_overflow
 from grievance.operators.staging import stage_complaints
+from grievance.plans.versions import ID_PART, NO_VALUE, WHOLE, VersionedTable, kept_width, merge_increment, with_id_range
 from grievance.session import shared_path
 from grievance.sources.csv import FILE_ORDER, scan_complaints
 from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints
 from grievance.sources.multiline import load_with_rejects, scan_complaint_records
 
+MONTH_PART = G.MONTH_PART
 RUN_NAME_FORMAT = "%Y%m%d-%H%M%S-daily-validation"
 
 LAYERS = {
@@ -61,41 +63,32 @@ def audit_column(name: str) -> str:
     return AUDIT_COLUMN.get(name, "dbt_loaded_at")
 
 
-def write_table(df: DataFrame, output: str, name: str, audit: bool = True) -> DataFrame:
+def write_table(df: DataFrame, output: str, name: str, audit: bool = True, part: str | None = None, sort: Sequence[str] = ()) -> DataFrame:
     """Full-refresh a layer table (stamped with its load time), then return a
     DataFrame that reads it back without the stamp.
 
-    The table is written to a folder of its own beside the current one and
-    takes its place when it is whole: a failed write leaves the old table as
-    it was, and ``df`` may read the table it replaces.  The read-back cuts
-    lineage, so later failures recompute from this table only.
+    Every write is a new version (see ``plans.versions``): a failed write
+    leaves the table as it was, ``df`` may read the table it replaces, and
+    readers switch in one step.  The version before stays for readers that
+    have begun; older ones go.  The read-back cuts lineage, so later failures
+    recompute from this table only.  ``part`` lays the rows out in parts by
+    that column, neighbours in the order of ``sort`` together.
     """
     col = audit_column(name)
     if audit and col not in df.columns:
         df = df.withColumn(col, F.current_timestamp())
-    path = table_path(output, name)
-    fresh = f"{path}-new-{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
-    _replace(df.sparkSession, fresh, path)
-    back = df.sparkSession.read.parquet(path)
-    return back.drop(col)
-
-
-def _replace(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the folder ``fresh`` in the place of ``path``; the old folder goes last and returns if the new one cannot move."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    new, here, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, fresh.replace("-new-", "-old-")))
-    fs = here.getFileSystem(conf)
-    had = fs.exists(here)
-    if had and not fs.rename(here, old):
-        raise OSError(f"cannot replace {path}")
-    if not fs.rename(new, here):
-        if had:
-            fs.rename(old, here)
-        raise OSError(f"cannot move {fresh} to {path}")
-    if had:
-        fs.delete(old, True)
-    spark.catalog.refreshByPath(path)
+    table = VersionedTable(df.sparkSession, table_path(output, name), part)
+    version = table.replace(df, sort)
+    table.expire()
+    return table.read(version).drop(col)
+
+
+def stored_table(spark: SparkSession, output: str, name: str) -> VersionedTable:
+    """A written layer table, in whatever parts it is kept."""
+    table = VersionedTable(spark, table_path(output, name))
+    version = table.current()
+    table.part = version.part if version else None
+    return table
 
 
 def register_catalog(spark: SparkSession, output: str) -> None:
@@ -113,15 +106,32 @@ def register_catalog(spark: SparkSession, output: str) -> None:
     for name, layer in LAYERS.items():
         if name == "consumer_complaints" and _bucketed_raw(spark, output) is not None:
             continue  # already a (bucketed) catalog table for this output
-        spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-        spark.sql(
-            f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{table_path(output, name)}' "
-            f"TBLPROPERTIES ('{OWNER_PROPERTY}' = '{output.rstrip('/')}')"
-        )
+        _switch(spark, f"{layer}.{name}", stored_table(spark, output, name), output.rstrip("/"))
     register_sql_functions(spark)
 
 
-OWNER_PROPERTY = "grievance.output"
+def _switch(spark: SparkSession, name: str, table: VersionedTable, owner: str) -> None:
+    """Let the catalog table ``name`` show the newest version: one step for readers where the table is there already."""
+    version = table.current()
+    folders = table.folders(version)
+    if table.part is None and len(folders) == 1 and spark.catalog.tableExists(name) and not _properties(spark, name).get(PARTS_PROPERTY):
+        if spark.table(name).schema.names == table.read(version).schema.names:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folders[WHOLE]}'")
+            spark.catalog.refreshTable(name)
+            return
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.read(version).schema.fields)
+    parts = f"PARTITIONED BY ({table.part})" if table.part else ""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({fields}) USING parquet {parts} LOCATION '{folders.get(WHOLE, table.path)}' "
+        f"TBLPROPERTIES ('{OWNER_PROPERTY}' = '{owner}', '{PARTS_PROPERTY}' = '{table.part or ''}')"
+    )
+    if table.part:
+        places = " ".join(f"PARTITION ({table.part}={'NULL' if v == NO_VALUE else repr(v)}) LOCATION '{f}'" for v, f in folders.items())
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {places}")
+
+
+OWNER_PROPERTY, PARTS_PROPERTY = "grievance.output", "grievance.parts"
 
 
 def _bucketed_raw(spark: SparkSession, output: str) -> DataFrame | None:
@@ -166,7 +176,8 @@ def read_table(spark: SparkSession, output: str, name: str) -> DataFrame:
         bucketed = _bucketed_raw(spark, output)
         if bucketed is not None:
             return bucketed
-    return spark.read.parquet(table_path(output, name))
+    table = stored_table(spark, output, name)
+    return table.read() if table.current() else spark.read.parquet(table.path)  # a bucketed table seen by its path
 
 
 @dataclass
@@ -249,7 +260,7 @@ def load_raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None,
-              bucket_raw: int | None = None) -> DataFrame:
+              bucket_raw: int | None = None, id_width: int | None = None) -> DataFrame:
     """Write the raw table: full refresh, or an upsert into ``existing_raw``
     (incoming rows win; untouched rows keep their load stamp).
 
@@ -258,8 +269,23 @@ def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None
     anti-join and the (large) existing table is only scanned, never shuffled.
     A large increment gets a sort-merge join instead.  ``bucket_raw`` writes
     raw as a catalog table bucketed by id (see ``write_bucketed_raw``).
+    ``id_width`` keeps raw in parts of so many ids: an upsert into the table
+    under ``output`` then reads and writes only the parts it has rows of.
     """
     stamped = raw.withColumn("loaded_at", F.current_timestamp())
+    table = VersionedTable(raw.sparkSession, table_path(output, "consumer_complaints"), ID_PART)
+    if existing_raw is not None:
+        id_width = kept_width(table, id_width)
+    if id_width:
+        rows, order, note = with_id_range(stamped, width=id_width), (ID_PART, "complaint_id"), {"id_width": id_width}
+        if existing_raw is None:
+            version = table.replace(rows, order, note)
+        elif table.current() is None or table.current().part != ID_PART:
+            version = table.replace(merge_upsert(with_id_range(existing_raw, width=id_width), rows), order, note)
+        else:
+            version = merge_increment(table, rows)
+        table.expire()
+        return table.read(version).drop("loaded_at")
     if existing_raw is None:
         incoming = stamped
     else:
@@ -296,8 +322,12 @@ def check_raw_step(spark: SparkSession, output: str, results_path: str | None =
 
 
 def build_step(spark: SparkSession, output: str, fact_strategy: str = "auto",
-               timings: dict[str, float] | None = None) -> str:
-    """raw -> silver staging -> gold dimensions -> gold fact.  Returns the fact path used."""
+               timings: dict[str, float] | None = None, fact_by_month: bool = False) -> str:
+    """raw -> silver staging -> gold dimensions -> gold fact.  Returns the fact path used.
+
+    ``fact_by_month`` lays the fact out in parts by received month, which
+    time-bounded questions need not read.
+    """
     timings = {} if timings is None else timings
     t = time.perf_counter()
     stg = write_table(stage_complaints(read_table(spark, output, "consumer_complaints")), output, "stg_complaints")
@@ -319,7 +349,11 @@ def build_step(spark: SparkSession, output: str, fact_strategy: str = "auto",
         # dimensions were built from this staging, so each row's key is present
         # exactly once.  Verified on the written (small) dimensions in one job.
         strategy = G.choose_fact_strategy(dp, dc, dg)
-    write_table(G.fact_complaints(stg, dp, dc, dg, strategy=strategy), output, "fact_complaints")
+    fact = G.fact_complaints(stg, dp, dc, dg, strategy=strategy)
+    if fact_by_month:
+        write_table(G.with_month(fact), output, "fact_complaints", part=MONTH_PART, sort=(MONTH_PART, "complaint_id"))
+    else:
+        write_table(fact, output, "fact_complaints")
     timings["gold_fact"] = round(time.perf_counter() - t, 3)
     return strategy
 
@@ -346,7 +380,7 @@ def _run_name() -> str:
 def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataFrame | None = None,
         suite_gate: str = "raise", tests_gate: str = "raise", length_gate: str = "raise", fact_strategy: str = "auto",
         results_path: str | None = None, run_name: str | None = None, register: bool = False,
-        suite=None, tests=Q.MODEL_TESTS, bucket_raw: int | None = None) -> RunReport:
+        suite=None, tests=Q.MODEL_TESTS, bucket_raw: int | None = None, id_width: int | None = None, fact_by_month: bool = False) -> RunReport:
     """The whole daily run: load, check raw, build, test, volume gate.
 
     ``raw`` is the incoming load (one row per complaint id).  With
@@ -360,7 +394,9 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     ``"derive"`` (join elimination) or ``"auto"`` (derive when the written
     dimensions have unique keys, else join).  ``bucket_raw=n`` writes raw as
     a catalog table in ``n`` id buckets, so the id checks later in this run
-    read co-located buckets without a shuffle.
+    read co-located buckets without a shuffle.  ``id_width=n`` keeps raw in
+    parts of ``n`` ids, of which an upsert touches only those it has rows of;
+    ``fact_by_month`` keeps the fact in parts by received month.
     """
     run_name = run_name or _run_name()
     report = RunReport(run_name)
@@ -368,7 +404,7 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
 
     with clock("raw"):
         # The file listing of the written table (metadata only, no data read).
-        report.raw_files = len(load_step(raw, output, existing_raw, bucket_raw).inputFiles())
+        report.raw_files = len(load_step(raw, output, existing_raw, bucket_raw, id_width).inputFiles())
 
     with clock("raw_checks"):
         report.length_violations, rows = check_raw_step(spark, output, results_path, run_name, suite)
@@ -384,7 +420,7 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     with clock("profile"):
         report.profile = load_profile(read_table(spark, output, "consumer_complaints")).first().asDict()
 
-    report.fact_strategy = build_step(spark, output, fact_strategy, report.timings)
+    report.fact_strategy = build_step(spark, output, fact_strategy, report.timings, fact_by_month)
 
     with clock("tests"):
         rows = test_step(spark, output, results_path, run_name, tests)
