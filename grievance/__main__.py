@@ -100,6 +100,7 @@ def main(argv: list[str] | None = None) -> int:
     _source_args(r)
     r.add_argument("--gate", choices=("raise", "warn"), default="raise")
     r.add_argument("--register", action="store_true", help="register raw/silver/gold tables in the catalog")
+    r.add_argument("--resume", action="store_true", help="begin at the step that an earlier run of the same files did not end")
     r.add_argument("--fact-by-month", action="store_true", help="keep the fact in parts by received month")
     r.add_argument("--bucket-raw", type=int, metavar="N",
                    help="write raw as a catalog table in N complaint-id buckets (id checks then need no shuffle)")
@@ -152,7 +153,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "run":
         raw, existing = _incoming(spark, a)
         rep_ = run(spark, raw, a.output, existing_raw=existing, length_gate=a.gate, suite_gate=a.gate, tests_gate=a.gate,
-                   results_path=a.results, register=a.register, suite=suite, tests=tests, bucket_raw=a.bucket_raw, id_width=a.id_width, fact_by_month=a.fact_by_month)
+                   results_path=a.results, register=a.register, suite=suite, tests=tests, bucket_raw=a.bucket_raw, id_width=a.id_width, fact_by_month=a.fact_by_month, resume=a.resume)
         _print({"run_name": rep_.run_name, "timings": rep_.timings, "load": rep_.load_metrics, "profile": rep_.profile,
                 "fact_rows": rep_.fact_rows, "volume": rep_.volume_status, "fact_strategy": rep_.fact_strategy,
                 "length_violations": len(rep_.length_violations), "expectations_failed": len(rep_.suite_failed),

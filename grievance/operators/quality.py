@@ -18,11 +18,11 @@ reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,24 +131,35 @@ def _outside(c: Column, e: Expectation) -> Column:
     return below if e.max_value is None else below | (c > F.lit(e.max_value))
 
 
-def run_suite(df: DataFrame, suite: Sequence[Expectation] = RAW_SUITE) -> DataFrame:
-    """Evaluate ``suite`` on ``df``: one row per expectation (``SUITE_SCHEMA``)."""
-    cols = set(df.columns)
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
+def suite_metrics(suite: Sequence[Expectation], columns: Sequence[str]) -> dict[str, Column]:
+    """The counts that decide ``suite`` (but for uniqueness), by name; counts of parts of a table add up."""
+    metrics: dict[str, Column] = {"n_rows": F.count(F.lit(1))}
     for i, e in enumerate(suite, 1):
-        if e.column not in cols:
+        if e.column not in columns:
             continue
         c = F.col(e.column)
-        if e.kind == "not_null":
-            aggs.append(F.count(c).alias(f"__nn{i}"))
-        elif e.kind == "in_set":
+        if e.kind in ("not_null", "in_set", "between"):
+            metrics[f"known_{i}"] = F.count(c)
+        if e.kind == "in_set":
             allowed = [v for v in e.value_set if v is not None]
-            aggs += [F.count(c).alias(f"__nn{i}"), F.count(F.when(c.isNotNull() & ~c.isin(*allowed), 1)).alias(f"__u{i}")]
+            metrics[f"unexpected_{i}"] = F.count(F.when(c.isNotNull() & ~c.isin(*allowed), 1))
         elif e.kind == "between":
-            aggs += [F.count(c).alias(f"__nn{i}"), F.count(F.when(_outside(c, e), 1)).alias(f"__u{i}")]
-    one = df.agg(*aggs)
+            metrics[f"unexpected_{i}"] = F.count(F.when(_outside(c, e), 1))
+    return metrics
+
+
+def run_suite(df: DataFrame, suite: Sequence[Expectation] = RAW_SUITE, metrics: DataFrame | None = None,
+              unique: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Evaluate ``suite`` on ``df``: one row per expectation (``SUITE_SCHEMA``).
 
-    n = F.col("__n")
+    ``metrics`` is the row of ``suite_metrics`` where it is known already (from
+    the pass that wrote the table): then ``df`` is read for uniqueness only, and
+    not even for that where ``unique`` has the column's ``unique_counts``.
+    """
+    cols = set(df.columns)
+    one = metrics if metrics is not None else df.agg(*[m.alias(name) for name, m in suite_metrics(suite, df.columns).items()])
+
+    n = F.col("n_rows")
     rows: list[Column] = []
     unique_parts: list[DataFrame] = []
     for i, e in enumerate(suite, 1):
@@ -165,26 +176,31 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation] = RAW_SUITE) -> DataFr
         elif not present:
             rows.append(_row(i, e, success=F.lit(False)))
         elif e.kind == "not_null":
-            un = n - F.col(f"__nn{i}")
+            un = n - F.col(f"known_{i}")
             rows.append(_row(i, e, elements=n, unexpected=un, success=_mostly_ok(n, un, e.mostly)))
         elif e.kind in ("in_set", "between"):
-            el, un = F.col(f"__nn{i}"), F.col(f"__u{i}")
+            el, un = F.col(f"known_{i}"), F.col(f"unexpected_{i}")
             rows.append(_row(i, e, elements=el, unexpected=un, success=_mostly_ok(el, un, e.mostly)))
         elif e.kind == "unique":
-            unique_parts.append(_unique_expectation(df, i, e))
+            counts = (unique or {}).get(e.column)
+            unique_parts.append(_unique_expectation(unique_counts(df, e.column) if counts is None else counts, i, e))
     out = one.select(F.inline(F.array(*rows)))
     return reduce(DataFrame.unionByName, unique_parts, out)
 
 
-def _unique_expectation(df: DataFrame, idx: int, e: Expectation) -> DataFrame:
-    """Every row whose value occurs more than once is unexpected; NULLs are ignored."""
-    counts = df.filter(F.col(e.column).isNotNull()).groupBy(e.column).agg(F.count(F.lit(1)).alias("k"))
-    tot = counts.agg(
+def unique_counts(df: DataFrame, column: str) -> DataFrame:
+    """One row: rows with a value (``el``), and rows whose value occurs more than once (``un``)."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("k"))
+    return counts.agg(
         F.coalesce(F.sum("k"), F.lit(0)).alias("el"),
         F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).alias("un"),
     )
+
+
+def _unique_expectation(counts: DataFrame, idx: int, e: Expectation) -> DataFrame:
+    """Every row whose value occurs more than once is unexpected; NULLs are ignored."""
     el, un = F.col("el"), F.col("un")
-    return tot.select(F.inline(F.array(_row(idx, e, elements=el, unexpected=un, success=_mostly_ok(el, un, e.mostly)))))
+    return counts.select(F.inline(F.array(_row(idx, e, elements=el, unexpected=un, success=_mostly_ok(el, un, e.mostly)))))
 
 
 # =================================================================== tests
@@ -370,6 +386,37 @@ def run_tests(models: dict[str, DataFrame], tests: Sequence[ModelTest] = MODEL_T
     return reduce(DataFrame.unionByName, parts)
 
 
+def failing_values(df: DataFrame, suite: Sequence[Expectation] = RAW_SUITE, top: int = 20, only: Iterable[int] | None = None) -> DataFrame:
+    """Which values failed: the ``top`` most frequent unexpected values of each expectation on values.
+
+    ``expectation_index, column_name, value, n, place``: a value as text (NULL
+    for a missing one), how many rows have it, and its place, 1 being the most
+    frequent; ties go by the value.  One pass: rows without a failure give
+    nothing, equal values are counted before the shuffle, and only the counted
+    values are ranked.  A uniqueness check names the values that occur more than once.
+    ``only``: the indexes of the expectations to look at.
+    """
+    found, repeated = [], []
+    for i, e in enumerate(suite, 1):
+        if (only is not None and i not in set(only)) or e.column not in df.columns or e.kind not in ("not_null", "in_set", "between", "unique"):
+            continue
+        c = F.col(e.column)
+        if e.kind == "unique":
+            counts = df.filter(c.isNotNull()).groupBy(e.column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            repeated.append(counts.select(F.lit(i).alias("expectation_index"), F.lit(e.column).alias("column_name"), c.cast("string").alias("value"), "n"))
+            continue
+        wrong = {"not_null": c.isNull(), "in_set": c.isNotNull() & ~c.isin(*[v for v in e.value_set if v is not None]), "between": _outside(c, e)}[e.kind]
+        found.append(F.when(wrong, F.struct(F.lit(i).alias("expectation_index"), F.lit(e.column).alias("column_name"), c.cast("string").alias("value"))))
+    parts = list(repeated)
+    if found:
+        rows = df.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("f")).select("f.*")
+        parts.append(rows.groupBy("expectation_index", "column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "expectation_index int, column_name string, value string, n long, place int")
+    order = Window.partitionBy("expectation_index").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    return reduce(DataFrame.unionByName, parts).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
+
+
 def volume_gate(fact: DataFrame, min_rows: int = FACT_MIN_ROWS) -> DataFrame:
     """Final gate: row count of the fact against a floor; only ever warns."""
     return fact.agg(F.count(F.lit(1)).alias("n_rows")).select(

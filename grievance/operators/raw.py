@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grievance.functions.expressions import lenient_bigint, lenient_date, null_if_na_token, zip5
@@ -73,21 +73,23 @@ def merge_upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
-def varchar_overflow(raw: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) -> DataFrame:
+def length_metrics(limits: dict[str, int] = VARCHAR_LIMITS) -> dict[str, Column]:
+    """Per column of ``limits``: values longer than allowed (``long_``) and the greatest length (``longest_``)."""
+    out = {}
+    for c, n in limits.items():
+        out[f"long_{c}"] = F.count(F.when(F.length(F.col(c)) > n, 1))
+        out[f"longest_{c}"] = F.coalesce(F.max(F.length(F.col(c))), F.lit(0))
+    return out
+
+
+def varchar_overflow(raw: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS, metrics: DataFrame | None = None) -> DataFrame:
     """Per declared VARCHAR(n) column: how many values are longer than n.
 
-    One aggregate pass for all columns, unpivoted to one row per column:
-    ``column_name, max_length, violations, longest``.
+    One aggregate pass for all columns (none where ``metrics`` has its row),
+    unpivoted to one row per column: ``column_name, max_length, violations, longest``.
     """
-    aggs = []
-    for c, n in limits.items():
-        ln = F.length(F.col(c))
-        aggs += [
-            F.count(F.when(ln > n, 1)).alias(f"v__{c}"),
-            F.coalesce(F.max(ln), F.lit(0)).alias(f"l__{c}"),
-        ]
-    one = raw.agg(*aggs)
-    stack = ", ".join(f"'{c}', {n}, `v__{c}`, `l__{c}`" for c, n in limits.items())
+    one = metrics if metrics is not None else raw.agg(*[m.alias(name) for name, m in length_metrics(limits).items()])
+    stack = ", ".join(f"'{c}', {n}, `long_{c}`, `longest_{c}`" for c, n in limits.items())
     return one.selectExpr(
         f"stack({len(limits)}, {stack}) AS (column_name, max_length, violations, longest)"
     ).select(
@@ -98,13 +100,23 @@ def varchar_overflow(raw: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) ->
     )
 
 
-def load_profile(raw: DataFrame) -> DataFrame:
-    """Post-load profile: total rows, rows with a date, distinct products, date share (%)."""
-    return raw.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count("date_received").alias("valid_dates"),
-        F.count_distinct("product").alias("distinct_products"),
-    ).select(
+def profile_metrics() -> dict[str, Column]:
+    return {"total_rows": F.count(F.lit(1)), "valid_dates": F.count("date_received")}
+
+
+def load_profile(raw: DataFrame, metrics: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
+    """Post-load profile: total rows, rows with a date, distinct products, date share (%).
+
+    With the row of ``profile_metrics`` in ``metrics`` only the products are
+    read; not even those with ``products``, one row with ``distinct_products``.
+    """
+    if metrics is None:
+        one = raw.agg(*[m.alias(name) for name, m in profile_metrics().items()], F.count_distinct("product").alias("distinct_products"))
+    else:
+        found = products if products is not None else raw.agg(F.count_distinct("product").alias("distinct_products"))
+        both = metrics.select("total_rows", "valid_dates").unionByName(found, allowMissingColumns=True)
+        one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return one.select(
         "total_rows",
         "valid_dates",
         "distinct_products",

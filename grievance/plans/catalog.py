@@ -7,14 +7,17 @@ another query's output.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grievance.functions import expressions as X
+from grievance.functions.sql_functions import staging_sql
 from grievance.operators import changes as C
 from grievance.operators import gold as G
+from grievance.operators import metrics as M
 from grievance.operators import quality as Q
 from grievance.operators import raw as RAW
 from grievance.operators import reports as R
@@ -58,6 +61,14 @@ def q_stg_complaints(spark, sf_dir):
     return staged_complaints(spark, sf_dir).select(*STAGING_COLUMNS)
 
 
+@register("stg_view", O.with_stg("SELECT * FROM stg"))
+def q_stg_view(spark, sf_dir):
+    """Staging as the query of its view."""
+    name = f"raw_{uuid.uuid4().hex}"
+    raw_complaints(spark, sf_dir).createOrReplaceTempView(name)
+    return spark.sql(staging_sql(name)).select(*STAGING_COLUMNS)
+
+
 @register("dim_product", O.with_gold("SELECT * FROM dim_product"))
 def q_dim_product(spark, sf_dir):
     return G.dim_product(staged_complaints(spark, sf_dir))
@@ -649,6 +660,37 @@ def q_expectation_suite(spark, sf_dir):
     return Q.run_suite(stored(raw_complaints(spark, sf_dir).select(*used), "raw"))
 
 
+@register("suite_from_write", O.suite_sql(Q.RAW_SUITE))
+def q_suite_from_write(spark, sf_dir):
+    """The expectation suite from metrics observed while raw is written; raw is read again for its ids only."""
+    observed = M.Observed(M.raw_metrics(Q.RAW_SUITE, RAW_COLUMNS))
+    table = VersionedTable(spark, shared_path(spark, "suite_from_write"))
+    raw = table.read(table.replace(raw_complaints(spark, sf_dir), watch=observed.watch))
+    return Q.run_suite(raw, metrics=observed.row(spark))
+
+
+@register(
+    "id_bitmaps",
+    f"WITH fixture AS ({O.FIXTURE_SELECT}) SELECT CAST(sum(n) AS BIGINT) AS el, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS un, "
+    "CAST(sum(n) - count(*) AS BIGINT) AS surplus FROM (SELECT complaint_id, count(*) AS n FROM fixture GROUP BY complaint_id)",
+)
+def q_id_bitmaps(spark, sf_dir):
+    """Rows with an id, rows whose id is repeated, and surplus rows, from bitmaps of the ids."""
+    rows = stored(with_id_range(fixture_complaints(spark, sf_dir, with_order=False).select("complaint_id"), width=MERGE_WIDTH), "ids")
+    bitmaps = stored(M.id_bitmaps(rows, ID_PART), "id_bitmaps")
+    surplus = M.bitmap_totals(bitmaps).agg(F.sum(F.col("n_rows") - F.col("n_ids")).alias("surplus"))
+    counts = M.unique_counts_by_bitmap(rows, bitmaps)
+    both = counts.unionByName(surplus, allowMissingColumns=True)
+    return both.agg(*[F.max(c).cast("bigint").alias(c) for c in both.columns])
+
+
+@register("failing_values", O.failing_values_sql(Q.RAW_SUITE, 20))
+def q_failing_values(spark, sf_dir):
+    """The 20 most frequent unexpected values of each expectation, ties by the value."""
+    used = [c for c in RAW_COLUMNS if c in {e.column for e in Q.RAW_SUITE}]
+    return Q.failing_values(stored(raw_complaints(spark, sf_dir).select(*used), "raw"), top=20)
+
+
 _SINGULAR_SQL = {
     "test_date_logic": "date_sent_to_company < date_received",
     "test_timely_response_accuracy": (

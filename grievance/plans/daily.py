@@ -20,12 +20,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grievance.functions.sql_functions import register_sql_functions
+from grievance.functions.sql_functions import register_rules, register_sql_functions, staging_sql
 from grievance.operators import gold as G
+from grievance.operators import metrics as M
 from grievance.operators import quality as Q
 from grievance.operators.raw import keep_last, load_profile, merge_upsert, normalise, varchar_overflow
 from grievance.operators.staging import stage_complaints
+from grievance.plans.ledger import Ledger, digest, input_fingerprint
 from grievance.plans.versions import ID_PART, NO_VALUE, WHOLE, VersionedTable, kept_width, merge_increment, with_id_range
+from grievance.schemas import RAW_COLUMNS
 from grievance.session import shared_path
 from grievance.sources.csv import FILE_ORDER, scan_complaints
 from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints
@@ -63,7 +66,8 @@ def audit_column(name: str) -> str:
     return AUDIT_COLUMN.get(name, "dbt_loaded_at")
 
 
-def write_table(df: DataFrame, output: str, name: str, audit: bool = True, part: str | None = None, sort: Sequence[str] = ()) -> DataFrame:
+def write_table(df: DataFrame, output: str, name: str, audit: bool = True, part: str | None = None, sort: Sequence[str] = (),
+                observed: M.Observed | None = None) -> DataFrame:
     """Full-refresh a layer table (stamped with its load time), then return a
     DataFrame that reads it back without the stamp.
 
@@ -72,13 +76,14 @@ def write_table(df: DataFrame, output: str, name: str, audit: bool = True, part:
     readers switch in one step.  The version before stays for readers that
     have begun; older ones go.  The read-back cuts lineage, so later failures
     recompute from this table only.  ``part`` lays the rows out in parts by
-    that column, neighbours in the order of ``sort`` together.
+    that column, neighbours in the order of ``sort`` together.  ``observed``
+    gathers metrics of the rows on their way.
     """
     col = audit_column(name)
     if audit and col not in df.columns:
         df = df.withColumn(col, F.current_timestamp())
     table = VersionedTable(df.sparkSession, table_path(output, name), part)
-    version = table.replace(df, sort)
+    version = table.replace(df, sort, watch=observed and observed.watch)
     table.expire()
     return table.read(version).drop(col)
 
@@ -91,6 +96,51 @@ def stored_table(spark: SparkSession, output: str, name: str) -> VersionedTable:
     return table
 
 
+def version_of(spark: SparkSession, output: str, name: str) -> str | None:
+    """What tells this state of a layer table from every other one."""
+    version = stored_table(spark, output, name).current()
+    return f"{version.number}:{digest(version.parts.values())}" if version else None
+
+
+# Counts and id bitmaps of a raw table in parts, kept by the same parts beside it.
+_METRICS, _BITMAPS = "_part_metrics", "_id_bitmaps"
+
+
+def _beside(spark: SparkSession, output: str, name: str) -> VersionedTable:
+    return VersionedTable(spark, f"{table_path(output, 'consumer_complaints')}{name}", ID_PART)
+
+
+def update_part_metrics(spark: SparkSession, output: str, suite) -> None:
+    """Count the parts of raw that were written since the metrics were; the others' counts stay."""
+    raw = stored_table(spark, output, "consumer_complaints")
+    version = raw.current()
+    wanted = M.raw_metrics(suite, RAW_COLUMNS)
+    kind = digest([repr(suite)])
+    for name, count in ((_METRICS, lambda df: M.part_metrics(df, ID_PART, wanted)), (_BITMAPS, lambda df: M.id_bitmaps(df, ID_PART))):
+        kept = _beside(spark, output, name)
+        before = kept.current()
+        done = before.note["tokens"] if before and before.note.get("kind") == kind else {}
+        changed = sorted(v for v, token in version.parts.items() if done.get(v) != token)
+        if changed or set(done) != set(version.parts):
+            fresh = count(raw.read(version, parts=[None if v == NO_VALUE else v for v in changed]))
+            rest = [v for v in version.parts if v not in changed]
+            all_ = kept.read(before, parts=[None if v == NO_VALUE else v for v in rest]).unionByName(fresh) if rest else fresh
+            # One small row per part (a few per run of ids), so the table is written whole.
+            kept.replace(all_, (ID_PART,), {"kind": kind, "tokens": version.parts})
+            kept.expire()
+
+
+def _kept_metrics(spark: SparkSession, output: str, suite) -> tuple[DataFrame, DataFrame] | None:
+    """The kept metrics and bitmaps, if they are those of the raw table as it is now and of this suite."""
+    version = stored_table(spark, output, "consumer_complaints").current()
+    tables = [_beside(spark, output, name) for name in (_METRICS, _BITMAPS)]
+    for table in tables:
+        kept = table.current()
+        if not (version and kept) or kept.note != {"kind": digest([repr(suite)]), "tokens": version.parts}:
+            return None
+    return tables[0].read(), tables[1].read()
+
+
 def register_catalog(spark: SparkSession, output: str) -> None:
     """Expose the written layers as ``raw.*``, ``silver.*`` and ``gold.*`` tables, and the rule functions to SQL.
 
@@ -106,10 +156,23 @@ def register_catalog(spark: SparkSession, output: str) -> None:
     for name, layer in LAYERS.items():
         if name == "consumer_complaints" and _bucketed_raw(spark, output) is not None:
             continue  # already a (bucketed) catalog table for this output
-        _switch(spark, f"{layer}.{name}", stored_table(spark, output, name), output.rstrip("/"))
+        if name != "stg_complaints":
+            _switch(spark, f"{layer}.{name}", stored_table(spark, output, name), output.rstrip("/"))
+    register_rules(spark, "silver")
+    register_staging_view(spark, output)
     register_sql_functions(spark)
 
 
+def register_staging_view(spark: SparkSession, output: str) -> None:
+    """``silver.stg_complaints`` as a view over ``raw.consumer_complaints``: nothing is stored, every session sees it."""
+    name = "silver.stg_complaints"
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{OWNER_PROPERTY}' = '{output.rstrip('/')}') AS {staging_sql('raw.consumer_complaints')}"
+    )
+
+
 def _switch(spark: SparkSession, name: str, table: VersionedTable, owner: str) -> None:
     """Let the catalog table ``name`` show the newest version: one step for readers where the table is there already."""
     version = table.current()
@@ -260,7 +323,7 @@ def load_raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None,
-              bucket_raw: int | None = None, id_width: int | None = None) -> DataFrame:
+              bucket_raw: int | None = None, id_width: int | None = None, observed: M.Observed | None = None) -> DataFrame:
     """Write the raw table: full refresh, or an upsert into ``existing_raw``
     (incoming rows win; untouched rows keep their load stamp).
 
@@ -271,6 +334,8 @@ def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None
     raw as a catalog table bucketed by id (see ``write_bucketed_raw``).
     ``id_width`` keeps raw in parts of so many ids: an upsert into the table
     under ``output`` then reads and writes only the parts it has rows of.
+    ``observed`` gathers metrics of all rows while they are written (not of a
+    table in parts, see ``update_part_metrics``).
     """
     stamped = raw.withColumn("loaded_at", F.current_timestamp())
     table = VersionedTable(raw.sparkSession, table_path(output, "consumer_complaints"), ID_PART)
@@ -298,49 +363,79 @@ def load_step(raw: DataFrame, output: str, existing_raw: DataFrame | None = None
             incoming.write.parquet(merged)
             incoming = spark.read.parquet(merged)
     if bucket_raw:
-        return write_bucketed_raw(incoming, output, bucket_raw)
-    return write_table(incoming, output, "consumer_complaints")
+        return write_bucketed_raw(observed.watch(incoming) if observed else incoming, output, bucket_raw)
+    return write_table(incoming, output, "consumer_complaints", observed=observed)
 
 
 def check_raw_step(spark: SparkSession, output: str, results_path: str | None = None,
-                   run_name: str | None = None, suite=None) -> tuple[list[dict], list[dict]]:
+                   run_name: str | None = None, suite=None, observed: M.Observed | None = None) -> tuple[list[dict], list[dict]]:
     """Declared VARCHAR lengths and the expectation suite on the raw table.
 
-    The two read the table independently, so both jobs are submitted
-    together.  Returns (length violations, one row per expectation).  The
+    Returns (length violations, one row per expectation).  With ``observed``
+    (the load's metrics), or for a table in parts, raw is read for the
+    uniqueness of its ids only - in parts, not even for that.  With
+    ``results_path`` the most frequent values that failed are stored too.  The
     default suite has no upper bounds (``Q.RAW_SUITE`` has: pass it to hold a
     load to the declared largest row count and id).
     """
+    suite = Q.without_upper_bounds() if suite is None else suite
+    run_name = run_name or _run_name()
     raw_t = read_table(spark, output, "consumer_complaints")
-    results = Q.run_suite(raw_t, Q.without_upper_bounds() if suite is None else suite)
+    metrics = unique = None
+    if stored_table(spark, output, "consumer_complaints").part == ID_PART:
+        update_part_metrics(spark, output, suite)
+        by_part, bitmaps = _kept_metrics(spark, output, suite)
+        metrics = M.total_metrics(by_part, M.raw_metrics(suite, RAW_COLUMNS))
+        unique = {"complaint_id": M.unique_counts_by_bitmap(raw_t, bitmaps)}
+    elif observed:
+        metrics = observed.row(spark)
+    results = Q.run_suite(raw_t, suite, metrics, unique)
     if results_path:
-        results = _stored(spark, results, f"{results_path}/expectations", run_name or _run_name())
+        results = _stored(spark, results, f"{results_path}/expectations", run_name)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        lengths = pool.submit(lambda: [r.asDict() for r in varchar_overflow(raw_t).filter("violations > 0").collect()])
+        lengths = pool.submit(lambda: [r.asDict() for r in varchar_overflow(raw_t, metrics=metrics).filter("violations > 0").collect()])
         rows = pool.submit(lambda: [r.asDict() for r in results.collect()])
-        return lengths.result(), rows.result()
+        lengths, rows = lengths.result(), rows.result()
+    failed = [r["expectation_index"] for r in rows if r["unexpected_count"]]
+    if results_path and failed:
+        Q.store_results(Q.failing_values(raw_t, suite, only=failed), f"{results_path}/failing_values", run_name)
+    return lengths, rows
 
 
 def build_step(spark: SparkSession, output: str, fact_strategy: str = "auto",
-               timings: dict[str, float] | None = None, fact_by_month: bool = False) -> str:
+               timings: dict[str, float] | None = None, fact_by_month: bool = False, ledger: Ledger | None = None) -> str:
     """raw -> silver staging -> gold dimensions -> gold fact.  Returns the fact path used.
 
     ``fact_by_month`` lays the fact out in parts by received month, which
-    time-bounded questions need not read.
+    time-bounded questions need not read.  With ``ledger`` the steps that are
+    whole for these very inputs are left out; they have no timing then.
     """
     timings = {} if timings is None else timings
+    raw_in = {"raw": version_of(spark, output, "consumer_complaints")}
+    silver = {"silver": version_of(spark, output, "stg_complaints")}
     t = time.perf_counter()
-    stg = write_table(stage_complaints(read_table(spark, output, "consumer_complaints")), output, "stg_complaints")
-    timings["silver"] = round(time.perf_counter() - t, 3)
+    if ledger and ledger.whole("silver", raw_in, silver):
+        stg = read_table(spark, output, "stg_complaints").drop("dbt_loaded_at")
+    else:
+        stg = write_table(stage_complaints(read_table(spark, output, "consumer_complaints")), output, "stg_complaints")
+        silver = {"silver": version_of(spark, output, "stg_complaints")}
+        if ledger:
+            ledger.record("silver", raw_in, silver)
+        timings["silver"] = round(time.perf_counter() - t, 3)
 
     t = time.perf_counter()
     # Independent jobs: submit them together so small dimensions share the cluster.
     builds = {"dim_product": G.dim_product(stg), "dim_company": G.dim_company(stg),
               "dim_geography": G.dim_geography(stg), "dim_date": G.dim_date(spark)}
-    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-        futures = {n: pool.submit(write_table, df, output, n) for n, df in builds.items()}
-        dp, dc, dg, _ = (futures[n].result() for n in builds)
-    timings["gold_dims"] = round(time.perf_counter() - t, 3)
+    if ledger and ledger.whole("gold_dims", silver, {n: version_of(spark, output, n) for n in builds}):
+        dp, dc, dg, _ = (read_table(spark, output, n).drop("dbt_loaded_at") for n in builds)
+    else:
+        with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+            futures = {n: pool.submit(write_table, df, output, n) for n, df in builds.items()}
+            dp, dc, dg, _ = (futures[n].result() for n in builds)
+        if ledger:
+            ledger.record("gold_dims", silver, {n: version_of(spark, output, n) for n in builds})
+        timings["gold_dims"] = round(time.perf_counter() - t, 3)
 
     t = time.perf_counter()
     strategy = fact_strategy
@@ -349,11 +444,16 @@ def build_step(spark: SparkSession, output: str, fact_strategy: str = "auto",
         # dimensions were built from this staging, so each row's key is present
         # exactly once.  Verified on the written (small) dimensions in one job.
         strategy = G.choose_fact_strategy(dp, dc, dg)
+    fact_in = {**silver, "strategy": strategy, "by_month": fact_by_month, **{n: version_of(spark, output, n) for n in builds}}
+    if ledger and ledger.whole("gold_fact", fact_in, {"fact": version_of(spark, output, "fact_complaints")}):
+        return strategy
     fact = G.fact_complaints(stg, dp, dc, dg, strategy=strategy)
     if fact_by_month:
         write_table(G.with_month(fact), output, "fact_complaints", part=MONTH_PART, sort=(MONTH_PART, "complaint_id"))
     else:
         write_table(fact, output, "fact_complaints")
+    if ledger:
+        ledger.record("gold_fact", fact_in, {"fact": version_of(spark, output, "fact_complaints")})
     timings["gold_fact"] = round(time.perf_counter() - t, 3)
     return strategy
 
@@ -373,6 +473,16 @@ def volume_step(spark: SparkSession, output: str) -> dict:
     return Q.volume_gate(read_table(spark, output, "fact_complaints")).first().asDict()
 
 
+class _Writing:
+    """A ledger that is written but not believed."""
+
+    def __init__(self, ledger: Ledger):
+        self.record = ledger.record
+
+    def whole(self, *_) -> bool:
+        return False
+
+
 def _run_name() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime(RUN_NAME_FORMAT)
 
@@ -380,7 +490,8 @@ def _run_name() -> str:
 def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataFrame | None = None,
         suite_gate: str = "raise", tests_gate: str = "raise", length_gate: str = "raise", fact_strategy: str = "auto",
         results_path: str | None = None, run_name: str | None = None, register: bool = False,
-        suite=None, tests=Q.MODEL_TESTS, bucket_raw: int | None = None, id_width: int | None = None, fact_by_month: bool = False) -> RunReport:
+        suite=None, tests=Q.MODEL_TESTS, bucket_raw: int | None = None, id_width: int | None = None, fact_by_month: bool = False,
+        resume: bool = False) -> RunReport:
     """The whole daily run: load, check raw, build, test, volume gate.
 
     ``raw`` is the incoming load (one row per complaint id).  With
@@ -397,17 +508,30 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
     read co-located buckets without a shuffle.  ``id_width=n`` keeps raw in
     parts of ``n`` ids, of which an upsert touches only those it has rows of;
     ``fact_by_month`` keeps the fact in parts by received month.
+
+    ``resume`` begins at the step that an earlier run of the same input did
+    not end: raw is not loaded again if the same files made its newest version,
+    and silver and gold steps are left out while their inputs are the same.
+    Checks and tests always run.
     """
     run_name = run_name or _run_name()
     report = RunReport(run_name)
     clock = _Clock(report)
 
-    with clock("raw"):
-        # The file listing of the written table (metadata only, no data read).
-        report.raw_files = len(load_step(raw, output, existing_raw, bucket_raw, id_width).inputFiles())
+    ledger = Ledger(spark, output)
+    observed = None
+    source = {"files": input_fingerprint(raw), "mode": "upsert" if existing_raw is not None else "replace"}
+    if not (resume and ledger.whole("raw", source, {"raw": version_of(spark, output, "consumer_complaints")})):
+        observed = M.Observed(M.raw_metrics(Q.without_upper_bounds() if suite is None else suite, RAW_COLUMNS)) if not id_width else None
+        with clock("raw"):
+            # The file listing of the written table (metadata only, no data read).
+            report.raw_files = len(load_step(raw, output, existing_raw, bucket_raw, id_width, observed).inputFiles())
+            ledger.record("raw", source, {"raw": version_of(spark, output, "consumer_complaints")})
+    if stored_table(spark, output, "consumer_complaints").part:
+        observed = None  # a merge writes some of the rows only
 
     with clock("raw_checks"):
-        report.length_violations, rows = check_raw_step(spark, output, results_path, run_name, suite)
+        report.length_violations, rows = check_raw_step(spark, output, results_path, run_name, suite, observed)
         report.suite_failed = [r for r in rows if not r["success"]]
         report.raw_rows = next(
             (r["observed_value"] for r in rows if r["expectation_type"].endswith("row_count_to_be_between")), None
@@ -418,9 +542,10 @@ def run(spark: SparkSession, raw: DataFrame, output: str, *, existing_raw: DataF
         raise Q.QualityGateError(f"expectation suite failed: {report.suite_failed}")
 
     with clock("profile"):
-        report.profile = load_profile(read_table(spark, output, "consumer_complaints")).first().asDict()
+        metrics = observed.row(spark) if observed else None
+        report.profile = load_profile(read_table(spark, output, "consumer_complaints"), metrics).first().asDict()
 
-    report.fact_strategy = build_step(spark, output, fact_strategy, report.timings, fact_by_month)
+    report.fact_strategy = build_step(spark, output, fact_strategy, report.timings, fact_by_month, ledger if resume else _Writing(ledger))
 
     with clock("tests"):
         rows = test_step(spark, output, results_path, run_name, tests)

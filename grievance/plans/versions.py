@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass, field
 from urllib.parse import unquote
 
@@ -42,6 +42,31 @@ def _name(value: object) -> str:
     return NO_VALUE if value is None else str(value)
 
 
+def read_json(spark: SparkSession, path: str):
+    """The content of a small file; ``None`` where there is none, or one that was not written to its end."""
+    jvm = spark.sparkContext._jvm
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(source) or not fs.getFileStatus(source).getLen():
+        return None
+    stream = fs.open(source)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    try:
+        return json.loads(text)
+    except ValueError:
+        return None
+
+
+def write_json(spark: SparkSession, path: str, content, overwrite: bool) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, overwrite)
+    stream.write(bytearray(json.dumps(content).encode()))
+    stream.close()
+
+
 class ConcurrentWrite(RuntimeError):
     """Another writer published the next version first."""
 
@@ -78,18 +103,8 @@ class VersionedTable:
 
     def _load(self, number: int) -> Version | None:
         """The version of that number; ``None`` while its file is being written, or if the writer was lost in that."""
-        source = self._path(f"{self.path}/{_FOLDER}/{number:010d}.json")
-        size = int(self._fs().getFileStatus(source).getLen())
-        stream = self._fs().open(source)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") if size else ""
-        finally:
-            stream.close()
-        try:
-            read = json.loads(text)
-        except ValueError:
-            return None
-        return Version(**read)
+        read = read_json(self.spark, f"{self.path}/{_FOLDER}/{number:010d}.json")
+        return None if read is None else Version(**read)
 
     def versions(self) -> list[Version]:
         """All published versions, oldest first."""
@@ -107,11 +122,9 @@ class VersionedTable:
             raise ConcurrentWrite(f"{self.path} was written meanwhile (version {newest.number if newest else 0})")
         made = Version(max([0, *self._numbers()]) + 1, schema.json(), self.part, parts, note)
         try:
-            stream = self._fs().create(self._path(f"{self.path}/{_FOLDER}/{made.number:010d}.json"), False)
+            write_json(self.spark, f"{self.path}/{_FOLDER}/{made.number:010d}.json", asdict(made), overwrite=False)
         except Py4JJavaError as e:
             raise ConcurrentWrite(f"version {made.number} of {self.path} exists") from e
-        stream.write(bytearray(json.dumps(asdict(made)).encode()))
-        stream.close()
         return made
 
     def _folder(self, part: str | None, value: str, token: str) -> str:
@@ -147,7 +160,7 @@ class VersionedTable:
 
     # --- writing --------------------------------------------------------
 
-    def _written(self, df: DataFrame, sort: Sequence[str]) -> tuple[T.StructType, dict[str, str]]:
+    def _written(self, df: DataFrame, sort: Sequence[str], watch: Callable[[DataFrame], DataFrame] | None = None) -> tuple[T.StructType, dict[str, str]]:
         """Write ``df`` under a new token; its schema and parts."""
         if VERSION in df.columns:
             raise ValueError(f"the column name {VERSION!r} is taken")
@@ -159,6 +172,8 @@ class VersionedTable:
             df = df.sortWithinPartitions(self.part, *[c for c in sort if c != self.part])
         names = [c for c in df.columns if c != self.part] + ([] if self.part is None else [self.part])
         df = df.select(*names)
+        if watch:  # behind the sort: a range partitioning reads its input twice
+            df = watch(df)
         df.withColumn(VERSION, F.lit(token)).write.mode("append").partitionBy(*columns).parquet(self.path)
         if self.part is None:
             there = self._fs().exists(self._path(self._folder(None, WHOLE, token)))
@@ -167,10 +182,13 @@ class VersionedTable:
         values = [unquote(s.getPath().getParent().getName().split("=", 1)[1]) for s in found or []]
         return df.schema, dict.fromkeys(sorted(values), token)
 
-    def replace(self, df: DataFrame, sort: Sequence[str] = (), note: dict | None = None) -> Version:
-        """All rows anew, in the order of ``sort`` in files and parts; ``df`` may read the version that it replaces."""
+    def replace(self, df: DataFrame, sort: Sequence[str] = (), note: dict | None = None, watch: Callable[[DataFrame], DataFrame] | None = None) -> Version:
+        """All rows anew, in the order of ``sort`` in files and parts; ``df`` may read the version that it replaces.
+
+        ``watch`` is applied to the rows as they are written (see ``operators.metrics``).
+        """
         base = self.current()
-        schema, parts = self._written(df, sort)
+        schema, parts = self._written(df, sort, watch)
         return self._publish(base, schema, parts, note or {})
 
     def replace_parts(self, df: DataFrame, values: Iterable[object], sort: Sequence[str] = (), base: Version | None = None) -> Version:
