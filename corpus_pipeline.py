@@ -25,8 +25,9 @@ from grievance.llm.queries import tokenizer_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents whose best language explains less than this are rejected, as are those without a letter.
 MIN_LANGUAGE_SCORE = 0.25
-#: Ids to drop are broadcast up to this number; more are joined by a shuffle.
+#: Ids to drop are broadcast up to this number, shortened texts up to so many bytes; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+BROADCAST_BYTES = 16_000_000
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rest = suffix_dedup.remove_repeats(docs).filter("n_removed > 0").select("doc_id", "kept_text", (F.col("n_removed") == F.col("n_bytes")).alias("_gone"))
     rest = staged(rest, "rest")
     small = rest.agg(F.sum(F.octet_length("kept_text"))).first()[0] or 0
-    joined = docs.select(*COLUMNS).join(F.broadcast(rest) if small <= suffix_dedup.BROADCAST_BYTES else rest, "doc_id", "left")
+    joined = docs.select(*COLUMNS).join(F.broadcast(rest) if small <= BROADCAST_BYTES else rest, "doc_id", "left")
     changed = F.col("kept_text").isNotNull()
     return joined.filter(~F.coalesce("_gone", F.lit(False))).withColumns({
         "text": F.coalesce("kept_text", "text"), "n_chars": F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")),
