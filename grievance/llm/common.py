@@ -25,7 +25,31 @@ def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path, compression=codec)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._grievance = (path, None)
+    return back
+
+
+def bucketed(df: DataFrame, name: str, n: int, column: str, codec: str | None = None) -> DataFrame:
+    """``staged``, as a table in ``n`` buckets by ``column``: joins with another such table on it move neither side."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    table = f"grievance_{name}_{path.rsplit('-', 1)[1]}"
+    df.write.format("parquet").option("path", path).option("compression", codec or "snappy").bucketBy(n, column).saveAsTable(table)
+    back = spark.table(table)
+    back._grievance = (path, table)
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``staged`` or ``bucketed`` wrote, once everything made of it is written itself."""
+    for df in frames:
+        path, table = df._grievance
+        spark = df.sparkSession
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release(spark: SparkSession) -> None:

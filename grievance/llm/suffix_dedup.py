@@ -24,7 +24,10 @@ The steps, each a Spark job over blocks of a few megabytes of text:
 
 What travels between blocks are sorted arrays of keys, each distinct key of a
 block once, so a string that a third of all documents hold is one key per block.
-Answers return in the order of the keys and find their block by its number.
+Answers return in the order of the keys.  Text and segments never travel again:
+they are tables in buckets by groups of blocks, and the answers are dealt into
+the same buckets, together with a note of every row's place among the keys, so
+that no step sorts again what an earlier one has sorted.
 
 Defined cases
 * null or empty text: no bytes, nothing removed; texts shorter than the span: nothing removed;
@@ -47,7 +50,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grievance.llm.common import buckets, release, staged
+from grievance.llm.common import bucketed, buckets, discard, release, staged
 from grievance.llm.shingles import mix
 
 SPAN = 50
@@ -59,8 +62,10 @@ STEP = 6
 #: Bytes of text in a block; bytes of text per bucket of keys.
 BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 16_000_000
-#: Answers of up to so many bytes are broadcast to the blocks, larger ones are joined by a shuffle.
-BROADCAST_BYTES = 16_000_000
+#: Neighbouring blocks of a part; bytes of text per bucket of parts, and how many of these there are at most.
+PART_BLOCKS = 32
+PART_BYTES = 64_000_000
+MAX_PART_BUCKETS = 100_000
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
 
@@ -154,6 +159,56 @@ def bucket_of(columns: list[np.ndarray], n_buckets: int) -> np.ndarray:
     return mixed(columns) % np.uint64(n_buckets)
 
 
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers below 2**32, compressed by planes of bytes."""
+    planes = [np.ascontiguousarray(a, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(np.array([len(a) for a in arrays], dtype="<u8").tobytes() + b"".join(planes))
+
+
+def unpack_arrays(blob: bytes, n: int) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    out, at = [], 8 * n
+    for size in raw[:at].view("<u8").tolist():
+        out.append(np.ascontiguousarray(raw[at : at + 4 * size].reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64))
+        at += 4 * size
+    return out
+
+
+#: The bucket under which a block's note to itself stands.
+NOTE = -1
+
+
+class Places:
+    """Each row's place among the distinct keys of a block, and the buckets in which these stand: what is needed of the keys to read the answers."""
+
+    def __init__(self, place: np.ndarray, buckets_: np.ndarray, counts: np.ndarray):
+        self.place, self.buckets, self.counts = place, buckets_, counts
+
+    def note(self, *more: np.ndarray) -> bytes:
+        return pack_arrays(self.place, self.buckets, self.counts, *more)
+
+    @classmethod
+    def read(cls, answers: list, more: int = 0) -> tuple[Places, list, list[np.ndarray]]:
+        """The places, the answers of the buckets, and what else the block noted."""
+        arrays = unpack_arrays(answers[0]["answer"], 3 + more)
+        return cls(*arrays[:3]), answers[1:], arrays[3:]
+
+    def least(self, values: np.ndarray) -> np.ndarray:
+        """The least value of each key's rows."""
+        out = np.full(int(self.counts.sum()), np.iinfo(np.int64).max)
+        np.minimum.at(out, self.place, values)
+        return out
+
+    def bits(self, answers: list) -> np.ndarray:
+        """The answers as one flag per key."""
+        return np.concatenate([np.unpackbits(np.frombuffer(a["answer"], dtype=np.uint8), count=n) for a, n in zip(answers, self.counts.tolist(), strict=True)]).astype(bool)
+
+    def names(self, answers: list, columns: int) -> np.ndarray:
+        """The answers as ``columns`` names per key: the bucket, then the rank in it."""
+        ranks = np.concatenate([np.cumsum(unpacked(a["answer"], columns), axis=1, dtype=np.uint64) for a in answers], axis=1)
+        return (np.repeat(self.buckets, self.counts).astype(np.uint64) << np.uint64(32)) | ranks
+
+
 class Keys:
     """The distinct keys of a block, sorted by bucket and content, and each row's place among them."""
 
@@ -167,12 +222,8 @@ class Keys:
         first = order[new]
         self.columns = [c[first] for c in columns]
         self.bucket = bucket[first].astype(np.int64)
-
-    def least(self, values: np.ndarray) -> np.ndarray:
-        """The least value of each key's rows."""
-        out = np.full(len(self.bucket), np.iinfo(np.int64).max)
-        np.minimum.at(out, self.place, values)
-        return out
+        bounds = np.array(self.bounds(), dtype=np.int64).reshape(-1, 2)
+        self.places = Places(self.place, self.bucket[bounds[:, 0]], bounds[:, 1] - bounds[:, 0])
 
     def bounds(self) -> list[tuple[int, int]]:
         """First and last key of each bucket that has keys."""
@@ -190,60 +241,68 @@ class Keys:
 class Block:
     """Documents joined in one array of bytes; positions are those of the array."""
 
-    def __init__(self, ids: list[int], ends: list[int], text: bytes, anchors: bool = False):
+    def __init__(self, ids: list[int], ends: list[int], text: bytes):
         self.ids = np.array(ids, dtype=np.int64)
         self.ends = np.array(ends, dtype=np.int64)
         self.data = np.frombuffer(text, dtype=np.uint8)
-        self.hashes = window_hashes(self.data, CUT_BYTES, ANCHOR) if anchors else window_hashes(self.data, CUT_BYTES)
         size = np.diff(np.concatenate([[0], self.ends]))
         self.doc = np.repeat(np.arange(len(self.ids)), size)
         #: Whether a window starts here and ends within its document.
         self.window = np.arange(len(self.data)) + SPAN <= self.ends[self.doc] if len(self.data) else np.zeros(0, dtype=bool)
 
-    def phrases(self) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of the stretches of windows between cuts; a phrase has ``SPAN - 1`` bytes more."""
+    def phrase_starts(self) -> np.ndarray:
+        """Where the stretches of windows between cuts begin."""
         cut = np.zeros(len(self.data), dtype=bool)
-        h = self.hashes[0]
+        (h,) = window_hashes(self.data, CUT_BYTES)
         cut[: len(h)] = (h & np.uint64(CUT_EVERY - 1)) == 0
         begins = np.concatenate([[0], self.ends[:-1]])
         cut[begins[begins < len(self.data)]] = True
-        start = np.flatnonzero(cut & self.window)
+        return np.flatnonzero(cut & self.window)
+
+    def phrase_stops(self, start: np.ndarray) -> np.ndarray:
+        """Where they end; a phrase has ``SPAN - 1`` bytes more."""
         stop = np.concatenate([start[1:], [len(self.data)]])
-        return start, np.minimum(stop, self.ends[self.doc[start]] - SPAN + 1)
+        return np.minimum(stop, self.ends[self.doc[start]] - SPAN + 1)
 
-    def phrase_keys(self, n_buckets: int) -> tuple[np.ndarray, np.ndarray, Keys]:
-        start, stop = self.phrases()
-        raw = self.data.tobytes()
+    def phrase_keys(self, start: np.ndarray, n_buckets: int) -> Keys:
+        raw, stop = self.data.tobytes(), self.phrase_stops(start)
         digests = b"".join([xxhash.xxh3_128_digest(raw[a : b + SPAN - 1]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)])
         both = np.frombuffer(digests, dtype=np.uint64).reshape(-1, 2)
-        return start, stop, Keys([both[:, 0].copy(), both[:, 1].copy()], both[:, 0] % np.uint64(n_buckets))
+        return Keys([both[:, 0].copy(), both[:, 1].copy()], both[:, 0] % np.uint64(n_buckets))
 
     def anchors(self, windows: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, Keys]:
         """Anchors of the windows, by runs of windows that share one: each window's run, each run's document, the keys of the runs.
 
         A key is 32 bits of the anchor next to the bucket; a chance equality only makes a candidate too many.
         """
-        least = sliding_least(self.hashes[1], SPAN - ANCHOR + 1)[windows]
+        least = sliding_least(window_hashes(self.data, ANCHOR)[0], SPAN - ANCHOR + 1)[windows]
         doc = self.doc[windows]
         new = np.concatenate([[True], (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])])
         return np.cumsum(new) - 1, doc[new], Keys([least[new] >> np.uint64(32)], least[new] % np.uint64(n_buckets))
 
 
-def covered_by(block: Block, start: np.ndarray, keys: Keys, smaller: np.ndarray) -> np.ndarray:
-    """Which rows are in a group with a smaller id: by another block's answer or within this block."""
-    ids = block.ids[block.doc[start]]
-    return (ids > keys.least(ids)[keys.place]) | smaller[keys.place]
+def covered_by(ids: np.ndarray, places: Places, answers: list) -> np.ndarray:
+    """Which rows (with these ids) are in a group with a smaller id: by another block's answer or within this block."""
+    return (ids > places.least(ids)[places.place]) | places.bits(answers)[places.place]
 
 
 # --- exchange --------------------------------------------------------------
 
-def exchange(asked: DataFrame, answer: Callable[[list[bytes]], list[bytes]], name: str) -> DataFrame:
-    """Bring all blobs of a bucket together and return an answer to each: ``block, bucket, answer``."""
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "answer": answer(list(pdf["payload"]))})
+def exchange(asked: DataFrame, answer: Callable[[list[bytes]], list[bytes]], name: str, n_parts: int) -> DataFrame:
+    """Bring all blobs of a bucket together and deal the answers, with the blocks' notes, out to the parts.
 
-    found = asked.groupBy("bucket").applyInPandas(one, "block long, bucket int, answer binary")
-    out = staged(found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "answer"))).alias(name)), name)
+    ``part, <name>``: for each block of the part its number and ``bucket, answer`` in the order of the buckets.
+    """
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": pdf["part"], "block": pdf["block"], "bucket": pdf["bucket"], "answer": answer(list(pdf["payload"]))})
+
+    asked = staged(asked, f"{name}_asked", "none")
+    found = asked.filter(F.col("bucket") != NOTE).groupBy("bucket").applyInPandas(one, "part long, block long, bucket int, answer binary")
+    notes = asked.filter(F.col("bucket") == NOTE).withColumnRenamed("payload", "answer")
+    dealt = found.unionByName(notes).repartition(n_parts, "part")
+    by_block = dealt.groupBy("part", "block").agg(F.array_sort(F.collect_list(F.struct("bucket", "answer"))).alias("answers"))
+    out = bucketed(by_block.groupBy("part").agg(F.collect_list(F.struct("block", "answers")).alias(name)), name, n_parts, "part", "none")
+    discard(asked)
     release(out.sparkSession)
     return out
 
@@ -309,22 +368,6 @@ def name_names(blobs: list[bytes]) -> list[bytes]:
     return _ranks([unpacked(b, 4) for b in blobs], [lambda c: c, lambda c: c[:3], lambda c: [c[0], c[1], c[2] >> np.uint64(48)]])
 
 
-def bits(answers: list | None, keys: Keys) -> np.ndarray:
-    """A block's answers as one flag per key."""
-    if not len(keys.bucket):
-        return np.zeros(0, dtype=bool)
-    size = np.diff(np.flatnonzero(np.diff(np.concatenate([[-1], keys.bucket, [-1]]))))
-    return np.concatenate([np.unpackbits(np.frombuffer(a["answer"], dtype=np.uint8), count=n) for a, n in zip(answers, size, strict=True)]).astype(bool)
-
-
-def names(answers: list | None, keys: Keys, columns: int) -> np.ndarray:
-    """A block's answers as ``columns`` names per key: the bucket, then the rank in it."""
-    if not len(keys.bucket):
-        return np.zeros((columns, 0), dtype=np.uint64)
-    ranks = np.concatenate([np.cumsum(unpacked(a["answer"], columns), axis=1, dtype=np.uint64) for a in answers], axis=1)
-    return (keys.bucket.astype(np.uint64) << np.uint64(32)) | ranks
-
-
 # --- segments --------------------------------------------------------------
 
 class Segments:
@@ -349,48 +392,58 @@ class Segments:
     def bytes_at(self, at: np.ndarray, n: int) -> np.ndarray:
         return self.eight[at] >> np.uint64(8 * (8 - n))
 
-    def bases(self) -> np.ndarray:
-        """Sampled places whose names the merge asks for."""
+    def sample(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sampled places whose names the merge asks for, and the number of each place among them."""
         r, at = self.residue, self.at
-        return np.unique(np.concatenate([at[r > 0], at[r < 2] + STEP, at[r != 1] + 2 * STEP]))
-
-    def triple_keys(self, n_buckets: int) -> tuple[np.ndarray, np.ndarray, Keys]:
-        bases = self.bases()
-        at = np.unique(np.concatenate([bases, bases + 3 * STEP]))
+        chosen = np.zeros(len(self.eight), dtype=bool)
+        chosen[at[r > 0]] = True
+        chosen[at[r < 2] + STEP] = True
+        chosen[at[r != 1] + 2 * STEP] = True
+        return np.flatnonzero(chosen), np.cumsum(chosen) - 1
+
+    def triples(self, bases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the triples that name ``bases``, and the number of each place among them."""
+        chosen = np.zeros(len(self.eight), dtype=bool)
+        chosen[bases] = True
+        chosen[bases + 3 * STEP] = True
+        return np.flatnonzero(chosen), np.cumsum(chosen) - 1
+
+    def triple_keys(self, n_buckets: int) -> Keys:
+        at, _ = self.triples(self.sample()[0])
         columns = [self.eight[at], self.eight[at + 8], self.bytes_at(at + 16, 2)]
-        return bases, at, Keys(columns, bucket_of(columns, n_buckets))
-
-    def name_keys(self, n_buckets: int, triples: list | None) -> tuple[np.ndarray, Keys]:
-        bases, at, keys = self.triple_keys(n_buckets)
-        name = names(triples, keys, 1)[0][keys.place]
-        one, two = name[np.searchsorted(at, bases)], name[np.searchsorted(at, bases + 3 * STEP)]
-        columns = [one, two, self.eight[bases + 36], self.bytes_at(bases + 44, 6)]
-        return bases, Keys(columns, bucket_of(columns[:2], n_buckets))  # prefixes that are named stay in one bucket
-
-    def merge_keys(self, n_buckets: int, triples: list | None, named: list | None) -> tuple[np.ndarray, Keys]:
-        """Rows (which window) and keys of the three ways in which windows meet."""
-        bases, keys = self.name_keys(n_buckets, triples)
-        n50, n44, n38 = (n[keys.place] for n in names(named, keys, 3))
-        r, at = self.residue, self.at
-
-        def of(name: np.ndarray, places: np.ndarray) -> np.ndarray:
-            return name[np.searchsorted(bases, places)]
-
-        a, b, c = np.flatnonzero(r > 0), np.flatnonzero(r < 2), np.flatnonzero(r != 1)
+        return Keys(columns, bucket_of(columns, n_buckets))
+
+    def name_keys(self, n_buckets: int, name: np.ndarray) -> Keys:
+        """Keys of the sampled places, with the names of the triples."""
+        bases, _ = self.sample()
+        _, number = self.triples(bases)
+        columns = [name[number[bases]], name[number[bases + 3 * STEP]], self.eight[bases + 36], self.bytes_at(bases + 44, 6)]
+        return Keys(columns, bucket_of(columns[:2], n_buckets))  # prefixes that are named stay in one bucket
+
+    def ways(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows of each of the three ways in which windows meet."""
+        r = self.residue
+        return np.flatnonzero(r > 0), np.flatnonzero(r < 2), np.flatnonzero(r != 1)
+
+    def merge_keys(self, n_buckets: int, named: np.ndarray) -> Keys:
+        """Keys of the windows in all ways, with the names of 50, 44 and 38 bytes of the sampled places."""
+        number, at = self.sample()[1], self.at
+        n50, n44, n38 = named
+        a, b, c = self.ways()
         zero = np.uint64(0)
         way = [np.uint64(k << 62) for k in range(3)]  # names are far below
         columns = [
-            np.concatenate([of(n50, at[a]) | way[0], of(n44, at[b] + STEP) | way[1], of(n38, at[c] + 2 * STEP) | way[2]]),
+            np.concatenate([n50[number[at[a]]] | way[0], n44[number[at[b] + STEP]] | way[1], n38[number[at[c] + 2 * STEP]] | way[2]]),
             np.concatenate([np.full(len(a), zero), self.bytes_at(at[b], STEP), self.eight[at[c]]]),
             np.concatenate([np.full(len(a), zero), np.full(len(b), zero), self.bytes_at(at[c] + 8, 4)]),
         ]
-        return np.concatenate([a, b, c]), Keys(columns, bucket_of(columns, n_buckets))
+        return Keys(columns, bucket_of(columns, n_buckets))
 
 
 # --- jobs ------------------------------------------------------------------
 
 def make_blocks(docs: DataFrame) -> DataFrame:
-    """``block, ids, ends, text`` of ``doc_id, text`` (bytes), in blocks of whole documents."""
+    """``part, block, ids, ends, text`` of ``doc_id, text`` (bytes), in blocks of whole documents."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         ids: list[int] = []
@@ -399,9 +452,9 @@ def make_blocks(docs: DataFrame) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+                [pa.array([number // PART_BLOCKS], pa.int64()), pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([np.cumsum([len(t) for t in texts])], pa.list_(pa.int64())), pa.array([b"".join(texts)], pa.binary())],
-                names=["block", "ids", "ends", "text"],
+                names=["part", "block", "ids", "ends", "text"],
             )
 
         for batch in batches:
@@ -416,14 +469,16 @@ def make_blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield block()
 
-    return docs.mapInArrow(run, "block long, ids array<long>, ends array<long>, text binary")
+    return docs.mapInArrow(run, "part long, block long, ids array<long>, ends array<long>, text binary")
 
 
-def with_answers(blocks: DataFrame, *answers: DataFrame) -> DataFrame:
-    for a in answers:
-        size = a.select(F.sum(sum((F.octet_length(c) if t == "binary" else F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + F.octet_length(x["answer"]))
-                                   for c, t in a.dtypes if c != "block"), F.lit(0)))).first()[0]
-        blocks = blocks.join(F.broadcast(a) if (size or 0) <= BROADCAST_BYTES else a, "block", "left")
+def with_answers(blocks: DataFrame, *names: DataFrame) -> DataFrame:
+    """``blocks`` (in buckets by part) with their own answers of each exchange; NULL if a block asked nothing."""
+    for answers in names:
+        name = answers.columns[1]
+        joined = blocks.join(answers.hint("shuffle_hash"), "part", "left")
+        own = F.filter(F.col(name), lambda x: x["block"] == F.col("block"))
+        blocks = joined.withColumn(name, F.try_element_at(own, F.lit(1))["answers"])
     return blocks
 
 
@@ -441,37 +496,44 @@ def _map(frame: DataFrame, columns: list[str], one: Callable[..., Iterator[tuple
     return frame.select(*columns).mapInArrow(run, schema)
 
 
-_ASK = "block long, bucket int, payload binary"
-_ASK_TYPES = [pa.int64(), pa.int32(), pa.binary()]
+_ASK = "part long, block long, bucket int, payload binary"
+_ASK_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
 
+def repeated_spans(blocks: DataFrame, n: int, n_parts: int) -> DataFrame:
+    """``part, spans`` of parts with something to remove: for each block starts and ends in it, as two arrays of numbers."""
+    texts = ["part", "block", "ids", "ends", "text"]
 
-def repeated_spans(blocks: DataFrame, n: int) -> DataFrame:
-    """``block, spans`` of blocks with something to remove: starts and ends in the block, as two arrays of numbers."""
-    def ask_phrases(block, ids, ends, text):
+    def ask_phrases(part, block, ids, ends, text):
         b = Block(ids, ends, text)
-        start, _, keys = b.phrase_keys(n)
-        for bucket, payload in keys.rows(keys.least(b.ids[b.doc[start]]).view(np.uint64)):
-            yield block, bucket, payload
+        start = b.phrase_starts()
+        if len(start):
+            keys = b.phrase_keys(start, n)
+            yield part, block, NOTE, keys.places.note(start)
+            for bucket, payload in keys.rows(keys.places.least(b.ids[b.doc[start]]).view(np.uint64)):
+                yield part, block, bucket, payload
 
-    texts = ["block", "ids", "ends", "text"]
-    phrases = exchange(_map(blocks, texts, ask_phrases, _ASK, _ASK_TYPES), smaller_ids(2), "phrases")
+    phrases = exchange(_map(blocks, texts, ask_phrases, _ASK, _ASK_TYPES), smaller_ids(2), "phrases", n_parts)
 
     def split(b: Block, answers: list | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Windows that no covered phrase holds, and the covered spans."""
-        start, stop, keys = b.phrase_keys(n)
-        gone = covered_by(b, start, keys, bits(answers, keys)) if len(start) else np.zeros(0, dtype=bool)
-        open_ = np.flatnonzero(cover(len(b.data), start[~gone], stop[~gone]))
-        return open_, start[gone], stop[gone] + SPAN - 1
-
-    def ask_anchors(block, ids, ends, text, answers):
-        b = Block(ids, ends, text, anchors=True)
+        if not answers:
+            return tuple(np.zeros((3, 0), dtype=np.int64))
+        places, answers, (start,) = Places.read(answers, 1)
+        stop = b.phrase_stops(start)
+        gone = covered_by(b.ids[b.doc[start]], places, answers)
+        return np.flatnonzero(cover(len(b.data), start[~gone], stop[~gone])), start[gone], stop[gone] + SPAN - 1
+
+    def ask_anchors(part, block, ids, ends, text, answers):
+        b = Block(ids, ends, text)
         windows, _, _ = split(b, answers)
         if len(windows):
-            _, doc, keys = b.anchors(windows, n)
+            run, doc, keys = b.anchors(windows, n)
             counts = document_counts(keys, doc)
+            yield part, block, NOTE, keys.places.note(np.bincount(run))
             for a, z in keys.bounds():
                 step = np.diff(keys.columns[0][a:z], prepend=np.uint64(0))
-                yield block, int(keys.bucket[a]), packed(step * np.uint64(2) + counts[a:z] - np.uint64(1))
+                yield part, block, int(keys.bucket[a]), packed(step * np.uint64(2) + counts[a:z] - np.uint64(1))
 
     def document_counts(keys: Keys, doc: np.ndarray) -> np.ndarray:
         """In how many documents of the block each key occurs, 2 standing for more."""
@@ -481,65 +543,77 @@ def repeated_spans(blocks: DataFrame, n: int) -> DataFrame:
         return (1 + (high > low)).astype(np.uint64)
 
     known = with_answers(blocks, phrases)
-    anchors = exchange(_map(known, [*texts, "phrases"], ask_anchors, _ASK, _ASK_TYPES), other_documents, "anchors")
+    anchors = exchange(_map(known, [*texts, "phrases"], ask_anchors, _ASK, _ASK_TYPES), other_documents, "anchors", n_parts)
 
-    def cut_segments(block, ids, ends, text, phrase_answers, anchor_answers):
-        b = Block(ids, ends, text, anchors=True)
+    def cut_segments(part, block, ids, ends, text, phrase_answers, anchor_answers):
+        b = Block(ids, ends, text)
         windows, gone_start, gone_end = split(b, phrase_answers)
         candidate = np.zeros(len(b.data), dtype=bool)
-        if len(windows):
-            run, _, keys = b.anchors(windows, n)
-            candidate[windows[bits(anchor_answers, keys)[keys.place][run]]] = True
+        if anchor_answers:
+            places, answers, (lengths,) = Places.read(anchor_answers, 1)
+            candidate[windows[np.repeat(places.bits(answers)[places.place], lengths)]] = True
         start, stop = spans_of(candidate)
-        raw = b.data.tobytes()
-        yield (
-            block, b"".join([raw[a : z + SPAN - 1] for a, z in zip(start.tolist(), stop.tolist(), strict=True)]),
-            packed(start), packed(stop - start), packed(b.ids[b.doc[start]].view(np.uint64)), packed(gone_start, gone_end),
-        )
+        if len(start) or len(gone_start):
+            raw = b.data.tobytes()
+            yield (
+                part, block, b"".join([raw[a : z + SPAN - 1] for a, z in zip(start.tolist(), stop.tolist(), strict=True)]),
+                packed(start), packed(stop - start), packed(b.ids[b.doc[start]].view(np.uint64)), packed(gone_start, gone_end),
+            )
 
-    schema = "block long, data binary, starts binary, sizes binary, ids binary, gone binary"
+    schema = "part long, block long, data binary, starts binary, sizes binary, ids binary, gone binary"
     both = with_answers(known, anchors)
-    segments = staged(_map(both, [*texts, "phrases", "anchors"], cut_segments, schema, [pa.int64(), *[pa.binary()] * 5]), "segments", "zstd")
+    cut = _map(both, [*texts, "phrases", "anchors"], cut_segments, schema, [pa.int64(), pa.int64(), *[pa.binary()] * 5])
+    segments = bucketed(cut, "segments", n_parts, "part", "zstd")
+    discard(phrases, anchors)
 
     def open_(data, starts, sizes, ids) -> Segments:
         return Segments(data, *[unpacked(x, 1)[0].astype(np.int64) for x in (starts, sizes)], unpacked(ids, 1)[0].view(np.int64))
 
-    parts = ["block", "data", "starts", "sizes", "ids"]
+    parts = ["part", "block", "data", "starts", "sizes", "ids"]
     some = segments.filter(F.length("data") > 0)
 
-    def ask_triples(block, *columns):
-        yield from ((block, bucket, payload) for bucket, payload in open_(*columns).triple_keys(n)[2].rows())
+    def ask(part: int, block: int, keys: Keys, *more: np.ndarray) -> Iterator[tuple]:
+        yield part, block, NOTE, keys.places.note()
+        yield from ((part, block, bucket, payload) for bucket, payload in keys.rows(*more))
 
-    triples = exchange(_map(some, parts, ask_triples, _ASK, _ASK_TYPES), name_triples, "triples")
+    def ask_triples(part, block, *columns):
+        yield from ask(part, block, open_(*columns).triple_keys(n))
 
-    def ask_names(block, *columns):
-        yield from ((block, bucket, payload) for bucket, payload in open_(*columns[:-1]).name_keys(n, columns[-1])[1].rows())
+    triples = exchange(_map(some, parts, ask_triples, _ASK, _ASK_TYPES), name_triples, "triples", n_parts)
 
-    with_triples = with_answers(some, triples)
-    named = exchange(_map(with_triples, [*parts, "triples"], ask_names, _ASK, _ASK_TYPES), name_names, "named")
+    def ask_names(part, block, *columns):
+        places, answers, _ = Places.read(columns[-1])
+        yield from ask(part, block, open_(*columns[:-1]).name_keys(n, places.names(answers, 1)[0][places.place]))
 
-    def ask_merge(block, *columns):
-        s = open_(*columns[:-2])
-        row, keys = s.merge_keys(n, *columns[-2:])
-        yield from ((block, bucket, payload) for bucket, payload in keys.rows(keys.least(s.ids[row]).view(np.uint64)))
+    named = exchange(_map(with_answers(some, triples), [*parts, "triples"], ask_names, _ASK, _ASK_TYPES), name_names, "named", n_parts)
+    discard(triples)
 
-    with_names = with_answers(with_triples, named)
-    merged = exchange(_map(with_names, [*parts, "triples", "named"], ask_merge, _ASK, _ASK_TYPES), smaller_ids(3), "merged")
+    def ask_merge(part, block, *columns):
+        places, answers, _ = Places.read(columns[-1])
+        s = open_(*columns[:-1])
+        keys = s.merge_keys(n, places.names(answers, 3)[:, places.place])
+        yield from ask(part, block, keys, keys.places.least(np.concatenate([s.ids[w] for w in s.ways()])).view(np.uint64))
 
-    def found(block, data, starts, sizes, ids, gone, triples_, named_, merged_):
+    merged = exchange(_map(with_answers(some, named), [*parts, "named"], ask_merge, _ASK, _ASK_TYPES), smaller_ids(3), "merged", n_parts)
+    discard(named)
+
+    def found(part, block, data, starts, sizes, ids, gone, answers):
         start, end = unpacked(gone, 2).astype(np.int64)
         if data:
             s = open_(data, starts, sizes, ids)
-            row, keys = s.merge_keys(n, triples_, named_)
-            own = s.ids[row]
-            hit = s.in_block[np.unique(row[(own > keys.least(own)[keys.place]) | bits(merged_, keys)[keys.place]])]
+            places, answers, _ = Places.read(answers)
+            row = np.concatenate(s.ways())
+            hit = s.in_block[np.unique(row[covered_by(s.ids[row], places, answers)])]
             start, end = np.concatenate([start, hit]), np.concatenate([end, hit + SPAN])
         if len(start):
             a, z = spans_of(cover(int(end.max()), start, end))
-            yield block, packed(a, z)
+            yield part, block, packed(a, z)
 
-    last = with_answers(segments, triples, named, merged)
-    return staged(_map(last, [*parts, "gone", "triples", "named", "merged"], found, "block long, spans binary", [pa.int64(), pa.binary()]), "spans")
+    last = _map(with_answers(segments, merged), [*parts, "gone", "merged"], found, "part long, block long, spans binary", [pa.int64(), pa.int64(), pa.binary()])
+    dealt = last.repartition(n_parts, "part").groupBy("part").agg(F.collect_list(F.struct("block", F.col("spans").alias("answers"))).alias("spans"))
+    out = bucketed(dealt, "spans", n_parts, "part")
+    discard(merged, segments)
+    return out
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -548,9 +622,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     The digest is that of the remaining bytes; ``kept_text`` leaves out characters that lost some of their bytes.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    blocks = staged(make_blocks(slim.filter("doc_id IS NOT NULL")), "blocks", "zstd")
-    total = blocks.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
-    spans = repeated_spans(blocks, buckets(total, BUCKET_BYTES))
+    named = slim.filter("doc_id IS NOT NULL")
+    total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_parts = min(MAX_PART_BUCKETS, max(buckets(total, PART_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    blocks = bucketed(make_blocks(named), "blocks", n_parts, "part", "zstd")
+    spans = repeated_spans(blocks, buckets(total, BUCKET_BYTES), n_parts)
 
     def rest(ids, ends, text, spans_):
         start, end = unpacked(spans_, 2).astype(np.int64) if spans_ else np.zeros((2, 0), dtype=np.int64)
