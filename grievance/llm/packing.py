@@ -3,12 +3,13 @@
 Documents are tokenised once, by Spark tasks; only lengths travel afterwards.
 Pieces are dealt to groups of bounded size by a hash, each group is packed on
 its own, and the documents of underfull sequences are dealt and packed again,
-so the waste does not grow with the number of groups.
+pass after pass, until one group holds them or a pass fills hardly any more.
 
 Within a group the pieces are placed best fit, longest first.  The local search
 then works on the underfull sequences: it moves a document, or exchanges one
 for one or two for one, whenever that increases the sum of squared fills; a
-sequence that runs empty disappears.
+sequence that runs empty disappears.  It ends when a whole round over the
+underfull sequences changes nothing.
 
 Defined cases
 * null or empty text: no token but the closing one, a piece of length 1;
@@ -24,6 +25,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,8 +39,9 @@ from grievance.llm.common import buckets, spread, staged
 CAPACITY = 2048
 #: Pieces that one task packs at a time.  The time of the local search grows with the square of a group's underfull sequences.
 GROUP = 2_000
-#: Sequences filled less than this share are packed again in the second pass.
+#: Sequences filled less than this share are packed again in the next pass; a pass that leaves more than so much of the pieces to the next is the last.
 FULL_SHARE = 0.999
+WORTH_A_PASS = 0.8
 #: Bytes of text tokenised together.
 BATCH_BYTES = 8_000_000
 END_ID = 0
@@ -212,22 +215,37 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int = CAPA
     """Empty bins by exchanges between the emptiest bin and fuller ones.
 
     Ends when the free room of all underfull bins is less than one bin, so
-    that no packing has fewer, or when every underfull bin has been tried without a change.
+    that no packing has fewer, or when a round over all underfull bins changes
+    nothing: a bin without an exchange is tried again as long as others change.
+    Bins of the same lengths have the same exchanges, so a pair of such bins
+    that has none is not looked at twice.
     """
     fill = {n: sum(lengths[i] for i in b) for n, b in enumerate(bins)}
     under = {n for n in fill if fill[n] < capacity}
+    kind = {n: tuple(sorted(lengths[i] for i in bins[n])) for n in under}
+    none: set[tuple] = set()
     stuck: set[int] = set()
-    while (donors := under - stuck) and sum(capacity - fill[n] for n in under) >= capacity:
+    moved = False  # since the round began
+    while sum(capacity - fill[n] for n in under) >= capacity:
+        if not (donors := under - stuck):
+            if not moved:
+                break
+            stuck, moved = set(), False
+            continue
         donor = min(donors, key=lambda n: (fill[n], n))
         changed = False
         for n in sorted(under - {donor}, key=lambda n: (-fill[n], n)):
-            while fill[n] < capacity and fill[donor] <= fill[n] and bins[donor] and (found := exchange(bins[n], bins[donor], capacity - fill[n], lengths)):
+            while fill[n] < capacity and fill[donor] <= fill[n] and bins[donor] and (kind[n], kind[donor]) not in none:
+                if (found := exchange(bins[n], bins[donor], capacity - fill[n], lengths)) is None:
+                    none.add((kind[n], kind[donor]))
+                    break
                 gain, given, taken = found
                 bins[n] = [i for i in bins[n] if i not in given] + list(taken)
                 bins[donor] = [i for i in bins[donor] if i not in taken] + list(given)
                 fill[n] += gain
                 fill[donor] -= gain
-                changed = True
+                kind[n], kind[donor] = (tuple(sorted(lengths[i] for i in bins[k])) for k in (n, donor))
+                changed = moved = True
             if fill[n] == capacity:
                 under.discard(n)
             if not bins[donor]:
@@ -255,20 +273,27 @@ def place(pdf: pd.DataFrame, base: int, capacity: int = CAPACITY) -> pd.DataFram
 def pack(pieces_: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``.
 
-    First pass: groups dealt by a hash.  Second pass: the pieces of sequences
-    that are not full, dealt anew, so that the leftovers of all groups meet.
+    First pass: groups dealt by a hash, in which a row's number parts equal
+    rows.  Further passes: the pieces of sequences that are not full, dealt
+    anew, so that the leftovers of all groups meet.
     """
-    def placed(rows: DataFrame, n: int, high: int) -> DataFrame:
+    def placed(rows: DataFrame, n: int, pass_: int) -> DataFrame:
         def one(pdf: pd.DataFrame) -> pd.DataFrame:
-            base = high + (int(pdf["_group"].iloc[0]) << 32)
+            base = (pass_ << 56) + (int(pdf["_group"].iloc[0]) << 20)  # a group has fewer sequences than pieces
             return place(pdf, base, capacity).drop(columns="_group")
 
-        dealt = rows.withColumn("_group", F.pmod(spread("doc_id", "piece", "ids_crc32"), F.lit(n)))
+        dealt = rows.withColumn("_group", F.pmod(spread("doc_id", "piece", "ids_crc32", F.lit(pass_), F.monotonically_increasing_id()), F.lit(n)))
         return dealt.groupBy("_group").applyInPandas(one, PLACED_SCHEMA + ", _fill long")
 
     pieces_ = staged(pieces_.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
-    first = staged(placed(pieces_, buckets(pieces_.count(), group), 0), "packed")
     full = F.col("_fill") >= int(FULL_SHARE * capacity)
-    rest = first.filter(~full).drop("sequence_id", "offset", "_fill")
-    again = placed(rest, buckets(rest.count(), group), 1 << 61)
-    return first.filter(full).drop("_fill").unionByName(again.drop("_fill"))
+    done, left, pass_ = [], pieces_.count(), 0
+    while True:
+        groups = buckets(left, group)
+        packed = staged(placed(pieces_, groups, pass_), "packed")
+        before, pass_ = left, pass_ + 1
+        pieces_ = packed.filter(~full).drop("sequence_id", "offset", "_fill")
+        left = pieces_.count()
+        if groups == 1 or left > WORTH_A_PASS * before:
+            return reduce(DataFrame.unionByName, done, packed).drop("_fill")
+        done.append(packed.filter(full))

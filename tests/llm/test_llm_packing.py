@@ -104,3 +104,38 @@ def test_many_pieces_of_a_third_of_the_capacity(spark):
     out = K.pack(rows).collect()
     assert sorted(r.doc_id for r in out) == list(range(8000))
     assert len({r.sequence_id for r in out}) <= 1.09 * sum(lengths) / 2048
+
+
+def test_a_second_search_changes_nothing():
+    for seed, low, high in ((1, 400, 1000), (2, 500, 900), (3, 20, 1500)):
+        rng = random.Random(seed)
+        lengths = [rng.randint(low, high) for _ in range(1000)]
+        bins = K.local_search(K.best_fit(lengths), lengths)
+        assert sorted(i for b in bins for i in b) == list(range(1000))
+        again = K.local_search([list(b) for b in bins], lengths)
+        assert len(again) == len(bins) and sorted(map(sorted, again)) == sorted(map(sorted, bins))
+
+
+def test_equal_pieces_part_and_end_soon():
+    lengths = [600] * 2000
+    bins = K.local_search(K.best_fit(lengths), lengths)
+    assert len(bins) == 667
+
+
+def test_waste_does_not_grow_with_the_groups(spark):
+    def excess(n, group):
+        rng = np.random.default_rng(n)
+        lengths = np.clip(rng.lognormal(5.5, 1.0, n), 1, 2048).astype(int).tolist()
+        rows = spark.createDataFrame([(i, 0, 0, x, i) for i, x in enumerate(lengths)], K.PIECE_SCHEMA)
+        out = K.pack(rows, group=group).select("sequence_id", "length").toPandas()
+        assert out.groupby("sequence_id")["length"].sum().max() <= 2048 and len(out) == n
+        return out["sequence_id"].nunique() - -(-sum(lengths) // 2048)
+
+    assert excess(3000, 200) <= 2 and excess(12000, 200) <= 2
+
+
+def test_repeated_rows_meet_in_no_single_group(spark):
+    rows = spark.range(9000).selectExpr("7L as doc_id", "0 as piece", "0L as start", "600L as length", "5L as ids_crc32").repartition(4)
+    out = K.pack(rows)
+    assert out.groupBy("sequence_id").count().agg({"count": "max"}).first()[0] == 3
+    assert out.select("sequence_id").distinct().count() <= 3000 + 5
