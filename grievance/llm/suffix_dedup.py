@@ -63,8 +63,8 @@ STEP = 6
 BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 16_000_000
 #: Neighbouring blocks of a part; bytes of text per bucket of parts, and how many of these there are at most.
-PART_BLOCKS = 32
-PART_BYTES = 64_000_000
+PART_BLOCKS = 8
+PART_BYTES = 32_000_000
 MAX_PART_BUCKETS = 100_000
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
@@ -294,15 +294,17 @@ def exchange(asked: DataFrame, answer: Callable[[list[bytes]], list[bytes]], nam
     ``part, <name>``: for each block of the part its number and ``bucket, answer`` in the order of the buckets.
     """
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": pdf["part"], "block": pdf["block"], "bucket": pdf["bucket"], "answer": answer(list(pdf["payload"]))})
-
-    asked = staged(asked, f"{name}_asked", "none")
-    found = asked.filter(F.col("bucket") != NOTE).groupBy("bucket").applyInPandas(one, "part long, block long, bucket int, answer binary")
-    notes = asked.filter(F.col("bucket") == NOTE).withColumnRenamed("payload", "answer")
-    dealt = found.unionByName(notes).repartition(n_parts, "part")
+        note = pdf["bucket"].iloc[0] <= NOTE
+        bucket, found = (NOTE, pdf["payload"]) if note else (pdf["bucket"], answer(list(pdf["payload"])))
+        return pd.DataFrame({"part": pdf["part"], "block": pdf["block"], "bucket": bucket, "answer": found})
+
+    # The notes go the same way, each block's on its own, so that what blocks ask is written only once.
+    apart = (F.lit(NOTE) - F.pmod(F.xxhash64("block"), F.lit(1 << 30))).cast("int")
+    sent = asked.withColumn("bucket", F.when(F.col("bucket") == NOTE, apart).otherwise(F.col("bucket")))
+    found = sent.groupBy("bucket").applyInPandas(one, "part long, block long, bucket int, answer binary")
+    dealt = found.repartition(n_parts, "part")
     by_block = dealt.groupBy("part", "block").agg(F.array_sort(F.collect_list(F.struct("bucket", "answer"))).alias("answers"))
     out = bucketed(by_block.groupBy("part").agg(F.collect_list(F.struct("block", "answers")).alias(name)), name, n_parts, "part", "none")
-    discard(asked)
     release(out.sparkSession)
     return out
 
