@@ -4,7 +4,8 @@ Several metadata dimensions are quantised, each row gets its place on the
 Hilbert curve through their grid, and the rows in curve order are cut into runs
 of equal row counts.  Neighbours on the curve are neighbours in every
 dimension, so a file's minima and maxima are narrow in all of them and a filter
-on any prunes files.
+on any prunes files.  Names are quantised in their order, by cut points among
+the distinct names, so that a cell holds names next to each other.
 
 Ranks are global without a global window: a range partitioning orders the slim
 rows (no text), each partition counts its rows, and the counts of the
@@ -85,9 +86,19 @@ def hilbert_index(dims: Sequence[Column], bits: int = BITS) -> Column:
     return F.aggregate(cells, start, step, lambda acc: acc["h"])
 
 
-def quantised_name(c: Column, bits: int = BITS) -> Column:
-    """A name as a number below ``2 ** bits``; equal names share one, null is 0."""
-    return F.when(c.isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(c), F.lit((1 << bits) - 1))).cast("int")
+def name_cuts(docs: DataFrame, name: str, bits: int = BITS) -> list[str]:
+    """Cut points that deal the distinct names, in their order, into ``2 ** bits - 1`` cells of equal numbers of names."""
+    cells = (1 << bits) - 1
+    distinct = docs.select(F.col(name).cast("string").alias("_name")).dropna().distinct()
+    ranked, n = order_rows(distinct, ["_name"])
+    cell = F.expr(f"(_rank * {cells}L) div {max(n, 1)}L")
+    return [r.cut for r in ranked.groupBy(cell.alias("_cell")).agg(F.min("_name").alias("cut")).orderBy("_cell").collect()]
+
+
+def quantised_name(c: Column, cuts: Sequence[str]) -> Column:
+    """A name as the number of cut points up to it; names in one cell are neighbours, null is 0."""
+    reached = F.filter(F.array(*[F.lit(x) for x in cuts]), lambda cut: cut <= c.cast("string")) if cuts else F.array()
+    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(reached)).cast("int")
 
 
 def quantised_log(c: Column, bits: int = BITS, top: int = 24) -> Column:
@@ -96,9 +107,9 @@ def quantised_log(c: Column, bits: int = BITS, top: int = 24) -> Column:
     return F.least(F.lit(cells), F.coalesce(F.floor(F.log2(F.greatest(c, F.lit(0)) + 1) * cells / top), F.lit(0))).cast("int")
 
 
-def document_dimensions() -> list[Column]:
+def document_dimensions(docs: DataFrame) -> list[Column]:
     """Source, language and length in characters."""
-    return [quantised_name(F.col("source")), quantised_name(F.col("lang")), quantised_log(F.col("n_chars"))]
+    return [*[quantised_name(F.col(c), name_cuts(docs, c)) for c in ("source", "lang")], quantised_log(F.col("n_chars"))]
 
 
 def order_rows(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
@@ -106,13 +117,14 @@ def order_rows(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
     rows = staged(rows, "curve")
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = staged(rows.repartitionByRange(width, *keys).withColumn("_part", F.spark_partition_id()), "ranges")
-    before, total = [], 0
-    for part, count in sorted(tuple(r) for r in placed.groupBy("_part").count().collect()):
-        before.append(F.struct(F.lit(part), F.lit(total).cast("long")))
-        total += count
-    offsets = F.map_from_entries(F.array(*before)) if before else F.create_map(F.lit(0), F.lit(0).cast("long"))
+    # One row per partition: how many rows the partitions before it have.
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_count"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = staged(counts.withColumn("_before", F.coalesce(F.sum("_count").over(earlier), F.lit(0))), "offsets")
+    total = offsets.agg(F.sum("_count")).first()[0] or 0
     local = F.row_number().over(Window.partitionBy("_part").orderBy(*keys)).cast("long") - 1
-    return placed.withColumn("_rank", local + offsets[F.col("_part")]).drop("_part"), total
+    ranked = placed.join(F.broadcast(offsets.select("_part", "_before")), "_part").withColumn("_rank", local + F.col("_before"))
+    return ranked.drop("_part", "_before"), total
 
 
 def assign(docs: DataFrame, dims: Sequence[Column] | None = None, shards: int = SHARDS,
@@ -123,7 +135,7 @@ def assign(docs: DataFrame, dims: Sequence[Column] | None = None, shards: int =
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        hilbert_index(list(dims) if dims is not None else document_dimensions()).alias("curve"),
+        hilbert_index(list(dims) if dims is not None else document_dimensions(docs)).alias("curve"),
         F.col(tie_col).alias("_tie"),
     )
     ranked, n = order_rows(slim, ["curve", "_tie", "text_crc32", "doc_id", "size"])
