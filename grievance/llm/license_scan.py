@@ -1,6 +1,6 @@
 """Licence scan by canonical digest.
 
-A text is brought to a canonical form - lower case, copyright lines dropped,
+A text is brought to a canonical form - lower case, copyright statements dropped,
 punctuation to blanks, hyphenated and British spellings to one form - and the
 digest of the whole canonical text is joined with the digests of the known
 licences, which go through the same expressions.  Each line of a document is
@@ -9,7 +9,8 @@ found; nothing is matched in part.
 
 Defined cases
 * null text: no digest, no licence; blank text: the digest of the empty text;
-* a line or text that only holds a copyright line: the same as empty;
+* a line or text that only holds a copyright statement: the same as empty; where
+  a licence opens on the same line, the statement ends there;
 * a document that repeats a notice, or names several licences: each identifier once, sorted;
 * repeated rows give repeated results; an empty table gives no rows;
 * extra columns are not carried, whatever their names.
@@ -24,8 +25,13 @@ from pyspark.sql import functions as F
 
 from grievance.llm.license_texts import LICENCES, NOTICES
 
-#: A line that names a copyright holder.
-COPYRIGHT_LINE = r"^[^\p{L}\p{N}]*(copyright|©|\(c\) *[0-9]|all rights reserved)"
+#: Words with which the known licences and notices open (fixed values).
+OPENINGS: tuple[str, ...] = (
+    "permission is hereby granted", "permission is granted", "permission to use", "redistribution and use", "this software is provided",
+    "licensed under", "licenced under", "released under", "distributed under", "this work is licensed", "spdx-license-identifier",
+)
+#: A copyright statement at the beginning of a line, up to such words or the end of the line.
+COPYRIGHT = r"^[^\p{L}\p{N}]*(?:copyright|©|\(c\) *[0-9]|all rights reserved)[\s\S]*?(" + "|".join(o.replace(" ", " +") for o in OPENINGS) + r"|\z)"
 #: Spellings that count as equal (fixed values): found, written.
 SPELLINGS: tuple[tuple[str, str], ...] = (
     ("licence", "license"),
@@ -44,14 +50,14 @@ SPELLINGS: tuple[tuple[str, str], ...] = (
 
 def canonical_line(line: Column) -> Column:
     """The canonical form of a text without line breaks."""
-    low = F.lower(line)
+    low = F.regexp_replace(F.lower(line), COPYRIGHT, "$1")
     joined = F.regexp_replace(low, r"(\p{L})-(\p{L})", "$1$2")
     plain = F.btrim(F.regexp_replace(joined, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     spelled = plain
     for found, written in SPELLINGS:
         spelled = F.regexp_replace(spelled, rf"\b{found}\b", written)
     british = plain.rlike(r"\b(" + "|".join(f for f, _ in SPELLINGS) + r")\b")
-    return F.when(low.rlike(COPYRIGHT_LINE), F.lit("")).when(british, spelled).otherwise(plain)
+    return F.when(british, spelled).otherwise(plain)
 
 
 def canonical_lines(text: Column) -> Column:
@@ -92,11 +98,12 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
 
 def _canonical_sql(x: str) -> str:
     """``canonical_line`` in DuckDB SQL."""
-    out = f"regexp_replace(lower({x}), '(\\p{{L}})-(\\p{{L}})', '\\1\\2', 'g')"
+    out = f"regexp_replace(lower({x}), '{COPYRIGHT}', '\\1')"
+    out = f"regexp_replace({out}, '(\\p{{L}})-(\\p{{L}})', '\\1\\2', 'g')"
     out = f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ')"
     for found, written in SPELLINGS:
         out = f"regexp_replace({out}, '\\b{found}\\b', '{written}', 'g')"
-    return f"CASE WHEN regexp_matches(lower({x}), '{COPYRIGHT_LINE}') THEN '' ELSE {out} END"
+    return out
 
 
 def _lines_sql(text: str) -> str:

@@ -65,12 +65,16 @@ def test_licences_are_found_through_spelling_and_layout(spark, odd_docs):
         (1, "The MIT Licence (MIT)\n\nCopyright (c) 2019 A. N. Other\nCopyright 2020 B\nAll rights reserved.\n\n" + mit.upper().replace("\n", "  \n ").replace('"', "''")),
         (2, mit.replace("free of charge", "for a fee")), (3, "Some words.\n  RELEASED under the M.I.T. licence\n* Released under the MIT licence!"),
         (4, None), (5, "Copyright 2020 me"), (6, "Licensed under CC BY 4.0."),
+        # A statement with more text on its line: the licence begins behind it.
+        (7, "Copyright (c) 2020 X Inc. All rights reserved. " + mit.replace("\n", " ")), (8, "(c) 2020 X. Released under the MIT License."),
+        (9, "* Copyright 2021 Y, Z Ltd. and others"),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     known = license_scan.known_digests(spark)
     got = {r.doc_id: (r.license_id, r.line_licenses) for r in license_scan.scan(df, known).collect()}
     assert got[1] == ("MIT", None) and got[2] == (None, None) and got[3] == (None, "MIT")
     assert got[4] == (None, None) and got[5] == (None, None) and got[6] == ("CC-BY-4.0", "CC-BY-4.0")
+    assert got[7] == ("MIT", "MIT") and got[8] == ("MIT", "MIT") and got[9] == (None, None)
     assert license_scan.scan(odd_docs, known).count() == odd_docs.count()
     assert license_scan.scan(odd_docs.limit(0), known).collect() == []
 
@@ -106,8 +110,13 @@ def test_files_prune_in_every_dimension(spark, sf_text, scratch):
     docs = spark.read.parquet(f"{sf_text}/documents.parquet")
     sharding.write_shards(docs, sharding.assign(docs), scratch, 40)
     files = spark.read.parquet(scratch).groupBy(F.input_file_name().alias("f")).agg(
-        F.min("n_chars").alias("a"), F.max("n_chars").alias("b"), F.count_distinct("source").alias("s")).collect()
-    assert sum(r.a <= 100 <= r.b for r in files) < 0.7 * len(files) and max(r.s for r in files) < 20
+        F.min("n_chars").alias("a"), F.max("n_chars").alias("b"), *[f(c).alias(f"{f.__name__}_{c}") for c in ("source", "lang") for f in (F.min, F.max)]).collect()
+    assert sum(r.a <= 100 <= r.b for r in files) < 0.7 * len(files)
+    # What a filter on one name reads, by the files' minima and maxima.
+    for c, share in (("source", 0.4), ("lang", 0.75)):
+        names = [r[0] for r in docs.select(c).dropna().distinct().collect()]
+        read = sum((r[f"min_{c}"] or "") <= n <= (r[f"max_{c}"] or "") for n in names for r in files)
+        assert read <= share * len(files) * len(names), (c, read / len(files) / len(names))
     assert spark.read.parquet(scratch).count() == docs.count()
 
 
