@@ -9,6 +9,10 @@ Timed legs:
 * ``run_*``          - raw load from the benchmark tables, expectation suite,
                        silver, gold dimensions, gold fact, 27 model tests, volume gate;
 * ``report_*``       - each business report over the written gold tables.
+
+Beside them ``control_sec`` times a fixed job on made-up numbers before and
+after the legs: it has nothing to do with the library, so two runs' ratios
+``value / control_sec`` compare where their machines differ in speed.
 """
 
 from __future__ import annotations
@@ -34,6 +38,19 @@ def _timed(fn):
     return round(time.perf_counter() - t, 3)
 
 
+def _control(spark, out: str, n: int) -> float:
+    """Aggregate, shuffle, write and read a fixed number of rows."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(6_000_000).select((F.xxhash64("id") % 500_000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("s"))
+
+    def job():
+        rows.groupBy("k").agg(F.max("s").alias("s"), F.count(F.lit(1)).alias("n")).write.parquet(f"{out}/control{n}")
+        spark.read.parquet(f"{out}/control{n}").agg(F.sum("n")).collect()
+
+    return _timed(job)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -43,6 +60,7 @@ def main() -> None:
     spark = build_session(cpus)
     out = shared_path(spark, "bench")
     q: dict[str, float] = {}
+    control = [_control(spark, out, 0)]
 
     # CSV ingestion.  The extract is landed once, outside the timing, as
     # several files: multiLine CSV (quoted line breaks) is one task per file.
@@ -90,12 +108,15 @@ def main() -> None:
     for name, build in reports.items():
         q[f"report_{name}"] = _timed(lambda b=build: b().collect())
 
+    control.append(_control(spark, out, 1))
     total = round(sum(q.values()), 3)
     print(json.dumps({
         "metric": "daily_run_total",
         "value": total,
         "unit": "sec",
         "queries": q,
+        "control_sec": control,
+        "value_per_control": round(total / (sum(control) / len(control)), 2),
         "sf": sf,
         "raw_rows": report.raw_rows,
         "fact_rows": report.fact_rows,
