@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grievance.llm.common import fresh_name, staged
+from grievance.llm.sampling import first_by_hash
 
 UNDETERMINED = "und"
 #: n-gram lengths, and how many n-grams a profile lists.
@@ -99,9 +100,7 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = labelled.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
     rows = rows.filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull() & F.col("_id").isNotNull())
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = rows.select("_id", "_lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
-    chosen = staged(chosen.select("_id").distinct(), "chosen")
+    chosen = staged(first_by_hash(rows, "_lang", "_id", per_language).select("_id").distinct(), "chosen")
     chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
     sample = rows.join(chosen, "_id", "left_semi").select("_lang", "_text")
 

@@ -51,3 +51,19 @@ def test_odd_rows(spark, odd_docs):
     assert {r.lang_pred for r in none.collect()} == {"und"}
     empty = L.predict_documents(odd_docs.limit(0))
     assert empty.collect() == []
+
+
+def test_the_sample_is_that_of_ranking_all_rows(spark):
+    """A hash bound first, for keys from one row to many, with repeated ids: the same rows as ranking them all."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from grievance.llm.sampling import first_by_hash
+
+    rows = spark.range(20_000).select(F.when(F.col("id") < 15_000, "hot").when(F.col("id") < 19_990, "warm").otherwise(F.col("id").cast("string")).alias("k"), (F.col("id") % 12_000).alias("i"))
+    rows = rows.unionByName(spark.createDataFrame([("one", 5)] * 900, "k string, i long"))
+    for n in (3, 40):
+        order = Window.partitionBy("k").orderBy(F.xxhash64("i"), "i")
+        plain = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= n).select("k", "i")
+        got = first_by_hash(rows, "k", "i", n)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
