@@ -28,10 +28,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grievance.llm.common import staged
+from grievance.llm.sampling import first_by_hash
 
 #: Bound of the fit: labelled documents of either label, chosen by a hash of the id.
 FIT_DOCS_PER_LABEL = 3000
@@ -125,8 +126,7 @@ def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     The model's size is bounded by the words of the sample.
     """
     label = labels.select(F.col(id_col).alias("_id"), (F.col(label_col) != 0).alias("_toxic")).dropna().groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
-    order = Window.partitionBy("_toxic").orderBy(F.xxhash64("_id"), "_id")
-    chosen = label.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_label).drop("_n")
+    chosen = first_by_hash(label, "_toxic", "_id", per_label)
     chosen = F.broadcast(staged(chosen, "chosen"))  # 2 * per_label rows at most
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).dropna().join(chosen, "_id").select("_id", "_text", "_toxic")
 
