@@ -13,16 +13,20 @@ A capitalised word at the start of a sentence may be a name or not.  Windows
 are made for both readings, in items and documents; along an alignment such a
 word counts as a name if its values map consistently, and as a word otherwise.
 
-Items with windows of too few words - titles, capitals, rows of numbers - are
-also joined by their words as they stand, in lower case, so that a copy is found.
+All items are also joined by their words as they stand, in lower case, so that
+copies in another letter case are found, in which names cannot be told from
+words, and items that are titles, capitals or rows of numbers.  Where an item has
+template windows throughout, such a copy must hold nearly all of its words as they stand.  A copy with
+other names or numbers is found where its letter case shows its names.
 
 Defined cases
 * null or empty text: no window, no match;
 * an item shorter than a window is one window of its own length; windows need ``MIN_LITERALS`` words
-  that are not placeholders; an item with other windows is also looked up literally, and the better of
-  both coverages counts; an item without words, or of fewer than ``WINDOW`` numbers only, matches nothing;
+  that are not placeholders; every item is also looked up literally, and the better of both coverages counts; an item without words, or of fewer than ``WINDOW`` numbers only, matches nothing;
 * several alignments of a document with an item: the one that covers most counts;
 * items with the same id are one item with the windows of all its rows;
+* rows without an id, of documents or items, match nothing;
+* a long text is read in stretches of the items' words, a long row of hits is one (document, item) alignment;
 * repeated documents give one row per (document id, item); empty tables give no rows;
 * extra columns are not carried, whatever their names.
 """
@@ -32,7 +36,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
-from itertools import combinations, groupby, pairwise
+from itertools import combinations, pairwise
 
 import pandas as pd
 import xxhash
@@ -45,6 +49,8 @@ WINDOW = 8
 MIN_LITERALS = 4
 #: Share of an item's windows that a document must hold.
 MIN_COVERAGE = 0.5
+#: Share of its windows of words as they stand, where the item has template windows throughout: these decide on copies with other values.
+LITERAL_COVERAGE = 0.9
 #: Template tokens that a document may have more or less between two windows of an alignment.
 SLACK = 8
 #: A benchmark of up to so many windows is broadcast, and its words then thin out the documents' windows.
@@ -73,6 +79,7 @@ OPENERS = frozenset(
 MAYBE = "?"
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:;|\n]")
 _ENDS = frozenset(".!?:;|\n")
+_RUN = re.compile(b"\x01+")
 
 
 def tokens(text: str | None) -> list[str]:
@@ -176,11 +183,22 @@ def plain_windows(words: list[str], size: int, first: int = 0) -> Iterator[tuple
             yield first + i, _key(part), []
 
 
+def likely_plain_windows(words: list[str], size: int, pairs: frozenset[tuple[str, str]], first: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Those of ``plain_windows`` whose neighbouring words are all in ``pairs``."""
+    run = 0
+    for end, pair in enumerate(pairwise(words), 1):
+        run = run + 1 if pair in pairs else 0
+        if run >= size - 1:
+            yield first + end - size + 1, _key(words[end - size + 1 : end + 1]), []
+
+
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item_id, size, item_pos, key, item_slots, words, pairs`` of the benchmark's items.
+    """``item_id, size, item_pos, key, item_slots, spare, words, pairs, plain_pairs`` of the benchmark's items.
 
-    Windows of words as they stand have a negative size; an item's first window carries all its words
-    and its pairs of neighbouring template tokens.
+    Every item also has windows of its lower-case words as they stand, with a negative size: they find copies in
+    another letter case, whose names cannot be told from words.  They are ``spare`` where the item has windows of its
+    template from beginning to end.  An item's first window carries all its words,
+    its pairs of neighbouring template tokens, and those of neighbouring words.
     """
     def split(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -192,25 +210,27 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                 # A word that the item also has in lower case is none of its names.
                 opens = [p for p in opens if out[p] not in found]
                 made = [(item, size, *w) for w in windows(out, slots, size, opens)] if size else []
-                if len({r[2] for r in made}) < len(out) - size + 1:
-                    plain = [t.lower() for t in found if t not in _ENDS]
-                    size = min(WINDOW, len(plain))
-                    made += [(item, -size, *w) for w in plain_windows(plain, size)]
+                plain = [t.casefold() for t in found if t not in _ENDS]
+                size = min(WINDOW, len(plain))
+                spare = len({r[2] for r in made}) == len(out) - abs(made[0][1]) + 1 if made else False
+                made += [(item, -size, *w) for w in plain_windows(plain, size)] if size else []
+                made = [(*m, spare and m[1] < 0) for m in made]
                 words, pairs = sorted({t.lower() for t in found}), [" ".join(x) for x in sorted(neighbours(out, opens))]
-                rows += [(*m, [] if n else words, [] if n else pairs) for n, m in enumerate(made)]
-            yield pd.DataFrame(rows, columns=["item_id", "size", "item_pos", "key", "item_slots", "words", "pairs"])
+                own = (words, pairs, [" ".join(x) for x in sorted(set(pairwise(plain)))])
+                rows += [(*m, *(([], [], []) if n else own)) for n, m in enumerate(made)]
+            yield pd.DataFrame(rows, columns=["item_id", "size", "item_pos", "key", "item_slots", "spare", "words", "pairs", "plain_pairs"])
 
     slim = items.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).dropna()
-    return slim.mapInPandas(split, "item_id long, size int, item_pos int, key long, item_slots array<string>, words array<string>, pairs array<string>")
+    return slim.mapInPandas(split, "item_id long, size int, item_pos int, key long, item_slots array<string>, spare boolean, words array<string>, pairs array<string>, plain_pairs array<string>")
 
 
 def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[str] | None, id_col: str = "doc_id", text_col: str = "text",
-                     pairs: frozenset[tuple[str, str]] = frozenset()) -> DataFrame:
+                     pairs: frozenset[tuple[str, str]] = frozenset(), plain_pairs: frozenset[tuple[str, str]] = frozenset()) -> DataFrame:
     """``doc_id, size, doc_pos, key, doc_slots`` of documents.
 
     With a ``vocabulary`` only stretches of its words, numbers and capitalised
     words are turned into templates, and of these the windows whose neighbouring
-    tokens are ``pairs``: no other window can be an item's.  Positions count the template tokens (or the words as they stand) of the whole document.
+    tokens are ``pairs`` (of the windows of words as they stand, ``plain_pairs``): no other window can be an item's.  Positions count the template tokens (or the words as they stand) of the whole document.
     """
     least = min(map(abs, sizes), default=WINDOW)
     typed, plain = [s for s in sizes if s > 0], [-s for s in sizes if s < 0]
@@ -219,18 +239,20 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
         if vocabulary is None:
             yield 0, 0, *read(found), found
             return
-        at = typed_at = plain_at = 0
-        for may, group in groupby(found, lambda t: t in vocabulary or not t.islower()):
-            part = list(group)
-            joined = "".join(part)
-            if not may or (len(part) < least and joined.isalpha() and joined.islower() and NUMBER_WORDS.isdisjoint(part)):
-                typed_at, plain_at = typed_at + len(part), plain_at + len(part)
-            else:
-                out, slots, opens = read(part, at == 0 or found[at - 1] in _ENDS)
-                if len(part) >= least:
-                    yield typed_at, plain_at, out, slots, opens, part
-                typed_at, plain_at = typed_at + len(out), plain_at + sum(t not in _ENDS for t in part)
-            at += len(part)
+        typed_at = plain_at = end = 0
+        for run in _RUN.finditer(bytes([t in vocabulary or not t.islower() for t in found])):
+            a, b = run.span()
+            typed_at, plain_at, end = typed_at + a - end, plain_at + a - end, b  # words of no item
+            part = found[a:b]
+            if b - a < least:
+                count = sum(t not in _ENDS for t in part)
+                alone = all(x in _ENDS or y in _ENDS for x, y in pairwise(part))
+                typed_at += count if alone else len(read(part, a == 0)[0])
+                plain_at += count
+                continue
+            out, slots, opens = read(part, a == 0)
+            yield typed_at, plain_at, out, slots, opens, part
+            typed_at, plain_at = typed_at + len(out), plain_at + sum(t not in _ENDS for t in part)
 
     def split(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -249,9 +271,12 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
                         else:
                             rows += [(doc, size, *w) for w in likely_windows(out, slots, size, opens, pairs, at)]
                     if plain:
-                        words = [t.lower() for t in part if t not in _ENDS]
+                        words = [t.casefold() for t in part if t not in _ENDS]
                         for size in plain:
-                            rows += [(doc, -size, *w) for w in plain_windows(words, size, plain_at)]
+                            if vocabulary is None or size == 1:
+                                rows += [(doc, -size, *w) for w in plain_windows(words, size, plain_at)]
+                            else:
+                                rows += [(doc, -size, *w) for w in likely_plain_windows(words, size, plain_pairs, plain_at)]
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=["doc_id", "size", "doc_pos", "key", "doc_slots"])
                     rows = []
@@ -329,14 +354,15 @@ def judge(groups: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The alignment of each document and item that covers most, of those with consistent slots."""
     for pdf in groups:
         rows = []
-        for doc, item, of, raw in pdf.itertuples(index=False):
+        for doc, item, of, least, raw in pdf.itertuples(index=False):
             hits = [(h["item_pos"], h["doc_pos"], list(h["item_slots"]), list(h["doc_slots"])) for h in raw]
             hits.sort()
             best: tuple[int, bool] = (0, False)
             for aligned in alignments(hits):
                 if len({h[0] for h in aligned}) > best[0] and (found := consistent(aligned)) and found[0] > best[0]:
                     best = found
-            rows.append((doc, item, best[0] / of, *best))
+            if best[0] >= least * of:
+                rows.append((doc, item, best[0] / of, *best))
         yield pd.DataFrame(rows, columns=["doc_id", "item_id", "coverage", "n_windows", "reparameterised"])
 
 
@@ -344,22 +370,24 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                item_id_col: str = "item_id", item_text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id, item_id, coverage, n_windows, reparameterised`` of documents that hold an item."""
     rows = staged(item_windows(items, item_id_col, item_text_col), "item_rows")
-    asked = staged(rows.drop("words", "pairs").dropDuplicates(["item_id", "item_pos", "size", "key", "item_slots"]), "items")
+    asked = staged(rows.drop("words", "pairs", "plain_pairs").groupBy("item_id", "item_pos", "size", "key", "item_slots").agg(F.min("spare").alias("spare")), "items")
     n = asked.count()
     sizes = sorted(r[0] for r in asked.select("size").distinct().collect())
-    vocabulary, pairs = None, frozenset()
+    vocabulary, pairs, plain_pairs = None, frozenset(), frozenset()
     if n <= BROADCAST_WINDOWS:
         vocabulary = NUMBER_WORDS | UNITS | {r[0] for r in rows.select(F.explode("words")).distinct().collect()}
-        pairs = frozenset(tuple(r[0].split(" ")) for r in rows.select(F.explode("pairs")).distinct().collect())
-    found = document_windows(docs, sizes, vocabulary, id_col, text_col, pairs)
-    hits = found.join(F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked, ["key", "size"])
+        pairs, plain_pairs = (frozenset(tuple(r[0].split(" ")) for r in rows.select(F.explode(c)).distinct().collect()) for c in ("pairs", "plain_pairs"))
+    found = document_windows(docs, sizes, vocabulary, id_col, text_col, pairs, plain_pairs)
+    known = asked.drop("spare")
+    hits = found.join(F.broadcast(known) if n <= BROADCAST_WINDOWS else known, ["key", "size"])
     literal = (F.col("size") < 0).alias("literal")
-    of = asked.groupBy("item_id", literal).agg(F.count_distinct("item_pos").alias("of"))
+    of = asked.groupBy("item_id", literal).agg(F.count_distinct("item_pos").alias("of"), F.min("spare").alias("spare"))
+    of = of.select("item_id", "literal", "of", F.when(F.col("spare"), max(LITERAL_COVERAGE, min_coverage)).otherwise(min_coverage).alias("least"))
     grouped = hits.groupBy("doc_id", "item_id", literal).agg(F.collect_set(F.struct("item_pos", "doc_pos", "item_slots", "doc_slots")).alias("hits"))
     grouped = grouped.join(F.broadcast(of) if n <= BROADCAST_WINDOWS else of, ["item_id", "literal"])
-    likely = F.size(F.array_distinct(F.transform("hits", lambda h: h["item_pos"]))) / F.col("of") >= min_coverage
+    likely = F.size(F.array_distinct(F.transform("hits", lambda h: h["item_pos"]))) / F.col("of") >= F.col("least")
     names = ["coverage", "n_windows", "reparameterised"]
-    judged = grouped.filter(likely).select("doc_id", "item_id", "of", "hits").mapInPandas(
+    judged = grouped.filter(likely).select("doc_id", "item_id", "of", "least", "hits").mapInPandas(
         judge, "doc_id long, item_id long, coverage double, n_windows long, reparameterised boolean"
     )
     # The better of both ways; of equal ones that with equal values.

@@ -152,3 +152,28 @@ def test_positions_do_not_depend_on_the_way_of_joining(spark, monkeypatch):
     got = coverages(spark, monkeypatch, rows, items)
     size = len(D.template(D.tokens(items[0][1]))[0]) - 7
     assert got == {(1, 1): ((size - 7) / size, False), (2, 2): (1.0, False)}
+
+
+@pytest.mark.parametrize("bound", [0, D.BROADCAST_WINDOWS])
+def test_copies_in_another_letter_case(spark, sf_text, monkeypatch, bound):
+    """Lower, upper and title case of every item, between other words; documents without an item stay clean."""
+    monkeypatch.setattr(D, "BROADCAST_WINDOWS", bound)
+    items = spark.read.parquet(f"{sf_text}/benchmark.parquet").orderBy("item_id").limit(50)
+    names = [(900, "On Monday Alice has 5 apples and Bob has 3 pears, so Alice gives Bob two apples."), (901, "Which river flows through the city of Vienna and then through Budapest?")]
+    items = items.select("item_id", "text").unionByName(spark.createDataFrame(names, "item_id long, text string"))
+    rows = []
+    for r in items.collect():
+        for k, cased in enumerate((r.text.lower(), r.text.upper(), r.text.title(), r.text)):
+            rows.append((int(r.item_id) * 10 + k, f"Some words before it. {cased} And some words behind."))
+    rows += [(10**6 + i, f"a text of words that no item has {i} times over and over again") for i in range(50)] + [(None, rows[0][1]), (10**7, None), (10**7 + 1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in D.find_leaks(docs, items).collect()}
+    wanted = {(int(r.item_id) * 10 + k, int(r.item_id)) for r in items.collect() for k in range(4)}
+    assert wanted <= found and {d for d, _ in found} == {d for d, _ in wanted}
+
+
+def test_leaks_of_odd_rows(spark, odd_docs):
+    items = spark.createDataFrame([(1, "alpha0 beta0 gamma0 alpha1 beta1 gamma1 alpha2 beta2 gamma2 alpha3"), (None, "x y z"), (2, None), (3, ""), (4, "...")], "item_id long, text string")
+    found = D.find_leaks(odd_docs, items.withColumn("doc_id", items.item_id)).collect()
+    assert {r.doc_id for r in found} <= {1, 2, 7} and len(found) == len({(r.doc_id, r.item_id) for r in found})
+    assert D.find_leaks(odd_docs, items.limit(0)).collect() == [] == D.find_leaks(odd_docs.limit(0), items).collect()
