@@ -114,20 +114,21 @@ def host_verdicts(measures: DataFrame) -> DataFrame:
     """``host, n_docs, host_failed`` and each rule's shrunk rate.
 
     The prior of a rule is a beta distribution with the hosts' mean rate and
-    their document-weighted variance; one row of sums per rule reaches the driver.
+    the variance between hosts: their document-weighted variance less what
+    chance alone would make of equal hosts.  One row of sums per rule reaches the driver.
     """
     hosts = staged(
         measures.groupBy("host").agg(F.count("*").alias("n_docs"), *[F.count(F.when(c, 1)).alias(r) for r, c in failures().items()]), "hosts"
     )
     n = F.col("n_docs")
-    total = hosts.agg(F.sum(n).alias("n"), *[F.sum(r).alias(r) for r in RULES]).first()
+    total = hosts.agg(F.sum(n).alias("n"), F.count("*").alias("hosts"), *[F.sum(r).alias(r) for r in RULES]).first()
     docs = total["n"] or 0
     mean = {r: (total[r] / docs if docs else 0.0) for r in RULES}
     spread_ = hosts.agg(*[F.sum(n * F.pow(F.col(r) / n - F.lit(mean[r]), 2)).alias(r) for r in RULES]).first()
     rates = {}
     for r in RULES:
         m = mean[r]
-        variance = spread_[r] / docs if docs else 0.0
+        variance = (spread_[r] - m * (1 - m) * total["hosts"]) / docs if docs else 0.0
         low, high = PRIOR_STRENGTH
         strength = min(max(m * (1 - m) / variance - 1, low), high) if variance > 0 else high
         rates[r] = (F.col(r) + F.lit(m * strength)) / (n + F.lit(strength))
@@ -189,7 +190,7 @@ WITH d AS (
   SELECT rule, sum(k) / sum(n) AS mean, sum(n) AS docs FROM h GROUP BY rule
 ), q AS (
   SELECT rule, mean, CASE WHEN v > 0 THEN least(greatest(mean * (1 - mean) / v - 1, 1), 1e6) ELSE 1e6 END AS s
-  FROM (SELECT rule, any_value(mean) AS mean, sum(n * pow(k / n - mean, 2)) / any_value(docs) AS v FROM h JOIN p USING (rule) GROUP BY rule)
+  FROM (SELECT rule, any_value(mean) AS mean, (sum(n * pow(k / n - mean, 2)) - any_value(mean) * (1 - any_value(mean)) * count(*)) / any_value(docs) AS v FROM h JOIN p USING (rule) GROUP BY rule)
 ), verdict AS (
   SELECT source, max((k + mean * s) / (n + s)) > 0.5 AS host_failed FROM h JOIN q USING (rule) GROUP BY source
 )

@@ -52,6 +52,20 @@ def test_bad_host_is_rejected_and_small_hosts_shrink(spark, monkeypatch):
         assert out.count() == len(rows)
 
 
+def test_chance_is_no_difference_between_hosts(spark):
+    """Small hosts that differ by chance only shrink to the corpus; a real difference keeps its hosts apart."""
+    import random
+
+    rng = random.Random(4)
+    good, bad = " ".join(f"word{i}" for i in range(40)), "spam spam"
+    rows = [(i, bad if rng.random() < 0.3 else good, f"h{i % 300}") for i in range(1500)]
+    rates = {r.host: r.few_words_rate for r in quality_rules.host_verdicts(quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string, source string"))).collect()}
+    assert max(rates.values()) - min(rates.values()) < 0.15 and max(rates.values()) < quality_rules.MAX_HOST_RATE
+    rows = [(i, bad if i % 3 == 0 else good, "bad" if i % 3 == 0 else f"h{i % 30}") for i in range(1500)]
+    found = quality_rules.host_verdicts(quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string, source string"))).collect()
+    assert {r.host for r in found if r.host_failed} == {"bad"}
+
+
 def test_quality_odd_rows(spark, odd_docs):
     out = quality_rules.judge(odd_docs)
     assert out.count() == odd_docs.count()
