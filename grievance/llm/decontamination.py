@@ -36,6 +36,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import cache
 from itertools import combinations, pairwise
 
 import pandas as pd
@@ -153,13 +154,34 @@ def neighbours(out: list[str], opens: list[int]) -> set[tuple[str, str]]:
     return {(a, b) for x, y in pairwise(forms) for a in x for b in y}
 
 
+@cache
+def _at_least(n: int) -> re.Pattern[bytes]:
+    """Runs of ``n`` flags or more."""
+    return re.compile(b"\x01{%d,}" % n)
+
+
 def likely_windows(out: list[str], slots: list[str | None], size: int, opens: list[int], pairs: frozenset[tuple[str, str]], first: int) -> Iterator[tuple[int, int, list[str]]]:
     """Those of ``windows`` whose neighbouring tokens are all in ``pairs``."""
     least = min(MIN_LITERALS, size)
+    known = bytearray(map(pairs.__contains__, pairwise(out)))
+    open_ = set(opens)
+    for p in opens:  # either reading, beside either reading of its neighbour
+        if p and not known[p - 1]:
+            known[p - 1] = (out[p - 1], NAME) in pairs or (p - 1 in open_ and ((NAME, out[p]) in pairs or (NAME, NAME) in pairs))
+        if p < len(known) and not known[p]:
+            known[p] = (NAME, out[p + 1]) in pairs or (p + 1 in open_ and ((out[p], NAME) in pairs or (NAME, NAME) in pairs))
+    starts = [i for m in _at_least(size - 1).finditer(known) for i in range(m.start(), m.end() - size + 2)] if size > 1 else range(len(out))
+    if not starts:
+        return
     forms = [((t, s),) for t, s in zip(out, slots, strict=True)]
     for p in opens:
         forms[p] = ((out[p], None), (NAME, MAYBE + out[p]))
-    for i in range(len(out) - size + 1):
+    for i in starts:
+        if bisect_left(opens, i) == bisect_left(opens, i + size):
+            held = [s for s in slots[i : i + size] if s is not None]
+            if size - len(held) >= least:
+                yield first + i, _key(out[i : i + size]), held
+            continue
         readings = [[x] for x in forms[i]]
         for p in range(i + 1, i + size):
             readings = [[*r, x] for r in readings for x in forms[p] if (r[-1][0], x[0]) in pairs]
@@ -235,48 +257,58 @@ def document_windows(docs: DataFrame, sizes: list[int], vocabulary: frozenset[st
     least = min(map(abs, sizes), default=WINDOW)
     typed, plain = [s for s in sizes if s > 0], [-s for s in sizes if s < 0]
 
-    def stretches(found: list[str]) -> Iterator[tuple[int, int, list[str], list[str | None], list[int], list[str]]]:
-        if vocabulary is None:
-            yield 0, 0, *read(found), found
-            return
+    def all_windows(found: list[str]) -> Iterator[tuple[int, int, int, list[str]]]:
+        out, slots, opens = read(found)
+        for size in typed:
+            yield from ((size, *w) for w in windows(out, slots, size, opens))
+        words = [t.casefold() for t in found if t not in _ENDS]
+        for size in plain:
+            yield from ((-size, *w) for w in plain_windows(words, size))
+
+    def stretch_windows(part: list[str], first: bool) -> Iterator[tuple[int, int, int, list[str]]]:
+        """Windows of a stretch, by their places in it."""
+        out, slots, opens = read(part, first)
+        # Words of no item can only match as names.
+        for p in opens:
+            if out[p] not in vocabulary:
+                out[p], slots[p] = NAME, MAYBE + out[p]
+        opens = [p for p in opens if slots[p] is None]
+        for size in typed:
+            yield from ((size, *w) for w in likely_windows(out, slots, size, opens, pairs, 0))
+        words = [t.casefold() for t in part if t not in _ENDS] if plain else []
+        for size in plain:
+            yield from ((-size, *w) for w in (plain_windows(words, size) if size == 1 else likely_plain_windows(words, size, plain_pairs, 0)))
+
+    def places(found: list[str], may: bytes, stretches: Iterable[int]) -> dict[int, tuple[int, int]]:
+        """How many template tokens, and words, stand before each stretch."""
+        wanted, out = set(stretches), {}
         typed_at = plain_at = end = 0
-        for run in _RUN.finditer(bytes([t in vocabulary or not t.islower() for t in found])):
+        for run in _RUN.finditer(may):
             a, b = run.span()
             typed_at, plain_at, end = typed_at + a - end, plain_at + a - end, b  # words of no item
+            if a in wanted:
+                out[a] = (typed_at, plain_at)
             part = found[a:b]
-            if b - a < least:
-                count = sum(t not in _ENDS for t in part)
-                alone = all(x in _ENDS or y in _ENDS for x, y in pairwise(part))
-                typed_at += count if alone else len(read(part, a == 0)[0])
-                plain_at += count
-                continue
-            out, slots, opens = read(part, a == 0)
-            yield typed_at, plain_at, out, slots, opens, part
-            typed_at, plain_at = typed_at + len(out), plain_at + sum(t not in _ENDS for t in part)
+            typed_at += len(read(part, a == 0)[0])
+            plain_at += sum(t not in _ENDS for t in part)
+        return out
+
+    def of_text(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
+        found = tokens(text)
+        if vocabulary is None:
+            yield from all_windows(found)
+            return
+        may = bytes([t in vocabulary or not t.islower() for t in found])
+        made = [(m.start(), w) for m in _at_least(least).finditer(may) for w in stretch_windows(found[m.start() : m.end()], m.start() == 0)]
+        if made:  # most documents have no window, and their places are not counted
+            before = places(found, may, {a for a, _ in made})
+            yield from ((size, at + before[a][int(size < 0)], key, held) for a, (size, at, key, held) in made)
 
     def split(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for doc, text in zip(pdf["_id"], pdf["_text"], strict=True):
-                for at, plain_at, out, slots, opens, part in stretches(tokens(text)):
-                    if vocabulary is not None:
-                        # Words of no item can only match as names.
-                        for p in opens:
-                            if out[p] not in vocabulary:
-                                out[p], slots[p] = NAME, MAYBE + out[p]
-                        opens = [p for p in opens if slots[p] is None]
-                    for size in typed:
-                        if vocabulary is None:
-                            rows += [(doc, size, *w) for w in windows(out, slots, size, opens, at)]
-                        else:
-                            rows += [(doc, size, *w) for w in likely_windows(out, slots, size, opens, pairs, at)]
-                    if plain:
-                        words = [t.casefold() for t in part if t not in _ENDS]
-                        for size in plain:
-                            if vocabulary is None or size == 1:
-                                rows += [(doc, -size, *w) for w in plain_windows(words, size, plain_at)]
-                            else:
-                                rows += [(doc, -size, *w) for w in likely_plain_windows(words, size, plain_pairs, plain_at)]
+                rows += [(doc, *w) for w in of_text(text)]
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=["doc_id", "size", "doc_pos", "key", "doc_slots"])
                     rows = []
