@@ -9,7 +9,8 @@ Defined cases
 * null, empty or letterless text: language ``und``, score 0;
 * ties between languages: the first in code point order;
 * equally frequent n-grams: the order of their numbers;
-* no labelled text at all: every document is ``und``;
+* no labelled text at all: every document is ``und``; a row with a null id is judged, but not learned from;
+* a long text is counted whole; an empty table gives no rows;
 * repeated rows: each row is judged by itself; a row count is never changed;
 * extra columns are carried through unless they have a result column's name,
   in which case the result replaces them.

@@ -12,6 +12,8 @@ Defined cases
 * a line or text that only holds a copyright statement: the same as empty; where
   a licence opens on the same line, the statement ends there;
 * a document that repeats a notice, or names several licences: each identifier once, sorted;
+* two identifiers with one digest: the first in code point order;
+* a long text is read whole, line by line; a null id is carried as it is;
 * repeated rows give repeated results; an empty table gives no rows;
 * extra columns are not carried, whatever their names.
 """

@@ -23,6 +23,7 @@ Defined cases
 * null, empty or blank text: no shingle, linked with nothing, a component of its own;
 * fewer words than a shingle has: the sequence as one shingle;
 * equal texts and equal sets are one class, so links between them need no comparison;
+* a long text is shingled whole;
 * repeated rows (same id) belong to one component and give a row each;
 * a null id cannot name a component: such rows have a null ``component_id``, are not kept and link nothing;
 * an empty table gives no rows; extra columns are not carried, whatever their names.

@@ -11,6 +11,7 @@ Defined cases
 * null host: a host of its own;
 * a corpus of one host, or of hosts with equal rates: the prior is as strong as
   it may be, and the shrunk rate is the corpus rate;
+* a long text is measured whole; a null id is carried as it is;
 * repeated rows are measured and counted each; an empty table gives no rows;
 * extra columns are not carried, whatever their names.
 """

@@ -14,6 +14,7 @@ partitions before are added to the rank within the partition.
 Defined cases
 * null text: no bytes, size 16, checksum 0; null dimensions have a code of their own;
 * equal places on the curve: ordered by (source, text checksum, id), then by the other columns carried;
+* a long text only counts by its size and checksum; a null id is placed like any other;
 * repeated rows take consecutive slots; fewer rows than shards leave shards empty;
 * an empty table gives no rows; extra columns are not carried.
 """

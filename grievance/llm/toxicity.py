@@ -15,6 +15,7 @@ Defined cases
 * labels of unknown documents, null ids and null labels are not learned from; a document
   labelled several times is toxic if any label says so;
 * no labelled document, or all labelled alike: no word has a weight and every document has severity 0;
+* ties between grades: the lowest; a long text is scored whole; a document with a null id is scored;
 * repeated rows are scored each; an empty table gives no rows;
 * extra columns are not carried, whatever their names.
 """

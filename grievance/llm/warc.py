@@ -15,6 +15,7 @@ Defined cases
 * a response at the time of the revisit is not earlier;
 * validators: the entity tags decide where the revisit has one (a weak tag equals the strong one),
   else the modification dates; a revisit with neither is accepted;
+* null record ids of revisits are carried; long URLs and headers are taken whole;
 * null headers count as none; repeated revisits are resolved each; empty tables give no rows;
 * extra columns are not carried, whatever their names.
 """
