@@ -7,7 +7,9 @@ the next one's input.
 
 Defined cases: rows without an id stay wherever an id decides (they are in no
 group and no match); repeated rows are reduced to one by the near-duplicate
-stage; empty tables pass through.
+stage, of rows with one id and different texts the first text in code point
+order stays; null and empty texts have no language and go with the first stage;
+long texts are worked on whole; empty tables pass through.
 """
 
 from __future__ import annotations
