@@ -21,20 +21,26 @@ from grievance.operators import metrics as M
 from grievance.operators import quality as Q
 from grievance.operators import raw as RAW
 from grievance.operators import reports as R
-from grievance.operators.staging import STAGING_COLUMNS, required_fields, stage_complaints
+from grievance.operators.staging import REQUIRED_FIELDS, STAGING_COLUMNS, required_fields, stage_complaints
 from grievance.plans import oracle as O
 from grievance.plans.daily import load_raw_from_csv
-from grievance.plans.models import fact_only, gold_models, raw_complaints, staged_complaints, stored
+from grievance.plans.models import fact_only, gold_models, last_complaints, raw_complaints, staged_complaints, stored
 from grievance.plans.versions import ID_PART, VersionedTable, merge_increment, with_id_range
 from grievance.schemas import ACCEPTED_SUBMITTED_VIA, NO_TAGS, NOT_SPECIFIED, RAW_COLUMNS, UNKNOWN
-from grievance.session import parallelism, shared_path
+from grievance.session import input_bytes, parallelism, shared_path
 from grievance.sources.csv import read_complaints_csv, write_complaints_csv
-from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints, fixture_text, multiline_narratives, write_record_files
+from grievance.sources.fixture import (
+    FIXTURE_ORDER, fixture_columns, fixture_complaints, fixture_key, fixture_rows, fixture_text, multiline_narratives, write_record_files,
+)
 from grievance.sources.multiline import load_with_rejects, scan_complaint_records
 from grievance.streaming import current_raw, ingest_available
 
 #: Ids in one part of the fixture's raw table: a few parts at every scale.
 MERGE_WIDTH = 400_000
+#: Bytes of lineitems behind one file of the extract (about half a million records).
+EXTRACT_BYTES = 8 * 1024 * 1024
+#: Records in one file of a scan.
+FILE_RECORDS = 400_000
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
@@ -137,36 +143,36 @@ def q_clean_raw(spark, sf_dir):
 def q_csv_scan(spark, sf_dir):
     """Text written as CSV files to the shared folder, scanned back and normalised."""
     path = shared_path(spark, "csv_scan")
-    write_complaints_csv(_text(spark, sf_dir), path)
+    write_complaints_csv(_text(spark, sf_dir), path, records_per_file=FILE_RECORDS)
     return RAW.normalise(read_complaints_csv(spark, path))
 
 
 def _ordered_extract(spark, sf_dir, extra_column=True):
     """CSV text whose file order follows the fixture's record order.
 
-    Range-partitioned by complaint id (all records of an id in one file) and
+    Partitioned by complaint id (all records of an id in one file) and
     sorted by the fixture order inside each file, so "last in file" is the
-    fixture's last record and the load can be checked against SQL.
+    fixture's last record and the load can be checked against SQL.  There are
+    as many files as the input needs, so none grows with it.
     """
-    f = fixture_complaints(spark, sf_dir)
-    n = parallelism(spark)
-    ordered = f.repartitionByRange(n, "complaint_id").sortWithinPartitions("complaint_id", *FIXTURE_ORDER)
-    return fixture_text(ordered, extra_column=extra_column)
+    n = max(parallelism(spark), -(-input_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet") // EXTRACT_BYTES))
+    ordered = fixture_rows(spark, sf_dir).repartition(n, "complaint_id").sortWithinPartitions("complaint_id", *FIXTURE_ORDER)
+    return fixture_text(fixture_columns(ordered), extra_column=extra_column)
 
 
 @register("csv_ingest", O.text_keep_last_sql())
 def q_csv_ingest(spark, sf_dir):
     """CSV extract -> discovery -> scan -> normalise -> last record per id by file position."""
     landing = shared_path(spark, "csv_ingest")
-    write_complaints_csv(_ordered_extract(spark, sf_dir), f"{landing}/complaints_extract.csv")
-    return load_raw_from_csv(spark, landing, pattern="*.csv", select="all")
+    write_complaints_csv(_ordered_extract(spark, sf_dir), f"{landing}/complaints_extract.csv", compression="gzip")
+    return load_raw_from_csv(spark, landing, pattern="*.csv.gz", select="all")
 
 
 def _record_files(spark, sf_dir):
     """The extract as CSV files whose records hold line breaks, and some a field too many or too few."""
     path = shared_path(spark, "record_files")
     text = fixture_text(multiline_narratives(fixture_complaints(spark, sf_dir, with_order=False)))
-    write_record_files(text, path, parallelism(spark))
+    write_record_files(text, path)
     return path
 
 
@@ -194,8 +200,8 @@ def q_load_rejects(spark, sf_dir):
 def q_landing_ingest(spark, sf_dir):
     """The same extract picked up by the incremental landing-folder stream."""
     base = shared_path(spark, "landing_ingest")
-    write_complaints_csv(_ordered_extract(spark, sf_dir, extra_column=False), f"{base}/landing")
-    ingest_available(spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint", pattern="*.csv")
+    write_complaints_csv(_ordered_extract(spark, sf_dir, extra_column=False), f"{base}/landing", compression="gzip")
+    ingest_available(spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint", pattern="*.csv.gz")
     return current_raw(spark, f"{base}/bronze")
 
 
@@ -213,20 +219,19 @@ SELECT * FROM old_rows WHERE complaint_id NOT IN (SELECT complaint_id FROM new_r
 UNION ALL SELECT * FROM new_rows""",
 )
 def q_upsert_merge(spark, sf_dir):
-    f = fixture_complaints(spark, sf_dir)
+    f, key = fixture_rows(spark, sf_dir), fixture_key(spark, sf_dir)
     early = F.col("_ord_ship").cast("date") < F.lit("1998-07-01").cast("date")
-    existing = RAW.keep_last(f.filter(early), "complaint_id", FIXTURE_ORDER)
-    incoming = RAW.keep_last(f.filter(~early), "complaint_id", FIXTURE_ORDER)
+    existing = last_complaints(f.filter(early), key)
+    incoming = last_complaints(f.filter(~early), key)
     return RAW.merge_upsert(existing, incoming)
 
 
 def _two_loads(spark, sf_dir):
     """An early load and a later increment with new, changed and unchanged complaints."""
-    f = fixture_complaints(spark, sf_dir)
+    f, key = fixture_rows(spark, sf_dir), fixture_key(spark, sf_dir)
     early = F.col("_ord_ship").cast("date") < F.lit("1998-07-01").cast("date")
     again = F.floor(F.col("complaint_id") / 10) % 5 == 0
-    existing = RAW.keep_last(f.filter(early), "complaint_id", FIXTURE_ORDER)
-    return existing, RAW.keep_last(f.filter(~early | again), "complaint_id", FIXTURE_ORDER)
+    return last_complaints(f.filter(early), key), last_complaints(f.filter(~early | again), key)
 
 
 _TWO_LOADS = f"""WITH fixture AS ({O.FIXTURE_SELECT}),
@@ -268,7 +273,7 @@ def q_signed_counts(spark, sf_dir):
     existing, incoming = _two_loads(spark, sf_dir)
     existing, incoming = stored(existing, "existing"), stored(incoming, "incoming")
     counts = stage_complaints(existing).groupBy("product").agg(F.count(F.lit(1)).alias("n_complaints"))
-    signed = C.signed_rows(C.change_feed(existing, incoming))
+    signed = C.signed_rows(C.change_feed(existing, incoming, carry=REQUIRED_FIELDS))
     return C.updated_counts(counts, signed, ["product"], grain=lambda rows: required_fields(rows).select(X.blank_default("product", NOT_SPECIFIED).alias("product"), "sign"))
 
 

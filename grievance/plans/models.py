@@ -10,18 +10,28 @@ from that copy.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from grievance.operators.gold import build_gold, fact_complaints
 from grievance.operators.raw import keep_last
 from grievance.operators.staging import stage_complaints
 from grievance.session import shared_path
-from grievance.sources.fixture import FIXTURE_ORDER, fixture_complaints
+from grievance.sources.fixture import FIXTURE_ORDER, fixture_columns, fixture_key, fixture_rows
 
 
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw complaint table: fixture rows, last record per complaint id."""
-    return keep_last(fixture_complaints(spark, sf_dir), "complaint_id", FIXTURE_ORDER)
+    return last_complaints(fixture_rows(spark, sf_dir), fixture_key(spark, sf_dir))
+
+
+def last_complaints(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The last record per complaint of ``fixture_rows``, in the raw columns.
+
+    The narrow rows are told apart by ``fixture_key``; the texts are spelled behind.
+    """
+    return fixture_columns(keep_last(rows, key, FIXTURE_ORDER))
 
 
 def staged_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,10 +93,17 @@ def scan_complaints(spark: SparkSession, base_path: str, pattern: str = DEFAULT_
     return _with_position(found)
 
 
-def write_complaints_csv(df: DataFrame, path: str) -> None:
-    """Write text columns as header CSV (quoted where needed)."""
+def write_complaints_csv(df: DataFrame, path: str, records_per_file: int = 0, compression: str = "none") -> None:
+    """Write text columns as header CSV (quoted where needed).
+
+    A file is read back by one task: ``records_per_file`` begins another file
+    after so many records, whatever a task of the write holds (0: never).
+    Compressed files have the codec's suffix behind ``.csv``.
+    """
     (
         df.write.mode("overwrite")
+        .option("maxRecordsPerFile", records_per_file)
+        .option("compression", compression)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')

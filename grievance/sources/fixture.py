@@ -12,10 +12,13 @@ padding, bad tokens); no row is ever filtered out by them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grievance.schemas import COLUMN_MAPPING, RAW_COLUMNS
+from grievance.session import keep_methods_small
 
 # Fixture shaping: state code per customer nation key 0..23 (24 -> NULL).
 FIXTURE_STATES: tuple[str, ...] = (
@@ -45,8 +48,13 @@ def _case(value: Column, mapping: dict, default: Column | None = None) -> Column
     return expr if default is None else expr.otherwise(default)
 
 
-def fixture_complaints(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
-    """18 typed raw columns (plus the ``_ord_*`` file-order stand-ins), one row per lineitem."""
+def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem with its order, customer, supplier and part, its ``complaint_id`` and the ``_ord_*`` columns.
+
+    These rows are narrow; wide steps run on them, and ``fixture_columns``
+    spells the complaint's columns behind.
+    """
+    keep_methods_small(spark)
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
@@ -54,21 +62,46 @@ def fixture_complaints(spark: SparkSession, sf_dir: str, with_order: bool = True
     p = read_table(spark, sf_dir, "part")
 
     # Plain inner equi-joins: the planner broadcasts the sides its size
-    # statistics prove small and sort-merges the rest (lineitem x orders).
+    # statistics prove small and sort-merges the rest.  Customers meet the
+    # orders before the lineitems do, and lineitem x orders comes last: its
+    # rows lie by order, as the last record of an id needs them.
     j = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(c, F.col("o_custkey") == c.c_custkey)
-        .join(s, F.col("l_suppkey") == s.s_suppkey)
-        .join(p, F.col("l_partkey") == p.p_partkey)
+        li.join(s, li.l_suppkey == s.s_suppkey)
+        .join(p, li.l_partkey == p.p_partkey)
+        .join(o.join(c, o.o_custkey == c.c_custkey), li.l_orderkey == o.o_orderkey)
+    )
+    return j.withColumns(
+        {
+            "complaint_id": (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint"),
+            "_ord_partkey": F.col("l_partkey"),
+            "_ord_suppkey": F.col("l_suppkey"),
+            "_ord_price": F.col("l_extendedprice"),
+            "_ord_qty": F.col("l_quantity"),
+            "_ord_ship": F.col("l_shipdate"),
+        }
     )
 
+
+def fixture_key(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """The columns of ``fixture_rows`` that tell complaints apart: the id, with its order in front where the id decides it.
+
+    With line numbers 0 to 9 an id has one order, and rows that lie by order
+    need not move again.  Any other (or missing) number leaves the id alone.
+    """
+    line = F.col("l_linenumber")
+    other = read_table(spark, sf_dir, "lineitem").filter(line.isNull() | ~line.between(0, 9))
+    return ("complaint_id",) if other.limit(1).count() else ("l_orderkey", "complaint_id")
+
+
+def fixture_columns(j: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``fixture_rows`` -> the 18 typed raw columns, and those of ``keep``."""
     lk, ln, pk, sk = (F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"))
     odate = F.add_months(F.col("o_orderdate").cast("date"), 12 * FIXTURE_YEARS)
     cust = F.col("o_custkey")
     prio = F.col("o_orderpriority")
 
     cols = {
-        "complaint_id": (lk * 10 + ln).cast("bigint"),
+        "complaint_id": F.col("complaint_id"),
         "date_received": F.when(lk % 97 != 0, odate),
         "product": F.when(pk % 61 == 0, F.lit(None).cast("string"))
         .when(pk % 41 == 0, F.lit(""))
@@ -102,16 +135,12 @@ def fixture_complaints(spark: SparkSession, sf_dir: str, with_order: bool = True
         "timely_response": _case(lk % 10, {0: "No", 1: "yes", 2: " No", 3: None}, F.lit("Yes")),
         "consumer_disputed": _case(lk % 5, {0: "Yes", 1: "N/A"}, F.lit("No")),
     }
-    out = [cols[name].alias(name) for name in RAW_COLUMNS]
-    if with_order:
-        out += [
-            pk.alias("_ord_partkey"),
-            sk.alias("_ord_suppkey"),
-            F.col("l_extendedprice").alias("_ord_price"),
-            F.col("l_quantity").alias("_ord_qty"),
-            F.col("l_shipdate").alias("_ord_ship"),
-        ]
-    return j.select(*out)
+    return j.select(*[cols[name].alias(name) for name in RAW_COLUMNS], *keep)
+
+
+def fixture_complaints(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
+    """18 typed raw columns (plus the ``_ord_*`` file-order stand-ins), one row per lineitem."""
+    return fixture_columns(fixture_rows(spark, sf_dir), FIXTURE_ORDER if with_order else ())
 
 
 # Fixture shaping for the text (CSV) path: how a NULL field is spelled.
@@ -145,7 +174,7 @@ def fixture_text(raw: DataFrame, extra_column: bool = True) -> DataFrame:
 
     def text_date(c: str) -> Column:
         d = F.col(c)
-        us, iso = F.date_format(d, "MM/dd/yyyy"), F.date_format(d, "yyyy-MM-dd")
+        us, iso = F.date_format(d, "MM/dd/yyyy"), d.cast("string")
         plain = F.when(line % 2 == 1, us).otherwise(iso)
         spelled = F.when(order % 7 != 0, plain)
         for i, (before, after) in enumerate(TEXT_DATE_SPELLINGS):
@@ -186,17 +215,18 @@ def multiline_narratives(raw: DataFrame) -> DataFrame:
     return raw.withColumn("consumer_complaint_narrative", F.when(F.floor(F.col("complaint_id") / 10) % LINES_EVERY == 0, F.concat(c, text)).otherwise(c))
 
 
-def write_record_files(text: DataFrame, path: str, files: int) -> None:
-    """Write ``fixture_text`` as CSV records into ``files`` folders, each file with its header.
+def write_record_files(text: DataFrame, path: str) -> None:
+    """Write ``fixture_text`` as CSV records, one file per task that has rows, each file with its header.
 
-    Some records get one field too many, some lack the last one.
+    Some records get one field too many, some lack the last one.  Nothing is
+    shuffled: a task's first row carries the header in front.
     """
     order = F.floor(F.substring("Extra column", 5, 20).cast("bigint") / 10)
     options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     whole = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in text.columns]), options)
     short = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in text.columns[:-1]]), options)
     record = F.when(order % EXTRA_EVERY == 5, F.concat(whole, F.lit(",one more"))).when(order % SHORT_EVERY == 7, short).otherwise(whole)
-    rows = text.select(F.pmod(F.hash("Extra column"), F.lit(files)).alias("part"), F.lit(1).alias("place"), record.alias("value"))
-    heads = text.sparkSession.range(files).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("place"), F.lit(",".join(text.columns)).alias("value"))
-    placed = rows.unionByName(heads).repartition(files, "part").sortWithinPartitions("part", "place")
-    placed.select("part", "value").write.partitionBy("part").text(path, lineSep="\n")
+    rows = text.select(record.alias("value"), F.monotonically_increasing_id().alias("row"))  # a task's part of the id starts at 0
+    first = F.col("row").bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    head = F.lit(",".join(text.columns) + "\n")
+    rows.select(F.when(first, F.concat(head, "value")).otherwise(F.col("value")).alias("value")).write.option("maxRecordsPerFile", 0).text(path, lineSep="\n")
