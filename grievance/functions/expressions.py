@@ -50,14 +50,14 @@ def lenient_date(c: ColumnOrName) -> Column:
 
     Surrounding blanks do not matter.  A time may follow, with optional
     seconds and fraction, AM/PM (month/day/year) or a zone (ISO); the date is
-    taken as written.  A value is parsed once, with the pattern of its spelling.
+    taken as written.  The day is cast as ISO text, which needs no formatter.
     """
     c = F.btrim(_col(c))
     day = F.regexp_extract(c, "^[0-9/-]+", 0)
     return (
-        F.when(c.rlike(_ISO_TEXT), F.try_to_timestamp(day, F.lit("yyyy-M-d")))
-        .when(c.rlike(_US_TEXT), F.try_to_timestamp(day, F.lit("M/d/yyyy")))
-        .cast("date")
+        F.when(c.rlike(_ISO_TEXT), day)
+        .when(c.rlike(_US_TEXT), F.regexp_replace(day, "^([0-9]+)/([0-9]+)/([0-9]+)$", "$3-$1-$2"))
+        .try_cast("date")
     )
 
 

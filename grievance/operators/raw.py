@@ -36,14 +36,10 @@ def normalise(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     lenient integer id; rows without a usable id are dropped.
     """
     base = null_na_tokens(rename_and_select(df, keep))
-    typed = base.withColumns(
-        {
-            **{c: lenient_date(c) for c in RAW_DATE_COLUMNS},
-            "zip_code": zip5("zip_code"),
-            "complaint_id": lenient_bigint("complaint_id"),
-        }
-    )
-    return typed.filter(F.col("complaint_id").isNotNull())
+    # The id comes out of a generator: the condition on it stays behind that, so the id's text is read once for each row
+    # and not again in the scan, or below the joins, that the condition would be moved to.
+    read = base.withColumn("_id", F.explode(F.array(lenient_bigint("complaint_id")))).filter(F.col("_id").isNotNull())
+    return read.withColumns({**{c: lenient_date(c) for c in RAW_DATE_COLUMNS}, "zip_code": zip5("zip_code"), "complaint_id": F.col("_id")}).drop("_id")
 
 
 def keep_last(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
