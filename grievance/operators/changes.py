@@ -15,16 +15,19 @@ def row_digest(columns: Sequence[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
 
-def change_feed(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id", columns: Sequence[str] | None = None) -> DataFrame:
+def change_feed(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id", columns: Sequence[str] | None = None, carry: Sequence[str] | None = None) -> DataFrame:
     """``key, change, old, new``: every row of ``incoming`` (one per key) against the row that it replaces.
 
-    ``columns`` (default: the columns of both) decide whether a row changed.
+    ``columns`` (default: the columns of both) decide whether a row changed;
+    ``old`` and ``new`` hold them all, or those of ``carry``: only these are shuffled.
     ``old`` is NULL for inserted rows.  The stored side is joined by its key;
     the increment is broadcast where its size is known to be small.
     """
     values = [c for c in (columns or existing.columns) if c != key and c in incoming.columns and c in existing.columns]
-    old = existing.select(F.col(key).alias("_key"), F.struct(*values).alias("old"), row_digest(values).alias("_old"))
-    new = incoming.select(F.col(key), F.struct(*values).alias("new"), row_digest(values).alias("_new"))
+    carried = [c for c in values if carry is None or c in carry]
+    digest = F.unhex(row_digest(values))
+    old = existing.select(F.col(key).alias("_key"), F.struct(*carried).alias("old"), digest.alias("_old"))
+    new = incoming.select(F.col(key), F.struct(*carried).alias("new"), digest.alias("_new"))
     change = F.when(F.col("_key").isNull(), INSERTED).when(F.col("_old") == F.col("_new"), UNCHANGED).otherwise(UPDATED)
     return new.join(old, F.col(key) == F.col("_key"), "left").select(key, change.alias("change"), "old", "new")
 
