@@ -48,11 +48,12 @@ def _case(value: Column, mapping: dict, default: Column | None = None) -> Column
     return expr if default is None else expr.otherwise(default)
 
 
-def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_rows(spark: SparkSession, sf_dir: str, order_parts: int | None = None) -> DataFrame:
     """Every lineitem with its order, customer, supplier and part, its ``complaint_id`` and the ``_ord_*`` columns.
 
     These rows are narrow; wide steps run on them, and ``fixture_columns``
-    spells the complaint's columns behind.
+    spells the complaint's columns behind.  ``order_parts`` deals the lineitems
+    out by order into so many partitions for the last join.
     """
     keep_methods_small(spark)
     li = read_table(spark, sf_dir, "lineitem")
@@ -65,11 +66,10 @@ def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     # statistics prove small and sort-merges the rest.  Customers meet the
     # orders before the lineitems do, and lineitem x orders comes last: its
     # rows lie by order, as the last record of an id needs them.
-    j = (
-        li.join(s, li.l_suppkey == s.s_suppkey)
-        .join(p, li.l_partkey == p.p_partkey)
-        .join(o.join(c, o.o_custkey == c.c_custkey), li.l_orderkey == o.o_orderkey)
-    )
+    lines = li.join(s, li.l_suppkey == s.s_suppkey).join(p, li.l_partkey == p.p_partkey)
+    if order_parts:
+        lines = lines.repartition(order_parts, "l_orderkey")
+    j = lines.join(o.join(c, o.o_custkey == c.c_custkey), li.l_orderkey == o.o_orderkey)
     return j.withColumns(
         {
             "complaint_id": (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint"),

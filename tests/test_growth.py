@@ -5,12 +5,16 @@ from __future__ import annotations
 import os
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from grievance.operators import changes as C
-from grievance.operators.raw import normalise
+from grievance.operators import gold as G
+from grievance.operators.raw import merge_upsert, normalise
 from grievance.plans import catalog
-from grievance.plans.models import fact_only, raw_complaints
+from grievance.plans.models import fact_only, raw_complaints, staged_complaints, stored
+from grievance.plans.versions import VersionedTable, merge_increment, with_id_range
 from grievance.session import keep_methods_small
 from grievance.sources.csv import write_complaints_csv
 from grievance.sources.fixture import fixture_complaints, fixture_key, fixture_rows, fixture_text, write_record_files
@@ -123,3 +127,18 @@ def test_change_feed_carries_only_what_is_asked(spark):
 
 def test_rows_joined_are_those_of_the_lineitems(spark, sf_small):
     assert fixture_rows(spark, sf_small).count() == spark.read.parquet(f"{sf_small}/lineitem.parquet").count()
+
+
+@pytest.mark.parametrize("extra_column", [True, False])
+def test_extract_is_dealt_out_once(spark, sf_small, no_broadcast, extra_column):
+    plan = _plan(catalog._ordered_extract(spark, sf_small, extra_column))
+    assert "hashpartitioning(complaint_id" not in plan
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+
+
+@pytest.mark.parametrize("lines", [[(1, 1.0), (1, 2.0), (2, 1.0)], [(1, 1.0), (11, 2.0), (1, 3.0)], [(1, 1.0), ("NULL::INTEGER", 2.0)]])
+def test_extract_keeps_an_id_together(spark, tmp_path, lines):
+    extract = catalog._ordered_extract(spark, _tables(tmp_path / "t", lines))
+    rows = extract.select("Extra column", F.spark_partition_id().alias("part")).collect()
+    assert len(rows) == len(lines)
+    assert len({tuple(r) for r in rows}) == len({r[0] for r in rows})
