@@ -230,12 +230,17 @@ def q_upsert_merge(spark, sf_dir):
     return RAW.merge_upsert(existing, incoming)
 
 
-def _two_loads(spark, sf_dir):
-    """An early load and a later increment with new, changed and unchanged complaints."""
+def _two_load_rows(spark, sf_dir):
+    """An early load and a later increment with new, changed and unchanged complaints, as the last narrow row of each."""
     f, key = fixture_rows(spark, sf_dir), fixture_key(spark, sf_dir)
     early = F.col("_ord_ship").cast("date") < F.lit("1998-07-01").cast("date")
     again = F.floor(F.col("complaint_id") / 10) % 5 == 0
-    return last_complaints(f.filter(early), key), last_complaints(f.filter(~early | again), key)
+    return tuple(RAW.keep_last(f.filter(load), key, FIXTURE_ORDER) for load in (early, ~early | again))
+
+
+def _two_loads(spark, sf_dir):
+    """``_two_load_rows`` in the raw columns."""
+    return tuple(map(fixture_columns, _two_load_rows(spark, sf_dir)))
 
 
 _TWO_LOADS = f"""WITH fixture AS ({O.FIXTURE_SELECT}),
@@ -247,10 +252,11 @@ raw AS (SELECT * FROM old_rows WHERE complaint_id NOT IN (SELECT complaint_id FR
 @register("merge_touched", _TWO_LOADS + f" SELECT *, CAST(complaint_id // {MERGE_WIDTH} AS BIGINT) AS id_range FROM raw")
 def q_merge_touched(spark, sf_dir):
     """The increment merged into the parts of a versioned table that it has rows of."""
-    existing, incoming = _two_loads(spark, sf_dir)
+    existing, incoming = (with_id_range(rows, width=MERGE_WIDTH) for rows in _two_load_rows(spark, sf_dir))
     table = VersionedTable(spark, shared_path(spark, "merge_touched"), ID_PART)
-    table.replace(with_id_range(existing, width=MERGE_WIDTH), (ID_PART, "complaint_id"))
-    return table.read(merge_increment(table, with_id_range(incoming, width=MERGE_WIDTH)))
+    # The narrow rows are dealt out by part; the texts are spelled as they are written.
+    table.replace(existing, (ID_PART, "complaint_id"), watch=lambda rows: fixture_columns(rows, (ID_PART,)))
+    return table.read(merge_increment(table, fixture_columns(incoming, (ID_PART,))))
 
 
 _FEED = ("product", "date_sent_to_company", "company_response_to_consumer", "timely_response", "sub_issue")

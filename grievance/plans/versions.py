@@ -24,16 +24,17 @@ from dataclasses import asdict, dataclass, field
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grievance.operators.raw import merge_upsert
 from grievance.session import shared_path
 
 #: Partition column that tells the writes of a part apart.
 VERSION = "version"
 _FOLDER = "_versions"
+#: Tells the rows of an increment from those of the table while they are merged.
+_INCOMING = "_incoming"
 #: The names of the only part of a table without parts, and of the part of rows without a value.
 WHOLE, NO_VALUE = "", "__HIVE_DEFAULT_PARTITION__"
 
@@ -191,12 +192,16 @@ class VersionedTable:
         schema, parts = self._written(df, sort, watch)
         return self._publish(base, schema, parts, note or {})
 
-    def replace_parts(self, df: DataFrame, values: Iterable[object], sort: Sequence[str] = (), base: Version | None = None) -> Version:
-        """The rows of the parts ``values`` anew (``df`` has rows of these parts only); all other parts stay as they are."""
+    def replace_parts(self, df: DataFrame, values: Iterable[object], sort: Sequence[str] = (), base: Version | None = None,
+                      watch: Callable[[DataFrame], DataFrame] | None = None) -> Version:
+        """The rows of the parts ``values`` anew (``df`` has rows of these parts only); all other parts stay as they are.
+
+        ``watch`` is applied to the rows where they lie by ``sort``.
+        """
         base = base or self.current()
         if base and base.part != self.part:
             raise ValueError(f"{self.path} is kept in parts by {base.part!r}")
-        schema, written = self._written(df, sort)
+        schema, written = self._written(df, sort, watch)
         touched = {_name(v) for v in values}
         if not set(written) <= touched:
             raise ValueError(f"rows of other parts: {sorted(set(written) - touched)[:5]}")
@@ -249,13 +254,24 @@ def merge_increment(table: VersionedTable, increment: DataFrame, key: str = "com
     """Upsert ``increment`` (one row per key, with the part column) into the parts that it has rows of.
 
     Only these parts are read and written again; of the others not even a file
-    is listed.  The key must decide the part, so that a row never moves.
+    is listed.  The key must decide the part, so that a row never moves.  Old
+    and new rows are dealt out once, in the order of parts and keys, and the
+    replaced ones are dropped where both then lie together (as ``merge_upsert``
+    drops them: rows without a key replace nothing).
     """
     spark = increment.sparkSession
     base = table.current()
     path = shared_path(spark, "increment")
-    increment.write.parquet(path)
+    increment.write.option("compression", "zstd").parquet(path)
     rows = spark.read.schema(increment.schema).parquet(path)
     touched = [r[0] for r in rows.select(table.part).distinct().collect()]  # at most as many as the table has parts
-    merged = merge_upsert(table.read(base, touched), rows, key) if base else rows
-    return table.replace_parts(merged, touched, sort=(table.part, key), base=base)
+    if base is None:
+        return table.replace_parts(rows, touched, sort=(table.part, key))
+    old = table.read(base, touched).withColumn(_INCOMING, F.lit(False))
+    both = old.unionByName(rows.withColumn(_INCOMING, F.lit(True)), allowMissingColumns=True)
+
+    def kept(df: DataFrame) -> DataFrame:
+        replaced = F.max(_INCOMING).over(Window.partitionBy(table.part, key)) & F.col(key).isNotNull()
+        return df.withColumn("_replaced", replaced).filter(F.col(_INCOMING) | ~F.col("_replaced")).drop(_INCOMING, "_replaced")
+
+    return table.replace_parts(both, touched, sort=(table.part, key), base=base, watch=kept)

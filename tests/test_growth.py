@@ -142,3 +142,35 @@ def test_extract_keeps_an_id_together(spark, tmp_path, lines):
     rows = extract.select("Extra column", F.spark_partition_id().alias("part")).collect()
     assert len(rows) == len(lines)
     assert len({tuple(r) for r in rows}) == len({r[0] for r in rows})
+
+
+@pytest.fixture
+def writes(monkeypatch):
+    """The rows given to be written, and what is done to them behind the shuffle."""
+    seen, written = [], VersionedTable._written
+
+    def spy(self, df, sort=(), watch=None):
+        seen.append((df, sort, watch))
+        return written(self, df, sort, watch)
+
+    monkeypatch.setattr(VersionedTable, "_written", spy)
+    return seen
+
+
+def test_merge_deals_old_and_new_rows_out_once(spark, scratch, no_broadcast, writes):
+    schema = "complaint_id long, product string"
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, "d"), (150, "e"), (None, "f")], schema)
+    new = spark.createDataFrame([(2, "x"), (3, "y"), (4, "z"), (None, "n")], schema)
+    table = VersionedTable(spark, f"{scratch}/t", "id_range")
+    table.replace(with_id_range(old, width=100), ("id_range", "complaint_id"))
+    merge_increment(table, with_id_range(new, width=100))
+    assert sorted(map(tuple, table.read().drop("id_range").collect()), key=str) == sorted(map(tuple, merge_upsert(old, new).collect()), key=str)
+    df, sort, watch = writes[-1]
+    assert "Join" not in _plan(df)
+    plan = _plan(watch(df.repartitionByRange(*sort).sortWithinPartitions(*sort)))
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+
+
+def test_rows_are_narrow_where_they_are_dealt_out(spark, sf_small, writes):
+    catalog.QUERIES["merge_touched"](spark, sf_small)
+    assert "product" not in writes[0][0].columns
