@@ -24,7 +24,7 @@ from grievance.operators import reports as R
 from grievance.operators.staging import REQUIRED_FIELDS, STAGING_COLUMNS, required_fields, stage_complaints
 from grievance.plans import oracle as O
 from grievance.plans.daily import load_raw_from_csv
-from grievance.plans.models import fact_only, gold_models, last_complaints, raw_complaints, staged_complaints, stored
+from grievance.plans.models import fact_from_raw, fact_only, gold_models, last_complaints, raw_complaints, staged_complaints, stored
 from grievance.plans.versions import ID_PART, VersionedTable, merge_increment, with_id_range
 from grievance.schemas import ACCEPTED_SUBMITTED_VIA, NO_TAGS, NOT_SPECIFIED, RAW_COLUMNS, UNKNOWN
 from grievance.session import input_bytes, parallelism, shared_path
@@ -298,7 +298,9 @@ def q_signed_counts(spark, sf_dir):
 def q_fact_by_month(spark, sf_dir):
     """The fact kept by received month; days chosen in the date dimension prune its parts."""
     table = VersionedTable(spark, shared_path(spark, "fact_by_month"), G.MONTH_PART)
-    fact = table.read(table.replace(G.with_month(fact_only(spark, sf_dir)), (G.MONTH_PART, "complaint_id")))
+    # The raw rows are dealt out by month; their keys, digests that no codec shortens, are made as they are written.
+    raw = G.with_month(required_fields(raw_complaints(spark, sf_dir)))
+    fact = table.read(table.replace(raw, (G.MONTH_PART, "complaint_id"), watch=lambda rows: G.with_month(fact_from_raw(rows))))
     days = stored(G.dim_date(spark), "dim_date").filter("year = 2013 AND quarter IN (2, 3)")
     return G.in_dates(fact, days).select("complaint_id", "product_sk", G.MONTH_PART, "quarter", "is_weekend")
 

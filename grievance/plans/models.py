@@ -48,10 +48,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def fact_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact without its dimensions: each key is the row's own hash.
 
+def fact_from_raw(raw: DataFrame) -> DataFrame:
+    """The fact of raw rows, row by row: each key is the row's own hash."""
+    return fact_complaints(stage_complaints(raw), strategy="derive")
+
+
     Equal to the lookup joins while the dimensions' keys are unique, which
     ``dbt_tests`` checks and ``fact_lookup_join`` exercises.
     """
-    return fact_complaints(staged_complaints(spark, sf_dir), strategy="derive")
+    return fact_from_raw(raw_complaints(spark, sf_dir))
 
 
 def gold_models(spark: SparkSession, sf_dir: str, strategy: str = "derive") -> dict[str, DataFrame]:

@@ -172,5 +172,8 @@ def test_merge_deals_old_and_new_rows_out_once(spark, scratch, no_broadcast, wri
 
 
 def test_rows_are_narrow_where_they_are_dealt_out(spark, sf_small, writes):
+    catalog.QUERIES["fact_by_month"](spark, sf_small)
+    assert not [c for c in writes[-1][0].columns if c.endswith("_sk")]
+    writes.clear()
     catalog.QUERIES["merge_touched"](spark, sf_small)
     assert "product" not in writes[0][0].columns
