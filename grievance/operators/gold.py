@@ -118,9 +118,8 @@ def fact_complaints(stg: DataFrame, products: DataFrame | None = None, companies
     Equal to the join path whenever the dimension keys are unique (which the
     ``unique`` tests verify); it needs no shuffle at all.
     """
-    k = _keyed(stg)
     if strategy == "derive":
-        j = k.select(
+        j = _keyed(stg).select(
             "*",
             F.col("_product_key").alias("product_sk"),
             F.col("_company_key").alias("company_sk"),
@@ -132,10 +131,12 @@ def fact_complaints(stg: DataFrame, products: DataFrame | None = None, companies
     p = products.select(F.col("product_sk"))
     c = companies.select(F.col("company_sk"))
     g = geographies.select(F.col("geography_sk"))
+    # The geography, which grows with the customers, comes first, and the other keys are made behind it: where that join
+    # moves the rows they carry short texts, not digests.
     j = (
-        k.join(p, k["_product_key"] == p["product_sk"], "left")
-        .join(c, k["_company_key"] == c["company_sk"], "left")
-        .join(g, k["_geography_key"] == g["geography_sk"], "left")
+        stg.withColumn("_geography_key", surrogate_key(*GEOGRAPHY_COLS)).join(g, F.col("_geography_key") == F.col("geography_sk"), "left")
+        .withColumn("_product_key", surrogate_key(*PRODUCT_COLS)).join(p, F.col("_product_key") == F.col("product_sk"), "left")
+        .withColumn("_company_key", surrogate_key(*COMPANY_COLS)).join(c, F.col("_company_key") == F.col("company_sk"), "left")
     )
     return _fact_projection(j)
 

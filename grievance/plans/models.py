@@ -39,20 +39,23 @@ def staged_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back, for several consumers."""
+    """Write ``df`` as Parquet in the shared folder and read it back, for several consumers.
+
+    Most of a staged row or a fact are hexadecimal digests, which zstd halves.
+    """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def fact_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact without its dimensions: each key is the row's own hash.
-
 def fact_from_raw(raw: DataFrame) -> DataFrame:
     """The fact of raw rows, row by row: each key is the row's own hash."""
     return fact_complaints(stage_complaints(raw), strategy="derive")
 
 
+def fact_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact without its dimensions: each key is the row's own hash.
+
     Equal to the lookup joins while the dimensions' keys are unique, which
     ``dbt_tests`` checks and ``fact_lookup_join`` exercises.
     """

@@ -177,3 +177,15 @@ def test_rows_are_narrow_where_they_are_dealt_out(spark, sf_small, writes):
     writes.clear()
     catalog.QUERIES["merge_touched"](spark, sf_small)
     assert "product" not in writes[0][0].columns
+
+
+def test_fact_meets_the_geography_before_its_other_keys_are_made(spark, sf_small, no_broadcast):
+    stg = staged_complaints(spark, sf_small)
+    plan = G.fact_complaints(stg, G.dim_product(stg), G.dim_company(stg), G.dim_geography(stg))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert [next(k for k in ("company", "product", "geography") if f"_{k}_key" in line) for line in joins] == ["company", "product", "geography"]
+
+
+def test_stored_copies_are_packed(spark):
+    (path,) = stored(spark.range(100).coalesce(1), "packed").inputFiles()
+    assert pq.ParquetFile(path.removeprefix("file://")).metadata.row_group(0).column(0).compression == "ZSTD"
