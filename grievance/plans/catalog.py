@@ -27,7 +27,7 @@ from grievance.plans.daily import load_raw_from_csv
 from grievance.plans.models import fact_from_raw, fact_only, gold_models, last_complaints, raw_complaints, staged_complaints, stored
 from grievance.plans.versions import ID_PART, VersionedTable, merge_increment, with_id_range
 from grievance.schemas import ACCEPTED_SUBMITTED_VIA, NO_TAGS, NOT_SPECIFIED, RAW_COLUMNS, UNKNOWN
-from grievance.session import input_bytes, parallelism, shared_path
+from grievance.session import input_bytes, keep_scans_small, parallelism, shared_path
 from grievance.sources.csv import read_complaints_csv, write_complaints_csv
 from grievance.sources.fixture import (
     FIXTURE_ORDER, fixture_columns, fixture_complaints, fixture_key, fixture_rows, fixture_text, multiline_narratives, write_record_files,
@@ -37,8 +37,8 @@ from grievance.streaming import current_raw, ingest_available
 
 #: Ids in one part of the fixture's raw table: a few parts at every scale.
 MERGE_WIDTH = 400_000
-#: Bytes of lineitems behind one file of the extract (about half a million records).
-EXTRACT_BYTES = 8 * 1024 * 1024
+#: Bytes of lineitems behind one file of the extract (about a quarter of a million records).
+EXTRACT_BYTES = 4 * 1024 * 1024
 #: Records in one file of a scan.
 FILE_RECORDS = 400_000
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -153,8 +153,9 @@ def _ordered_extract(spark, sf_dir, extra_column=True):
     All records of an id lie in one file, sorted by the fixture order, so
     "last in file" is the fixture's last record and the load can be checked
     against SQL.  There are as many files as the input needs, so none grows
-    with it.
+    with it, and tasks read little enough to deal out and sort in memory.
     """
+    keep_scans_small(spark)
     n = max(parallelism(spark), -(-input_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet") // EXTRACT_BYTES))
     key = fixture_key(spark, sf_dir)
     rows = fixture_rows(spark, sf_dir, n) if "l_orderkey" in key else fixture_rows(spark, sf_dir).repartition(n, "complaint_id")

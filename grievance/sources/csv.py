@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grievance.session import keep_scans_small
+
 DEFAULT_PATTERN = "*complaints*.csv"
 
+# Suffixes of files whose bytes are a fraction of their text.
+COMPRESSED = (".gz", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate")
+
 # File-order columns attached right after the scan, before any shuffle.
 FILE_ORDER = ("_src_file", "_src_block", "_src_row")
 
@@ -55,10 +60,10 @@ def discover_complaint_files(spark: SparkSession, base_path: str, pattern: str =
     return sorted(files)
 
 
-def _with_position(df: DataFrame) -> DataFrame:
+def _with_position(df: DataFrame, file: Column | None = None) -> DataFrame:
     return df.select(
         "*",
-        F.col("_metadata.file_path").alias("_src_file"),
+        (F.col("_metadata.file_path") if file is None else file).alias("_src_file"),
         F.col("_metadata.file_block_start").alias("_src_block"),
         F.monotonically_increasing_id().alias("_src_row"),
     )
@@ -81,6 +86,7 @@ def scan_complaints(spark: SparkSession, base_path: str, pattern: str = DEFAULT_
 
     ``select="single"`` is for feeds that deliver one file: several matches
     are an error, never a choice.  All files are read by the discovery scan.
+    Tasks read less at a time where files are compressed (``keep_scans_small``).
     """
     if select not in ("all", "single"):
         raise ValueError(f"select must be 'all' or 'single', not {select!r}")
@@ -90,7 +96,11 @@ def scan_complaints(spark: SparkSession, base_path: str, pattern: str = DEFAULT_
         raise FileNotFoundError(f"no file matching '{pattern}' under {base_path}")
     if select == "single" and len(files) > 1:
         raise ValueError(f"{len(files)} files match '{pattern}' under {base_path}, one was expected: {files[:5]}")
-    return _with_position(found)
+    if any(f.lower().endswith(COMPRESSED) for f in files):
+        keep_scans_small(spark)
+    # In one folder the names alone are in the order of the paths: the rows carry no folder.
+    one_folder = len({f.rpartition("/")[0] for f in files}) == 1
+    return _with_position(found, F.substring_index("_metadata.file_path", "/", -1) if one_folder else None)
 
 
 def write_complaints_csv(df: DataFrame, path: str, records_per_file: int = 0, compression: str = "none") -> None:

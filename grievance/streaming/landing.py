@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from grievance.operators.raw import keep_last, normalise
 from grievance.schemas import CSV_TEXT_SCHEMA, RAW_COLUMNS
+from grievance.session import keep_scans_small
 
 FILE_COLUMNS = ("_file_mtime", "_file", "_block")
 BRONZE_ORDER = ("_file_mtime", "batch_id", "_file", "_block", "_row")
@@ -67,7 +68,12 @@ def _writer(bronze_path: str, checkpoint_path: str):
 
 def ingest_available(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint_path: str,
                      pattern: str = "*complaints*.csv") -> StreamingQuery:
-    """Append every not-yet-ingested landing file to bronze, then stop."""
+    """Append every not-yet-ingested landing file to bronze, then stop.
+
+    A task writes one bronze file of what it reads, and the last records are
+    sorted by file: tasks read little at a time (``keep_scans_small``).
+    """
+    keep_scans_small(spark)
     q = (
         landing_stream(spark, landing_dir, pattern)
         .writeStream.foreachBatch(_writer(bronze_path, checkpoint_path))
@@ -81,6 +87,7 @@ def ingest_available(spark: SparkSession, landing_dir: str, bronze_path: str, ch
 
 def current_raw(spark: SparkSession, bronze_path: str) -> DataFrame:
     """The raw complaint table: last record per id over everything ingested so far."""
+    keep_scans_small(spark)
     bronze = spark.read.parquet(bronze_path)
     return keep_last(bronze, "complaint_id", BRONZE_ORDER).select(*RAW_COLUMNS)
 
@@ -93,6 +100,7 @@ def new_raw_since(spark: SparkSession, bronze_path: str, after_batch: int, inges
     Upsert the result into the current raw table with the daily run
     (``run(spark, new_raw_since(...), output, existing_raw=<current raw>)``).
     """
+    keep_scans_small(spark)
     bronze = spark.read.parquet(bronze_path).filter(F.col("batch_id") > F.lit(after_batch))
     if ingest_id is not None:
         bronze = bronze.filter(F.col("ingest_id") == F.lit(ingest_id))

@@ -13,10 +13,11 @@ from grievance.operators import changes as C
 from grievance.operators import gold as G
 from grievance.operators.raw import merge_upsert, normalise
 from grievance.plans import catalog
+from grievance.plans.daily import load_raw_from_csv
 from grievance.plans.models import fact_only, raw_complaints, staged_complaints, stored
 from grievance.plans.versions import VersionedTable, merge_increment, with_id_range
-from grievance.session import keep_methods_small
-from grievance.sources.csv import write_complaints_csv
+from grievance.session import SCAN_BYTES, keep_methods_small, keep_scans_small
+from grievance.sources.csv import read_complaints_csv, scan_complaints, write_complaints_csv
 from grievance.sources.fixture import fixture_complaints, fixture_key, fixture_rows, fixture_text, write_record_files
 from grievance.sources.multiline import load_with_rejects, scan_complaint_records
 
@@ -136,6 +137,59 @@ def test_extract_is_dealt_out_once(spark, sf_small, no_broadcast, extra_column):
     assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
 
 
+SCAN_KEY, SCAN_DEFAULT = "spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)
+
+
+@pytest.fixture
+def default_scans(spark):
+    old = spark.conf.get(SCAN_KEY)
+    spark.conf.set(SCAN_KEY, SCAN_DEFAULT)
+    yield
+    spark.conf.set(SCAN_KEY, old)
+
+
+@pytest.mark.parametrize("name", ["csv_ingest", "landing_ingest"])
+def test_ingest_reads_little_in_a_task(spark, sf_small, default_scans, name):
+    catalog.QUERIES[name](spark, sf_small)
+    assert spark.conf.get(SCAN_KEY) == str(SCAN_BYTES)
+
+
+def test_scan_size_of_the_user_stays(spark, default_scans):
+    for value, kept in (("128MB", str(SCAN_BYTES)), ("64m", "64m"), (str(256 * 1024 * 1024), str(256 * 1024 * 1024)), ("1048576", "1048576")):
+        spark.conf.set(SCAN_KEY, value)
+        keep_scans_small(spark)
+        assert spark.conf.get(SCAN_KEY) == kept
+    spark.conf.unset(SCAN_KEY)
+    keep_scans_small(spark)
+    assert spark.conf.get(SCAN_KEY) in (str(SCAN_BYTES), f"{SCAN_BYTES}b")
+
+
+@pytest.mark.parametrize("compression, small", [("gzip", True), ("none", False)])
+def test_compressed_files_are_dealt_out_finer(spark, tmp_path, default_scans, compression, small):
+    write_complaints_csv(spark.range(4).selectExpr("CAST(id AS string) AS complaint_id"), f"{tmp_path}/in", compression=compression)
+    assert load_raw_from_csv(spark, f"{tmp_path}/in", pattern="*.csv*").count() == 4
+    assert spark.conf.get(SCAN_KEY) == (str(SCAN_BYTES) if small else SCAN_DEFAULT)
+
+
+def test_position_carries_no_folder_of_one_folder(spark, tmp_path):
+    def put(path, *lines):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as fh:
+            fh.write("complaint_id,product\n" + "\n".join(lines) + "\n")
+
+    put(f"{tmp_path}/one/b complaints.csv", "1,b", "2,b")
+    put(f"{tmp_path}/one/a complaints.csv", "1,a", "3,a")
+    assert {r[0] for r in scan_complaints(spark, f"{tmp_path}/one").select("_src_file").collect()} == {"a%20complaints.csv", "b%20complaints.csv"}
+    last = {r.complaint_id: r.product for r in load_raw_from_csv(spark, f"{tmp_path}/one").collect()}
+    assert last == {1: "b", 2: "b", 3: "a"}
+    # With several folders the whole path decides.
+    put(f"{tmp_path}/two/y/a complaints.csv", "1,y")
+    put(f"{tmp_path}/two/x/z complaints.csv", "1,x")
+    assert [r.product for r in load_raw_from_csv(spark, f"{tmp_path}/two").collect()] == ["y"]
+    paths = {r[0] for r in scan_complaints(spark, f"{tmp_path}/two").select("_src_file").collect()}
+    assert paths == {r[0] for r in read_complaints_csv(spark, [f"{tmp_path}/two/x", f"{tmp_path}/two/y"]).select("_src_file").collect()}
+
+
 @pytest.mark.parametrize("lines", [[(1, 1.0), (1, 2.0), (2, 1.0)], [(1, 1.0), (11, 2.0), (1, 3.0)], [(1, 1.0), ("NULL::INTEGER", 2.0)]])
 def test_extract_keeps_an_id_together(spark, tmp_path, lines):
     extract = catalog._ordered_extract(spark, _tables(tmp_path / "t", lines))
